@@ -44,39 +44,59 @@ def explode_counters(counters: DataFrame, counts: str = "counts") -> DataFrame:
     )
 
 
-def decay_final(
-    rows: DataFrame, keys: list[str], intervals: list[int], ts: str = "event_ts", amount: str = "n"
+def slice_sums(
+    rows: DataFrame,
+    keys: list[str],
+    intervals: list[int],
+    ts: str = "event_ts",
+    amount: str = "n",
+    time: str | None = None,
 ) -> DataFrame:
-    """Counters after all rows, per key, in ``counts`` (a map by interval).
+    """Per key and slice: the last event time and, per interval, the sum grown from the slice's start.
 
-    Rows are summed per key and slice before they meet, so a hot key reaches its
-    task as one row per slice.  A counter starts as value 0 at second 0.
+    Sums of parts add up, so this also runs on a stream in update mode; ``time``
+    then names its watermarked column, which must be the time stamp of ``ts``.
     """
     intervals = _checked(intervals)
-    size = _slice_seconds(intervals)
-    at, start = F.col(ts), F.col("_slice")
-    summed = (
-        rows.withColumn("_slice", time_slice(ts, size))
-        .groupBy(*keys, "_slice")
-        .agg(
-            F.max(ts).alias("_last"),
-            *[F.sum(_grown(F.col(amount), at - start, d)).alias(f"_v{d}") for d in intervals],
-        )
+    moment = F.timestamp_seconds(ts) if time is None else F.col(time)
+    start = F.unix_seconds("_w.start")
+    grown = {d: _grown(F.col(amount), F.col(ts) - start, d) for d in intervals}
+    return (
+        rows.withColumn("_w", F.window(moment, f"{_slice_seconds(intervals)} seconds"))
+        .groupBy("_w", *keys)
+        .agg(F.max(ts).alias("last_ts"), *[F.sum(grown[d]).alias(f"sum_{d}") for d in intervals])
+        .select(*keys, start.alias("slice"), "last_ts", *[f"sum_{d}" for d in intervals])
     )
-    latest = F.greatest(F.max("_last").over(Window.partitionBy(*keys)), F.lit(0).cast("bigint"))
+
+
+def merge_slices(sums: DataFrame, keys: list[str], intervals: list[int]) -> DataFrame:
+    """Slice sums to counters, per key, in ``counts`` (a map by interval).
+
+    A counter starts as value 0 at second 0.
+    """
+    latest = F.greatest(F.max("last_ts").over(Window.partitionBy(*keys)), F.lit(0).cast("bigint"))
+    faded = {d: F.col(f"sum_{d}") * fade(F.col("_t") - F.col("slice"), d) for d in intervals}
     merged = (
-        summed.withColumn("_t", latest)
+        sums.withColumn("_t", latest)
         .groupBy(*keys)
-        .agg(
-            F.max("_t").alias("_t"),
-            *[F.sum(F.col(f"_v{d}") * fade(F.col("_t") - start, d)).alias(f"_v{d}") for d in intervals],
-        )
+        .agg(F.max("_t").alias("_t"), *[F.sum(faded[d]).alias(f"_v{d}") for d in intervals])
     )
     return merged.select(
         *keys, counter_map(intervals, F.col("_t"), {d: F.col(f"_v{d}") for d in intervals}).alias("counts")
     )
 
 
+def decay_final(
+    rows: DataFrame, keys: list[str], intervals: list[int], ts: str = "event_ts", amount: str = "n"
+) -> DataFrame:
+    """Counters after all rows, per key, in ``counts``.
+
+    Rows are summed per key and slice before they meet, so a hot key reaches its
+    task as one row per slice.
+    """
+    return merge_slices(slice_sums(rows, keys, intervals, ts, amount), keys, intervals)
+
+
 def decay_as_of(
     rows: DataFrame, keys: list[str], intervals: list[int], as_of: int, ts: str = "event_ts", amount: str = "n"
 ) -> DataFrame:

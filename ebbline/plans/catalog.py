@@ -362,7 +362,7 @@ def ratio_topk_min_views(spark, sf_dir):
 
 @query
 def min_views_candidates(spark, sf_dir):
-    return generators.few_views(tables.events(spark, sf_dir), "view", 20, K)
+    return generators.few_views(tables.events(spark, sf_dir), "view", 100, K)
 
 
 @query
@@ -505,6 +505,16 @@ def stream_counters(spark, sf_dir):
     return _long(_stored_result(spark, counters, "counters"))
 
 
+@query
+def stream_counter_slices(spark, sf_dir):
+    """Counters from slice sums that the stream keeps up to date."""
+    sums = jobs.counter_slices(_event_stream(spark, sf_dir), "media_id", LONG)
+    home = shared_dir(spark, "slices")
+    store = UpsertTable(f"{home}/rows", ["feature_name", "key", "slice"], ["last_ts"])
+    jobs.run_available(sums, store.write, f"{home}/checkpoint", "update")
+    return _long(decay.merge_slices(store.read(spark), ["feature_name", "key"], LONG))
+
+
 @query
 def stream_sliding(spark, sf_dir):
     events = jobs.watermarked(_event_stream(spark, sf_dir))

@@ -245,7 +245,7 @@ SELECT media_id, round(v, 6) AS score, last_update FROM f ORDER BY v DESC, media
 SELECT media_id, part, whole, round(part / whole, 6) AS ratio FROM x WHERE whole >= 15
 ORDER BY part / whole DESC, media_id LIMIT 20""",
     "min_views_candidates": f"""WITH {EV}, x AS (SELECT media_id, {_counts_of('view')} AS views FROM ev GROUP BY media_id)
-SELECT media_id, views FROM x WHERE views < 20 ORDER BY md5(media_id || '0'), media_id LIMIT 20""",
+SELECT media_id, views FROM x WHERE views < 100 ORDER BY md5(media_id || '0'), media_id LIMIT 20""",
     "creator_affinity": CREATOR_AFFINITY,
     "knn_candidates": KNN,
     "key_families": _families(),
@@ -275,6 +275,8 @@ SELECT * FROM ({LIFETIME.format(keys='event_name, user_id')}) WHERE {CLOSED_EVEN
     "stream_counters": f"""WITH {EV}, {_windows('event_name, media_id', HOUR)}
 SELECT event_name AS feature_name, media_id AS key, * EXCLUDE (event_name, media_id)
 FROM ({_running('media_id', [HOUR, DAY, WEEK])}) WHERE {CLOSED_EVENTS}""",
+    "stream_counter_slices": f"""{MEDIA_EACH}
+SELECT event_name AS feature_name, media_id AS key, decay_interval, last_update, round(value, 6) AS value FROM c""",
     "stream_sliding": f"""WITH {EV},
 x AS (SELECT event_name, event_ts // 1200 * 1200 - unnest(range(0, 3600, 1200)) AS window_start FROM ev)
 SELECT event_name, window_start, count(*) AS n FROM x

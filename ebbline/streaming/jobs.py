@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbline.operators.decay import counter_map
+from ebbline.operators.decay import counter_map, slice_sums
 from ebbline.operators.windows import event_clock, window_counts, word_counts, word_window_counts
 from ebbline.streaming.processors import (
     CANDIDATES,
@@ -92,6 +92,20 @@ def event_counters(
     return counters.withColumnsRenamed({"event_name": "feature_name", key: "key"})
 
 
+def counter_slices(events: DataFrame, key: str, intervals: list[int], delay: str = "1 day") -> DataFrame:
+    """Counters without Python state, for update mode.
+
+    Emits changed slice sums, to be upserted by ``feature_name``, ``key`` and
+    ``slice``; :func:`ebbline.operators.decay.merge_slices` turns the stored sums
+    into counters.  Every event counts at its own second, in whatever order they
+    come; ``delay`` is how long a slice may still change.
+    """
+    sums = slice_sums(
+        watermarked(events, delay), ["event_name", key], intervals, amount="event_count", time="event_time"
+    )
+    return sums.withColumnsRenamed({"event_name": "feature_name", key: "key"})
+
+
 def top_lists(
     counters: DataFrame,
     name: str,

@@ -117,9 +117,15 @@ def _by_score(candidates: Iterable[tuple]) -> list[tuple]:
 
 
 def _rows(candidates: Iterable[tuple]) -> list[Row]:
+    """State takes plain tuples, output takes rows ..."""
     return [Row(media_id=m, score=s, last_update=t) for m, s, t in candidates]
 
 
+def _tuples(candidates: Iterable[dict]) -> list[tuple]:
+    """... and nested input comes as dictionaries."""
+    return [(c["media_id"], c["score"], c["last_update"]) for c in candidates]
+
+
 class BucketTop(StatefulProcessor):
     """Filter in front of the global list: each bucket of ids keeps its own top.
 
@@ -146,7 +152,7 @@ class BucketTop(StatefulProcessor):
             candidate = (row["media_id"], row["score"], row["last_update"])
             if top.put(*candidate):
                 improved.append(candidate)
-        self.state.update((_rows(top.best()),))
+        self.state.update((top.best(),))
         after = _by_score(top.best())[: self.size]
         if self.mode == "improvements":
             if improved:
@@ -174,13 +180,13 @@ class GlobalTop(StatefulProcessor):
         if self.mode == "improvements":
             top = BoundedTop(self.size, [tuple(c) for c in self.top.get()] if self.top.exists() else [])
             for row in sorted(rows, key=lambda r: r["bucket"]):
-                for c in row["candidates"]:
+                for c in _tuples(row["candidates"]):
                     top.put(*c)
             best = top.best()
             self.top.put(best)
         else:
             for row in rows:
-                self.tops.updateValue((row["bucket"],), (row["candidates"],))
+                self.tops.updateValue((row["bucket"],), (_tuples(row["candidates"]),))
             best = _by_score(tuple(c) for (tops,) in self.tops.values() for c in tops)[: self.size]
         yield Row(name=key[0], updated=max(c[2] for c in best), candidates=_rows(best))
 
