@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbline.functions.decay import add, counter, fade
-from ebbline.operators.running import DAY, running, time_slice
+from ebbline.operators.running import DAY, not_null, running, sliced, time_slice
+from ebbline.session import settle
 
 # exp(300) leaves a double room for 1e178 events, exp(-300) is far below its precision
 SPAN = 300
@@ -128,15 +129,14 @@ def decay_running(
     """
     intervals = _checked(intervals)
     size = _slice_seconds(intervals)
-    rows = windows.withColumn("_arrived", time_slice(order, size))
     if in_order:
-        rows = rows.withColumn("_clock", F.col(ts))
+        rows = sliced(windows, order, size, "_arrived").withColumn("_clock", F.col(ts))
     else:
+        rows = sliced(settle(windows), order, size, "_arrived")
         rows = running(rows, keys, ["_arrived"], [order], {"_clock": ("max", ts)})
-    rows = rows.withColumn("_clock", F.greatest("_clock", F.lit(0).cast("bigint"))).withColumn(
-        "_slice", time_slice("_clock", size)
-    )
+    rows = sliced(rows.withColumn("_clock", F.greatest("_clock", F.lit(0).cast("bigint"))), "_clock", size)
     slices = ["_slice", "_arrived"]
+    rows = not_null(rows, [*keys, *slices])
     grown = {d: _grown(F.col(amount), F.col(ts) - F.col("_slice"), d) for d in intervals}
     inside = Window.partitionBy(*keys, *slices).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     local = rows.select("*", *[F.sum(grown[d]).over(inside).alias(f"_v{d}") for d in intervals])

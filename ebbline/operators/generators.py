@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ebbline.operators.engagement import ratios
 from ebbline.operators.running import running
 from ebbline.operators.topk import top_k, top_k_per
+from ebbline.session import settle
 
 # query vectors held by one task at a time
 KNN_CHUNK = 1024
@@ -42,9 +43,13 @@ def creator_affinity(events: DataFrame, name: str, k: int) -> DataFrame:
     are numbered per creator instead, and from the numbers a user has seen the
     first ``k`` unseen ones follow by counting, so only those are looked up.
     """
-    media = events.groupBy("creator_id", "media_id").agg(
-        F.sum(F.when(F.col("event_name") == name, F.col("event_count")).otherwise(0)).alias("views")
+    seen = settle(
+        events.groupBy("user_id", "creator_id", "media_id").agg(
+            F.sum("event_count").alias("_n"),
+            F.sum(F.when(F.col("event_name") == name, F.col("event_count")).otherwise(0)).alias("_views"),
+        )
     )
+    media = seen.groupBy("creator_id", "media_id").agg(F.sum("_views").alias("views"))
     # a slice holds media of equal views whose id hashes alike
     sliced = media.select(
         "*",
@@ -56,9 +61,11 @@ def creator_affinity(events: DataFrame, name: str, k: int) -> DataFrame:
         sliced, ["creator_id"], ["_less", "_hash"], ["_less", "_hash", "media_id"], {"place": ("sum", "_one")}
     ).select("creator_id", "media_id", "views", "place")
 
-    seen = events.groupBy("user_id", "creator_id", "media_id").agg(F.sum("event_count").alias("_n"))
+    numbered = settle(numbered)
     affinity = seen.groupBy("user_id", "creator_id").agg(F.sum("_n").alias("affinity"))
-    places = seen.join(numbered.select("creator_id", "media_id", "place"), ["creator_id", "media_id"])
+    places = _spread_join(
+        seen, numbered.select("creator_id", "media_id", "place"), ["creator_id", "media_id"], spread_by="user_id"
+    )
     # the i-th seen place has (place - i) unseen places before it
     counted = running(
         places.select(
@@ -112,7 +119,8 @@ def _spread_join(many: DataFrame, one: DataFrame, on: list[str], spread_by: str,
 def user_vectors(events: DataFrame, vectors: DataFrame, name: str, dim: int) -> DataFrame:
     """A user's vector: the mean of the vectors of the media in their ``name`` events.
 
-    ``vectors`` has ``media_id`` and ``embedding``.
+    ``vectors`` has ``media_id`` and ``embedding``.  A media seen by very many
+    users makes a skewed partition, which adaptive execution splits.
     """
     counted = (
         events.where(F.col("event_name") == name)
@@ -133,6 +141,7 @@ def nearest(queries: DataFrame, vectors: DataFrame, k: int, chunk: int = KNN_CHU
     keeps the best ``k`` of each Arrow batch per query, so pairs are never written
     out.  More queries mean more chunks, not larger ones.
     """
+    queries = settle(queries)
     total = queries.count()
     chunks = max(1, -(-total // chunk))
     spark = queries.sparkSession

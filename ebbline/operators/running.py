@@ -8,9 +8,13 @@ bounded by time span / slice length), and the two are added.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ebbline.session import settle
+
 DAY = 86_400
 _KINDS = {"sum": (F.sum, lambda a, b: a + b), "max": (F.max, F.greatest)}
 
@@ -21,6 +25,20 @@ def time_slice(at: Column | str, seconds: int) -> Column:
     return (F.floor(at / seconds) * seconds).cast("bigint")
 
 
+def sliced(rows: DataFrame, at: str, seconds: int, name: str = "_slice") -> DataFrame:
+    """Add the slice of a time that is never null, such as a window's start."""
+    return rows.withColumn(name, F.coalesce(time_slice(at, seconds), F.lit(0).cast("bigint")))
+
+
+def not_null(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """Say before a self-join what it implies anyway.
+
+    Otherwise the optimizer adds the filter to one side only, and the sides no
+    longer read the same shuffle.
+    """
+    return rows.where(reduce(Column.__and__, [F.col(c).isNotNull() for c in columns]))
+
+
 def running(
     rows: DataFrame,
     keys: list[str],
@@ -35,6 +53,7 @@ def running(
     Keys and slices must not be null.  ``before`` leaves the current row out; a
     key's first row then gets null.
     """
+    rows = not_null(rows, [*keys, *slices])
     end = -1 if before else Window.currentRow
     inside = Window.partitionBy(*keys, *slices).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
     earlier = Window.partitionBy(*keys).orderBy(*slices).rowsBetween(Window.unboundedPreceding, -1)
@@ -62,9 +81,7 @@ def lifetime_counts(
     windows: DataFrame, keys: list[str], slice_seconds: int = DAY, name: str = "total"
 ) -> DataFrame:
     """Count since the beginning, one row per key and closed window."""
-    rows = windows.select(
-        *keys, "window_start", "window_end", "n", time_slice("window_start", slice_seconds).alias("_slice")
-    )
+    rows = sliced(windows.select(*keys, "window_start", "window_end", "n"), "window_start", slice_seconds)
     return running(rows, keys, ["_slice"], ["window_start"], {name: ("sum", "n")}).drop("_slice")
 
 
@@ -76,7 +93,7 @@ def record_totals(
     ``order`` must start with ``second`` or refine it.  Slices are short, since
     single records are counted here.
     """
-    rows = records.withColumn("_slice", time_slice(second, slice_seconds)).withColumn("_one", F.lit(1).cast("bigint"))
+    rows = sliced(records, second, slice_seconds).withColumn("_one", F.lit(1).cast("bigint"))
     out = running(rows, keys, ["_slice"], order, {"total": ("sum", "_one")})
     return out.drop("_slice", "_one")
 
@@ -88,7 +105,7 @@ def lives(
 
     Use ``life`` as one more key in the running and decay operators.
     """
-    rows = windows.withColumn("_slice", time_slice(written, slice_seconds))
+    rows = sliced(settle(windows), written, slice_seconds)
     seen = running(rows, keys, ["_slice"], [written], {"_last": ("max", written)}, before=True)
     born = seen.withColumn("_new", F.coalesce((F.col(written) - F.col("_last") >= ttl).cast("bigint"), F.lit(0)))
     out = running(born.drop("_last"), keys, ["_slice"], [written], {"life": ("sum", "_new")})

@@ -416,7 +416,7 @@ def ctr_ratio(spark, sf_dir):
 @query
 def counter_ratio(spark, sf_dir):
     """Ratio of two decayed counters, as a reader of the store computes it."""
-    c = F.element_at("counts", F.lit(WEEK).cast("bigint"))
+    c = F.col("counts")[F.lit(WEEK).cast("bigint")]
     now = _media_counters(spark, sf_dir).select("key", "feature_name", value_at(c, AS_OF).alias("v"))
     wide = now.groupBy("key").agg(
         F.sum(F.when(F.col("feature_name") == "click", F.col("v"))).alias("clicks"),

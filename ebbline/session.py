@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -22,8 +22,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir`` for checkpoints and tables.
+def _shared_root(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``, the folder every executor can reach.
 
     Only a local master may fall back to a temporary folder: on a cluster the
     other machines could not see it.
@@ -34,4 +34,21 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         root = tempfile.mkdtemp(prefix="ebbline-")
         spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    return root.rstrip("/")
+
+
+def shared_dir(spark: SparkSession, purpose: str) -> str:
+    """A fresh folder for checkpoints and tables of one run."""
+    return f"{_shared_root(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def settle(rows: DataFrame) -> DataFrame:
+    """Write rows that several branches of a plan read, so that the input is scanned once.
+
+    Meant for totals, not for raw input.  The copy lies in the shared folder and
+    survives the loss of executors.
+    """
+    context = rows.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(_shared_root(rows.sparkSession))
+    return rows.checkpoint()

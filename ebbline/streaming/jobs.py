@@ -126,7 +126,7 @@ def top_lists(
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
     scored = counters.where(F.col("feature_name") == feature)
-    c = F.element_at("counts", F.lit(interval).cast("bigint"))
+    c = F.col("counts")[F.lit(interval).cast("bigint")]
     scored = scored.select(
         F.pmod(F.hash("key"), F.lit(buckets)).alias("bucket"),
         F.col("key").alias("media_id"),

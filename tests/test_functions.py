@@ -1,0 +1,180 @@
+import base64
+
+import pytest
+from pyspark.sql import functions as F
+
+from ebbline.config import load_config, parse_config
+from ebbline.functions import decay as counter_math
+from ebbline.functions import items
+from ebbline.functions.events import allow_events, decode_events, encode_events
+from ebbline.functions.text import tokens
+from ebbline.schemas import COUNTER
+from ebbline.sources import lines
+
+
+def _tokens(spark, text, how):
+    return spark.createDataFrame([(text,)], "value string").select(tokens(F.col("value"), how)).first()[0]
+
+
+@pytest.mark.parametrize(
+    "text,how,expected",
+    [
+        (" Hello, hello!", "words_and_blanks", ["", "hello", "hello", ""]),
+        (" Hello, hello!", "words", ["hello", "hello"]),
+        ("", "words_and_blanks", [""]),
+        ("", "words", []),
+        ("naïve", "words", ["na", "ve"]),
+        ("A  b\tC\n", "spaces", ["A", "b", "C"]),
+        ("", "spaces", []),
+    ],
+)
+def test_tokens(spark, text, how, expected):
+    assert _tokens(spark, text, how) == expected
+
+
+def test_space_tokens_match_python_split(spark):
+    text = "a b c\x1cd\x1de\x1ef\x1fg　h\u0085i​j \r\n k\x0bl m᠎n"
+    assert _tokens(spark, text, "spaces") == text.split()
+
+
+def test_unknown_tokeniser():
+    with pytest.raises(ValueError, match="tokeniser"):
+        tokens(None, "letters")
+
+
+GOOD = [
+    ('{"eventName":"view","userId":"1","creatorId":"c","mediaId":"m","eventTs":5,"extra":{"userId":null}}'),
+    '{"eventName":"like"}',
+]
+BAD = [
+    "not json",
+    "",
+    "   ",
+    "null",
+    "[]",
+    '{"eventName":null}',
+    '{"eventName":"view","eventTs":null}',
+    '{"eventName":"view","eventTs":"x"}',
+    '{"eventName":"view","eventTs":1.5}',
+    '{"eventName":"view"',
+    '{"eventName":"view"} tail',
+    None,
+]
+
+
+def _lines(spark, rows):
+    return spark.createDataFrame([(r,) for r in rows], "value string")
+
+
+def test_decode_fills_defaults(spark):
+    rows = decode_events(_lines(spark, GOOD)).collect()
+    assert [tuple(r) for r in rows] == [("view", "1", "c", "m", 5, 1), ("like", "", "", "", 0, 1)]
+
+
+@pytest.mark.parametrize("bad", BAD)
+def test_bad_record_stops_the_job(spark, bad):
+    with pytest.raises(Exception, match="malformed event"):
+        decode_events(_lines(spark, [*GOOD, bad])).select("event_name").collect()
+
+
+def test_bad_records_stop_even_a_count(spark):
+    with pytest.raises(Exception, match="malformed event"):
+        decode_events(_lines(spark, [*GOOD, "x"])).count()
+
+
+def test_bad_records_dropped_or_kept_aside(spark):
+    df = _lines(spark, GOOD + BAD)
+    assert decode_events(df, on_bad_record="drop").count() == len(GOOD)
+    aside = decode_events(df, on_bad_record="quarantine").where("bad").select("raw").collect()
+    assert sorted(str(r[0]) for r in aside) == sorted(str(b) for b in BAD)
+    with pytest.raises(ValueError, match="on_bad_record"):
+        decode_events(df, on_bad_record="ignore")
+
+
+def test_allow_list_and_round_trip(spark):
+    decoded = decode_events(_lines(spark, GOOD))
+    assert allow_events(decoded, ["like"]).count() == 1
+    again = decode_events(encode_events(decoded))
+    assert sorted(again.collect()) == sorted(decoded.collect())
+
+
+def test_base64(spark):
+    sent = [base64.b64encode(g.encode()).decode() for g in GOOD]
+    assert decode_events(lines.decode_base64(_lines(spark, sent))).count() == 2
+
+
+def _pair(spark, a, b):
+    return spark.createDataFrame([(a, b)], f"a {COUNTER}, b {COUNTER}").select(
+        counter_math.add(F.col("a"), F.col("b")).alias("c")
+    )
+
+
+def test_add_counters(spark):
+    forward = _pair(spark, (10, 100, 2.0), (10, 110, 3.0)).first()["c"]
+    backward = _pair(spark, (10, 110, 3.0), (10, 100, 2.0)).first()["c"]
+    assert forward == backward
+    assert forward["last_update"] == 110 and forward["value"] == pytest.approx(3 + 2 / 2.718281828459045)
+    assert _pair(spark, (10, 5, 1.0), (10, 5, 2.0)).first()["c"]["value"] == 3.0
+    assert _pair(spark, None, (10, 5, 2.0)).first()["c"]["value"] == 2.0
+    assert _pair(spark, (10, 0, 4.0), (10, 10_000_000, 1.0)).first()["c"]["value"] == 1.0
+
+
+def test_counters_of_different_intervals(spark):
+    with pytest.raises(Exception, match="different decay intervals"):
+        _pair(spark, (10, 100, 2.0), (15, 110, 3.0)).collect()
+
+
+def test_item_shapes(spark):
+    word = spark.createDataFrame([("hello", 3)], "word string, n bigint")
+    assert items.word_items(word).first()["item"] == '{"word":{"S":"hello"},"count":{"N":"3"}}'
+    counters = spark.createDataFrame(
+        [("1234", "view", {5: (5, 100, 1.5)})], f"key string, feature_name string, counts map<bigint,{COUNTER}>"
+    )
+    assert items.counter_items(counters).first()["item"] == (
+        '{"key":{"S":"1234"},"featureName":{"S":"view"},"counts":{"M":{"5":{"M":'
+        '{"decayInterval":{"N":"5"},"lastUpdate":{"N":"100"},"value":{"N":"1.5"}}}}}}'
+    )
+    lists = spark.createDataFrame(
+        [("TopViews", [("a", 2.0)])], "name string, candidates array<struct<media_id:string,score:double>>"
+    )
+    assert items.list_items(lists, ttl=F.lit(9)).first()["item"] == (
+        '{"CGName":{"S":"TopViews"},"Candidates":{"L":[{"M":{"mediaId":{"S":"a"},"score":{"N":"2.0"}}}]},"ttl":{"N":"9"}}'
+    )
+
+
+def test_config(tmp_path):
+    text = "source:\n  datastreamName: in\n  kinesaliteTimestampFix: True\nsink:\n  tableName: out\n"
+    config = parse_config(text)
+    assert config.source.streamInitialPosition == "TRIM_HORIZON" and config.source.kinesaliteTimestampFix
+    with pytest.raises(ValueError, match="cgTableName"):
+        parse_config(text, candidates=True)
+    path = tmp_path / "c.yaml"
+    path.write_text(text + "  cgTableName: lists\n")
+    assert load_config(str(path), candidates=True).sink.cgTableName == "lists"
+    for wrong in (
+        "source: {}\nsink: {tableName: t}",
+        "source: {datastreamName: a}",
+        "source: {datastreamName: a, speed: 1}\nsink: {tableName: t}",
+        "source: {datastreamName: a, streamInitialPosition: MIDDLE}\nsink: {tableName: t}",
+    ):
+        with pytest.raises(ValueError):
+            parse_config(wrong)
+
+
+def test_connector_options():
+    config = parse_config(
+        "source: {datastreamName: in, awsRegion: r, streamInitialPosition: LATEST, awsAssumeRoleArn: arn}\n"
+        "sink: {tableName: t}"
+    )
+    options = lines.kinesis_options(config.source)
+    assert options["kinesis.startingPosition"] == "LATEST" and options["kinesis.stsRoleArn"] == "arn"
+    assert "kinesis.endpointUrl" not in options
+    assert lines.kafka_options("h:1", "input", group="g")["startingOffsets"] == "earliest"
+
+
+def test_arrival_units(spark):
+    row = spark.range(1).select(
+        F.unix_seconds(lines.arrival_time(F.lit(1_707_605_599), in_seconds=True)),
+        F.unix_seconds(lines.arrival_time(F.lit(1_707_605_599_000))),
+    ).first()
+    assert row[0] == row[1] == 1_707_605_599
