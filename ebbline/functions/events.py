@@ -42,7 +42,8 @@ def _is_bad(value: Column, parsed: Column) -> Column:
 def parse_events(lines: DataFrame, value: str = "value") -> DataFrame:
     """Add ``bad`` and the event columns; missing keys get "" or 0, unknown keys are ignored."""
     kept = [F.col(c) for c in lines.columns if c != value]
-    staged = lines.select(*kept, F.col(value).alias("raw"), _parsed(F.col(value)).alias("_p"))
+    # exploded from an array of one: no filter is pushed below that, which would parse again
+    staged = lines.select(*kept, F.col(value).alias("raw"), F.explode(F.array(_parsed(F.col(value)))).alias("_p"))
     p = F.col("_p")
     fields = [
         F.coalesce(

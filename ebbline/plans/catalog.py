@@ -16,7 +16,7 @@ from ebbline.functions.decay import value_at
 from ebbline.functions.events import allow_events, decode_events, encode_events
 from ebbline.operators import decay, engagement, families, generators, running, topk, windows
 from ebbline.session import prepare, shared_dir
-from ebbline.sinks.tables import UpsertTable
+from ebbline.sinks.tables import TopListTable, UpsertTable, fan_out_writer
 from ebbline.sources import lines, tables
 from ebbline.streaming import jobs
 
@@ -536,6 +536,17 @@ def stream_candidates(spark, sf_dir):
     return _rounded(topk.ranked(store.read(spark)), "score")
 
 
+@query
+def stream_counters_and_list(spark, sf_dir):
+    """One counter stream with two sinks: the counter table, and the list kept from it."""
+    counters = jobs.event_counters(_event_stream(spark, sf_dir), "media_id", LONG, "1 hour")
+    home = shared_dir(spark, "two-sinks")
+    table = UpsertTable(f"{home}/counters", ["feature_name", "key"], ["window_end"])
+    best = TopListTable(f"{home}/list", items.TOP_VIEWS, "view", DAY, K)
+    jobs.run_available(counters, fan_out_writer(table.write, best.write), f"{home}/checkpoint")
+    return _rounded(topk.ranked(best.read(spark)), "score")
+
+
 @query
 def stream_viewed_not_purchased(spark, sf_dir):
     missing = jobs.without_reaction(_event_stream(spark, sf_dir), ["user_id"], "view", "purchase", HOUR)

@@ -175,6 +175,12 @@ s AS (SELECT user_id, CAST(vec_id AS VARCHAR) AS media_id,
 t AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY round(score, 12) DESC, media_id) AS rank FROM s)
 SELECT user_id, CAST(rank AS INTEGER) AS rank, media_id, round(score, 6) AS score FROM t WHERE rank <= 5"""
 
+STREAM_LIST = f"""WITH {EV}, {_windows('event_name, media_id', HOUR, name='every')},
+w AS (SELECT * FROM every WHERE {CLOSED_EVENTS}), {_final('event_name, media_id', [DAY], 'w')}
+SELECT 'TopViews' AS name, CAST(row_number() OVER (ORDER BY value DESC, media_id) AS INTEGER) AS rank, media_id,
+       round(value, 6) AS score
+FROM c WHERE event_name = 'view' ORDER BY rank LIMIT 20"""
+
 SQL: dict[str, str] = {
     "tokens_keep_empty": f"SELECT word, count(*) AS n FROM ({_words('documents', 'text')}) GROUP BY word",
     "tokens_drop_empty": DROP_EMPTY,
@@ -281,11 +287,8 @@ SELECT event_name AS feature_name, media_id AS key, decay_interval, last_update,
 x AS (SELECT event_name, event_ts // 1200 * 1200 - unnest(range(0, 3600, 1200)) AS window_start FROM ev)
 SELECT event_name, window_start, count(*) AS n FROM x
 WHERE window_start + 3600 <= (SELECT max(event_ts) FROM ev) GROUP BY event_name, window_start""",
-    "stream_candidates": f"""WITH {EV}, {_windows('event_name, media_id', HOUR, name='every')},
-w AS (SELECT * FROM every WHERE {CLOSED_EVENTS}), {_final('event_name, media_id', [DAY], 'w')}
-SELECT 'TopViews' AS name, CAST(row_number() OVER (ORDER BY value DESC, media_id) AS INTEGER) AS rank, media_id,
-       round(value, 6) AS score
-FROM c WHERE event_name = 'view' ORDER BY rank LIMIT 20""",
+    "stream_candidates": STREAM_LIST,
+    "stream_counters_and_list": STREAM_LIST,
     "stream_viewed_not_purchased": _missing(
         "user_id", HOUR, "AND event_ts + 3601 <= (SELECT max(event_ts) FROM ev WHERE event_name IN ('view', 'purchase'))"
     ),

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from itertools import islice
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ebbline.operators.topk import last_per_key
+from ebbline.operators.topk import candidate_list, last_per_key, scores, top_k
 
 # Fixed value: items per write request.
 MAX_BATCH = 20
@@ -52,6 +52,37 @@ class UpsertTable:
         return newer
 
 
+class TopListTable:
+    """The ``k`` best ids by their latest score, kept up to date batch by batch.
+
+    The second sink of a counter stream: it needs no state of its own, since the
+    list before a batch is the stored one.  Two folders take turns, so a replayed
+    batch starts again from the list before it.  ``reserve`` ids are kept; an id
+    that left them comes back with its next event.
+    """
+
+    def __init__(self, path: str, name: str, feature: str, interval: int, k: int, reserve: int | None = None):
+        self.path, self.name, self.feature, self.interval, self.k = path, name, feature, interval, k
+        self.reserve = max(k, 4 * k if reserve is None else reserve)
+
+    def write(self, counters: DataFrame, batch_id: int) -> None:
+        """The ``foreachBatch`` function; rows have feature_name, key, window_end and counts."""
+        newest = last_per_key(counters.where(F.col("feature_name") == self.feature), ["feature_name", "key"], ["window_end"])
+        rows = scores(newest, self.feature, self.interval).withColumn("batch", F.lit(batch_id).cast("bigint"))
+        if batch_id > 0:
+            before = counters.sparkSession.read.parquet(f"{self.path}/turn={(batch_id - 1) % 2}").drop("version")
+            rows = last_per_key(before.unionByName(rows), ["media_id"], ["batch"])
+        kept = top_k(rows, self.reserve).withColumn("version", F.lit(batch_id).cast("bigint"))
+        kept.write.mode("overwrite").parquet(f"{self.path}/turn={batch_id % 2}")
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        """The list as one row: ``name``, ``candidates``."""
+        rows = spark.read.parquet(self.path)
+        newest = Window.partitionBy(F.lit(1))
+        current = rows.withColumn("_newest", F.max("version").over(newest)).where(F.col("version") == F.col("_newest"))
+        return candidate_list(current, self.name, self.k)
+
+
 def write_items(items: DataFrame, open_client: Callable[[], object], batch_size: int = MAX_BATCH) -> None:
     """Put items in requests of ``batch_size``, one client per task.
 

@@ -31,7 +31,8 @@ class LifetimeTotal(StatefulProcessor):
         self.total = handle.getValueState("total", "total bigint", self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        total = self.total.get()[0] if self.total.exists() else 0
+        stored = self.total.get()
+        total = stored[0] if stored else 0
         for row in sorted(rows, key=lambda r: r["window_start"]):
             total += row["n"]
             yield Row(
@@ -60,9 +61,7 @@ class DecayedValues(StatefulProcessor):
         self.state = handle.getValueState("counters", "last_update bigint, value array<double>", self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        last, values = 0, [0.0] * len(self.intervals)
-        if self.state.exists():
-            last, values = self.state.get()
+        last, values = self.state.get() or (0, [0.0] * len(self.intervals))
         for row in sorted(rows, key=lambda r: r["window_start"]):
             at, n = row["event_ts"], row["n"]
             now = max(last, at)
@@ -143,9 +142,9 @@ class BucketTop(StatefulProcessor):
         self.state = handle.getValueState("top", f"top {CANDIDATES}", self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        stored = [tuple(c) for c in self.state.get()[0]] if self.state.exists() else []
+        stored = self.state.get()
         # the list is stored best first, a later put counts as newer
-        top = BoundedTop(self.kept, stored)
+        top = BoundedTop(self.kept, [tuple(c) for c in stored[0]] if stored else [])
         before = _by_score(top.best())[: self.size]
         improved = []
         for row in sorted(rows, key=lambda r: (r["window_start"], r["media_id"])):
@@ -198,8 +197,9 @@ class MissingReaction(StatefulProcessor):
     """Emits first events that no reaction followed in time.
 
     Rows are counts per second.  A second's first events wait until the
-    watermark has passed their deadline; reactions are kept as long as a waiting
-    or late first event could still need them.
+    watermark has passed their deadline, reactions are kept as long as a first
+    event could still need them: a key holds at most ``within`` seconds of each,
+    whatever its traffic.
     """
 
     def __init__(self, keys: list[str], reaction: str, within: int):
@@ -207,29 +207,44 @@ class MissingReaction(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getMapState("waiting", "second bigint", "n bigint")
-        self.reactions = handle.getMapState("reactions", "second bigint", "n bigint")
+        self.state = handle.getValueState(
+            "open", "second array<bigint>, n array<bigint>, reaction array<bigint>"
+        )
+
+    def _load(self) -> tuple[dict[int, int], list[int]]:
+        seconds, counts, reactions = self.state.get() or ([], [], [])
+        return dict(zip(seconds, counts)), list(reactions)
+
+    def _save(self, waiting: dict[int, int], reactions: list[int]) -> None:
+        if not waiting and not reactions:
+            self.state.clear()
+            return
+        self.state.update((list(waiting), list(waiting.values()), reactions))
+        # a reaction at the deadline itself still counts; without first events, wake up to forget
+        due = min(waiting) + self.within + 1 if waiting else max(reactions) + 1
+        self.handle.registerTimer(due * 1000)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        waiting, reactions = self._load()
         for row in rows:
             second = row["second"]
-            store = self.reactions if row["event_name"] == self.reaction else self.waiting
-            seen = store.getValue((second,))[0] if store.containsKey((second,)) else 0
-            store.updateValue((second,), (seen + row["n"],))
-            # one second past the deadline: a reaction at the deadline itself still counts
-            self.handle.registerTimer((second + self.within + 1) * 1000)
+            if row["event_name"] == self.reaction:
+                reactions.append(second)
+            else:
+                waiting[second] = waiting.get(second, 0) + row["n"]
+        self._save(waiting, sorted(set(reactions)))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        second = expiredTimerInfo.getExpiryTimeInMs() // 1000 - self.within - 1
-        if self.waiting.containsKey((second,)):
-            n = self.waiting.getValue((second,))[0]
-            self.waiting.removeKey((second,))
-            answered = any(second <= at <= second + self.within for (at,) in self.reactions.keys())
-            if not answered:
+        waiting, reactions = self._load()
+        now = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs()) // 1000
+        for second in sorted(s for s in waiting if s + self.within < now):
+            n = waiting.pop(second)
+            at = bisect_left(reactions, second)
+            if at == len(reactions) or reactions[at] > second + self.within:
                 yield Row(**dict(zip(self.keys, key)), second=second, n=n)
-        if self.reactions.containsKey((second,)):
-            self.reactions.removeKey((second,))
+        oldest = min(waiting, default=now)
+        self._save(waiting, reactions[bisect_left(reactions, min(oldest, now)) :])
 
     def close(self) -> None:
         pass
