@@ -31,6 +31,14 @@ def fan_out(events: DataFrame, families: dict[str, list[str]] = FAMILIES) -> Dat
     return events.select("*", F.inline(F.array(*pairs)))
 
 
+def as_features(events: DataFrame, families: dict[str, list[str]] = FAMILIES) -> DataFrame:
+    """Events of all families as one stream of features: event name ``like/user_creator``, key in ``key``.
+
+    The counter operators then serve every family with one shuffle and one state.
+    """
+    return fan_out(events, families).withColumn("event_name", F.concat_ws("/", "event_name", "family")).drop("family")
+
+
 def family_counts(events: DataFrame, families: dict[str, list[str]] = FAMILIES) -> DataFrame:
     """Events per family, key and event name."""
     return fan_out(events, families).groupBy("family", "key", "event_name").agg(

@@ -14,14 +14,19 @@ from ebbline.operators.running import running
 from ebbline.operators.topk import top_k, top_k_per
 from ebbline.session import settle
 
-# query vectors held by one task at a time
-KNN_CHUNK = 1024
+# query vectors, and vectors compared with them, held by one task at a time
+KNN_CHUNK = 2048
+KNN_BLOCK = 8192
 
 
 def ratio_top_k(events: DataFrame, part: str, whole: str, min_whole: int, k: int) -> DataFrame:
     """Best media by e.g. likes per view, among those with enough views."""
-    enough = ratios(events, ["media_id"], part, whole).where(F.col("whole") >= min_whole)
-    return top_k(enough, k, "ratio")
+    return best_ratios(ratios(events, ["media_id"], part, whole), min_whole, k)
+
+
+def best_ratios(counted: DataFrame, min_whole: int, k: int) -> DataFrame:
+    """The same from counted ratios, such as a stream keeps them in a table."""
+    return top_k(counted.where(F.col("whole") >= min_whole), k, "ratio")
 
 
 def few_views(events: DataFrame, name: str, below: int, k: int, seed: str = "0") -> DataFrame:
@@ -133,59 +138,76 @@ def user_vectors(events: DataFrame, vectors: DataFrame, name: str, dim: int) ->
     return joined.groupBy("user_id").agg(F.array(*[s / weight for s in sums]).alias("embedding"))
 
 
-def nearest(queries: DataFrame, vectors: DataFrame, k: int, chunk: int = KNN_CHUNK) -> DataFrame:
+def nearest(
+    queries: DataFrame, vectors: DataFrame, k: int, chunk: int = KNN_CHUNK, block: int = KNN_BLOCK
+) -> DataFrame:
     """The ``k`` vectors of highest cosine to each query, exactly.
 
     ``queries`` has ``user_id`` and ``embedding``, ``vectors`` has ``media_id`` and
-    ``embedding``.  Queries go to the tasks in chunks of about ``chunk``; a task
-    keeps the best ``k`` of each Arrow batch per query, so pairs are never written
-    out.  More queries mean more chunks, not larger ones.
+    ``embedding``.  Up to ``chunk`` queries are sent to every task and the vectors
+    stay where they are.  More are cut into chunks, the vectors into blocks, and
+    each chunk meets each block in a task of its own.  Either way a task returns
+    the best ``k`` per query, never the pairs.
     """
-    queries = settle(queries)
+    queries = settle(queries.select("user_id", "embedding"))
+    vectors = vectors.select("media_id", "embedding")
     total = queries.count()
-    chunks = max(1, -(-total // chunk))
-    spark = queries.sparkSession
-    found = None
-    for part in range(chunks):
-        mine = queries if chunks == 1 else queries.where(F.pmod(F.xxhash64("user_id"), F.lit(chunks)) == part)
-        rows = mine.toLocalIterator()
-        ids, matrix = [], []
-        for row in rows:
-            ids.append(row["user_id"])
-            matrix.append(row["embedding"])
-        if not ids:
-            continue
-        held = spark.sparkContext.broadcast((np.array(ids, dtype=object), _unit(np.array(matrix, dtype=np.float64))))
-        best = vectors.select("media_id", "embedding").mapInPandas(
-            _local_nearest(held, k), "user_id string, media_id string, score double"
-        )
-        found = best if found is None else found.unionByName(best)
-    if found is None:
-        return spark.createDataFrame([], "user_id string, rank int, media_id string, score double")
+    if total <= chunk:
+        found = _from_broadcast(queries, vectors, k)
+    else:
+        found = _from_blocks(queries, -(-total // chunk), vectors, -(-vectors.count() // block), k)
     top = top_k_per(found, ["user_id"], k, [F.col("score").desc(), F.col("media_id")])
     return top.select("user_id", "rank", "media_id", "score")
 
 
-def _unit(m: np.ndarray) -> np.ndarray:
-    norms = np.linalg.norm(m, axis=1, keepdims=True)
-    return np.divide(m, norms, out=np.zeros_like(m), where=norms > 0)
+FOUND = "user_id string, media_id string, score double"
+
 
+def _from_broadcast(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
+    few = queries.toPandas()  # at most one chunk
+    held = queries.sparkSession.sparkContext.broadcast(few)
 
-def _local_nearest(held, k: int):
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, queries = held.value
         for batch in batches:
-            batch = batch.sort_values("media_id")
-            media = batch["media_id"].to_numpy(dtype=object)
-            unit = _unit(np.stack(batch["embedding"].to_numpy()).astype(np.float64))
-            # copies of a vector must tie exactly, wherever they sit in the product
-            cosine = np.round(queries @ unit.T, 12)
-            query, column = np.nonzero(_best(cosine, k))
-            yield pd.DataFrame(
-                {"user_id": ids[query], "media_id": media[column], "score": cosine[query, column]}
-            )
-
-    return search
+            yield _best_pairs(held.value, batch, k)
+
+    return vectors.mapInPandas(search, FOUND)
+
+
+def _from_blocks(queries: DataFrame, chunks: int, vectors: DataFrame, blocks: int, k: int) -> DataFrame:
+    def placed(df: DataFrame, id_col: str, own: str, mine: int, other: str, others: int) -> DataFrame:
+        part = F.pmod(F.xxhash64(id_col), F.lit(mine)).alias(own)
+        return df.select("*", part, F.explode(F.sequence(F.lit(0), F.lit(max(others, 1) - 1))).alias(other))
+
+    q = placed(queries, "user_id", "chunk", chunks, "block", blocks)
+    v = placed(vectors, "media_id", "block", max(blocks, 1), "chunk", chunks)
+    # both sides must agree on the type of the grouping columns
+    q, v = (df.withColumns({c: F.col(c).cast("bigint") for c in ("chunk", "block")}) for df in (q, v))
+    meeting = q.groupBy("chunk", "block").cogroup(v.groupBy("chunk", "block"))
+    return meeting.applyInPandas(lambda a, b: _best_pairs(a, b, k), FOUND)
+
+
+def _best_pairs(queries: pd.DataFrame, vectors: pd.DataFrame, k: int) -> pd.DataFrame:
+    if queries.empty or vectors.empty:
+        kinds = {"user_id": str, "media_id": str, "score": float}
+        return pd.DataFrame({name: pd.Series(dtype=kind) for name, kind in kinds.items()})
+    vectors = vectors.sort_values("media_id")
+    left, right = (_unit(np.stack(df["embedding"].to_numpy()).astype(np.float64)) for df in (queries, vectors))
+    # copies of a vector must tie exactly, wherever they sit in the product
+    cosine = np.round(left @ right.T, 12)
+    query, column = np.nonzero(_best(cosine, k))
+    return pd.DataFrame(
+        {
+            "user_id": queries["user_id"].to_numpy()[query],
+            "media_id": vectors["media_id"].to_numpy()[column],
+            "score": cosine[query, column],
+        }
+    )
+
+
+def _unit(m: np.ndarray) -> np.ndarray:
+    norms = np.linalg.norm(m, axis=1, keepdims=True)
+    return np.divide(m, norms, out=np.zeros_like(m), where=norms > 0)
 
 
 def _best(cosine: np.ndarray, k: int) -> np.ndarray:

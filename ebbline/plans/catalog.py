@@ -547,6 +547,28 @@ def stream_counters_and_list(spark, sf_dir):
     return _rounded(topk.ranked(best.read(spark)), "score")
 
 
+@query
+def stream_family_counters(spark, sf_dir):
+    """Counters of several key families from one stream."""
+    features = families.as_features(
+        _event_stream(spark, sf_dir), {"media": ["media_id"], "user_creator": ["user_id", "creator_id"]}
+    )
+    home = shared_dir(spark, "families")
+    store = UpsertTable(f"{home}/rows", ["feature_name", "key", "slice"], ["last_ts"])
+    jobs.run_available(jobs.counter_slices(features, "key", LONG), store.write, f"{home}/checkpoint", "update")
+    return _long(decay.merge_slices(store.read(spark), ["feature_name", "key"], LONG))
+
+
+@query
+def stream_ratio_topk(spark, sf_dir):
+    """Best purchase/view ratios from counts that the stream keeps up to date."""
+    counts = engagement.ratios(_event_stream(spark, sf_dir), ["media_id"], "purchase", "view")
+    home = shared_dir(spark, "ratios")
+    store = UpsertTable(f"{home}/rows", ["media_id"], ["whole", "part"])
+    jobs.run_available(counts, store.write, f"{home}/checkpoint", "update")
+    return _rounded(generators.best_ratios(store.read(spark), 15, K), "ratio")
+
+
 @query
 def stream_viewed_not_purchased(spark, sf_dir):
     missing = jobs.without_reaction(_event_stream(spark, sf_dir), ["user_id"], "view", "purchase", HOUR)

@@ -142,6 +142,16 @@ def _family_counters() -> str:
     return f"WITH {EV}, {fanned}, {_final(keys, [HOUR, DAY, WEEK], 'f')} SELECT {keys}, decay_interval, last_update, round(value, 6) AS value FROM c"
 
 
+def _feature_counters() -> str:
+    parts = " UNION ALL ".join(
+        f"SELECT event_name || '/{f}' AS feature_name, {k} AS key, event_ts, 1 AS n FROM ev"
+        for f, k in (("media", "media_id"), ("user_creator", "user_id || '|' || creator_id"))
+    )
+    keys = "feature_name, key"
+    final = _final(keys, [HOUR, DAY, WEEK], "f")
+    return f"WITH {EV}, f AS ({parts}), {final} SELECT {keys}, decay_interval, last_update, round(value, 6) AS value FROM c"
+
+
 SPACES = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
 DROP_EMPTY = f"SELECT word, count(*) AS n FROM ({_words('documents', 'text')}) WHERE word <> '' GROUP BY word"
 LIFETIME = """SELECT {keys}, window_start, window_end, n,
@@ -175,6 +185,11 @@ s AS (SELECT user_id, CAST(vec_id AS VARCHAR) AS media_id,
 t AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY round(score, 12) DESC, media_id) AS rank FROM s)
 SELECT user_id, CAST(rank AS INTEGER) AS rank, media_id, round(score, 6) AS score FROM t WHERE rank <= 5"""
 
+BEST_RATIOS = f"""WITH {EV}, x AS (
+  SELECT media_id, {_counts_of('purchase')} AS part, {_counts_of('view')} AS whole FROM ev GROUP BY media_id)
+SELECT media_id, part, whole, round(part / whole, 6) AS ratio FROM x WHERE whole >= 15
+ORDER BY part / whole DESC, media_id LIMIT 20"""
+
 STREAM_LIST = f"""WITH {EV}, {_windows('event_name, media_id', HOUR, name='every')},
 w AS (SELECT * FROM every WHERE {CLOSED_EVENTS}), {_final('event_name, media_id', [DAY], 'w')}
 SELECT 'TopViews' AS name, CAST(row_number() OVER (ORDER BY value DESC, media_id) AS INTEGER) AS rank, media_id,
@@ -246,10 +261,7 @@ QUALIFY row_number() OVER (PARTITION BY key, feature_name ORDER BY window_end DE
   FROM c WHERE event_name = 'view' AND decay_interval = {DAY})
 SELECT media_id, round(v, 6) AS score, last_update FROM f ORDER BY v DESC, media_id LIMIT 20""",
     "topk_fresh_and_overall": f"{MEDIA_FINAL} (({_faded(HOUR, 'fresh')}) UNION ALL ({_faded(WEEK, 'overall')}))",
-    "ratio_topk_min_views": f"""WITH {EV}, x AS (
-  SELECT media_id, {_counts_of('purchase')} AS part, {_counts_of('view')} AS whole FROM ev GROUP BY media_id)
-SELECT media_id, part, whole, round(part / whole, 6) AS ratio FROM x WHERE whole >= 15
-ORDER BY part / whole DESC, media_id LIMIT 20""",
+    "ratio_topk_min_views": BEST_RATIOS,
     "min_views_candidates": f"""WITH {EV}, x AS (SELECT media_id, {_counts_of('view')} AS views FROM ev GROUP BY media_id)
 SELECT media_id, views FROM x WHERE views < 100 ORDER BY md5(media_id || '0'), media_id LIMIT 20""",
     "creator_affinity": CREATOR_AFFINITY,
@@ -289,6 +301,8 @@ SELECT event_name, window_start, count(*) AS n FROM x
 WHERE window_start + 3600 <= (SELECT max(event_ts) FROM ev) GROUP BY event_name, window_start""",
     "stream_candidates": STREAM_LIST,
     "stream_counters_and_list": STREAM_LIST,
+    "stream_family_counters": _feature_counters(),
+    "stream_ratio_topk": BEST_RATIOS,
     "stream_viewed_not_purchased": _missing(
         "user_id", HOUR, "AND event_ts + 3601 <= (SELECT max(event_ts) FROM ev WHERE event_name IN ('view', 'purchase'))"
     ),

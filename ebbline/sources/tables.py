@@ -25,7 +25,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def streamed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.readStream.schema(STORED_EVENTS).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    # a pattern, since a streamed path must otherwise be a folder; the table may be one file
+    return spark.readStream.schema(STORED_EVENTS).parquet(f"{sf_dir}/events.parque[t]")
 
 
 def _text(c: Column) -> Column:

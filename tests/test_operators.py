@@ -250,8 +250,8 @@ def test_creator_affinity(spark):
     assert {(r["user_id"], r["rank"]): r["media_id"] for r in got} == expected
 
 
-@pytest.mark.parametrize("chunk", [1000, 3])
-def test_nearest(spark, chunk):
+@pytest.mark.parametrize("chunk,block", [(1000, 1000), (3, 17), (3, 1000), (9, 5)])
+def test_nearest(spark, chunk, block):
     rng = np.random.default_rng(7)
     vectors = rng.normal(size=(60, 8))
     vectors[10:30] = vectors[10]  # copies tie
@@ -259,7 +259,7 @@ def test_nearest(spark, chunk):
     queries = np.vstack([vectors[10] * 2, rng.normal(size=(9, 8))])
     v = spark.createDataFrame([(f"m{i:02d}", x.tolist()) for i, x in enumerate(vectors)], "media_id string, embedding array<double>")
     q = spark.createDataFrame([(f"u{i}", x.tolist()) for i, x in enumerate(queries)], "user_id string, embedding array<double>")
-    got = generators.nearest(q, v.repartition(3), 4, chunk).collect()
+    got = generators.nearest(q, v.repartition(3), 4, chunk, block).collect()
     with np.errstate(invalid="ignore"):
         unit = np.nan_to_num(vectors / np.linalg.norm(vectors, axis=1, keepdims=True))
     cosine = np.round(queries / np.linalg.norm(queries, axis=1, keepdims=True) @ unit.T, 12)
@@ -269,6 +269,7 @@ def test_nearest(spark, chunk):
             expected[f"u{i}", rank] = f"m{j:02d}"
     assert {(r["user_id"], r["rank"]): r["media_id"] for r in got} == expected
     assert generators.nearest(q.where("false"), v, 4).count() == 0
+    assert generators.nearest(q, v.where("false"), 4, chunk).count() == 0
 
 
 def test_few_views_is_repeatable(spark):
