@@ -21,8 +21,9 @@ def _parsed(value: Column) -> Column:
 def _is_bad(value: Column, parsed: Column) -> Column:
     """Not one JSON object, a field of the wrong type, or an explicit null.
 
-    The key list is looked at only where a field came back null, so complete
-    records are parsed once.
+    A flat, complete record is parsed once.  Only where a field is missing and
+    the text has a null somewhere are the keys listed, and only where something
+    follows a closing brace is the line checked to be a single value.
     """
     missing = [parsed[f.name].isNull() for f in EVENT_JSON]
     keys = F.json_object_keys(value)
@@ -30,11 +31,14 @@ def _is_bad(value: Column, parsed: Column) -> Column:
         Column.__or__,
         [parsed[f.name].isNull() & F.array_contains(keys, f.name) for f in EVENT_JSON],
     )
+    values = F.json_array_length(F.concat(F.lit("["), value, F.lit("]")))
     return F.coalesce(
         parsed.isNull()
         | parsed["_corrupt"].isNotNull()
-        | ~F.rtrim(value).endswith("}")
-        | F.when(reduce(Column.__or__, missing), explicit_null).otherwise(F.lit(False)),
+        | F.when(value.rlike(r"\}\s*\S"), F.coalesce(values, F.lit(0)) != 1).otherwise(F.lit(False))
+        | F.when(
+            value.contains("null") & reduce(Column.__or__, missing), F.coalesce(explicit_null, F.lit(True))
+        ).otherwise(F.lit(False)),
         F.lit(True),
     )
 

@@ -45,6 +45,7 @@ def test_unknown_tokeniser():
 GOOD = [
     ('{"eventName":"view","userId":"1","creatorId":"c","mediaId":"m","eventTs":5,"extra":{"userId":null}}'),
     '{"eventName":"like"}',
+    '{"eventName":"like","note":"null","more":[{"a":1},{"a":{}}]}  ',
 ]
 BAD = [
     "not json",
@@ -58,6 +59,9 @@ BAD = [
     '{"eventName":"view","eventTs":1.5}',
     '{"eventName":"view"',
     '{"eventName":"view"} tail',
+    '{"eventName":"view"}{"eventName":"like"}',
+    '{"eventName":"view"}, {"eventName":"like"}',
+    '{"eventName":"view"}}',
     None,
 ]
 
@@ -68,7 +72,7 @@ def _lines(spark, rows):
 
 def test_decode_fills_defaults(spark):
     rows = decode_events(_lines(spark, GOOD)).collect()
-    assert [tuple(r) for r in rows] == [("view", "1", "c", "m", 5, 1), ("like", "", "", "", 0, 1)]
+    assert [tuple(r) for r in rows] == [("view", "1", "c", "m", 5, 1)] + 2 * [("like", "", "", "", 0, 1)]
 
 
 @pytest.mark.parametrize("bad", BAD)
@@ -93,14 +97,14 @@ def test_bad_records_dropped_or_kept_aside(spark):
 
 def test_allow_list_and_round_trip(spark):
     decoded = decode_events(_lines(spark, GOOD))
-    assert allow_events(decoded, ["like"]).count() == 1
+    assert allow_events(decoded, ["like"]).count() == 2
     again = decode_events(encode_events(decoded))
     assert sorted(again.collect()) == sorted(decoded.collect())
 
 
 def test_base64(spark):
     sent = [base64.b64encode(g.encode()).decode() for g in GOOD]
-    assert decode_events(lines.decode_base64(_lines(spark, sent))).count() == 2
+    assert decode_events(lines.decode_base64(_lines(spark, sent))).count() == len(GOOD)
 
 
 def _pair(spark, a, b):
