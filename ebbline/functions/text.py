@@ -1,8 +1,10 @@
-"""Tokenisers as column expressions (no Python per row)."""
+"""Tokenisers as built-in expressions (no Python per row)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A run of non-word characters (ASCII class), and the characters
@@ -10,30 +12,30 @@ from pyspark.sql import functions as F
 NON_WORD = r"\W+"
 UNICODE_SPACE = r"(?U)[\s\x1c-\x1f]+"
 
+# ``words`` lower-cases and splits at non-word runs, ``spaces`` splits at white space and keeps
+# case.  A leading or trailing separator, and a blank line, yield an empty token, which only
+# ``words_and_blanks`` keeps.
+TOKENISERS = ("words", "words_and_blanks", "spaces")
 
-def word_tokens(line: Column, keep_empty: bool = False) -> Column:
-    """Lower-case the line and split it at non-word runs.
-
-    A leading or trailing separator, and a blank line, yield an empty token;
-    ``keep_empty`` says whether those are counted.
-    """
-    tokens = F.split(F.lower(line), NON_WORD, -1)
-    return tokens if keep_empty else F.filter(tokens, lambda t: t != "")
 
+def _pieces(line: Column, how: str) -> Column:
+    if how not in TOKENISERS:
+        raise ValueError(f"tokeniser must be one of {TOKENISERS}, not {how!r}")
+    return F.split(line, UNICODE_SPACE, -1) if how == "spaces" else F.split(F.lower(line), NON_WORD, -1)
 
-def space_tokens(line: Column) -> Column:
-    """Split at white space, case kept, empty tokens dropped."""
-    return F.filter(F.split(line, UNICODE_SPACE, -1), lambda t: t != "")
 
+def tokens(line: Column, how: str = "words") -> Column:
+    """The tokens of a line, as an array."""
+    pieces = _pieces(line, how)
+    return pieces if how == "words_and_blanks" else F.filter(pieces, lambda t: t != "")
 
-TOKENISERS = {
-    "words": word_tokens,
-    "words_and_blanks": lambda line: word_tokens(line, keep_empty=True),
-    "spaces": space_tokens,
-}
 
+def explode_words(
+    lines: DataFrame, how: str = "words", value: str = "value", kept: Sequence[str] = ()
+) -> DataFrame:
+    """One row per token, in ``word``, next to the ``kept`` columns.
 
-def tokens(line: Column, how: str = "words") -> Column:
-    if how not in TOKENISERS:
-        raise ValueError(f"tokeniser must be one of {sorted(TOKENISERS)}, not {how!r}")
-    return TOKENISERS[how](line)
+    Empty tokens are dropped as rows: unlike a filter inside the array this is compiled.
+    """
+    rows = lines.select(*kept, F.explode(_pieces(F.col(value), how)).alias("word"))
+    return rows if how == "words_and_blanks" else rows.where(F.col("word") != "")

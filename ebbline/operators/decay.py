@@ -165,21 +165,21 @@ def _carried(
     below the precision of a double.
     """
     start = F.col("_slice")
-    for d in intervals:
-        block = max(1, SPAN * d // size) * size
-        totals = totals.withColumn(f"_b{d}", time_slice(start, block)).withColumn(
-            f"_x{d}", _grown(F.col(f"_all{d}"), start - F.col(f"_b{d}"), d)
-        )
     columns = []
     for d in intervals:
-        block = max(1, SPAN * d // size) * size
-        b, x = F.col(f"_b{d}"), F.col(f"_x{d}")
-        own = Window.partitionBy(*keys, f"_b{d}").orderBy(*slices).rowsBetween(Window.unboundedPreceding, -1)
-        previous = Window.partitionBy(*keys).orderBy(f"_b{d}").rangeBetween(-block, -block)
+        length = max(1, SPAN * d // size) * size
+        block, own, previous = (F.col(f"_{c}{d}") for c in ("b", "own", "prev"))
+        within = Window.partitionBy(*keys, f"_b{d}").orderBy(*slices).rowsBetween(Window.unboundedPreceding, -1)
+        before = Window.partitionBy(*keys).orderBy(f"_b{d}").rangeBetween(-length, -length)
+        totals = totals.withColumn(f"_b{d}", time_slice(start, length)).withColumn(
+            f"_x{d}", _grown(F.col(f"_all{d}"), start - block, d)
+        )
+        totals = totals.withColumn(f"_own{d}", F.sum(f"_x{d}").over(within))
+        totals = totals.withColumn(f"_prev{d}", F.sum(f"_x{d}").over(before))
         columns.append(
             (
-                F.coalesce(F.sum(x).over(own), F.lit(0.0)) * fade(start - b, d)
-                + F.coalesce(F.sum(x).over(previous), F.lit(0.0)) * fade(start - b + block, d)
+                F.coalesce(own, F.lit(0.0)) * fade(start - block, d)
+                + F.coalesce(previous, F.lit(0.0)) * fade(start - block + length, d)
             ).alias(f"_pre{d}")
         )
     return totals.select(*keys, *slices, *columns)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,9 @@ from ebbline.operators.running import running
 from ebbline.operators.topk import top_k, top_k_per
 from ebbline.session import settle
 
+# executors get these functions with the query and need not have the package installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # query vectors, and vectors compared with them, held by one task at a time
 KNN_CHUNK = 2048
 KNN_BLOCK = 8192

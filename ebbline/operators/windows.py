@@ -11,7 +11,7 @@ from math import gcd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ebbline.functions.text import tokens
+from ebbline.functions.text import explode_words
 
 TIMES = ("payload", "arrival")
 TS_POLICIES = ("min", "max", "first_arrival")
@@ -59,7 +59,7 @@ def word_window_counts(
     value: str = "value",
 ) -> DataFrame:
     """Words per tumbling window."""
-    words = lines.select(time, F.explode(tokens(F.col(value), tokeniser)).alias("word"))
+    words = explode_words(lines, tokeniser, value, [time])
     counted = words.groupBy(F.window(time, length).alias("_w"), "word").agg(F.count("*").alias("n"))
     return _flat(counted, ["word"], ["n"])
 
@@ -75,7 +75,7 @@ def _flat(counted: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
 
 def word_counts(lines: DataFrame, tokeniser: str = "words", value: str = "value") -> DataFrame:
     """Words over the whole table."""
-    words = lines.select(F.explode(tokens(F.col(value), tokeniser)).alias("word"))
+    words = explode_words(lines, tokeniser, value)
     return words.groupBy("word").agg(F.count("*").alias("n"))
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ebbline.functions import items
 from ebbline.functions.decay import value_at
 from ebbline.functions.events import allow_events, decode_events, encode_events
+from ebbline.functions.text import explode_words, tokens
 from ebbline.operators import decay, engagement, families, generators, running, topk, windows
 from ebbline.session import prepare, shared_dir
 from ebbline.sinks.tables import TopListTable, UpsertTable, fan_out_writer
@@ -80,7 +81,7 @@ def tokens_whitespace(spark, sf_dir):
 def conversation_words(spark, sf_dir):
     """Word counts per role, i.e. a composite key over text."""
     talk = tables.table(spark, sf_dir, "conversations")
-    words = talk.select("role", F.explode(windows.tokens(F.col("text"))).alias("word"))
+    words = explode_words(talk, value="text", kept=["role"])
     return words.groupBy("role", "word").agg(F.count("*").alias("n"))
 
 
@@ -103,7 +104,7 @@ def word_record_totals(spark, sf_dir):
     words = arrived.select(
         "event_id",
         F.unix_seconds("arrival").alias("second"),
-        F.posexplode(windows.tokens(F.col("value"))).alias("position", "word"),
+        F.posexplode(tokens(F.col("value"))).alias("position", "word"),
     )
     totals = running.record_totals(words, ["word"], ["second", "event_id", "position"], "second")
     return totals.select("word", "event_id", "position", "total")

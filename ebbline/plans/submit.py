@@ -28,7 +28,7 @@ WINDOW = "5 seconds"
 INTERVALS = [5, 10, 15]
 ALLOWED = ["view", "like"]
 FEATURE, SCORE_INTERVAL, LIST_SIZE = "view", 15, 500
-TRIGGER = "60 seconds"
+TRIGGER = "5 seconds"
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
@@ -44,6 +44,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--delay", default="0 seconds")
     p.add_argument("--on-bad-record", default="fail", choices=["fail", "drop"])
     p.add_argument("--ttl-days", type=float, default=jobs.TTL_DAYS)
+    p.add_argument("--trigger", default=TRIGGER, help="time between micro-batches, each of which is checkpointed")
+    p.add_argument("--files-per-batch", type=int, help="limit for a files source")
     p.add_argument("--once", action="store_true", help="stop at the end of the input; state does not expire")
     return p.parse_args(argv)
 
@@ -51,7 +53,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
 def source_lines(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     kind, _, where = args.source.partition(":")
     if kind == "files":
-        lines = replayed_lines(spark, where)
+        lines = replayed_lines(spark, where, args.files_per_batch)
     elif kind == "kafka":
         servers, _, topic = where.partition("/")
         lines = kafka_lines(spark, servers=servers, topic=topic)
@@ -95,7 +97,7 @@ def main(argv: list[str] | None = None) -> None:
     args = arguments(argv)
     spark = prepare(SparkSession.builder.appName(f"ebbline-{args.job}").getOrCreate())
     writer = build(spark, args)
-    trigger = {"availableNow": True} if args.once else {"processingTime": TRIGGER}
+    trigger = {"availableNow": True} if args.once else {"processingTime": args.trigger}
     writer.trigger(**trigger).start().awaitTermination()
 
 

@@ -31,6 +31,10 @@ def _time_mode(ttl_ms: int | None) -> str:
     return "None" if ttl_ms is None else "ProcessingTime"
 
 
+def _typed(rows: DataFrame, columns: list[str]) -> str:
+    return ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in columns)
+
+
 def watermarked(events: DataFrame, delay: str = "0 seconds", event_time: str = "payload") -> DataFrame:
     """Add ``event_time`` and its watermark.  No delay: a row is late once its window has closed."""
     return events.withColumn("event_time", event_clock(event_time)).withWatermark("event_time", delay)
@@ -50,7 +54,7 @@ def word_totals(lines: DataFrame, tokeniser: str = "words") -> DataFrame:
 
 def lifetime_totals(windows: DataFrame, keys: list[str], ttl_ms: int | None = None) -> DataFrame:
     """Count since the beginning at every window close."""
-    schema = ", ".join(f"{k} string" for k in keys)
+    schema = _typed(windows, keys)
     return windows.groupBy(*keys).transformWithState(
         LifetimeTotal(keys, ttl_ms),
         f"{schema}, window_start bigint, window_end bigint, n bigint, total bigint",
@@ -63,7 +67,7 @@ def decayed_counters(
     windows: DataFrame, keys: list[str], intervals: list[int], ttl_ms: int | None = None
 ) -> DataFrame:
     """All counters of a key at every window close, in ``counts``."""
-    schema = ", ".join(f"{k} string" for k in keys)
+    schema = _typed(windows, keys)
     states = windows.groupBy(*keys).transformWithState(
         DecayedValues(keys, intervals, ttl_ms),
         f"{schema}, window_start bigint, window_end bigint, last_update bigint, value array<double>",
@@ -159,7 +163,7 @@ def without_reaction(
         .agg(F.sum("event_count").alias("n"))
         .select("_w", F.unix_seconds("_w.start").alias("second"), *keys, "event_name", "n")
     )
-    schema = ", ".join(f"{k} string" for k in keys)
+    schema = _typed(per_second, keys)
     return per_second.groupBy(*keys).transformWithState(
         MissingReaction(keys, reaction, within), f"{schema}, second bigint, n bigint", "Append", "EventTime"
     )

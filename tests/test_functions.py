@@ -7,7 +7,7 @@ from ebbline.config import load_config, parse_config
 from ebbline.functions import decay as counter_math
 from ebbline.functions import items
 from ebbline.functions.events import allow_events, decode_events, encode_events
-from ebbline.functions.text import tokens
+from ebbline.functions.text import explode_words, tokens
 from ebbline.schemas import COUNTER
 from ebbline.sources import lines
 
@@ -30,6 +30,8 @@ def _tokens(spark, text, how):
 )
 def test_tokens(spark, text, how, expected):
     assert _tokens(spark, text, how) == expected
+    rows = explode_words(spark.createDataFrame([(text, 7)], "value string, id int"), how, kept=["id"])
+    assert [tuple(r) for r in rows.collect()] == [(7, t) for t in expected]
 
 
 def test_space_tokens_match_python_split(spark):

@@ -72,3 +72,23 @@ def test_list_table_replays_a_batch(spark, tmp_path):
     assert [tuple(c) for c in table.read(spark).first()["candidates"]] == [("c", 9.0), ("b", 2.0)]
     table.write(counters(), 2)
     assert [tuple(c) for c in table.read(spark).first()["candidates"]] == [("c", 9.0), ("b", 2.0)]
+
+
+def test_tasks_need_no_installed_package(tmp_path):
+    """Executors have Spark and NumPy, not this library."""
+    import pickle
+    import subprocess
+    import sys
+    from functools import partial
+
+    from pyspark import cloudpickle
+
+    from ebbline.operators import generators
+    from ebbline.streaming.processors import DecayedValues, GlobalTop
+
+    payload = tmp_path / "task"
+    things = (DecayedValues(["k"], [5]), GlobalTop(2, "latest"), partial(generators._best_pairs, k=3))
+    payload.write_bytes(cloudpickle.dumps(things))
+    code = f"import pickle, sys; pickle.load(open({str(payload)!r}, 'rb')); assert 'ebbline' not in sys.modules"
+    subprocess.run([sys.executable, "-c", code], cwd="/", check=True)
+    assert len(pickle.loads(payload.read_bytes())) == 3
