@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbline.operators.engagement import ratios
@@ -47,7 +47,7 @@ def creator_affinity(events: DataFrame, name: str, k: int) -> DataFrame:
     """Per user, unseen media by creators the user engaged with.
 
     Best first by the user's number of engagements with the creator, then the
-    media's number of ``name`` events, then media id; ``k`` per user.
+    media's number of ``name`` events, then a hash of the media id; ``k`` per user.
 
     Joining users to all media of their creators would emit every pair.  Media
     are numbered per creator instead, and from the numbers a user has seen the
@@ -60,18 +60,7 @@ def creator_affinity(events: DataFrame, name: str, k: int) -> DataFrame:
         )
     )
     media = seen.groupBy("creator_id", "media_id").agg(F.sum("_views").alias("views"))
-    # a slice holds media of equal views whose id hashes alike
-    sliced = media.select(
-        "*",
-        (-F.col("views")).alias("_less"),
-        F.substring(F.md5("media_id"), 1, 3).alias("_hash"),
-        F.lit(1).cast("bigint").alias("_one"),
-    )
-    numbered = running(
-        sliced, ["creator_id"], ["_less", "_hash"], ["_less", "_hash", "media_id"], {"place": ("sum", "_one")}
-    ).select("creator_id", "media_id", "views", "place")
-
-    numbered = settle(numbered)
+    numbered = settle(_numbered(media))
     affinity = seen.groupBy("user_id", "creator_id").agg(F.sum("_n").alias("affinity"))
     places = _spread_join(
         seen, numbered.select("creator_id", "media_id", "place"), ["creator_id", "media_id"], spread_by="user_id"
@@ -113,12 +102,40 @@ def creator_affinity(events: DataFrame, name: str, k: int) -> DataFrame:
         .select("user_id", "creator_id", "affinity", F.explode(nth_unseen).alias("place"))
     )
     found = _spread_join(wanted, numbered, ["creator_id", "place"], spread_by="user_id")
-    best = top_k_per(
-        found, ["user_id"], k, [F.col("affinity").desc(), F.col("views").desc(), F.col("media_id")]
-    )
+    order = [F.col("affinity").desc(), F.col("views").desc(), _hash_slice(), F.col("media_id")]
+    best = top_k_per(found, ["user_id"], k, order)
     return best.select("user_id", "rank", "media_id", "creator_id", "affinity", "views")
 
 
+def _hash_slice() -> Column:
+    return F.substring(F.md5("media_id"), 1, 3)
+
+
+def _numbered(media: DataFrame) -> DataFrame:
+    """Add each media's ``place`` among its creator's: most views first, then by hash and id.
+
+    Media of equal views are numbered by hash slices, then moved behind those of
+    more views, so neither step has a large group.
+    """
+    one = media.select(
+        "*",
+        (-F.col("views")).alias("_less"),
+        _hash_slice().alias("_hash"),
+        F.lit(1).cast("bigint").alias("_one"),
+    )
+    equals = running(
+        one, ["creator_id", "_less"], ["_hash"], ["_hash", "media_id"], {"_place": ("sum", "_one")}
+    )
+    better = Window.partitionBy("creator_id").orderBy("_less").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = (
+        one.groupBy("creator_id", "_less")
+        .agg(F.sum("_one").alias("_size"))
+        .select("creator_id", "_less", F.coalesce(F.sum("_size").over(better), F.lit(0)).alias("_ahead"))
+    )
+    placed = _spread_join(equals, ahead, ["creator_id", "_less"], spread_by="media_id")
+    return placed.select("creator_id", "media_id", "views", (F.col("_place") + F.col("_ahead")).alias("place"))
+
+
 def _spread_join(many: DataFrame, one: DataFrame, on: list[str], spread_by: str, ways: int = 16) -> DataFrame:
     """Many-to-one join whose hot keys are split ``ways`` ways; ``one`` is copied to each."""
     left = many.withColumn("_way", F.pmod(F.hash(spread_by), F.lit(ways)))

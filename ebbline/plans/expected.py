@@ -164,13 +164,12 @@ CLOSED_LINES = "window_end * 1000 <= (SELECT max(epoch_ms(ts)) FROM events)"
 CREATOR_AFFINITY = f"""WITH {EV},
 posts AS (SELECT creator_id, media_id, {_counts_of('view')} AS views FROM ev GROUP BY creator_id, media_id),
 likes AS (SELECT user_id, creator_id, count(*) AS affinity FROM ev GROUP BY user_id, creator_id),
-r AS (
+t AS (
   SELECT l.user_id, p.media_id, l.creator_id, l.affinity, p.views, row_number() OVER (
-           PARTITION BY l.user_id, l.creator_id ORDER BY p.views DESC, md5(p.media_id)[1:3], p.media_id) AS in_creator
+           PARTITION BY l.user_id
+           ORDER BY l.affinity DESC, p.views DESC, md5(p.media_id)[1:3], p.media_id) AS rank
   FROM likes l JOIN posts p USING (creator_id)
-  WHERE NOT EXISTS (SELECT 1 FROM ev s WHERE s.user_id = l.user_id AND s.media_id = p.media_id)),
-t AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY affinity DESC, views DESC, media_id) AS rank
-      FROM r WHERE in_creator <= 5)
+  WHERE NOT EXISTS (SELECT 1 FROM ev s WHERE s.user_id = l.user_id AND s.media_id = p.media_id))
 SELECT user_id, CAST(rank AS INTEGER) AS rank, media_id, creator_id, affinity, views FROM t WHERE rank <= 5"""
 
 KNN = f"""WITH {EV},

@@ -242,9 +242,8 @@ def test_creator_affinity(spark):
         options = []
         for c in {c for v, c in n if v == u}:
             unseen = [m for m in media[c] if (u, m) not in seen]
-            unseen.sort(key=lambda m: (-views[m], md5(m.encode()).hexdigest()[:3], m))
-            options += [(-n[u, c], -views[m], m) for m in unseen[:k]]
-        for rank, (_, _, m) in enumerate(sorted(options)[:k], 1):
+            options += [(-n[u, c], -views[m], md5(m.encode()).hexdigest()[:3], m) for m in unseen]
+        for rank, (*_, m) in enumerate(sorted(options)[:k], 1):
             expected[u, rank] = m
     got = generators.creator_affinity(_events(spark, rows), "view", k).collect()
     assert {(r["user_id"], r["rank"]): r["media_id"] for r in got} == expected
