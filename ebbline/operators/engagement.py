@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ebbline.operators.running import time_slice
+from ebbline.operators.running import DAY, time_slice
 
 
 def in_period(events: DataFrame, as_of: int, seconds: int, ts: str = "event_ts") -> DataFrame:
@@ -50,26 +50,33 @@ def unique_users(events: DataFrame, keys: list[str], approximate: bool = False)
     return events.groupBy(*keys).agg(users.alias("users"))
 
 
+def reached_slices(second: Column, is_reaction: Column, within: int) -> Column:
+    """The slices of a day or more that a row belongs to.
+
+    A reaction early in a slice may also answer events late in the one before.
+    """
+    size = max(within, DAY)
+    own = time_slice(second, size)
+    return F.when(is_reaction & (second - own < within), F.array(own, own - size)).otherwise(F.array(own))
+
+
 def without_reaction(
     events: DataFrame, keys: list[str], first: str, reaction: str, within: int, ts: str = "event_ts"
 ) -> DataFrame:
     """``first`` events (say views) with no ``reaction`` by the same key in the next ``within`` seconds.
 
     Rows: key, second, number of such events.  Events are summed per second and
-    time is cut into slices of ``within`` seconds; reactions are copied to the
-    slice before their own.  A group then has at most three rows per second of a
-    slice whatever the key's traffic, and no pairs are formed.
+    time is cut into slices; see :func:`reached_slices`.  A group then has at most
+    two rows per second of a slice and of ``within``, whatever the key's traffic,
+    and no pairs are formed.
     """
     per_second = (
         events.where(F.col("event_name").isin(first, reaction))
         .groupBy(*keys, F.col(ts).alias("second"), (F.col("event_name") == reaction).alias("_reaction"))
         .agg(F.sum("event_count").alias("n"))
     )
-    own = time_slice("second", within)
-    placed = per_second.select(
-        "*",
-        F.explode(F.when(F.col("_reaction"), F.array(own, own - within)).otherwise(F.array(own))).alias("_slice"),
-    )
+    slices = reached_slices(F.col("second"), F.col("_reaction"), within)
+    placed = per_second.select("*", F.explode(slices).alias("_slice"))
     # on a tie the reaction comes first here, i.e. a reaction in the same second counts
     ahead = Window.partitionBy(*keys, "_slice").orderBy(F.col("second").desc(), F.col("_reaction").desc())
     next_reaction = F.min(F.when(F.col("_reaction"), F.col("second"))).over(

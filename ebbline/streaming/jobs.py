@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbline.operators.decay import counter_map, slice_sums
+from ebbline.operators.engagement import reached_slices
 from ebbline.operators.windows import event_clock, window_counts, word_counts, word_window_counts
 from ebbline.streaming.processors import (
     CANDIDATES,
@@ -163,9 +164,11 @@ def without_reaction(
         .agg(F.sum("event_count").alias("n"))
         .select("_w", F.unix_seconds("_w.start").alias("second"), *keys, "event_name", "n")
     )
-    schema = _typed(per_second, keys)
-    return per_second.groupBy(*keys).transformWithState(
-        MissingReaction(keys, reaction, within), f"{schema}, second bigint, n bigint", "Append", "EventTime"
+    # a slice of a busy key is a group of its own, so a backfill spreads
+    slices = reached_slices(F.col("second"), F.col("event_name") == reaction, within)
+    placed = per_second.select("*", F.explode(slices).alias("slice"))
+    return placed.groupBy(*keys, "slice").transformWithState(
+        MissingReaction(keys, reaction, within), f"{_typed(placed, keys)}, second bigint, n bigint", "Append", "EventTime"
     )
 
 

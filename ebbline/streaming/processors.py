@@ -196,10 +196,10 @@ class GlobalTop(StatefulProcessor):
 class MissingReaction(StatefulProcessor):
     """Emits first events that no reaction followed in time.
 
-    Rows are counts per second.  A second's first events wait until the
-    watermark has passed their deadline, reactions are kept as long as a first
-    event could still need them: a key holds at most ``within`` seconds of each,
-    whatever its traffic.
+    Rows are counts per second, grouped by key and time slice.  A second's first
+    events wait until the watermark has passed their deadline, reactions are kept
+    as long as a first event could still need them: a group holds at most a
+    slice's seconds of each, whatever the key's traffic.
     """
 
     def __init__(self, keys: list[str], reaction: str, within: int):

@@ -169,13 +169,14 @@ def test_sliding_counts(spark, length, slide):
     assert {r["window_start"]: r["n"] for r in got.collect()} == dict(expected)
 
 
-def test_without_reaction(spark):
+@pytest.mark.parametrize("span,withins", [(2000, (1, 7, 60, 5000)), (400_000, (3000, 40_000, 86_400, 100_000))])
+def test_without_reaction(spark, span, withins):
     rng = random.Random(3)
     rows = [
-        (rng.choice(["view", "like", "other"]), rng.choice("abc"), "c", rng.choice("xy"), rng.randint(0, 2000), 1)
+        (rng.choice(["view", "like", "other"]), rng.choice("abc"), "c", rng.choice("xy"), rng.randint(0, span), 1)
         for _ in range(600)
     ]
-    for within in (1, 7, 60, 5000):
+    for within in withins:
         got = engagement.without_reaction(_events(spark, rows), ["user_id", "media_id"], "view", "like", within)
         expected = Counter()
         for n, u, _, m, t, _ in rows:

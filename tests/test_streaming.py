@@ -202,15 +202,16 @@ def test_bounded_top():
 
 def test_without_reaction(spark, write_lines, tmp_path):
     rng = random.Random(5)
+    # midnight, where slices meet, is at T0 + 4600
     lines = [
-        _line(t, rng.choice(["view", "like", "like"]), f"u{rng.randint(0, 3)}", f"m{rng.randint(0, 3)}")
+        _line(4300 + t, rng.choice(["view", "like", "like"]), f"u{rng.randint(0, 3)}", f"m{rng.randint(0, 3)}")
         for t in sorted(rng.randint(0, 600) for _ in range(250))
     ]
-    folder = write_lines(lines[:80], lines[80:200], lines[200:], [_line(5000, user="end")], [_line(5001, user="end")])
+    folder = write_lines(lines[:80], lines[80:200], lines[200:], [_line(9000, user="end")], [_line(9001, user="end")])
     keys = ["user_id", "media_id"]
     stream = jobs.without_reaction(_events(spark, folder), keys, "view", "like", 30, delay="10 seconds")
     rows, _ = _run(spark, stream, tmp_path)
-    static = decode_events(stored_lines(spark, folder)).where(F.col("event_ts") < T0 + 5000)
+    static = decode_events(stored_lines(spark, folder)).where(F.col("event_ts") < T0 + 9000)
     batch = engagement.without_reaction(static, keys, "view", "like", 30).collect()
     assert sorted(tuple(r) for r in rows) == sorted(tuple(r) for r in batch)
     assert len(rows) > 10
