@@ -45,6 +45,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--on-bad-record", default="fail", choices=["fail", "drop"])
     p.add_argument("--ttl-days", type=float, default=jobs.TTL_DAYS)
     p.add_argument("--trigger", default=TRIGGER, help="time between micro-batches, each of which is checkpointed")
+    p.add_argument("--partitions", type=int, help="state partitions, by default one per core of the cluster")
     p.add_argument("--files-per-batch", type=int, help="limit for a files source")
     p.add_argument("--once", action="store_true", help="stop at the end of the input; state does not expire")
     return p.parse_args(argv)
@@ -98,7 +99,7 @@ def main(argv: list[str] | None = None) -> None:
     spark = prepare(SparkSession.builder.appName(f"ebbline-{args.job}").getOrCreate())
     writer = build(spark, args)
     trigger = {"availableNow": True} if args.once else {"processingTime": args.trigger}
-    writer.trigger(**trigger).start().awaitTermination()
+    jobs.start(writer.trigger(**trigger), spark, args.partitions).awaitTermination()
 
 
 if __name__ == "__main__":

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from ebbline.config import SourceConfig
 
-# Initial positions and what the connectors call them.
+# Initial positions and what Kafka calls them.
 START = {"TRIM_HORIZON": "earliest", "LATEST": "latest"}
-ROLE_SESSION = "ksassumedrolesession"
+ROLE_SESSION = "ebbline"
 
 
 def kafka_options(

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ebbline.operators.decay import counter_map, slice_sums
 from ebbline.operators.engagement import reached_slices
@@ -172,17 +173,35 @@ def without_reaction(
     )
 
 
+def start(writer: DataStreamWriter, spark: SparkSession, partitions: int | None = None) -> StreamingQuery:
+    """Start a query with ``partitions`` state partitions, by default one per core of the cluster.
+
+    Their number is fixed for the life of a checkpoint, and adaptive execution does not merge them.
+    """
+    setting = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(partitions or spark.sparkContext.defaultParallelism))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(setting, before)
+
+
 def run_available(
-    stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, output_mode: str = "append"
+    stream: DataFrame,
+    write: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    output_mode: str = "append",
+    partitions: int | None = None,
 ) -> list[dict]:
     """Process what is there, batch by batch, then stop.  Returns the query's progress records."""
-    query = (
+    writer = (
         stream.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .outputMode(output_mode)
         .trigger(availableNow=True)
-        .start()
     )
+    query = start(writer, stream.sparkSession, partitions)
     try:
         query.awaitTermination()
     finally:
