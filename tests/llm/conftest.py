@@ -1,0 +1,35 @@
+import pytest
+from pyspark.sql import types as T
+
+SF = "/root/testdata/sf0.001"
+
+DOCUMENTS = T.StructType(
+    [
+        T.StructField("doc_id", T.LongType()),
+        T.StructField("text", T.StringType()),
+        T.StructField("lang", T.StringType()),
+        T.StructField("source", T.StringType()),
+        T.StructField("n_chars", T.LongType()),
+    ]
+)
+
+
+@pytest.fixture(scope="session")
+def documents(spark):
+    """Documents from ``{id: text}`` or ``[(id, text)]``."""
+
+    def make(texts, lang="en"):
+        rows = list(texts.items()) if isinstance(texts, dict) else list(texts)
+        return spark.createDataFrame([(i, t, lang, "s", None if t is None else len(t)) for i, t in rows], DOCUMENTS)
+
+    return make
+
+
+@pytest.fixture(scope="session")
+def sample(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet")
+
+
+@pytest.fixture(scope="session")
+def texts(sample):
+    return {r.doc_id: r.text for r in sample.collect()}
