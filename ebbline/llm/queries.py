@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbline.llm import bpe
+from ebbline.llm import bpe, packing
 from ebbline.session import prepare
 from ebbline.sources.tables import table
 
@@ -27,3 +27,15 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
 def op2_bpe(spark, sf_dir):
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return bpe.round_trip(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
+@query
+def op4_packing(spark, sf_dir):
+    path = public_tokenizers.path
+    cut = packing.pieces(
+        table(spark, sf_dir, "documents"),
+        path("byte_bpe_50k.json"),
+        path("byte_bpe_50k.tiktoken"),
+        public_tokenizers.PATTERN,
+    )
+    return packing.pack(cut)
