@@ -15,6 +15,7 @@ from __future__ import annotations
 import base64
 import gc
 import hashlib
+import itertools
 from collections.abc import Iterable, Iterator
 
 import regex
@@ -294,13 +295,10 @@ class Utf8Machine:
 
 def decode_stream(ids: Iterable[int], spelled, portion: int = 4096) -> Iterator[str]:
     """Text of a token stream, in portions."""
-    machine, held = Utf8Machine(), []
-    for i in ids:
-        held.append(spelled[i])
-        if len(held) == portion:
-            yield machine.feed(b"".join(held))
-            held.clear()
-    yield machine.feed(b"".join(held), last=True)
+    machine = Utf8Machine()
+    for some in itertools.batched(ids, portion):
+        yield machine.feed(b"".join(map(spelled.__getitem__, some)))
+    yield machine.feed(b"", last=True)
 
 
 def _encoder(path: str, pattern: str) -> PieceEncoder:
