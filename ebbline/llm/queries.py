@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbline.llm import bpe, packing
+from ebbline.llm import bpe, packing, quality
 from ebbline.session import prepare
 from ebbline.sources.tables import table
 
@@ -39,3 +39,9 @@ def op4_packing(spark, sf_dir):
         public_tokenizers.PATTERN,
     )
     return packing.pack(cut)
+
+
+@query
+def op10_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return quality.judge(docs, quality.train(docs, table(spark, sf_dir, "labels")))
