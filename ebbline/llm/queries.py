@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ebbline.llm import bpe, packing, quality
+from ebbline.llm import bpe, language, packing, quality
 from ebbline.session import prepare
 from ebbline.sources.tables import table
 
@@ -45,3 +46,11 @@ def op4_packing(spark, sf_dir):
 def op10_quality(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return quality.judge(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op8_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(language.remainder("doc_id", 4) == 2, F.lit(False))
+    models = language.train(docs.where(language.remainder("doc_id", 4) != 2))
+    return language.identify(docs, models).withColumn("held_out", held_out)
