@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbline.llm import bpe, language, packing, quality
+from ebbline.llm import bpe, language, packing, quality, toxicity
 from ebbline.session import prepare
 from ebbline.sources.tables import table
 
@@ -54,3 +54,11 @@ def op8_language(spark, sf_dir):
     held_out = F.coalesce(language.remainder("doc_id", 4) == 2, F.lit(False))
     models = language.train(docs.where(language.remainder("doc_id", 4) != 2))
     return language.identify(docs, models).withColumn("held_out", held_out)
+
+
+@query
+def op6_toxicity(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    counted, _, index = toxicity.train(docs, labels.where(language.remainder("doc_id", 5) != 0))
+    held_out = F.coalesce(language.remainder("doc_id", 5) == 0, F.lit(False))
+    return toxicity.score(counted, index).withColumn("held_out", held_out)
