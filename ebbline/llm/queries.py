@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbline.llm import bpe, language, packing, quality, toxicity
+from ebbline.llm import bpe, language, neardup, packing, quality, toxicity
 from ebbline.session import prepare
 from ebbline.sources.tables import table
 
@@ -62,3 +62,8 @@ def op6_toxicity(spark, sf_dir):
     counted, _, index = toxicity.train(docs, labels.where(language.remainder("doc_id", 5) != 0))
     held_out = F.coalesce(language.remainder("doc_id", 5) == 0, F.lit(False))
     return toxicity.score(counted, index).withColumn("held_out", held_out)
+
+
+@query
+def op9_neardup(spark, sf_dir):
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), size=2)
