@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbline.llm import bpe, language, neardup, packing, quality, toxicity
+from ebbline.llm import bpe, language, neardup, packing, quality, repeats, toxicity
 from ebbline.session import prepare
 from ebbline.sources.tables import table
 
@@ -67,3 +67,8 @@ def op6_toxicity(spark, sf_dir):
 @query
 def op9_neardup(spark, sf_dir):
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), size=2)
+
+
+@query
+def op3_repeats(spark, sf_dir):
+    return repeats.digests(table(spark, sf_dir, "documents"))
