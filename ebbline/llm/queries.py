@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbline.llm import bpe, language, neardup, packing, quality, repeats, toxicity
+from ebbline.llm import bpe, language, neardup, packing, quality, repeats, sharding, toxicity
 from ebbline.session import prepare
 from ebbline.sources.tables import table
 
@@ -72,3 +72,20 @@ def op9_neardup(spark, sf_dir):
 @query
 def op3_repeats(spark, sf_dir):
     return repeats.digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_sharding(spark, sf_dir):
+    path = sharding.write_shards(table(spark, sf_dir, "documents").select("doc_id", "text"), 24)
+    text = F.coalesce("text", F.lit(""))
+    digests = spark.read.parquet(path).select(
+        "doc_id",
+        sharding.record_size().alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.lit("key").alias("law"),
+        "shard",
+        "bucket",
+        "place",
+        sharding.shard_of(F.col("doc_id"), 25).alias("grown_shard"),
+    )
+    return sharding.slotted(digests)
