@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbline.llm import bpe, language, neardup, packing, quality, repeats, sharding, toxicity
+from ebbline.llm import bpe, language, neardup, packing, quality, repeats, sharding, topk, toxicity
 from ebbline.session import prepare
 from ebbline.sources.tables import table
 
@@ -89,3 +89,25 @@ def op1_sharding(spark, sf_dir):
         sharding.shard_of(F.col("doc_id"), 25).alias("grown_shard"),
     )
     return sharding.slotted(digests)
+
+
+@query
+def op7_topk(spark, sf_dir):
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+SQL["op7_topk"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, v.vec_id, CAST(list_inner_product(q.e, v.e) AS BIGINT) AS score
+  FROM v AS q JOIN v ON q.vec_id <> v.vec_id
+  WHERE q.vec_id % 100 = 0
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
