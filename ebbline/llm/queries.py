@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbline.llm import bpe, language, neardup, packing, quality, repeats, sharding, topk, toxicity
+from ebbline.llm import bpe, language, licenses, neardup, packing, quality, repeats, sharding, topk, toxicity
 from ebbline.session import prepare
 from ebbline.sources.tables import table
 
@@ -111,3 +111,8 @@ WITH v AS (
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 """
+
+
+@query
+def op5_licenses(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
