@@ -24,10 +24,10 @@ from pyspark.sql import DataFrame
 from ebbline.llm.batches import kept_by_process, map_columns
 
 #: Bounds of the memory a worker keeps.  They do not change results.
-MAX_STEPS = 100_000
+MAX_STEPS = 30_000
 MAX_FITS = 500_000
-MAX_PIECES = 400_000
-MAX_PIECE_BYTES = 48  # longer pieces are not remembered
+MAX_PIECES = 700_000
+MAX_PIECE = 32  # characters; longer pieces are not remembered
 
 NONE = -1  # before the first token
 END = 1 << 60  # above every rank
@@ -226,17 +226,18 @@ class Transducer:
 
 
 class PieceEncoder(dict):
-    """Piece: its tokens.  Remembers pieces up to a bound."""
+    """Piece: its tokens.  Remembers pieces in two generations, of which the older goes when the newer is full."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
+        self.older: dict[str, tuple[int, ...]] = {}
         self.transducer = Transducer(ranks)
         self.pieces = regex.compile(pattern).findall
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
-        text = piece.encode()
-        tokens = self.transducer.encode(text)
-        if len(text) <= MAX_PIECE_BYTES:
+        tokens = self.older.get(piece) or self.transducer.encode(piece.encode())
+        if len(piece) <= MAX_PIECE:
             if len(self) >= MAX_PIECES:
+                self.older = dict(self)
                 self.clear()
             self[piece] = tokens
         return tokens
