@@ -7,8 +7,8 @@ similarity of the two is at least 1/4 for a verbatim passage, 0.19 at the least
 bands of one row, such a window shares a band with probability 1 - (1 - 0.19)^48 > 0.9999; a window without any
 shingle of a template shares none.  What is retrieved is verified: the share of the template's shingles in the window.
 
-Only windows near a key word are signed.  The key words are chosen so that each template shingle has one; a window
-far from all of them holds no template shingle.
+Only windows near a key word are signed.  The key words are in so many shingles of each template that no window without
+any can hold the least containment.
 
 Null texts, and those of fewer than five words, hold nothing.  A document has a row per license found, ties and
 repeats included once; equal rows give equal rows.  Of ``docs`` only ``doc_id`` and ``text`` are read.
@@ -18,6 +18,8 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,15 +55,18 @@ def plain_words(text: str) -> list[str]:
     return re.findall(r"[^\W_]+", text.lower())
 
 
-def key_words(templates: dict[str, str], size: int = SHINGLE) -> list[str]:
-    """Words, chosen greedily, so that each shingle of each template has one."""
-    open_ = {tuple(w[i : i + size]) for w in map(plain_words, templates.values()) for i in range(len(w) - size + 1)}
-    chosen = []
-    while open_:
-        counts = Counter(w for s in open_ for w in set(s))
-        best = max(counts, key=lambda w: (counts[w] * len(w), w))  # long words are rarer in other text
+def key_words(templates: dict[str, str], containment: float, size: int = SHINGLE, long: int = 6) -> list[str]:
+    """Words, chosen greedily, that are in so many shingles of each template that a passage with a share of
+    ``containment`` of them has one; short words only where nothing else does."""
+    open_ = {k: {tuple(w[i : i + size]) for i in range(len(w) - size + 1)} for k, w in
+             ((k, plain_words(t)) for k, t in templates.items())}
+    enough = {k: containment * len(s) for k, s in open_.items()}
+    chosen: list[str] = []
+    while lacking := [s for k, s in open_.items() if s and len(s) >= enough[k]]:
+        counts = Counter(w for s in lacking for shingle in s for w in set(shingle))
+        best = max(counts, key=lambda w: (len(w) >= long, counts[w] * len(w), w))
         chosen.append(best)
-        open_ = {s for s in open_ if best not in s}
+        open_ = {k: {shingle for shingle in s if best not in shingle} for k, s in open_.items()}
     return chosen
 
 
@@ -112,11 +117,13 @@ def scan(
 ) -> DataFrame:
     """``doc_id, license, containment, first_word``: the best window of each license that a document holds."""
     templates = {k: t for k, t in (templates or TEMPLATES).items() if len(plain_words(t)) >= SHINGLE}
-    keys = key_words(templates)
+    keys = key_words(templates, containment)
     table = template_table(docs.sparkSession, templates, n_bands)
     classes = sorted({class_size(shingle_count(t)) for t in templates.values()})
 
-    near = docs.where(F.lower("text").rlike("|".join(keys))).select("doc_id", words(F.col("text")).alias("words"))
+    stems = [k for k in keys if not any(k != other and other in k for other in keys)]
+    near = docs.where(reduce(or_, (F.contains(F.lower("text"), F.lit(k)) for k in stems)))
+    near = near.select("doc_id", words(F.col("text")).alias("words"))
     hits = F.filter(F.transform("words", lambda w, i: F.when(w.isin(keys), i)), lambda i: i.isNotNull())
     near = near.withColumn("hits", hits).withColumn("hashes", shingle_hashes("words"))
 

@@ -67,10 +67,11 @@ def test_odd_rows(documents):
     assert licenses.scan(documents([])).count() == 0
 
 
-def test_key_words_are_in_every_shingle():
-    keys = set(licenses.key_words(licenses.TEMPLATES))
+def test_no_window_without_key_words_can_match():
+    keys = set(licenses.key_words(licenses.TEMPLATES, 0.8))
     for notice in licenses.TEMPLATES.values():
-        assert all(keys & set(s) for s in _shingles(licenses.plain_words(notice)))
+        every = set(_shingles(licenses.plain_words(notice)))
+        assert sum(not keys & set(s) for s in every) < 0.8 * len(every)
 
 
 def test_bands_collide_as_promised():
