@@ -7,7 +7,7 @@
    probability (1 - 0.8^5)^32 < 4e-6.
 3. A region of at most ``BLOCK`` sets is compared whole.  A larger one is sorted by a tree's full label and cut into
    blocks, so that a dense region is compared among neighbours with long common prefixes, a sparse one at shorter
-   ones.  This is repeated in the order of several trees; what links have joined is not compared again.
+   ones.  This is done in the order of several trees.
 4. What a large region still has outside its largest component is compared, block by block, with the whole region.
    So no pair within a region goes unseen unless links join it already.
 
@@ -160,7 +160,7 @@ def _rows(batches):
 
 
 def _compare_blocks(rows: DataFrame, percent: int, block: int) -> DataFrame:
-    """``rows``: ``region, rep, comp, hashes``, regions (or stretches of them) together."""
+    """``rows``: ``region, rep, comp, hashes``, the rows of a region (or of its stretch) in a row."""
 
     def work(batches):
         held: list[tuple] = []
@@ -269,17 +269,17 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
 
     large = wanted.where("large")
     if not large.isEmpty():
-        joined = _with_components(large, None)
-        found = None
-        for k in range(ORDERS):
-            order = F.col("orders")[k]
-            stretch = joined.withColumn("label", order).repartitionByRange("region", "label", "rep")
-            stretch = stretch.sortWithinPartitions("region", "label", "rep").select("region", "rep", "comp", "hashes")
-            new = _compare_blocks(stretch, percent, block)
-            found = settle(new if found is None else found.unionByName(new))
-            joined = _with_components(large, found)
-        rest = _compare_rest(joined.select("region", "rep", "comp", "hashes"), percent, block)
-        links = links.unionByName(settle(rest)).unionByName(found)
+        # every order at once: a set meets its neighbours in each
+        orders = large.select("region", "rep", "hashes", F.posexplode("orders").alias("order", "label"))
+        orders = orders.repartitionByRange("order", "region", "label", "rep")
+        orders = orders.sortWithinPartitions("order", "region", "label", "rep")
+        stretches = orders.select(F.struct("order", "region").alias("region"), "rep", F.col("rep").alias("comp"), "hashes")
+        found = settle(_compare_blocks(stretches, percent, block))
+        joined = components(found).select(F.col("node").alias("rep"), F.col("component").alias("comp"))
+        joined = large.select("region", "rep", "hashes").join(joined, "rep", "left")
+        joined = joined.select("region", "rep", F.coalesce("comp", "rep").alias("comp"), "hashes")
+        rest = settle(_compare_rest(joined, percent, block))
+        links = links.unionByName(found).unionByName(rest)
 
     comps = components(links).select(F.col("node").alias("rep"), "component")
     reps = classes.select("f", "g", "n_shingles", "rep").join(comps, "rep", "left")
@@ -289,8 +289,13 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def _with_components(rows: DataFrame, edges: DataFrame | None) -> DataFrame:
-    if edges is None:
-        return rows.withColumn("comp", F.col("rep"))
-    comps = components(edges).select(F.col("node").alias("rep"), F.col("component").alias("comp"))
-    return rows.join(comps, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+
+def keep_one(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """One document of each component, with all its columns, and one row of each id.
+
+    Rows without id, and documents without a word, stay.
+    """
+    gone = near_duplicates(docs.select("doc_id", "text"), size, percent).where("not kept").select("doc_id").distinct()
+    gone = settle(gone)
+    kept = docs.where("doc_id is not null").join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"])
+    return kept.select(docs.columns).unionByName(docs.where("doc_id is null"))
