@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -37,9 +38,35 @@ def map_columns(
     return df.mapInArrow(run, schema)
 
 
+def keep_rows(
+    df: DataFrame, columns: list[str], work: Callable[[Iterator[pa.RecordBatch]], Iterable[Columns]], flag: str
+) -> DataFrame:
+    """The rows of ``df``, whole, for which ``work`` over their ``columns`` says true in ``flag``.
+
+    ``work`` must yield once for each batch.
+    """
+    arrow = to_arrow_schema(df.schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for out in work(iter([batch.select(columns)])):
+                yield batch.filter(pa.array(out[flag], pa.bool_())).cast(arrow)
+
+    return df.mapInArrow(run, df.schema)
+
+
 def kept_by_process(name: tuple, build: Callable[[], object]) -> object:
     """What a Python worker builds once and reuses over its tasks.  ``name`` has every parameter of ``build``."""
     store = sys.modules["pyspark"].__dict__.setdefault("_ebbline_kept", {})
     if name not in store:
         store[name] = build()
     return store[name]
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files and copies that nothing refers to any more.
+
+    Its cleaner waits for the driver's garbage collection, which a driver with little to do puts off.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbline.llm.batches import map_columns
+from ebbline.llm.batches import map_columns, release
 from ebbline.session import settle
 
 LENGTH = 100  # bytes of a string that counts
@@ -179,10 +179,12 @@ def decide(named: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Segments that occur earlier, and those to look into: the first of each span whose core has several."""
     place = F.struct("doc_id", "at")
     spans = settle(named.groupBy("core", "span").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")))
+    release(named.sparkSession)
     again = named.join(spans.where("n > 1").select("core", "span", "first"), ["core", "span"])
-    again = again.where(place > F.col("first")).select("doc_id", "at")
+    again = settle(again.where(place > F.col("first")).select("doc_id", "at"))
+    release(named.sparkSession)
     several = spans.groupBy("core").agg(F.count(F.lit(1)).alias("spans")).where("spans > 1").select("core")
-    return settle(again), settle(spans.join(several, "core").select("first.doc_id", "first.at"))
+    return again, settle(spans.join(several, "core").select("first.doc_id", "first.at"))
 
 
 def repeated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -191,12 +193,15 @@ def repeated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         raise ValueError(f"length must be from {2 * SEED} to {SEED + 127}")
     docs = docs.where(F.col("doc_id").isNotNull() & (F.octet_length("text") >= length)).select("doc_id", "text")
     named = segments(docs, length)
-    twice = named.select("core").groupBy("core").count().where("count > 1").select("core")
-    named = settle(named.join(settle(twice), "core"))
-    again, open_ = decide(named)
-    for level in (1, 2):
-        more, open_ = decide(settle(blocks(docs, open_, level, length)))
-        again = again.unionByName(more)
+    twice = settle(named.select("core").groupBy("core").count().where("count > 1").select("core"))
+    release(docs.sparkSession)
+    named = settle(named.join(twice, "core"))
+    for level in (1, 2, 3):
+        release(docs.sparkSession)
+        more, open_ = decide(named)
+        again = more if level == 1 else again.unionByName(more)
+        if level < 3:
+            named = settle(blocks(docs, open_, level, length))
     return again
 
 
@@ -210,45 +215,55 @@ def spans(at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     return start[new], far[last]
 
 
-def _kept(docs: DataFrame, length: int, make, schema: str) -> DataFrame:
+def _known(docs: DataFrame, length: int) -> DataFrame:
+    """``docs`` with ``_ats``, the runs of windows of each that occur earlier."""
     again = settle(repeated(docs, length))
-    lists = again.groupBy("doc_id").agg(F.collect_list("at").alias("ats"))
+    lists = again.groupBy("doc_id").agg(F.collect_list("at").alias("_ats"))
+    return with_known(docs.drop("_ats"), lists, "left", again)
 
-    def work(batches):
-        for batch in batches:
-            rows = []
-            for doc_id, text, ats in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                data = (text or "").encode()
-                start, end = spans(np.array(ats or [], np.int64), length)
-                edges = [0, *np.stack([start, end], axis=1).ravel().tolist(), len(data)]
-                parts = [data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)]
-                rows.append((doc_id, *make(data, parts, start, end)))
-            names_ = [f.split()[0] for f in schema.split(", ")]
-            yield dict(zip(names_, zip(*rows, strict=True) if rows else [[] for _ in names_], strict=True))
 
-    rows = with_known(docs.select("doc_id", "text"), lists, "left", again)
-    return map_columns(rows.select("doc_id", "text", "ats"), work, schema)
+def _cut(text: str | None, ats: list | None, length: int) -> tuple[bytes, list[bytes], int, int]:
+    """The bytes of a text, the parts that stay, how many bytes go and in how many runs."""
+    data = (text or "").encode()
+    start, end = spans(np.array(ats or [], np.int64), length)
+    edges = [0, *np.stack([start, end], axis=1).ravel().tolist(), len(data)]
+    parts = [data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)]
+    return data, parts, int((end - start).sum()), len(start)
 
 
 def digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """Sizes, removed runs, and the digest of the bytes that stay."""
 
-    def make(data, parts, start, end):
-        kept = hashlib.sha256(b"".join(parts)).hexdigest()
-        return len(data), int((end - start).sum()), len(start), kept
+    def work(batches):
+        for batch in batches:
+            out = {"doc_id": batch.column(0), "n_bytes": [], "n_removed": [], "n_spans": [], "kept_sha256": []}
+            for text, ats in zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True):
+                data, parts, gone, runs = _cut(text, ats, length)
+                digest = hashlib.sha256(b"".join(parts)).hexdigest()
+                for name, value in zip(list(out)[1:], (len(data), gone, runs, digest), strict=True):
+                    out[name].append(value)
+            yield out
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    return _kept(docs, length, make, schema)
+    return map_columns(_known(docs.select("doc_id", "text"), length).select("doc_id", "text", "_ats"), work, schema)
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``(doc_id, text, n_removed)``: the texts without the repeated bytes.
+    """``docs`` with all their columns and the texts without the repeated bytes; a null text stays null.
 
     A character that a cut goes through is left out with them.
     """
+    known = _known(docs, length).select(*docs.columns, "_ats")
+    names_, at = docs.columns, docs.columns.index("text")
 
-    def make(data, parts, start, end):
-        text = "".join(p.decode("utf-8", "ignore") for p in parts)
-        return text, int((end - start).sum())
-
-    return _kept(docs, length, make, "doc_id long, text string, n_removed long")
+    def run(batches):
+        for batch in batches:
+            texts_ = []
+            for text, ats in zip(batch.column(at).to_pylist(), batch.column(len(names_)).to_pylist(), strict=True):
+                parts = _cut(text, ats, length)[1]
+                texts_.append("".join(p.decode("utf-8", "ignore") for p in parts) if ats else text)
+            columns = batch.columns[:-1]
+            columns[at] = pa.array(texts_, pa.string())
+            yield pa.RecordBatch.from_arrays(columns, names_)
+
+    return known.mapInArrow(run, docs.schema)

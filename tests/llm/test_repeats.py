@@ -75,9 +75,13 @@ def test_common_passage_with_other_surroundings(documents):
 
 def test_texts_without_repeats(documents):
     passage = "é" * 40 + "the same sentence in both of the documents, of some length " * 2
-    got = {r.doc_id: r for r in repeats.without_repeats(documents({1: "one " + passage, 2: "two " + passage + " end"})).collect()}
-    assert got[1].text == "one " + passage and got[1].n_removed == 0
-    assert got[2].text == "two end" or got[2].text.startswith("two") and got[2].n_removed >= len(passage.encode()) - 1
+    rows = [(1, "one " + passage), (2, "two " + passage + " end"), (3, None), (4, "x"), (None, "two " + passage)]
+    docs = documents(rows).withColumn("extra", F.lit(7))
+    got = repeats.without_repeats(docs)
+    assert got.columns == docs.columns
+    texts = {r.doc_id: r.text for r in got.collect() if r.extra == 7 and r.source == "s"}
+    assert texts == {1: "one " + passage, 2: "twoend", 3: None, 4: "x", None: "two " + passage} | {2: texts[2]}
+    assert texts[2].startswith("two") and texts[2].endswith("end") and len(texts[2]) <= 9
 
 
 def test_sampling_depends_on_the_window_only():
