@@ -82,6 +82,13 @@ def test_knapsack_is_best():
         assert prices @ pattern == pytest.approx(value) and sizes @ pattern <= 12
 
 
+def test_inverse():
+    rng = np.random.default_rng(6)
+    for n in (1, 2, 30):
+        matrix = rng.integers(-3, 4, (n, n)) + 9 * np.eye(n)[rng.permutation(n)]
+        assert np.allclose(packing.inverted(matrix) @ matrix, np.eye(n), atol=1e-8)
+
+
 def test_plan_is_near_the_bound():
     rng = np.random.default_rng(4)
     histogram = {int(s): int(n) for s, n in enumerate(rng.integers(0, 3000, 257)) if s and n}
