@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbline.llm.batches import map_columns
+from ebbline.llm.batches import keep_rows, map_columns
 
 TRAINING_DOCS = 2000  # bound of the labelled sample, those with the lowest hashes of doc_id
 CHAIN = 32  # lines of a training sequence; longer documents give several
@@ -193,17 +193,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = TRAINING_DOCS) -> tu
     return fit([np.array(r.lines).reshape(-1, len(FEATURES)) for r in read], [not r.quality for r in read])
 
 
-def judge(
-    docs: DataFrame,
-    field: tuple[np.ndarray, np.ndarray] | None,
-    min_content: float = MIN_CONTENT,
-    with_lines: bool = False,
-) -> DataFrame:
-    """Counts, ``content_share``, ``base_failed`` and ``kept`` of every document; ``with_lines`` adds for each line
-    with a word whether it is boilerplate."""
+def _judged(field: tuple[np.ndarray, np.ndarray] | None, min_content: float):
+    names = "n_words word_chars n_symbols n_dup_lines n_repeat_words content_share base_failed kept boilerplate".split()
 
     def work(batches):
-        names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
         for batch in batches:
             rows = []
             for text in batch.column(1).to_pylist():
@@ -214,12 +207,30 @@ def judge(
                 share = sum(n for n, s in zip(sizes, states, strict=True) if not s) / max(base[0], 1)
                 failed = base[0] < MIN_WORDS or 100 * base[4] > MAX_REPEATED * base[0]
                 rows.append((*base, share, failed, not failed and share >= min_content, states))
-            columns = zip(*rows, strict=True) if rows else [[]] * 9
-            out = dict(zip([*names, "content_share", "base_failed", "kept", "boilerplate"], columns, strict=True))
-            yield {"doc_id": batch.column(0)} | out
+            columns = zip(*rows, strict=True) if rows else [[] for _ in names]
+            yield {"doc_id": batch.column(0)} | dict(zip(names, map(list, columns), strict=True))
+
+    return work
 
+
+def judge(
+    docs: DataFrame,
+    field: tuple[np.ndarray, np.ndarray] | None,
+    min_content: float = MIN_CONTENT,
+    with_lines: bool = False,
+) -> DataFrame:
+    """Counts, ``content_share``, ``base_failed`` and ``kept`` of every document; ``with_lines`` adds for each line
+    with a word whether it is boilerplate."""
     schema = (
         "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
         "content_share double, base_failed boolean, kept boolean"
     )
-    return map_columns(docs.select("doc_id", "text"), work, schema + ", boilerplate array<int>" * with_lines)
+    schema += ", boilerplate array<int>" * with_lines
+    return map_columns(docs.select("doc_id", "text"), _judged(field, min_content), schema)
+
+
+def keep_good(
+    docs: DataFrame, field: tuple[np.ndarray, np.ndarray] | None, min_content: float = MIN_CONTENT
+) -> DataFrame:
+    """The documents that stay, with all their columns."""
+    return keep_rows(docs, ["doc_id", "text"], _judged(field, min_content), "kept")
