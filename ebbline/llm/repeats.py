@@ -28,13 +28,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbline.llm.batches import map_columns, release
-from ebbline.session import settle
+from ebbline.llm.batches import discard, map_columns, release, written
+from ebbline.session import settle, shared_dir
 
 LENGTH = 100  # bytes of a string that counts
 SEED = 32  # bytes whose hash places a window
 CHUNK = 1 << 20  # window starts worked on at once
-BROADCAST_BYTES = 32 << 20  # what is known of documents goes to their rows by broadcast up to here, else by shuffle
 
 _POSITION = np.uint64((1 << 21) - 1)
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F))
@@ -160,21 +159,10 @@ def blocks(docs: DataFrame, segments_: DataFrame, level: int, length: int = LENG
             yield _named(data, offsets, batch.column(0), begin, size, (start + far)[of[new]], level, length)
 
     lists = segments_.groupBy("doc_id").agg(F.collect_list("at").alias("ats"))
-    rows = with_known(docs.select("doc_id", "text"), lists, "inner", segments_)
+    rows = docs.select("doc_id", "text").join(lists, "doc_id")
     return map_columns(rows.select("doc_id", "text", "ats"), work, "core long, span long, doc_id long, at long")
 
 
-def with_known(docs: DataFrame, known: DataFrame, how: str, counted: DataFrame) -> DataFrame:
-    """Join to texts what is known of some documents; ``counted`` has a row for each of its 8-byte entries.
-
-    Texts stay where they are if that is small, measured, else they are shuffled.
-    """
-    known = settle(known)
-    if 16 * counted.count() + 64 * known.count() <= BROADCAST_BYTES:
-        known = F.broadcast(known)
-    return docs.join(known, "doc_id", how)
-
-
 def decide(named: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Segments that occur earlier, and those to look into: the first of each span whose core has several."""
     place = F.struct("doc_id", "at")
@@ -195,13 +183,15 @@ def repeated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     named = segments(docs, length)
     twice = settle(named.select("core").groupBy("core").count().where("count > 1").select("core"))
     release(docs.sparkSession)
-    named = settle(named.join(twice, "core"))
+    rows = named.join(twice, "core")
     for level in (1, 2, 3):
+        path = shared_dir(docs.sparkSession, "segments")
+        named = written(rows, path)
         release(docs.sparkSession)
         more, open_ = decide(named)
+        discard(docs.sparkSession, path)
         again = more if level == 1 else again.unionByName(more)
-        if level < 3:
-            named = settle(blocks(docs, open_, level, length))
+        rows = blocks(docs, open_, level, length) if level < 3 else None
     return again
 
 
@@ -217,9 +207,8 @@ def spans(at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _known(docs: DataFrame, length: int) -> DataFrame:
     """``docs`` with ``_ats``, the runs of windows of each that occur earlier."""
-    again = settle(repeated(docs, length))
-    lists = again.groupBy("doc_id").agg(F.collect_list("at").alias("_ats"))
-    return with_known(docs.drop("_ats"), lists, "left", again)
+    lists = repeated(docs, length).groupBy("doc_id").agg(F.collect_list("at").alias("_ats"))
+    return docs.drop("_ats").join(lists, "doc_id", "left")
 
 
 def _cut(text: str | None, ats: list | None, length: int) -> tuple[bytes, list[bytes], int, int]:

@@ -54,9 +54,7 @@ def _rows(rng):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-@pytest.mark.parametrize("broadcast", [0, 1 << 25])
-def test_odd_rows(documents, monkeypatch, seed, broadcast):
-    monkeypatch.setattr(repeats, "BROADCAST_BYTES", broadcast)
+def test_odd_rows(documents, monkeypatch, seed):
     monkeypatch.setattr(repeats, "CHUNK", 333)
     rows = _rows(random.Random(seed))
     docs = documents(rows).withColumns({c: F.lit("clash") for c in ("core", "span", "at", "ats", "n_bytes")})
