@@ -42,29 +42,32 @@ class Lists:
     def __init__(self, ids: np.ndarray, x: np.ndarray):
         order = np.argsort(ids, kind="stable")
         self.ids, self.x = ids[order], x[order]
-        self.up = np.argsort(self.x, axis=0, kind="stable").T  # by dimension, ascending
-        self.down = np.ascontiguousarray(self.up[:, ::-1])
+        up = np.argsort(self.x, axis=0, kind="stable").T
+        self.lists = np.stack([up, up[:, ::-1]])  # by direction, dimension and place; ascending first
 
     def best(self, own: int, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, int]:
         """Rows and scores of the ``k`` best, best first, and how many rows were scored."""
         n, dims = len(self.ids), np.flatnonzero(q)
-        lists = np.where((q[dims] > 0)[:, None], self.down[dims], self.up[dims])
-        seen = self.ids == own
+        way, weights = (q[dims] > 0).astype(int), q[dims]
+        open_, every = self.ids != own, None
         rows, scores, scored, start, depth = np.zeros(0, int), np.zeros(0, q.dtype), 0, 0, FIRST_DEPTH
         while start < n:
-            met = np.unique(lists[:, start:depth]) if len(dims) else np.arange(n)
-            met = met[~seen[met]]
-            seen[met] = True
+            met = np.zeros(n, bool)
+            met[self.lists[way, dims, start:depth].ravel() if len(dims) else slice(None)] = True
+            met = np.flatnonzero(met & open_)
+            open_[met] = False
             scored += len(met)
-            rows, scores = np.append(rows, met), np.append(scores, self.x[met] @ q)
+            if every is None and len(met) > n // 8:
+                every = self.x @ q  # so many at once are cheaper without picking them
+            rows = np.append(rows, met)
+            scores = np.append(scores, self.x[met] @ q if every is None else every[met])
+            if len(scores) > k:
+                least = np.partition(scores, -k)[-k]
+                rows, scores = rows[scores >= least], scores[scores >= least]
             order = np.lexsort((rows, -scores))[:k]
             rows, scores = rows[order], scores[order]
-            start, depth = min(depth, n), depth * 4
-            if start < n and len(dims):
-                bound = (self.x[lists[:, start], dims] * q[dims]).sum()
-                if len(rows) == k and bound < scores[-1]:
-                    break
-            else:
+            start, depth = min(depth, n) if len(dims) else n, depth * 4
+            if start < n and len(rows) == k and (self.x[self.lists[way, dims, start], dims] * weights).sum() < scores[-1]:
                 break
         return rows, scores, scored
 
