@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbline.functions.decay import add, counter, fade
-from ebbline.operators.running import DAY, not_null, running, sliced, time_slice
+from ebbline.operators.running import DAY, keyed, running, sliced, time_slice
 from ebbline.session import settle
 
 # exp(300) leaves a double room for 1e178 events, exp(-300) is far below its precision
@@ -136,7 +136,7 @@ def decay_running(
         rows = running(rows, keys, ["_arrived"], [order], {"_clock": ("max", ts)})
     rows = sliced(rows.withColumn("_clock", F.greatest("_clock", F.lit(0).cast("bigint"))), "_clock", size)
     slices = ["_slice", "_arrived"]
-    rows = not_null(rows, [*keys, *slices])
+    keys, rows = ["_key"], keyed(rows, keys)
     grown = {d: _grown(F.col(amount), F.col(ts) - F.col("_slice"), d) for d in intervals}
     inside = Window.partitionBy(*keys, *slices).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     local = rows.select("*", *[F.sum(grown[d]).over(inside).alias(f"_v{d}") for d in intervals])
@@ -187,11 +187,11 @@ def _carried(
 
 def merge_counters(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Add two long-form counter tables, e.g. a backfill and a live one."""
-    on = [*keys, "decay_interval"]
     packed = [
-        side.select(*on, F.struct("decay_interval", "last_update", "value").alias(name))
+        keyed(side, keys).select("_key", "decay_interval", F.struct("decay_interval", "last_update", "value").alias(name))
         for side, name in ((left, "_l"), (right, "_r"))
     ]
-    return packed[0].join(packed[1], on, "full").select(*keys, add(F.col("_l"), F.col("_r")).alias("_c")).select(
+    merged = packed[0].join(packed[1], ["_key", "decay_interval"], "full")
+    return merged.select("_key.*", add(F.col("_l"), F.col("_r")).alias("_c")).select(
         *keys, "_c.decay_interval", "_c.last_update", "_c.value"
     )

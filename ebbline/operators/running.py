@@ -8,8 +8,6 @@ bounded by time span / slice length), and the two are added.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,13 +28,13 @@ def sliced(rows: DataFrame, at: str, seconds: int, name: str = "_slice") -> Data
     return rows.withColumn(name, F.coalesce(time_slice(at, seconds), F.lit(0).cast("bigint")))
 
 
-def not_null(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """Say before a self-join what it implies anyway.
+def keyed(rows: DataFrame, keys: list[str], name: str = "_key") -> DataFrame:
+    """Add the keys as one struct.
 
-    Otherwise the optimizer adds the filter to one side only, and the sides no
-    longer read the same shuffle.
+    A struct is never null and equal to one with nulls in the same places, so a null key is a key like others in joins
+    too; and both sides of a self-join still read the same shuffle.
     """
-    return rows.where(reduce(Column.__and__, [F.col(c).isNotNull() for c in columns]))
+    return rows.withColumn(name, F.struct(*keys))
 
 
 def running(
@@ -50,10 +48,10 @@ def running(
     """Add running totals ``{name: (sum | max, column)}`` per key along ``order``.
 
     ``slices`` must sort the rows of a key the way ``order`` does, only coarser.
-    Keys and slices must not be null.  ``before`` leaves the current row out; a
-    key's first row then gets null.
+    Slices must not be null.  ``before`` leaves the current row out; a key's
+    first row then gets null.
     """
-    rows = not_null(rows, [*keys, *slices])
+    columns, keys, rows = rows.columns, ["_key"], keyed(rows, keys)
     end = -1 if before else Window.currentRow
     inside = Window.partitionBy(*keys, *slices).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
     earlier = Window.partitionBy(*keys).orderBy(*slices).rowsBetween(Window.unboundedPreceding, -1)
@@ -73,7 +71,7 @@ def running(
         return F.coalesce(_KINDS[kind][1](inner, pre), inner, pre).alias(name)
 
     return local.join(carried, [*keys, *slices]).select(
-        *rows.columns, *[both(n, k) for n, (k, _) in totals.items()]
+        *columns, *[both(n, k) for n, (k, _) in totals.items()]
     )
 
 

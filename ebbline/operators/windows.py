@@ -43,7 +43,7 @@ def window_counts(
     stamp = {
         "min": F.min("event_ts"),
         "max": F.max("event_ts"),
-        "first_arrival": F.min_by("event_ts", arrival_order),
+        "first_arrival": F.min_by("event_ts", F.struct(arrival_order, "event_ts")),  # ties: the earlier event
     }[ts_policy]
     counted = events.groupBy(F.window(time, length).alias("_w"), *keys).agg(
         F.sum("event_count").alias("n"), stamp.alias("event_ts")

@@ -191,6 +191,14 @@ def lifetime_count(spark, sf_dir):
     return running.lifetime_counts(_counted(spark, sf_dir, USER), USER)
 
 
+@query
+def lifetime_null_keys(spark, sf_dir):
+    """Events without a user count under one key."""
+    events = _events(spark, sf_dir)
+    events = events.withColumn("user_id", F.when(F.col("user_id").cast("bigint") % 7 != 0, F.col("user_id")))
+    return running.lifetime_counts(windows.window_counts(events, USER), USER)
+
+
 @query
 def state_ttl_lifetime(spark, sf_dir):
     """Lifetime counts where state is forgotten two days after its last write."""
@@ -313,9 +321,44 @@ def upsert_replay(spark, sf_dir):
     return store.read(spark).select("key", "feature_name", "window_end", "total")
 
 
+@query
+def upsert_restart(spark, sf_dir):
+    """Two runs with checkpoints of their own into one table: the later run's rows hold."""
+    home = shared_dir(spark, "restart")
+    store = UpsertTable(f"{home}/rows", ["event_name"], ["n"], compact_every=4)
+    for run in (1, 2):
+        n = F.sum(F.col("event_count") * run).alias("n")
+        counts = _event_stream(spark, sf_dir, closing=False).groupBy("event_name").agg(n)
+        jobs.run_available(counts, store.write, f"{home}/checkpoint-{run}", "update")
+    return store.read(spark)
+
+
 # ---- candidates ------------------------------------------------------------
 
 
+@query
+def topk_falling_scores(spark, sf_dir):
+    """A short list kept over three batches in which scores rise and fall: views in the latest period with any."""
+    home = shared_dir(spark, "falling")
+    table = UpsertTable(f"{home}/counters", ["feature_name", "key"], ["window_end"])
+    best = TopListTable(f"{home}/list", items.TOP_VIEWS, "view", DAY, 3, reserve=3, counters=table)
+    views = _events(spark, sf_dir).where("event_name = 'view'")
+    views = views.withColumn("window_end", F.floor((AS_OF - F.col("event_ts")) / (10 * DAY)) * -1)
+    counts = views.groupBy(F.lit("view").alias("feature_name"), F.col("media_id").alias("key"), "window_end").agg(
+        F.count("*").cast("double").alias("n")
+    )
+    counter = F.struct(
+        F.lit(DAY).cast("bigint").alias("decay_interval"), F.col("window_end").alias("last_update"), F.col("n").alias("value")
+    )
+    counts = counts.withColumn("counts", F.create_map(F.lit(DAY).cast("bigint"), counter)).drop("n")
+    for batch, end in enumerate((-2, -1, 0)):
+        rows = counts.where(F.col("window_end") == end) if end > -2 else counts.where("window_end <= -2")
+        rows = topk.last_per_key(rows, ["feature_name", "key"], ["window_end"])
+        table.write(rows, batch)
+        best.write(rows, batch)
+    return topk.ranked(best.read(spark))
+
+
 def _scores(spark: SparkSession, sf_dir: str, as_of: int | None = None) -> DataFrame:
     return topk.scores(_media_counters(spark, sf_dir), "view", DAY, as_of)
 
@@ -472,8 +515,8 @@ def _stored_result(spark: SparkSession, stream: DataFrame, name: str, mode: str
     return jobs.read_table(spark, f"{home}/rows")
 
 
-def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.as_events(tables.streamed_events(spark, sf_dir))
+def _event_stream(spark: SparkSession, sf_dir: str, closing: bool = True) -> DataFrame:
+    return tables.as_events(tables.streamed_events(spark, sf_dir, closing))
 
 
 @query
@@ -485,7 +528,7 @@ def stream_word_windows(spark, sf_dir):
 @query
 def stream_word_totals(spark, sf_dir):
     """Update mode: the store ends with each word's total."""
-    arrived = tables.as_lines(tables.streamed_events(spark, sf_dir))
+    arrived = tables.as_lines(tables.streamed_events(spark, sf_dir, closing=False))
     home = shared_dir(spark, "word-totals")
     store = UpsertTable(f"{home}/rows", ["word"], ["n"])
     jobs.run_available(jobs.word_totals(arrived), store.write, f"{home}/checkpoint", "update")
@@ -509,7 +552,7 @@ def stream_counters(spark, sf_dir):
 @query
 def stream_counter_slices(spark, sf_dir):
     """Counters from slice sums that the stream keeps up to date."""
-    sums = jobs.counter_slices(_event_stream(spark, sf_dir), "media_id", LONG)
+    sums = jobs.counter_slices(_event_stream(spark, sf_dir, closing=False), "media_id", LONG)
     home = shared_dir(spark, "slices")
     store = UpsertTable(f"{home}/rows", ["feature_name", "key", "slice"], ["last_ts"])
     jobs.run_available(sums, store.write, f"{home}/checkpoint", "update")
@@ -530,7 +573,7 @@ def stream_sliding(spark, sf_dir):
 def stream_candidates(spark, sf_dir):
     """Events to counters to bucket tops to the global list, one query; the list as last written."""
     counters = jobs.event_counters(_event_stream(spark, sf_dir), "media_id", LONG, "1 hour")
-    lists = jobs.top_lists(counters, items.TOP_VIEWS, "view", DAY, K, buckets=8, reserve=1000)
+    lists = jobs.top_lists(counters, items.TOP_VIEWS, "view", DAY, K, buckets=8, reserve=K)
     home = shared_dir(spark, "candidates")
     store = UpsertTable(f"{home}/rows", ["name"], ["updated"])
     jobs.run_available(lists, store.write, f"{home}/checkpoint")
@@ -543,7 +586,7 @@ def stream_counters_and_list(spark, sf_dir):
     counters = jobs.event_counters(_event_stream(spark, sf_dir), "media_id", LONG, "1 hour")
     home = shared_dir(spark, "two-sinks")
     table = UpsertTable(f"{home}/counters", ["feature_name", "key"], ["window_end"])
-    best = TopListTable(f"{home}/list", items.TOP_VIEWS, "view", DAY, K)
+    best = TopListTable(f"{home}/list", items.TOP_VIEWS, "view", DAY, K, reserve=K, counters=table)
     jobs.run_available(counters, fan_out_writer(table.write, best.write), f"{home}/checkpoint")
     return _rounded(topk.ranked(best.read(spark)), "score")
 
@@ -552,7 +595,7 @@ def stream_counters_and_list(spark, sf_dir):
 def stream_family_counters(spark, sf_dir):
     """Counters of several key families from one stream."""
     features = families.as_features(
-        _event_stream(spark, sf_dir), {"media": ["media_id"], "user_creator": ["user_id", "creator_id"]}
+        _event_stream(spark, sf_dir, closing=False), {"media": ["media_id"], "user_creator": ["user_id", "creator_id"]}
     )
     home = shared_dir(spark, "families")
     store = UpsertTable(f"{home}/rows", ["feature_name", "key", "slice"], ["last_ts"])
@@ -563,7 +606,7 @@ def stream_family_counters(spark, sf_dir):
 @query
 def stream_ratio_topk(spark, sf_dir):
     """Best purchase/view ratios from counts that the stream keeps up to date."""
-    counts = engagement.ratios(_event_stream(spark, sf_dir), ["media_id"], "purchase", "view")
+    counts = engagement.ratios(_event_stream(spark, sf_dir, closing=False), ["media_id"], "purchase", "view")
     home = shared_dir(spark, "ratios")
     store = UpsertTable(f"{home}/rows", ["media_id"], ["whole", "part"])
     jobs.run_available(counts, store.write, f"{home}/checkpoint", "update")

@@ -158,8 +158,6 @@ LIFETIME = """SELECT {keys}, window_start, window_end, n,
        CAST(sum(n) OVER (PARTITION BY {keys} ORDER BY window_start) AS BIGINT) AS total FROM w"""
 EV1 = "e AS (SELECT *, 1 AS n FROM ev)"
 MEDIA_EACH = f"WITH {EV}, {EV1}, {_final('event_name, media_id', [HOUR, DAY, WEEK], 'e')}"
-CLOSED_EVENTS = "window_end <= (SELECT max(event_ts) FROM ev)"
-CLOSED_LINES = "window_end * 1000 <= (SELECT max(epoch_ms(ts)) FROM events)"
 
 CREATOR_AFFINITY = f"""WITH {EV},
 posts AS (SELECT creator_id, media_id, {_counts_of('view')} AS views FROM ev GROUP BY creator_id, media_id),
@@ -189,8 +187,7 @@ BEST_RATIOS = f"""WITH {EV}, x AS (
 SELECT media_id, part, whole, round(part / whole, 6) AS ratio FROM x WHERE whole >= 15
 ORDER BY part / whole DESC, media_id LIMIT 20"""
 
-STREAM_LIST = f"""WITH {EV}, {_windows('event_name, media_id', HOUR, name='every')},
-w AS (SELECT * FROM every WHERE {CLOSED_EVENTS}), {_final('event_name, media_id', [DAY], 'w')}
+STREAM_LIST = f"""WITH {EV}, {_windows('event_name, media_id', HOUR)}, {_final('event_name, media_id', [DAY], 'w')}
 SELECT 'TopViews' AS name, CAST(row_number() OVER (ORDER BY value DESC, media_id) AS INTEGER) AS rank, media_id,
        round(value, 6) AS score
 FROM c WHERE event_name = 'view' ORDER BY rank LIMIT 20"""
@@ -227,6 +224,16 @@ FROM late GROUP BY event_name, media_id, arrived // 86400 * 86400""",
 x AS (SELECT event_name, event_ts // 300 * 300 - unnest(range(0, 3600, 300)) AS window_start FROM ev)
 SELECT event_name, window_start, window_start + 3600 AS window_end, count(*) AS n FROM x GROUP BY event_name, window_start""",
     "lifetime_count": f"WITH {EV}, {_windows('event_name, user_id', 5)} {LIFETIME.format(keys='event_name, user_id')}",
+    "lifetime_null_keys": f"""WITH {EV},
+nulled AS (SELECT * REPLACE (nullif(CASE WHEN CAST(user_id AS BIGINT) % 7 = 0 THEN '' ELSE user_id END, '') AS user_id) FROM ev),
+{_windows('event_name, user_id', 5, 'nulled')} {LIFETIME.format(keys='event_name, user_id')}""",
+    "upsert_restart": f"WITH {EV} SELECT event_name, CAST(2 * count(*) AS BIGINT) AS n FROM ev GROUP BY event_name",
+    "topk_falling_scores": f"""WITH {EV},
+p AS (SELECT media_id, CAST(floor(({AS_OF} - event_ts) / {10 * DAY}) AS BIGINT) AS period, count(*) AS n
+      FROM ev WHERE event_name = 'view' GROUP BY ALL),
+l AS (SELECT media_id, CAST(arg_min(n, period) AS DOUBLE) AS score FROM p GROUP BY media_id)
+SELECT 'TopViews' AS name, CAST(row_number() OVER (ORDER BY score DESC, media_id) AS INTEGER) AS rank, media_id, score
+FROM l ORDER BY rank LIMIT 3""",
     "state_ttl_lifetime": f"""WITH {EV}, {_windows('event_name, user_id', 5)}, {_lives(2 * DAY)}
 SELECT event_name, user_id, CAST(life AS BIGINT) AS life, window_start, window_end, n,
        CAST(sum(n) OVER (PARTITION BY event_name, user_id, life ORDER BY window_start) AS BIGINT) AS total FROM l""",
@@ -285,26 +292,23 @@ FROM ev WHERE event_ts > {AS_OF - 30 * DAY} AND event_ts <= {AS_OF} GROUP BY eve
     "amount_sums": f"WITH {EV} SELECT user_id, event_name, round(sum(value), 6) AS total, count(*) AS n FROM ev GROUP BY user_id, event_name",
     "viewed_not_purchased": _missing("user_id, media_id", 5 * DAY),
     "viewed_not_purchased_user": _missing("user_id", HOUR),
-    "stream_word_windows": f"WITH {EV}, {_word_windows(HOUR)} SELECT * FROM w WHERE {CLOSED_LINES}",
+    "stream_word_windows": f"WITH {EV}, {_word_windows(HOUR)} SELECT * FROM w",
     "stream_word_totals": f"WITH {EV} SELECT word, count(*) AS n FROM ({_words('ev', 'line')}) WHERE word <> '' GROUP BY word",
     "stream_lifetime": f"""WITH {EV}, {_windows('event_name, user_id', HOUR)}
-SELECT * FROM ({LIFETIME.format(keys='event_name, user_id')}) WHERE {CLOSED_EVENTS}""",
+SELECT * FROM ({LIFETIME.format(keys='event_name, user_id')})""",
     "stream_counters": f"""WITH {EV}, {_windows('event_name, media_id', HOUR)}
 SELECT event_name AS feature_name, media_id AS key, * EXCLUDE (event_name, media_id)
-FROM ({_running('media_id', [HOUR, DAY, WEEK])}) WHERE {CLOSED_EVENTS}""",
+FROM ({_running('media_id', [HOUR, DAY, WEEK])})""",
     "stream_counter_slices": f"""{MEDIA_EACH}
 SELECT event_name AS feature_name, media_id AS key, decay_interval, last_update, round(value, 6) AS value FROM c""",
     "stream_sliding": f"""WITH {EV},
 x AS (SELECT event_name, event_ts // 1200 * 1200 - unnest(range(0, 3600, 1200)) AS window_start FROM ev)
-SELECT event_name, window_start, count(*) AS n FROM x
-WHERE window_start + 3600 <= (SELECT max(event_ts) FROM ev) GROUP BY event_name, window_start""",
+SELECT event_name, window_start, count(*) AS n FROM x GROUP BY event_name, window_start""",
     "stream_candidates": STREAM_LIST,
     "stream_counters_and_list": STREAM_LIST,
     "stream_family_counters": _feature_counters(),
     "stream_ratio_topk": BEST_RATIOS,
-    "stream_viewed_not_purchased": _missing(
-        "user_id", HOUR, "AND event_ts + 3601 <= (SELECT max(event_ts) FROM ev WHERE event_name IN ('view', 'purchase'))"
-    ),
+    "stream_viewed_not_purchased": _missing("user_id", HOUR),
     "stream_replayed_lines": f"""WITH {EV} SELECT event_name, media_id, count(*) AS n FROM ev
 WHERE event_name IN ('view', 'purchase') GROUP BY event_name, media_id""",
 }

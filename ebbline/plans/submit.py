@@ -83,9 +83,11 @@ def build(spark: SparkSession, args: argparse.Namespace) -> DataStreamWriter:
     counters = jobs.event_counters(events, key, INTERVALS, WINDOW, args.delay, args.event_time, ttl)
     if not args.output:
         return to_console(counters, args.checkpoint)
-    writers = [UpsertTable(f"{args.output}/counters", ["feature_name", "key"], ["window_end"]).write]
+    table = UpsertTable(f"{args.output}/counters", ["feature_name", "key"], ["window_end"])
+    writers = [table.write]
     if args.job == "candidates":
-        best = TopListTable(f"{args.output}/candidates", items.TOP_VIEWS, FEATURE, SCORE_INTERVAL, LIST_SIZE)
+        place = f"{args.output}/candidates"
+        best = TopListTable(place, items.TOP_VIEWS, FEATURE, SCORE_INTERVAL, LIST_SIZE, counters=table)
         writers.append(best.write)
     return _upserted(counters, args, fan_out_writer(*writers))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from itertools import islice
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbline.operators.topk import candidate_list, last_per_key, scores, top_k
@@ -14,41 +14,92 @@ from ebbline.operators.topk import candidate_list, last_per_key, scores, top_k
 MAX_BATCH = 20
 
 
+def _folder(spark: SparkSession, path: str):
+    """Hadoop's file system and path, for folders only Spark can reach."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def _names(spark: SparkSession, path: str, prefix: str) -> list[str]:
+    """Names in a folder that begin with ``prefix``, sorted."""
+    fs, where = _folder(spark, path)
+    found = [s.getPath().getName() for s in fs.listStatus(where)] if fs.exists(where) else []
+    return sorted(n for n in found if n.startswith(prefix))
+
+
+def _run(spark: SparkSession) -> str:
+    """The streaming query that calls, the same after a restart from its checkpoint."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
+
+
 class UpsertTable:
     """Whole-row replacement by key, in a shared folder.
 
     Each micro-batch writes its last row per key to a folder of its own, named by
-    the batch id, so a replayed batch overwrites itself.  Readers take the newest
-    row per key.  ``keys`` may be a prefix of the true key to drop all but the
-    last row of that prefix within a batch.
+    the run and the batch, so a replayed batch overwrites itself and a run with a
+    new checkpoint comes after all earlier ones.  Readers take the newest row per
+    key.  After ``compact_every`` batches the present rows begin a new generation
+    of folders; the generation before the last is removed, so a reader has at
+    least that many batches' time.  ``keys`` may be a prefix of the true key to
+    drop all but the last row of that prefix within a batch.
     """
 
-    def __init__(self, path: str, keys: list[str], order: list[str], within_batch: list[str] | None = None):
+    def __init__(
+        self, path: str, keys: list[str], order: list[str], within_batch: list[str] | None = None, compact_every: int = 50
+    ):
         self.path, self.keys, self.order = path, keys, order
         self.within_batch = within_batch or keys
+        self.compact_every = compact_every
+
+    def _generation(self, spark: SparkSession) -> str:
+        """The newest whole generation."""
+        whole = [n for n in _names(spark, self.path, "generation-") if not n.endswith("-unfinished")]
+        return f"{self.path}/{whole[-1]}" if whole else f"{self.path}/generation-000000"
 
     def write(self, rows: DataFrame, batch_id: int) -> None:
         """The ``foreachBatch`` function."""
-        last_per_key(rows, self.within_batch, self.order).write.mode("overwrite").parquet(
-            f"{self.path}/batch_id={batch_id}"
-        )
+        spark = rows.sparkSession
+        home, own = self._generation(spark), _run(spark)
+        runs = _names(spark, home, "run=")
+        run = next((r for r in runs if r.endswith(f"-{own}")), None)
+        if run is None:
+            number = int(runs[-1].removeprefix("run=").split("-")[0]) + 1 if runs else 1
+            run = f"run={number:06d}-{own}"
+        last_per_key(rows, self.within_batch, self.order).write.mode("overwrite").parquet(f"{home}/{run}/batch_id={batch_id}")
+        if sum(len(_names(spark, f"{home}/{r}", "batch_id=")) for r in {*runs, run}) > self.compact_every:
+            self.compact(spark)
+
+    def compact(self, spark: SparkSession) -> None:
+        """Begin a new generation with the present rows."""
+        number = int(self._generation(spark).rsplit("-", 1)[1]) + 1
+        new = f"{self.path}/generation-{number:06d}"
+        # run 0 is older than any batch of the new generation, a replayed one too
+        self.read(spark).write.mode("overwrite").parquet(f"{new}-unfinished/run=000000-base/batch_id=0")
+        fs, unfinished = _folder(spark, f"{new}-unfinished")
+        fs.rename(unfinished, _folder(spark, new)[1])
+        fs.delete(_folder(spark, f"{self.path}/generation-{number - 2:06d}")[1], True)
+
+    def _rows(self, spark: SparkSession) -> DataFrame:
+        return spark.read.parquet(self._generation(spark))
+
+    def _newest(self, rows: DataFrame) -> DataFrame:
+        return last_per_key(rows, self.keys, ["run", "batch_id", *self.order]).drop("run", "batch_id")
 
     def read(self, spark: SparkSession) -> DataFrame:
         """The newest row of each key."""
-        rows = spark.read.parquet(self.path)
-        return last_per_key(rows, self.keys, ["batch_id", *self.order]).drop("batch_id")
+        return self._newest(self._rows(spark))
 
     def get(self, spark: SparkSession, **key) -> DataFrame:
         """Rows of one key; the condition reaches the file scan."""
-        rows = spark.read.parquet(self.path)
+        rows = self._rows(spark)
         for column, wanted in key.items():
             rows = rows.where(F.col(column) == wanted)
-        return last_per_key(rows, self.keys, ["batch_id", *self.order]).drop("batch_id")
+        return self._newest(rows)
 
     def snapshot(self, spark: SparkSession, path: str) -> UpsertTable:
-        """The present rows as a new table, to shed replaced ones."""
-        newer = UpsertTable(path, self.keys, self.order, self.within_batch)
-        self.read(spark).write.mode("overwrite").parquet(f"{path}/batch_id=-1")
+        """The present rows as a new table."""
+        newer = UpsertTable(path, self.keys, self.order, self.within_batch, self.compact_every)
+        self.read(spark).write.mode("overwrite").parquet(f"{path}/generation-000000/run=000000-base/batch_id=0")
         return newer
 
 
@@ -57,29 +108,78 @@ class TopListTable:
 
     The second sink of a counter stream: it needs no state of its own, since the
     list before a batch is the stored one.  Two folders take turns, so a replayed
-    batch starts again from the list before it.  ``reserve`` ids are kept; an id
-    that left them comes back with its next event.
+    batch starts again from the list before it.
+
+    With ``counters``, the table of the latest counters (written before this
+    one), ``reserve`` ids are kept and a mark: the highest score among all
+    others.  When fewer than ``k`` of the kept are above the mark, the list is
+    taken anew from that table; so it is exact at any reserve.  Without it every
+    id is kept.
     """
 
-    def __init__(self, path: str, name: str, feature: str, interval: int, k: int, reserve: int | None = None):
+    def __init__(
+        self,
+        path: str,
+        name: str,
+        feature: str,
+        interval: int,
+        k: int,
+        reserve: int | None = None,
+        counters: UpsertTable | None = None,
+    ):
         self.path, self.name, self.feature, self.interval, self.k = path, name, feature, interval, k
         self.reserve = max(k, 4 * k if reserve is None else reserve)
+        self.counters = counters
+
+    def _cut(self, rows: DataFrame, mark: float | None) -> tuple[list, float | None]:
+        """The best ``reserve`` rows, and the mark of what is left out."""
+        best = top_k(rows.select("media_id", "score", "last_update"), self.reserve + 1).collect()  # bounded by the reserve
+        out = [r["score"] for r in best[self.reserve :]]
+        return best[: self.reserve], max([*out, *([] if mark is None else [mark])], default=None)
 
     def write(self, counters: DataFrame, batch_id: int) -> None:
         """The ``foreachBatch`` function; rows have feature_name, key, window_end and counts."""
+        spark, run = counters.sparkSession, _run(counters.sparkSession)
         newest = last_per_key(counters.where(F.col("feature_name") == self.feature), ["feature_name", "key"], ["window_end"])
-        rows = scores(newest, self.feature, self.interval).withColumn("batch", F.lit(batch_id).cast("bigint"))
-        if batch_id > 0:
-            before = counters.sparkSession.read.parquet(f"{self.path}/turn={(batch_id - 1) % 2}").drop("version")
-            rows = last_per_key(before.unionByName(rows), ["media_id"], ["batch"])
-        kept = top_k(rows, self.reserve).withColumn("version", F.lit(batch_id).cast("bigint"))
-        kept.write.mode("overwrite").parquet(f"{self.path}/turn={batch_id % 2}")
+        rows = scores(newest, self.feature, self.interval).withColumn("batch", F.lit(1))
+        turns = [r.asDict() for r in self._turns(spark)]  # two at most
+        own = [t for t in turns if (t["run"], t["batch_id"]) == (run, batch_id)]
+        others = [t for t in turns if t not in own]
+        mark, version, turn = None, 0, own[0]["turn"] if own else 0
+        if others:
+            before = others[-1]
+            mark, version = before["mark"], before["version"] + 1
+            turn = 1 - before["turn"]
+            kept = spark.read.parquet(f"{self.path}/turn={before['turn']}").where("media_id is not null")
+            kept = kept.select("media_id", "score", "last_update", F.lit(0).alias("batch"))
+            rows = last_per_key(kept.unionByName(rows), ["media_id"], ["batch"])
+        if self.counters is None:
+            self._store(rows.select("media_id", "score", "last_update"), turn, run, batch_id, version, None)
+            return
+        best, mark = self._cut(rows, mark)
+        if mark is not None and sum(r["score"] > mark for r in best[: self.k]) < self.k:
+            best, mark = self._cut(scores(self.counters.read(spark), self.feature, self.interval), None)
+        table = spark.createDataFrame(best, "media_id string, score double, last_update bigint")
+        self._store(table, turn, run, batch_id, version, mark)
+
+    def _store(self, rows: DataFrame, turn: int, run: str, batch_id: int, version: int, mark: float | None) -> None:
+        # a row without id says that the batch was written, if the list is empty
+        blank = rows.sparkSession.createDataFrame([(None, None, None)], rows.schema)
+        about = {"run": F.lit(run), "batch_id": F.lit(batch_id).cast("bigint"), "version": F.lit(version).cast("bigint")}
+        about["mark"] = F.lit(mark).cast("double")
+        rows.unionByName(blank).withColumns(about).write.mode("overwrite").parquet(f"{self.path}/turn={turn}")
+
+    def _turns(self, spark: SparkSession) -> list:
+        """What is stored in the two folders, the older first."""
+        if not _names(spark, self.path, "turn="):
+            return []
+        rows = spark.read.parquet(self.path).where("media_id is null")
+        return rows.select("turn", "run", "batch_id", "version", "mark").orderBy("version").collect()
 
     def read(self, spark: SparkSession) -> DataFrame:
         """The list as one row: ``name``, ``candidates``."""
-        rows = spark.read.parquet(self.path)
-        newest = Window.partitionBy(F.lit(1))
-        current = rows.withColumn("_newest", F.max("version").over(newest)).where(F.col("version") == F.col("_newest"))
+        newest = self._turns(spark)[-1]
+        current = spark.read.parquet(f"{self.path}/turn={newest['turn']}").where("media_id is not null")
         return candidate_list(current, self.name, self.k)
 
 

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ebbline.session import shared_dir
+
 # The stream of engagement as it is stored.
 STORED_EVENTS = T.StructType(
     [
@@ -18,15 +22,31 @@ STORED_EVENTS = T.StructType(
     ]
 )
 CREATORS = 20
+PORTIONS = 5
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def streamed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # a pattern, since a streamed path must otherwise be a folder; the table may be one file
-    return spark.readStream.schema(STORED_EVENTS).parquet(f"{sf_dir}/events.parque[t]")
+def streamed_events(spark: SparkSession, sf_dir: str, closing: bool = True) -> DataFrame:
+    """The events as they arrive: files in the order of time, one per micro-batch.
+
+    ``closing`` adds a last file with one view a day later, by user and of media -1, which closes all windows before.
+    """
+    stored = table(spark, sf_dir, "events").select([f.name for f in STORED_EVENTS])
+    folder = shared_dir(spark, "arriving")
+    first, last = stored.agg(F.min("ts"), F.max("ts")).first()
+    spark.createDataFrame([], STORED_EVENTS).write.parquet(folder)
+    if first is not None:
+        bounds = [first + (last - first) * i / PORTIONS for i in range(1, PORTIONS)]
+        number = sum((F.col("ts") >= F.lit(b).cast("timestamp_ntz")).cast("int") for b in bounds)
+        for i in range(PORTIONS):  # a write each, since files are taken in the order of their making
+            stored.where(F.coalesce(number, F.lit(0)) == i).coalesce(1).write.mode("append").parquet(folder)
+        if closing:
+            end = [(None, last + timedelta(days=1), -1, "view", 0.0, '{"k": -1}')]
+            spark.createDataFrame(end, STORED_EVENTS).coalesce(1).write.mode("append").parquet(folder)
+    return spark.readStream.schema(STORED_EVENTS).option("maxFilesPerTrigger", 1).parquet(folder)
 
 
 def _text(c: Column) -> Column:

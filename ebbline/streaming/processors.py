@@ -9,6 +9,7 @@ from __future__ import annotations
 import sys
 from bisect import bisect_left, insort
 from collections.abc import Iterable, Iterator
+from heapq import nsmallest
 from math import exp
 
 from pyspark import cloudpickle
@@ -128,10 +129,13 @@ def _tuples(candidates: Iterable[dict]) -> list[tuple]:
 class BucketTop(StatefulProcessor):
     """Filter in front of the global list: each bucket of ids keeps its own top.
 
-    ``latest`` forwards the bucket's whole top whenever it changed, so falling
-    scores reach the global list; ``improvements`` forwards only candidates that
-    are new to the top or rose, in the order they came.  ``reserve`` entries are
-    kept, so that an id pushed out by a score that fell again can come back.
+    ``latest`` keeps the latest score of every id, and beside them the ``reserve``
+    best and a mark: the highest score among the others.  While enough of the
+    reserve is above the mark, the others cannot matter; when scores fell so far
+    that they might, reserve and mark are taken anew from all scores.  The
+    bucket's top is forwarded whenever it changed.  ``improvements`` keeps only
+    ``size`` candidates and forwards those that are new to them or rose, in the
+    order they came.
     """
 
     def __init__(self, size: int, reserve: int, mode: str, ttl_ms: int | None = None):
@@ -139,25 +143,49 @@ class BucketTop(StatefulProcessor):
         self.kept = size if mode == "improvements" else max(size, reserve)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("top", f"top {CANDIDATES}", self.ttl_ms)
+        self.state = handle.getValueState("top", f"top {CANDIDATES}, mark double", self.ttl_ms)
+        if self.mode == "latest":
+            self.all = handle.getMapState("all", "media_id string", "score double, last_update bigint", self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         stored = self.state.get()
+        before = [tuple(c) for c in stored[0]] if stored else []
+        if self.mode == "improvements":
+            changed = self._improved(before, rows)
+        else:
+            changed = self._latest(before, stored[1] if stored else None, rows)
+        if changed:
+            yield Row(bucket=key[0], candidates=_rows(changed))
+
+    def _improved(self, before: list[tuple], rows: Iterator[Row]) -> list[tuple]:
         # the list is stored best first, a later put counts as newer
-        top = BoundedTop(self.kept, [tuple(c) for c in stored[0]] if stored else [])
-        before = _by_score(top.best())[: self.size]
-        improved = []
+        top, improved = BoundedTop(self.kept, before), []
         for row in sorted(rows, key=lambda r: (r["window_start"], r["media_id"])):
             candidate = (row["media_id"], row["score"], row["last_update"])
             if top.put(*candidate):
                 improved.append(candidate)
-        self.state.update((top.best(),))
-        after = _by_score(top.best())[: self.size]
-        if self.mode == "improvements":
-            if improved:
-                yield Row(bucket=key[0], candidates=_rows(improved))
-        elif after != before:
-            yield Row(bucket=key[0], candidates=_rows(after))
+        self.state.update((top.best(), None))
+        return improved
+
+    def _latest(self, before: list[tuple], mark: float | None, rows: Iterator[Row]) -> list[tuple]:
+        newest: dict[str, tuple] = {}
+        for row in rows:
+            at = newest.get(row["media_id"])
+            if at is None or row["window_start"] >= at[0]:
+                newest[row["media_id"]] = (row["window_start"], row["score"], row["last_update"])
+        for media_id, (_, score, last_update) in newest.items():
+            self.all.updateValue((media_id,), (score, last_update))
+        merged = [c for c in before if c[0] not in newest]
+        merged = _by_score(merged + [(m, score, at) for m, (_, score, at) in newest.items()])
+        for _, score, _ in merged[self.kept :][:1]:
+            mark = score if mark is None else max(mark, score)
+        top = merged[: self.kept]
+        if mark is not None and sum(c[1] > mark for c in top[: self.size]) < self.size:
+            every = ((m, score, at) for (m,), (score, at) in self.all.iterator())
+            best = nsmallest(self.kept + 1, every, key=lambda c: (-c[1], c[0]))
+            top, mark = best[: self.kept], best[self.kept][1] if len(best) > self.kept else None
+        self.state.update((top, mark))
+        return top[: self.size] if top[: self.size] != before[: self.size] else []
 
     def close(self) -> None:
         pass

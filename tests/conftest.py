@@ -8,7 +8,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from ebbline.session import prepare  # noqa: E402
 
-BASE = 1_707_605_000
+BASE = 1_690_000_000
 
 
 @pytest.fixture(scope="session")

@@ -1,77 +1,79 @@
-"""Sample events and the values expected for them, computed by hand from the rules."""
+"""Events made up for the tests; what is expected of them follows from the rules by direct sums."""
 
 import json
+from math import exp
 
-USER_EVENTS = [
-    ("like", "1234", "7777", 599),
-    ("like", "1235", "7777", 599),
-    ("view", "1234", "7777", 599),
-    ("like", "1235", "7777", 599),
-    ("like", "1234", "7776", 601),
-    ("like", "1235", "7777", 599),
-    ("like", "1236", "7777", 599),
-    ("like", "1234", "7776", 601),
-    ("like", "1237", "7776", 601),
-    ("like", "1235", "7776", 602),
-    ("view", "1234", "7777", 599),
-    ("view", "1235", "7777", 599),
-    ("view", "1236", "7777", 599),
-    ("view", "1234", "7776", 602),
-    ("view", "1237", "7776", 601),
-    ("view", "1235", "7776", 603),
-    ("view", "1234", "7776", 607),
+INTERVALS = [5, 10, 15]
+T0 = 1_690_000_000
+
+# (event, user, creator, second): a tie, a stamp earlier than the one before, a silent stretch, a user of one kind only
+EVENTS = [
+    ("view", "ann", "kiosk", 3),
+    ("like", "ann", "kiosk", 4),
+    ("view", "bo", "kiosk", 4),
+    ("view", "ann", "mill", 4),
+    ("like", "cy", "mill", 2),
+    ("view", "ann", "kiosk", 8),
+    ("like", "ann", "kiosk", 9),
+    ("like", "ann", "mill", 7),
+    ("view", "bo", "kiosk", 12),
+    ("view", "ann", "kiosk", 13),
+    ("view", "dee", "mill", 13),
+    ("view", "dee", "mill", 13),
+    ("like", "cy", "kiosk", 41),
+    ("view", "ann", "kiosk", 43),
+    ("view", "bo", "mill", 44),
 ]
-T0 = 1_707_605_000
+MEDIA_GAPS = [0, 6, 13, 20, 45, 51]  # seconds at which one media is viewed, no two in one window
 
 
-def user_lines(rows=USER_EVENTS):
+def user_lines(rows=EVENTS):
     return [json.dumps({"eventName": n, "userId": u, "creatorId": c, "eventTs": T0 + t}) for n, u, c, t in rows]
 
 
-SENTINEL = json.dumps({"eventName": "view", "userId": "sentinel", "eventTs": T0 + 700})
-
-# (event, user, window start): first_ts, n, value at 5, 10 and 15 s
-USER_COUNTERS = {
-    ("like", "1234", 595): (599, 1, 1.0, 1.0, 1.0),
-    ("like", "1235", 595): (599, 3, 3.0, 3.0, 3.0),
-    ("like", "1236", 595): (599, 1, 1.0, 1.0, 1.0),
-    ("view", "1234", 595): (599, 2, 2.0, 2.0, 2.0),
-    ("view", "1235", 595): (599, 1, 1.0, 1.0, 1.0),
-    ("view", "1236", 595): (599, 1, 1.0, 1.0, 1.0),
-    ("like", "1234", 600): (601, 2, 2.670320046036, 2.818730753078, 2.875173319043),
-    ("like", "1235", 600): (602, 1, 2.646434908282, 3.222454662045, 3.456192259234),
-    ("like", "1237", 600): (601, 1, 1.0, 1.0, 1.0),
-    ("view", "1234", 600): (602, 1, 2.097623272188, 2.481636441363, 2.637461506156),
-    ("view", "1235", 600): (603, 1, 1.449328964117, 1.670320046036, 1.765928338365),
-    ("view", "1237", 600): (601, 1, 1.0, 1.0, 1.0),
-    ("view", "1234", 605): (607, 1, 1.771672477161, 2.505188587947, 2.889823749594),
-}
-LIFETIME = {
-    ("like", "1234"): 3,
-    ("like", "1235"): 4,
-    ("like", "1236"): 1,
-    ("like", "1237"): 1,
-    ("view", "1234"): 4,
-    ("view", "1235"): 2,
-    ("view", "1236"): 1,
-    ("view", "1237"): 1,
-}
-
-# seven views of one media, 10 s apart: value at 15 s after each
-MEDIA_T0 = 1_707_993_084
-MEDIA_SCORES = [
-    1.0,
-    1.513417119033,
-    1.777014257148,
-    1.912349540385,
-    1.981832991608,
-    2.017506984955,
-    2.035822623844,
-]
+SENTINEL = json.dumps({"eventName": "view", "userId": "sentinel", "eventTs": T0 + 900})
+
+
+def windows_of(rows=EVENTS, length=5):
+    """``{(event, user, window start): (first second, n)}``."""
+    out = {}
+    for name, user, _, t in rows:
+        key = (name, user, t - t % length)
+        first, n = out.get(key, (t, 0))
+        out[key] = (min(first, t), n + 1)
+    return out
+
 
+def counters_of(rows=EVENTS, intervals=INTERVALS):
+    """``{(event, user, window start): [value by interval]}`` at the close of each window."""
+    windows = windows_of(rows)
+    return {
+        (name, user, start): [
+            sum(
+                n * exp((at - now) / d)
+                for (name_, user_, start_), (at, n) in windows.items()
+                if (name_, user_) == (name, user) and start_ <= start
+            )
+            for d in intervals
+        ]
+        for (name, user, start), (now, _) in windows.items()
+    }
 
-def media_lines(media="1237", n=7, t0=MEDIA_T0):
+
+def lifetime_of(rows=EVENTS):
+    out = {}
+    for name, user, _, _ in rows:
+        out[name, user] = out.get((name, user), 0) + 1
+    return out
+
+
+def media_lines(media="reel", n=len(MEDIA_GAPS), t0=T0):
     return [
-        json.dumps({"eventName": "view", "userId": "u", "creatorId": "7776", "mediaId": media, "eventTs": t0 + 10 * i})
-        for i in range(n)
+        json.dumps({"eventName": "view", "userId": "u", "creatorId": "mill", "mediaId": media, "eventTs": t0 + t})
+        for t in MEDIA_GAPS[:n]
     ]
+
+
+def media_scores(interval, n=len(MEDIA_GAPS)):
+    """The counter's value after each view."""
+    return [sum(exp((s - t) / interval) for s in MEDIA_GAPS[: i + 1]) for i, t in enumerate(MEDIA_GAPS[:n])]

@@ -134,10 +134,10 @@ def test_item_shapes(spark):
     word = spark.createDataFrame([("hello", 3)], "word string, n bigint")
     assert items.word_items(word).first()["item"] == '{"word":{"S":"hello"},"count":{"N":"3"}}'
     counters = spark.createDataFrame(
-        [("1234", "view", {5: (5, 100, 1.5)})], f"key string, feature_name string, counts map<bigint,{COUNTER}>"
+        [("5150", "view", {5: (5, 100, 1.5)})], f"key string, feature_name string, counts map<bigint,{COUNTER}>"
     )
     assert items.counter_items(counters).first()["item"] == (
-        '{"key":{"S":"1234"},"featureName":{"S":"view"},"counts":{"M":{"5":{"M":'
+        '{"key":{"S":"5150"},"featureName":{"S":"view"},"counts":{"M":{"5":{"M":'
         '{"decayInterval":{"N":"5"},"lastUpdate":{"N":"100"},"value":{"N":"1.5"}}}}}}'
     )
     lists = spark.createDataFrame(
@@ -180,7 +180,7 @@ def test_connector_options():
 
 def test_arrival_units(spark):
     row = spark.range(1).select(
-        F.unix_seconds(lines.arrival_time(F.lit(1_707_605_599), in_seconds=True)),
-        F.unix_seconds(lines.arrival_time(F.lit(1_707_605_599_000))),
+        F.unix_seconds(lines.arrival_time(F.lit(1_690_000_099), in_seconds=True)),
+        F.unix_seconds(lines.arrival_time(F.lit(1_690_000_099_000))),
     ).first()
-    assert row[0] == row[1] == 1_707_605_599
+    assert row[0] == row[1] == 1_690_000_099

@@ -5,7 +5,7 @@ import pytest
 from ebbline.functions import items
 from ebbline.plans import submit
 from ebbline.sinks.tables import TopListTable, UpsertTable
-from tests.samples import LIFETIME, SENTINEL, media_lines, user_lines
+from tests.samples import SENTINEL, lifetime_of, media_lines, user_lines
 
 
 def _argv(job, folder, tmp_path, *more):
@@ -17,17 +17,17 @@ def test_counters(spark, write_lines, tmp_path):
     out = str(tmp_path / "out")
     submit.main(_argv("counters", folder, tmp_path, "--output", out, "--event-time", "payload"))
     table = UpsertTable(f"{out}/counters", ["feature_name", "key"], ["window_end"])
-    assert {(r["feature_name"], r["key"]) for r in table.read(spark).collect()} == set(LIFETIME)
-    assert items.read_counter_items(items.counter_items(table.read(spark))).count() == 3 * len(LIFETIME)
+    assert {(r["feature_name"], r["key"]) for r in table.read(spark).collect()} == set(lifetime_of())
+    assert items.read_counter_items(items.counter_items(table.read(spark))).count() == 3 * len(lifetime_of())
 
 
 def test_candidates(spark, write_lines, tmp_path):
     end = media_lines("end", 1, 1_800_000_000)
-    folder = write_lines(media_lines("1237", 7) + media_lines("55", 2) + end)
+    folder = write_lines(media_lines("reel") + media_lines("clip", 2) + end)
     out = str(tmp_path / "out")
     submit.main(_argv("candidates", folder, tmp_path, "--output", out, "--event-time", "payload"))
     best = TopListTable(f"{out}/candidates", items.TOP_VIEWS, "view", 15, 500).read(spark).first()
-    assert best["name"] == "TopViews" and [c["media_id"] for c in best["candidates"]] == ["1237", "55"]
+    assert best["name"] == "TopViews" and [c["media_id"] for c in best["candidates"]] == ["reel", "clip"]
 
 
 @pytest.mark.parametrize("job", ["words", "lifetime"])
@@ -74,6 +74,29 @@ def test_list_table_replays_a_batch(spark, tmp_path):
     assert [tuple(c) for c in table.read(spark).first()["candidates"]] == [("c", 9.0), ("b", 2.0)]
 
 
+@pytest.mark.parametrize("with_table", [True, False])
+def test_falling_scores_bring_others_back(spark, tmp_path, with_table):
+    from ebbline.schemas import COUNTER
+
+    def counters(at, scores):
+        return spark.createDataFrame(
+            [("view", m, at, {15: (15, at, v)}) for m, v in scores.items()],
+            f"feature_name string, key string, window_end bigint, counts map<bigint,{COUNTER}>",
+        )
+
+    table = UpsertTable(str(tmp_path / "counters"), ["feature_name", "key"], ["window_end"])
+    best = TopListTable(str(tmp_path / "list"), "best", "view", 15, 1, reserve=1, counters=table if with_table else None)
+    latest = {}
+    batches = [{f"m{i}": 10.0 - i for i in range(6)}, {f"m{i}": 0.01 for i in range(4)}, {"m4": 0.5}, {}, {"m5": 0.2, "m0": 0.3}]
+    for batch, scores in enumerate(batches):
+        latest |= scores
+        for _ in range(2):  # each batch replayed
+            table.write(counters(batch, scores), batch)
+            best.write(counters(batch, scores), batch)
+        top = min(latest.items(), key=lambda c: (-c[1], c[0]))
+        assert [tuple(c) for c in best.read(spark).first()["candidates"]] == [top]
+
+
 def test_tasks_need_no_installed_package(tmp_path):
     """Executors have Spark and NumPy, not this library."""
     import pickle

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ebbline.functions.events import decode_events
 from ebbline.operators import decay, engagement, families, generators, running, topk, windows
-from tests.samples import MEDIA_SCORES, T0, USER_COUNTERS, media_lines, user_lines
+from tests.samples import T0, counters_of, media_lines, media_scores, user_lines, windows_of
 
 KEYS = ["event_name", "user_id"]
 EVENT = "event_name string, user_id string, creator_id string, media_id string, event_ts bigint, event_count bigint"
@@ -30,22 +30,22 @@ def _events(spark, rows):
 def test_sample_counters(spark):
     counted = windows.window_counts(_decoded(spark, user_lines()), KEYS)
     got = {(r["event_name"], r["user_id"], r["window_start"] - T0): r for r in counted.collect()}
-    assert {k: (r["event_ts"] - T0, r["n"]) for k, r in got.items()} == {k: v[:2] for k, v in USER_COUNTERS.items()}
+    assert {k: (r["event_ts"] - T0, r["n"]) for k, r in got.items()} == windows_of()
     rows = decay.decay_running(counted, KEYS, [5, 10, 15]).collect()
-    assert len(rows) == len(USER_COUNTERS)
+    assert len(rows) == len(counters_of())
     for r in rows:
-        expected = USER_COUNTERS[r["event_name"], r["user_id"], r["window_start"] - T0]
-        assert [r["counts"][d]["value"] for d in (5, 10, 15)] == pytest.approx(expected[2:], abs=1e-11)
-        assert r["counts"][5]["last_update"] == expected[0] + T0
+        key = r["event_name"], r["user_id"], r["window_start"] - T0
+        assert [r["counts"][d]["value"] for d in (5, 10, 15)] == pytest.approx(counters_of()[key], abs=1e-11)
+        assert r["counts"][5]["last_update"] == windows_of()[key][0] + T0
 
 
 def test_sample_media_scores(spark):
     keys = ["event_name", "media_id"]
     counted = windows.window_counts(_decoded(spark, media_lines()), keys)
     rows = decay.decay_running(counted, keys, [5, 10, 15]).orderBy("window_start").collect()
-    assert [r["counts"][15]["value"] for r in rows] == pytest.approx(MEDIA_SCORES, abs=1e-11)
+    assert [r["counts"][15]["value"] for r in rows] == pytest.approx(media_scores(15), abs=1e-11)
     final = decay.decay_final(counted, keys, [15]).first()
-    assert final["counts"][15]["value"] == pytest.approx(MEDIA_SCORES[-1], abs=1e-11)
+    assert final["counts"][15]["value"] == pytest.approx(media_scores(15)[-1], abs=1e-11)
 
 
 def test_timestamp_policies(spark):

@@ -90,3 +90,32 @@ def test_items_read_back(spark):
     assert items.read_word_items(items.word_items(words)).collect() == words.collect()
     with pytest.raises(Exception):
         items.word_items(words, count="missing")
+
+
+def _named_run(monkeypatch, name):
+    from ebbline.sinks import tables
+
+    monkeypatch.setattr(tables, "_run", lambda spark: name)
+
+
+def test_a_new_run_comes_after_older_batches(spark, tmp_path, monkeypatch):
+    store = UpsertTable(str(tmp_path / "t"), ["key"], ["window_end"])
+    _named_run(monkeypatch, "one")
+    for batch in range(3):
+        store.write(_rows(spark, ("u", "like", 10, batch)), batch)
+    _named_run(monkeypatch, "two")
+    store.write(_rows(spark, ("u", "like", 5, 50)), 0)
+    assert store.read(spark).first()["n"] == 50
+    _named_run(monkeypatch, "one")  # an old batch replayed stays old
+    store.write(_rows(spark, ("u", "like", 10, 2)), 2)
+    assert store.read(spark).first()["n"] == 50
+
+
+def test_store_does_not_grow_without_bound(spark, tmp_path):
+    store = UpsertTable(str(tmp_path / "t"), ["key"], ["window_end"], compact_every=3)
+    for batch in range(12):
+        store.write(_rows(spark, (f"u{batch % 2}", "like", batch, batch), ("v", "like", 0, 7)), batch)
+    store.write(_rows(spark, ("u1", "like", 11, 11)), 11)  # a replay after a compaction
+    assert {(r["key"], r["n"]) for r in store.read(spark).collect()} == {("u0", 10), ("u1", 11), ("v", 7)}
+    batches = list((tmp_path / "t").glob("*/run=*/batch_id=*"))
+    assert len(batches) <= 2 * (3 + 2)

@@ -15,7 +15,7 @@ from ebbline.sinks.tables import UpsertTable, to_console, to_files
 from ebbline.sources.lines import replayed_lines, stored_lines
 from ebbline.streaming import jobs
 from ebbline.streaming.processors import BoundedTop
-from tests.samples import LIFETIME, MEDIA_SCORES, SENTINEL, T0, USER_COUNTERS, media_lines, user_lines
+from tests.samples import SENTINEL, T0, counters_of, lifetime_of, media_lines, media_scores, user_lines, windows_of
 
 KEYS = ["event_name", "user_id"]
 
@@ -42,34 +42,34 @@ def test_sample_lifetime_counts(spark, write_lines, tmp_path):
     last = {}
     for r in sorted(rows, key=lambda r: r["window_start"]):
         last[r["event_name"], r["user_id"]] = r["total"]
-    assert last == LIFETIME
+    assert last == lifetime_of()
 
 
 def test_sample_counters(spark, write_lines, tmp_path):
     folder = write_lines(user_lines(), [SENTINEL])
     rows, _ = _run(spark, jobs.event_counters(_events(spark, folder), "user_id", [5, 10, 15]), tmp_path)
     got = {(r["feature_name"], r["key"], r["window_start"] - T0): r["counts"] for r in rows}
-    assert set(got) == set(USER_COUNTERS)
-    for key, (first, _, *values) in USER_COUNTERS.items():
+    assert set(got) == set(counters_of())
+    for key, values in counters_of().items():
         assert [got[key][d]["value"] for d in (5, 10, 15)] == pytest.approx(values, abs=1e-11)
-        assert got[key][10]["last_update"] == T0 + first
+        assert got[key][10]["last_update"] == T0 + windows_of()[key][0]
 
 
-@pytest.mark.parametrize("with_602,expected", [(True, {595: 1, 600: 2, 700: 1}), (False, {595: 2, 600: 1, 700: 1})])
-def test_late_rows(spark, write_lines, tmp_path, with_602, expected):
-    times = [599, 601, *([602] if with_602 else []), 599, 700, 800]
+@pytest.mark.parametrize("one_more,expected", [(True, {10: 1, 15: 2, 90: 1}), (False, {10: 2, 15: 1, 90: 1})])
+def test_late_rows(spark, write_lines, tmp_path, one_more, expected):
+    times = [12, 16, *([18] if one_more else []), 13, 90, 140]  # the watermark takes effect one batch later
     folder = write_lines(*[[_line(t)] for t in times])
     rows, progress = _run(spark, windows.window_counts(jobs.watermarked(_events(spark, folder)), KEYS), tmp_path)
     assert {r["window_start"] - T0: r["n"] for r in rows} == expected
     dropped = sum(o["numRowsDroppedByWatermark"] for p in progress for o in p["stateOperators"])
-    assert dropped == (1 if with_602 else 0)
+    assert dropped == (1 if one_more else 0)
 
 
 def test_delay_keeps_late_rows(spark, write_lines, tmp_path):
-    folder = write_lines(*[[_line(t)] for t in (599, 601, 602, 599, 700, 800)])
+    folder = write_lines(*[[_line(t)] for t in (12, 16, 18, 13, 90, 200)])
     stream = windows.window_counts(jobs.watermarked(_events(spark, folder), "1 minute"), KEYS)
     rows, _ = _run(spark, stream, tmp_path)
-    assert {r["window_start"] - T0: r["n"] for r in rows} == {595: 2, 600: 2, 700: 1}
+    assert {r["window_start"] - T0: r["n"] for r in rows} == {10: 2, 15: 2, 90: 1}
 
 
 def test_restart_goes_on_from_the_checkpoint(spark, write_lines, tmp_path):
@@ -87,7 +87,7 @@ def test_restart_goes_on_from_the_checkpoint(spark, write_lines, tmp_path):
     assert len(rows) > len(first)
     got = {(r["feature_name"], r["key"], r["window_start"] - T0): r["counts"][15]["value"] for r in rows}
     assert len(rows) == len(got)
-    assert got == pytest.approx({k: v[-1] for k, v in USER_COUNTERS.items()}, abs=1e-11)
+    assert got == pytest.approx({k: v[-1] for k, v in counters_of().items()}, abs=1e-11)
 
 
 def _traffic(n, seed, keys=6):
@@ -147,6 +147,16 @@ def test_latest_list_equals_batch(spark, write_lines, tmp_path):
     assert [s for _, s in got] == pytest.approx([r["score"] for r in batch], rel=1e-9)
 
 
+def test_latest_list_is_exact_without_reserve(spark, write_lines, tmp_path):
+    """Six ids, the first four fall: the fifth leads, though the list had forgotten it."""
+    first = [_line(0, media=f"m{i}") for i in range(6) for _ in range(10 - i)]
+    falling = [_line(200, media=f"m{i}") for i in range(4)]
+    folder = write_lines(first, falling, [_line(400, media="m0")], [_line(900, name="like")])
+    counters = jobs.event_counters(_events(spark, folder), "media_id", [15])
+    rows, _ = _run(spark, jobs.top_lists(counters, "best", "view", 15, 1, buckets=1, reserve=1), tmp_path)
+    assert {(r["candidates"][0]["media_id"], r["candidates"][0]["score"]) for r in rows} == {("m0", 10.0), ("m4", 6.0)}
+
+
 def test_improvements_list_keeps_risen_scores(spark, write_lines, tmp_path):
     """A score that fell is not reported in this mode, so the list keeps the higher one."""
     a = [_line(t, media="a") for t in (0, 1, 2)]  # one window: score 3
@@ -165,12 +175,12 @@ def test_improvements_list_keeps_risen_scores(spark, write_lines, tmp_path):
 
 
 def test_media_scores_reach_the_list(spark, write_lines, tmp_path):
-    folder = write_lines(media_lines(), media_lines("9999", 1, 1_707_999_999))
+    folder = write_lines(media_lines(), media_lines("last", 1, T0 + 9000))
     counters = jobs.event_counters(allow_events(_events(spark, folder), ["view", "like"]), "media_id", [5, 10, 15])
     rows, _ = _run(spark, jobs.top_lists(counters, "TopViews", "view", 15, 2), tmp_path)
     last = max(rows, key=lambda r: r["updated"])
-    assert [c["media_id"] for c in last["candidates"]] == ["1237"]
-    assert last["candidates"][0]["score"] == pytest.approx(MEDIA_SCORES[-1], abs=1e-11)
+    assert [c["media_id"] for c in last["candidates"]] == ["reel"]
+    assert last["candidates"][0]["score"] == pytest.approx(media_scores(15)[-1], abs=1e-11)
 
 
 class _Plain:
