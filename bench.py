@@ -10,6 +10,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -48,6 +49,7 @@ def main() -> None:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", cpus)
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="ebbline-bench-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("OFF")

@@ -6,11 +6,18 @@ per media and the list of the best).
 
 Sources: ``files:DIR``, ``kafka:SERVERS/TOPIC``, or ``config`` for the stream
 named in the YAML file given by ``--config``.
+
+``--client module:function`` also writes counters and lists to the key-value
+tables that the sink section of that file names.  The function gets the section
+and a table's name, on the executors, and returns a client (see
+:func:`ebbline.sinks.tables.write_items`).
 """
 
 from __future__ import annotations
 
 import argparse
+import importlib
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
@@ -19,11 +26,19 @@ from ebbline.config import load_config
 from ebbline.functions import items
 from ebbline.functions.events import allow_events, decode_events
 from ebbline.session import prepare
-from ebbline.sinks.tables import TopListTable, UpsertTable, fan_out_writer, to_console, to_files
-from ebbline.sources.lines import decode_base64, kafka_lines, kinesis_lines, replayed_lines
+from ebbline.sinks.tables import (
+    TopListTable,
+    UpsertTable,
+    fan_out_writer,
+    item_writer,
+    to_console,
+    to_files,
+    write_items,
+)
+from ebbline.sources.lines import START, decode_base64, kafka_lines, kinesis_lines, replayed_lines
 from ebbline.streaming import jobs
 
-# The jobs' window, decay intervals, listed events, list size and trigger.
+# The defaults of window, decay intervals, listed events, list size and trigger.
 WINDOW = "5 seconds"
 INTERVALS = [5, 10, 15]
 ALLOWED = ["view", "like"]
@@ -47,6 +62,16 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--trigger", default=TRIGGER, help="time between micro-batches, each of which is checkpointed")
     p.add_argument("--partitions", type=int, help="state partitions, by default one per core of the cluster")
     p.add_argument("--files-per-batch", type=int, help="limit for a files source")
+    p.add_argument("--client", help="module:function that opens a key-value client")
+    p.add_argument("--window", default=WINDOW)
+    p.add_argument("--intervals", type=int, nargs="+", default=INTERVALS, help="decay intervals in seconds")
+    p.add_argument("--allowed", nargs="+", default=ALLOWED, help="events that are counted")
+    p.add_argument("--feature", default=FEATURE, help="event that the list ranks by")
+    p.add_argument("--score-interval", type=int, default=SCORE_INTERVAL)
+    p.add_argument("--list-size", type=int, default=LIST_SIZE)
+    p.add_argument("--list-days", type=float, default=jobs.TTL_DAYS, help="ids without events for so long leave the list")
+    p.add_argument("--kafka-group", help="consumer group of a Kafka source")
+    p.add_argument("--start", default="TRIM_HORIZON", choices=sorted(START), help="where a new Kafka checkpoint starts")
     p.add_argument("--once", action="store_true", help="stop at the end of the input; state does not expire")
     return p.parse_args(argv)
 
@@ -57,7 +82,7 @@ def source_lines(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
         lines = replayed_lines(spark, where, args.files_per_batch)
     elif kind == "kafka":
         servers, _, topic = where.partition("/")
-        lines = kafka_lines(spark, servers=servers, topic=topic)
+        lines = kafka_lines(spark, servers=servers, topic=topic, position=args.start, group=args.kafka_group)
     elif kind == "config":
         lines = kinesis_lines(spark, load_config(args.config, args.job == "candidates").source)
     else:
@@ -69,7 +94,7 @@ def build(spark: SparkSession, args: argparse.Namespace) -> DataStreamWriter:
     lines = source_lines(spark, args)
     ttl = None if args.once else jobs.ttl_millis(args.ttl_days)
     if args.job in ("words", "lifetime"):
-        stream = jobs.word_windows(lines, WINDOW, args.delay, args.tokeniser)
+        stream = jobs.word_windows(lines, args.window, args.delay, args.tokeniser)
         if args.job == "lifetime":
             stream = jobs.lifetime_totals(stream, ["word"], ttl)
         if not args.output:
@@ -79,19 +104,44 @@ def build(spark: SparkSession, args: argparse.Namespace) -> DataStreamWriter:
         return _upserted(stream, args, UpsertTable(args.output, ["word"], ["window_end"]).write)
 
     key = "media_id" if args.job == "candidates" else "user_id"
-    events = allow_events(decode_events(lines, on_bad_record=args.on_bad_record), ALLOWED)
-    counters = jobs.event_counters(events, key, INTERVALS, WINDOW, args.delay, args.event_time, ttl)
+    events = allow_events(decode_events(lines, on_bad_record=args.on_bad_record), args.allowed)
+    counters = jobs.event_counters(events, key, args.intervals, args.window, args.delay, args.event_time, ttl)
     if not args.output:
         return to_console(counters, args.checkpoint)
     table = UpsertTable(f"{args.output}/counters", ["feature_name", "key"], ["window_end"])
     writers = [table.write]
+    open_client, sink = _client(args)
+    if open_client:
+        writers.append(
+            item_writer(items.counter_items, table.keys, table.order, partial(open_client, sink, sink.tableName))
+        )
     if args.job == "candidates":
-        place = f"{args.output}/candidates"
-        best = TopListTable(place, items.TOP_VIEWS, FEATURE, SCORE_INTERVAL, LIST_SIZE, counters=table)
+        best = TopListTable(
+            f"{args.output}/candidates",
+            items.TOP_VIEWS,
+            args.feature,
+            args.score_interval,
+            args.list_size,
+            counters=table,
+            max_age=int(args.list_days * 86_400),
+        )
         writers.append(best.write)
+        if open_client:
+            put = partial(open_client, sink, sink.cgTableName)
+            writers.append(lambda rows, batch_id: write_items(items.list_items(best.read(rows.sparkSession)), put))
     return _upserted(counters, args, fan_out_writer(*writers))
 
 
+def _client(args: argparse.Namespace):
+    """The function that opens a client, and the sink section; nothing if no client is asked for."""
+    if not args.client:
+        return None, None
+    if not args.config:
+        raise ValueError("--client needs --config, whose sink section names the tables")
+    module, _, function = args.client.partition(":")
+    return getattr(importlib.import_module(module), function), load_config(args.config, args.job == "candidates").sink
+
+
 def _upserted(stream: DataFrame, args: argparse.Namespace, write) -> DataStreamWriter:
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", args.checkpoint).outputMode("append")
 

@@ -114,7 +114,8 @@ class TopListTable:
     one), ``reserve`` ids are kept and a mark: the highest score among all
     others.  When fewer than ``k`` of the kept are above the mark, the list is
     taken anew from that table; so it is exact at any reserve.  Without it every
-    id is kept.
+    id is kept.  Ids last updated ``max_age`` seconds before the newest update
+    leave the list.
     """
 
     def __init__(
@@ -126,7 +127,9 @@ class TopListTable:
         k: int,
         reserve: int | None = None,
         counters: UpsertTable | None = None,
+        max_age: int | None = None,
     ):
+        self.max_age = max_age
         self.path, self.name, self.feature, self.interval, self.k = path, name, feature, interval, k
         self.reserve = max(k, 4 * k if reserve is None else reserve)
         self.counters = counters
@@ -137,6 +140,9 @@ class TopListTable:
         out = [r["score"] for r in best[self.reserve :]]
         return best[: self.reserve], max([*out, *([] if mark is None else [mark])], default=None)
 
+    def _fresh(self, rows: DataFrame, now: int | None) -> DataFrame:
+        return rows if now is None else rows.where(F.col("last_update") > now - self.max_age)
+
     def write(self, counters: DataFrame, batch_id: int) -> None:
         """The ``foreachBatch`` function; rows have feature_name, key, window_end and counts."""
         spark, run = counters.sparkSession, _run(counters.sparkSession)
@@ -153,12 +159,15 @@ class TopListTable:
             kept = spark.read.parquet(f"{self.path}/turn={before['turn']}").where("media_id is not null")
             kept = kept.select("media_id", "score", "last_update", F.lit(0).alias("batch"))
             rows = last_per_key(kept.unionByName(rows), ["media_id"], ["batch"])
+        now = None if self.max_age is None else rows.agg(F.max("last_update")).first()[0]
+        rows = self._fresh(rows, now)
         if self.counters is None:
             self._store(rows.select("media_id", "score", "last_update"), turn, run, batch_id, version, None)
             return
         best, mark = self._cut(rows, mark)
         if mark is not None and sum(r["score"] > mark for r in best[: self.k]) < self.k:
-            best, mark = self._cut(scores(self.counters.read(spark), self.feature, self.interval), None)
+            every = scores(self.counters.read(spark), self.feature, self.interval)
+            best, mark = self._cut(self._fresh(every, now), None)
         table = spark.createDataFrame(best, "media_id string, score double, last_update bigint")
         self._store(table, turn, run, batch_id, version, mark)
 

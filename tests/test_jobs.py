@@ -30,6 +30,43 @@ def test_candidates(spark, write_lines, tmp_path):
     assert best["name"] == "TopViews" and [c["media_id"] for c in best["candidates"]] == ["reel", "clip"]
 
 
+def open_files(sink, table):
+    """A client that keeps each request in a file below the folder that stands for the endpoint."""
+    import uuid
+    from pathlib import Path
+
+    class Files:
+        def put_items(self, batch):
+            folder = Path(sink.awsEndpoint, table)
+            folder.mkdir(parents=True, exist_ok=True)
+            (folder / uuid.uuid4().hex).write_text("\n".join(batch))
+
+    return Files()
+
+
+def test_configured_tables_and_parameters(spark, write_lines, tmp_path):
+    config = tmp_path / "job.yaml"
+    config.write_text(
+        "source: {datastreamName: s, awsRegion: r}\n"
+        f"sink: {{tableName: counters, cgTableName: lists, awsEndpoint: {tmp_path}/kv}}\n"
+    )
+    # the clip's one view is older than a day when the reel's come
+    folder = write_lines(media_lines("clip", 1, 1_690_000_000) + media_lines("reel", 3, 1_690_200_000) + media_lines("end", 1, 1_690_200_900))
+    more = ["--config", str(config), "--client", "tests.test_jobs:open_files", "--intervals", "60", "--score-interval", "60"]
+    more += ["--window", "10 seconds", "--list-size", "5", "--list-days", "1", "--event-time", "payload", "--allowed", "view"]
+    submit.main(_argv("candidates", folder, tmp_path, "--output", str(tmp_path / "out"), *more))
+
+    def stored(table, read):
+        files = sorted((tmp_path / "kv" / table).iterdir(), key=lambda f: f.stat().st_mtime)
+        lines = [(line,) for f in files for line in f.read_text().split("\n")]
+        return read(spark.createDataFrame(lines, "item string")).collect()
+
+    assert {(r["key"], r["decay_interval"]) for r in stored("counters", items.read_counter_items)} == {("clip", 60), ("reel", 60)}
+    assert {r["media_id"] for r in stored("lists", items.read_list_items)} == {"reel"}
+    with pytest.raises(ValueError, match="--config"):
+        submit.build(spark, submit.arguments(_argv("counters", folder, tmp_path, "--output", "o", "--client", "a:b")))
+
+
 @pytest.mark.parametrize("job", ["words", "lifetime"])
 def test_words(spark, write_lines, tmp_path, job):
     folder = write_lines(["a b a"], ["a"])
