@@ -34,11 +34,19 @@ def best_ratios(counted: DataFrame, min_whole: int, k: int) -> DataFrame:
     return top_k(counted.where(F.col("whole") >= min_whole), k, "ratio")
 
 
-def few_views(events: DataFrame, name: str, below: int, k: int, seed: str = "0") -> DataFrame:
-    """``k`` media drawn at random (by hash, so repeatably) from those with few views."""
+def few_views(
+    events: DataFrame, name: str, below: int, k: int, seed: str = "0", posts: DataFrame | None = None
+) -> DataFrame:
+    """``k`` media drawn at random (by hash, so repeatably) from those with few views.
+
+    ``posts`` is the catalogue: its ``media_id``s are drawn from, those without any event too.
+    """
     views = events.groupBy("media_id").agg(
         F.sum(F.when(F.col("event_name") == name, F.col("event_count")).otherwise(0)).alias("views")
     )
+    if posts is not None:
+        views = posts.select("media_id").distinct().join(views, "media_id", "left")
+        views = views.select("media_id", F.coalesce("views", F.lit(0).cast("bigint")).alias("views"))
     draw = F.md5(F.concat(F.col("media_id"), F.lit(seed)))
     return views.where(F.col("views") < below).orderBy(draw, "media_id").limit(k)
 

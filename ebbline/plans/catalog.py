@@ -409,6 +409,13 @@ def min_views_candidates(spark, sf_dir):
     return generators.few_views(tables.events(spark, sf_dir), "view", 100, K)
 
 
+@query
+def few_views_of_catalogue(spark, sf_dir):
+    """Drawn from all posts, those that nobody has seen included."""
+    posts = tables.table(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("string").alias("media_id"))
+    return generators.few_views(tables.events(spark, sf_dir), "view", 10, K, posts=posts)
+
+
 @query
 def creator_affinity(spark, sf_dir):
     return generators.creator_affinity(tables.events(spark, sf_dir), "view", 5)

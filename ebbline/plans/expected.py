@@ -224,6 +224,11 @@ FROM late GROUP BY event_name, media_id, arrived // 86400 * 86400""",
 x AS (SELECT event_name, event_ts // 300 * 300 - unnest(range(0, 3600, 300)) AS window_start FROM ev)
 SELECT event_name, window_start, window_start + 3600 AS window_end, count(*) AS n FROM x GROUP BY event_name, window_start""",
     "lifetime_count": f"WITH {EV}, {_windows('event_name, user_id', 5)} {LIFETIME.format(keys='event_name, user_id')}",
+    "few_views_of_catalogue": f"""WITH {EV},
+v AS (SELECT media_id, count(*) FILTER (event_name = 'view') AS n FROM ev GROUP BY media_id),
+p AS (SELECT DISTINCT CAST(vec_id AS VARCHAR) AS media_id FROM embeddings)
+SELECT media_id, CAST(coalesce(n, 0) AS BIGINT) AS views FROM p LEFT JOIN v USING (media_id)
+WHERE coalesce(n, 0) < 10 ORDER BY md5(media_id || '0'), media_id LIMIT 20""",
     "lifetime_null_keys": f"""WITH {EV},
 nulled AS (SELECT * REPLACE (nullif(CASE WHEN CAST(user_id AS BIGINT) % 7 = 0 THEN '' ELSE user_id END, '') AS user_id) FROM ev),
 {_windows('event_name, user_id', 5, 'nulled')} {LIFETIME.format(keys='event_name, user_id')}""",
