@@ -50,6 +50,7 @@ def write_shards(
     buckets = max(1, -(-total // (bucket_bytes * shards)))
     scatter = F.pmod(F.xxhash64(F.lit(~seed), F.col(key), F.col(text)), F.lit(buckets)).cast("int")
     scattered = docs.withColumn("shard", shard_of(F.col(key), shards, seed)).withColumn("bucket", scatter)
+    scattered = scattered.repartition(int(shards * buckets), "shard", "bucket")  # about a bucket for each task
     records = F.collect_list(F.struct(*docs.columns)).alias("_records")
     shuffled = scattered.groupBy("shard", "bucket").agg(records)
     placed = shuffled.select("shard", "bucket", F.posexplode(F.shuffle("_records", F.lit(seed))).alias("place", "_record"))
