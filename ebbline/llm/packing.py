@@ -6,6 +6,8 @@ patterns: the master problem by the revised simplex method, new patterns by dyna
 that the dual prices define.  The patterns' counts are rounded down, what is left over is packed first fit, longest
 first.  Documents are then ranked within their class, and a rank says which pattern, which copy and which place.
 
+The ids of the pieces are written once, compressed, and meet their places in one join at the end.
+
 Spark counts, ranks and assigns.  The driver sees the histogram only, whose size does not depend on the data.  Ranks
 are counted inside each partition and shifted by the partitions before, so that a class may hold most rows.
 
@@ -18,12 +20,13 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ebbline.llm.batches import kept_by_process, map_columns
+from ebbline.llm.batches import kept_by_process, map_columns, written
 from ebbline.llm.bpe import read_ranks
-from ebbline.session import settle
+from ebbline.session import settle, shared_dir
 
 CAPACITY = 2048
 GRAIN = 4
@@ -31,6 +34,7 @@ GAP = 1e-4  # of the linear program, at which no more patterns are priced
 MAX_ROUNDS = 1000  # the solution is feasible at any time
 
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
+SLICE = 1000  # rows whose ids are expanded at once
 
 
 class TextEncoder:
@@ -62,8 +66,12 @@ def pieces(
     end_id: int = 1,
     capacity: int = CAPACITY,
     with_ids: bool = False,
+    held: bool = False,
 ) -> DataFrame:
-    """The documents' tokens and ``end_id``, cut at multiples of ``capacity``; ``with_ids`` adds the ids themselves."""
+    """The documents' tokens and ``end_id``, cut at multiples of ``capacity``.
+
+    ``with_ids`` adds the ids themselves, ``held`` in the small form that ``pack`` carries.
+    """
 
     def work(batches):
         encoder = kept_by_process(
@@ -76,11 +84,41 @@ def pieces(
                 for start in range(0, len(ids), capacity):
                     part = ids[start : start + capacity]
                     row = (doc_id, start, len(part), zlib.crc32(part.tobytes()), len(ids))
-                    rows.append((*row, part) if with_ids else row)
-            names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * with_ids
+                    rows.append(row + (part,) * with_ids + ((compressed(part),) if held else ()))
+            names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * with_ids + ["held"] * held
             yield dict(zip(names, zip(*rows, strict=True) if rows else [[] for _ in names], strict=True))
 
-    return map_columns(docs.select("doc_id", "text"), work, PIECE + ", ids array<long>" * with_ids)
+    schema = PIECE + ", ids array<long>" * with_ids + ", held binary" * held
+    return map_columns(docs.select("doc_id", "text"), work, schema)
+
+
+# ---- ids in a small form -----------------------------------------------------
+
+
+def compressed(ids: np.ndarray) -> bytes:
+    """The width of an id in bytes, then the ids."""
+    width = 2 if ids.max(initial=0) < 1 << 16 else 4
+    return bytes([width]) + pa.Codec("zstd", 1).compress(ids.astype(f"<u{width}").tobytes(), asbytes=True)
+
+
+def expanded(held: bytes, length: int) -> np.ndarray:
+    width = held[0]
+    return np.frombuffer(pa.Codec("zstd").decompress(held[1:], width * length, asbytes=True), f"<u{width}")
+
+
+def _compress(batches):
+    for batch in batches:
+        out = {n: batch.column(n) for n in batch.schema.names if n != "ids"}
+        yield out | {"held": [compressed(np.array(ids, "<u4")) for ids in batch.column("ids").to_pylist()]}
+
+
+def _expand(batches):
+    for whole in batches:
+        for i in range(0, whole.num_rows, SLICE):
+            batch = whole.slice(i, SLICE)
+            pairs = zip(batch.column("held").to_pylist(), batch.column("length").to_pylist(), strict=True)
+            out = {n: batch.column(n) for n in batch.schema.names if n != "held"}
+            yield out | {"ids": [expanded(held, n).astype("<u4").tobytes() for held, n in pairs]}
 
 
 # ---- the plan ----------------------------------------------------------------
@@ -235,7 +273,17 @@ def ranked(rows: DataFrame, group: str) -> DataFrame:
 
 
 def pack(cut: DataFrame, capacity: int = CAPACITY, grain: int = GRAIN) -> DataFrame:
-    """``sequence_id`` and ``offset`` for each piece of ``pieces``."""
+    """``sequence_id`` and ``offset`` for each piece of ``pieces``.
+
+    Where ``cut`` has the ids in either form, each piece comes with its ``ids``: 32 bits each, little-endian, as binary.
+    """
+    whole = None
+    if "ids" in cut.columns:
+        cut = map_columns(cut, _compress, PIECE + ", held binary")
+    if "held" in cut.columns:
+        whole = cut.withColumn("piece", F.monotonically_increasing_id())
+        whole = written(whole, shared_dir(cut.sparkSession, "pieces"))
+        cut = whole.drop("held")
     cut = settle(cut)
     size = F.when(F.col("length") < capacity, F.ceil(F.col("length") / grain)).otherwise(0).cast("int")
     cut = settle(ranked(cut.withColumn("size", size), "size"))
@@ -245,7 +293,8 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, grain: int = GRAIN) -> DataFr
     for size_, *run in runs:
         by_size.setdefault(size_, []).append(run)
     tables = {s: np.array(r).T for s, r in by_size.items()}
-    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
+    key = ["piece"] * (whole is not None)
+    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", *key]
 
     def work(batches):
         for batch in batches:
@@ -260,6 +309,32 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, grain: int = GRAIN) -> DataFr
                 place[at] = before[run] + inside % copies[run]
             yield {n: batch.column(n) for n in names} | {"sequence_id": sequence, "place": place}
 
-    placed = map_columns(cut, work, PIECE + ", sequence_id long, place long")
+    placed = map_columns(cut, work, PIECE + ", piece long" * len(key) + ", sequence_id long, place long")
     before = Window.partitionBy("sequence_id").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
-    return placed.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0))).drop("place")
+    placed = placed.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0))).drop("place")
+    if whole is None:
+        return placed
+    rows = placed.join(whole.select("piece", "held"), "piece").drop("piece")
+    return map_columns(rows, _expand, PIECE + ", sequence_id long, offset long, ids binary")
+
+
+def write_sequences(packed: DataFrame) -> DataFrame:
+    """The packed ids, written: rows of ``sequence_id, offset, ids`` and where the ids come from."""
+    path = shared_dir(packed.sparkSession, "sequences")
+    rows = packed.select("sequence_id", "offset", "doc_id", "start", "doc_tokens", "ids")
+    rows.write.options(compression="zstd", **{"parquet.block.size": 32 << 20}).parquet(path)
+    return packed.sparkSession.read.parquet(path)
+
+
+def digests(sequences: DataFrame) -> DataFrame:
+    """The rows of written sequences, with length and CRC of the ids instead of the ids."""
+    length = (F.octet_length("ids") / 4).cast("long")
+    return sequences.select(
+        "doc_id",
+        "start",
+        length.alias("length"),
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )

@@ -38,8 +38,9 @@ def op4_packing(spark, sf_dir):
         path("byte_bpe_50k.json"),
         path("byte_bpe_50k.tiktoken"),
         public_tokenizers.PATTERN,
+        held=True,
     )
-    return packing.pack(cut)
+    return packing.digests(packing.write_sequences(packing.pack(cut)))
 
 
 @query

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from ebbline.llm import packing
 from ebbline.llm.queries import QUERIES
 
@@ -70,6 +71,54 @@ def test_pieces_with_ids(documents, library):
     assert sum((r.ids for r in sorted(rows, key=lambda r: r.start)), []) == _ids(library, "Of the thing. " * 40)
 
 
+def _unpacked(ids):
+    return np.frombuffer(bytes(ids), "<u4").tolist()
+
+
+def _filled(rows):
+    """``{sequence_id: ids}``, each piece put at its offset."""
+    out = defaultdict(list)
+    for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
+        assert len(out[r.sequence_id]) == r.offset
+        out[r.sequence_id] += _unpacked(r.ids)
+    return out
+
+
+@pytest.mark.parametrize("form", ["with_ids", "held"])
+def test_sequences_hold_the_tokens(documents, library, form):
+    rows = [(0, None), (1, ""), (2, "x"), (2, "x"), (3, "a b " * 900), (4, "<|endoftext|> z"), (5, "é" * 3000), (None, "y")]
+    packed = packing.pack(packing.pieces(documents(rows), *FILES, capacity=64, **{form: True}), 64, 1)
+    stored = packing.write_sequences(packed)
+    filled = _filled(stored.collect())
+    assert all(0 < len(ids) <= 64 for ids in filled.values())
+    expected = sorted(sum((_ids(library, t) for _, t in rows), []))
+    assert sorted(sum(filled.values(), [])) == expected
+    for r in stored.collect():
+        whole = _ids(library, dict(rows)[r.doc_id])
+        assert _unpacked(r.ids) == whole[r.start : r.start + len(r.ids) // 4] and r.doc_tokens == len(whole)
+    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
+    digests = packing.digests(stored)
+    assert digests.columns == packing.pack(packing.pieces(documents(rows), *FILES)).columns
+    assert sorted(map(tuple, digests.select(names).collect()), key=str) == sorted(map(tuple, packed.select(names).collect()), key=str)
+    empty = packing.pack(packing.pieces(documents([]), *FILES, **{form: True}))
+    assert packing.digests(packing.write_sequences(empty)).count() == 0
+
+
+def test_wide_ids():
+    for ids in ([], [0, 1], [65535], [65536, 3], [2**31 - 1]):
+        ids = np.array(ids, "<u4")
+        assert packing.expanded(packing.compressed(ids), len(ids)).tolist() == ids.tolist()
+
+
+def test_pipeline_ends_in_tokens(spark, documents, library):
+    rows = [(i, f"Of the thing {i}. " * 400) for i in range(5)]
+    got = corpus_pipeline.pack(spark, documents(rows), SF).collect()
+    by_doc = defaultdict(list)
+    for r in sorted(got, key=lambda r: r.start):
+        by_doc[r.doc_id] += _unpacked(r.ids)
+    assert by_doc == {i: _ids(library, t) for i, t in rows}
+
+
 def test_knapsack_is_best():
     rng = np.random.default_rng(3)
     for _ in range(20):
