@@ -253,9 +253,13 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
             kept = {n: batch.column(i) for i, n in ((0, "rep"), (1, "region"), (3, "orders"), (4, "large"))}
             yield kept | {"hashes": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat)}
 
-    sizes = regions.groupBy("region").count().select("region", (F.col("count") > block).alias("large"))
+    # counted in rows of docs, of which an id may have several with different texts
+    sizes = signed.select(F.col("doc_id").alias("rep")).join(regions, "rep").groupBy("region").count()
+    sizes = sizes.select("region", (F.col("count") > block).alias("large"))
     chosen = regions.join(sizes, "region").join(classes.select("rep", "orders"), "rep")
     texts = docs.select(F.col("doc_id").alias("rep"), "text").join(chosen, "rep")
+    firsts = [F.first(c).alias(c) for c in ("region", "orders", "large")]  # equal in all rows of a rep
+    texts = texts.groupBy("rep", "text").agg(*firsts)
     wanted = settle(
         map_columns(
             texts.select("rep", "region", "text", "orders", "large"),

@@ -88,6 +88,31 @@ def test_large_regions(documents, edits):
     assert _got(neardup.near_duplicates(documents(rows), 2, 80, block=16)) == brute_force(rows, 2)
 
 
+def test_regions_of_repeated_rows(documents):
+    """A region of less ids than a block but more rows: each row twice, and ids with many texts."""
+    rng = random.Random(11)
+    rows = _family(rng, 0, 14, edits=9) * 2
+    rows += [(500 + i, t) for i in range(3) for _, t in _family(random.Random(12), 0, 9, edits=12)]
+    docs = documents(rows).orderBy("doc_id", "text")
+    assert _got(neardup.near_duplicates(docs, 2, 80, block=16)) == brute_force(rows, 2)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_pairs_across_a_cut(documents, seed):
+    """Pairs that only one link joins, in a region at the block size with every row twice."""
+    rng = random.Random(seed)
+    base, n = _words(rng, 60), 16
+    rows = []
+    for i in range(n):  # a chain: neighbours differ in few words, others in more
+        base = list(base)
+        for k in range(3):
+            base[(3 * i + k) % 60] = f"y{i}{k}"
+        rows.append((rng.randrange(10**6), " ".join(base)))
+    rows = rows * 2
+    assert len({c for _, _, c, _ in brute_force(rows, 1)}) < n
+    assert _got(neardup.near_duplicates(documents(rows), 1, 80, block=n)) == brute_force(rows, 1)
+
+
 def test_links_on_full_sets():
     rng = np.random.default_rng(3)
     sets = [np.unique(rng.integers(0, 60, rng.integers(20, 50))).astype(np.uint64) for _ in range(30)]
