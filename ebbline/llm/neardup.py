@@ -1,8 +1,8 @@
-"""Near-duplicates by an LSH forest over MinHash signatures, links confirmed on full shingle sets.
+"""Near-duplicates by MinHash banding of fixed depth, links confirmed on full shingle sets.
 
 1. Every text gives its set of word shingles, a fingerprint of the set, and one label per tree: the MinHash values
    of the tree's own hash functions.  Equal sets fall together at once.
-2. Sets whose labels agree to the trees' least depth in some tree are candidates of each other; their connected
+2. Sets whose whole labels, of five values, agree in some tree are candidates of each other; their connected
    components are regions.  With 32 trees of depth 5, a pair at the threshold of 0.8 stays apart in all trees with
    probability (1 - 0.8^5)^32 < 4e-6.
 3. A region of at most ``BLOCK`` sets is compared whole.  A larger one is sorted by a tree's full label and cut into
