@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbline.llm import bpe, language, licenses, neardup, packing, quality, repeats, sharding, topk, toxicity
+from ebbline.llm import bpe, language, licenses, neardup, ngram_join, packing, quality, repeats, sharding, topk, toxicity
 from ebbline.session import prepare
 from ebbline.sources.tables import table
 
@@ -117,3 +117,38 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 @query
 def op5_licenses(spark, sf_dir):
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_ngram_join(spark, sf_dir):
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"), size=3, percent=90)
+
+
+SQL["op13_ngram_join"] = r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE
+    WHEN len(w) = 0 THEN []
+    WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] for i in range(1, len(w) - 1)]) END AS s
+  FROM worded
+), tokens AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS token FROM sets
+), pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM tokens AS a JOIN tokens AS b ON a.token = b.token AND a.doc_id < b.doc_id AND 100 * a.n >= 90 * b.n AND 100 * b.n >= 90 * a.n
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+), links AS (
+  SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs
+), reach AS (
+  SELECT doc_id AS node, doc_id AS other FROM documents
+  UNION
+  SELECT reach.node, links.b FROM reach JOIN links ON links.a = reach.other
+)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, c.component_id
+FROM sets JOIN (SELECT node, min(other) AS component_id FROM reach GROUP BY node) AS c ON c.node = sets.doc_id
+"""
