@@ -8,7 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbline.llm import bpe, language, licenses, neardup, ngram_join, packing, quality, repeats, sharding, topk, toxicity
+from ebbline.llm import (
+    bpe,
+    hard_negatives,
+    language,
+    licenses,
+    neardup,
+    ngram_join,
+    packing,
+    quality,
+    repeats,
+    sharding,
+    topk,
+    toxicity,
+)
 from ebbline.session import prepare
 from ebbline.sources.tables import table
 
@@ -152,3 +165,35 @@ WITH RECURSIVE worded AS (
 SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, c.component_id
 FROM sets JOIN (SELECT node, min(other) AS component_id FROM reach GROUP BY node) AS c ON c.node = sets.doc_id
 """
+
+
+@query
+def op12_hard_negatives(spark, sf_dir):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label=label)
+
+
+SQL["op12_hard_negatives"] = """
+WITH v AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, embedding
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), rows_ AS (
+  SELECT row_number() OVER () AS row, vec_id, label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+  FROM v
+), scored AS (
+  SELECT q.row AS anchor, q.vec_id AS anchor_id, r.vec_id, q.label = r.label AS same,
+    CAST(list_inner_product(q.e, r.e) AS BIGINT) AS score
+  FROM rows_ AS q JOIN rows_ AS r ON q.vec_id <> r.vec_id
+  WHERE q.vec_id % 50 = 0
+), positives AS (
+  SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id) AS place FROM scored WHERE same
+), ranked AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+    CAST(row_number() OVER (PARTITION BY p.anchor, p.place ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank
+  FROM positives AS p JOIN scored AS n ON n.anchor = p.anchor AND NOT n.same
+  WHERE p.place <= 5 AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 3
+"""
