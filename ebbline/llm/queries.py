@@ -17,6 +17,7 @@ from ebbline.llm import (
     ngram_join,
     packing,
     quality,
+    repair,
     repeats,
     sharding,
     topk,
@@ -197,3 +198,8 @@ WITH v AS (
 )
 SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 3
 """
+
+
+@query
+def op11_repair(spark, sf_dir):
+    return repair.digests(repair.damaged(table(spark, sf_dir, "conversations"))).withColumnRenamed("conv", "conv_id")
