@@ -14,7 +14,7 @@ the order of all shingles, the first ``l`` shared ones lie among the first ``e +
    level with the least estimated cost is taken, a candidate being charged by the set's size.
 5. Each posting list ties its sets to its most central one; what is confirmed gives first components.
 6. Posting lists, cut into blocks of ``LIST`` rows that meet in pairs, yield the pairs of different components that
-   share enough prefix shingles.  Candidates are confirmed on full sets, in tiles of neighbouring sets, so that sets of a
+   share enough prefix shingles, counting only places that the pair's sizes and shared shingles allow.  Candidates are confirmed on full sets, in tiles of neighbouring sets, so that sets of a
    dense group move once for each tile and not for each pair.
 
 Words are split at ASCII white space after folding A-Z.  A text with fewer words than a shingle is one shingle; a text
@@ -27,7 +27,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbline.llm.batches import map_columns, release
@@ -38,9 +38,10 @@ from ebbline.session import settle
 SHINGLE = 5  # words
 PERCENT = 80  # least similarity
 SPREAD = 16  # a set of n shingles has level 1 + n // SPREAD in the first filter
-CANDIDATE = 8  # confirming a candidate costs as much as reading one posting for so many shingles
+CANDIDATE = 64  # confirming a candidate costs as much as reading one posting for so many shingles
 LIST = 2048  # rows of a block of a posting list
 TILE = 256  # sets of a side of a tile, about
+BROADCAST = 1_000_000  # rows of two longs that may be broadcast
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -119,23 +120,36 @@ def _met(batches):
         yield {"f": [pending], "hits": [1]}
 
 
+def _alive(whole: DataFrame, percent: int) -> DataFrame:
+    """``f, rep`` of the sets of which enough prefix shingles occur in other sets' prefixes."""
+    classes = whole.groupBy("f", "g", "n").agg(F.min("doc_id").alias("rep"), F.first("prefix").alias("prefix"))
+    tokens = classes.select(F.explode("prefix").alias("token"), "f")  # the prefix is the same in all rows of a class
+    tokens = tokens.repartitionByRange("token", "f").sortWithinPartitions("token", "f")
+    met = map_columns(tokens, _met, "f long, hits long").groupBy("f").agg(F.sum("hits").alias("hits"))
+    least = F.floor(F.ceil(F.col("n") * percent / 100) / SPREAD) + 1
+    classes = whole.groupBy("f", "g", "n").agg(F.min("doc_id").alias("rep"))
+    return settle(classes.join(met, "f").where(F.col("hits") >= least).select("f", "rep"))
+
+
 def _sets(docs: DataFrame, alive: DataFrame, size: int) -> DataFrame:
-    """``f, rep, n, tokens`` of the sets in ``alive`` (``f, g, n, rep``), read again from the texts."""
-    texts = docs.select(F.col("doc_id").alias("rep"), "text").join(alive, "rep")
-    texts = texts.groupBy("f", "g", "n", "rep", "text").agg(F.count(F.lit(1)))  # equal rows once
+    """``f, rep, n, tokens`` of the sets in ``alive``, read again from the texts."""
+    wanted = alive.select("f", F.col("rep").alias("doc_id"))
+    if alive.count() <= BROADCAST:  # else the texts are shuffled, with the same result
+        wanted = F.broadcast(wanted)
+    texts = docs.select("doc_id", "text").join(wanted, "doc_id").select("f", "doc_id", "text")
 
     def work(batches):
         for batch in batches:
-            f, g, n, rep, texts = (batch.column(i).to_pylist() for i in range(5))
+            f, rep, texts = (batch.column(i).to_pylist() for i in range(3))
             every = [shingles(t, size) for t in texts]
-            own = [fingerprint(x) == (a, b) for x, a, b in zip(every, f, g, strict=True)]  # an id may have more texts
-            every = [x.view(np.int64) for x, is_own in zip(every, own, strict=True) if is_own]
-            offsets = np.cumsum([0, *map(len, every)])
+            own = [i for i, x in enumerate(every) if fingerprint(x)[0] == f[i]]  # an id may have more texts
+            every = [every[i].view(np.int64) for i in own]
+            sizes = list(map(len, every))
             tokens = pa.array(np.concatenate([np.zeros(0, np.int64), *every]))
-            kept = {k: [x for x, is_own in zip(v, own, strict=True) if is_own] for k, v in (("f", f), ("rep", rep), ("n", n))}
-            yield kept | {"tokens": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), tokens)}
+            tokens = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]), pa.int32()), tokens)
+            yield {"f": [f[i] for i in own], "rep": [rep[i] for i in own], "n": sizes, "tokens": tokens}
 
-    return map_columns(texts.select("f", "g", "n", "rep", "text"), work, "f long, rep long, n long, tokens array<long>")
+    return settle(map_columns(texts, work, "f long, rep long, n long, tokens array<long>"))
 
 
 # ---- levels ------------------------------------------------------------------
@@ -156,32 +170,63 @@ def level(counts: np.ndarray, n: int, percent: int) -> tuple[int, int]:
 
 
 def _plan(rows: DataFrame, percent: int) -> DataFrame:
-    """``rows``: ``f, rep, n, shared`` (``array<struct<count, token>>``).  Sets that cannot be linked go."""
+    """``rows``: ``f, count, token`` in order, a set's first row having its size as a negative count.
+
+    Sets that cannot be linked go.
+    """
 
     def work(batches):
+        names = ["f", "n", "m", "kernel", "level", "region", "crowd", "prefix", "counts"]
+        held: list[tuple] = []
+
+        def plan(out):
+            f = held[0][0]
+            counts, tokens = (np.concatenate([h[k] for h in held]) for k in (1, 2))
+            n = -int(counts[0])
+            kept = counts > 0
+            kept[1:] &= (tokens[1:] != tokens[:-1]) | (counts[1:] != counts[:-1])  # repeated rows of an id
+            counts, tokens = counts[kept], tokens[kept]
+            held.clear()
+            if 100 * len(counts) < percent * n:
+                return
+            chosen, length = level(counts, n, percent)
+            row = (f, n, len(counts), fingerprint(tokens.view(np.uint64))[1], chosen, tokens[-1], counts[-1])
+            for name, value in zip(names, (*row, tokens[:length], counts[:length]), strict=True):
+                out[name].append(value)
+
         for batch in batches:
-            names = ["f", "rep", "n", "m", "kernel", "level", "region", "crowd", "prefix", "counts"]
             out = {name: [] for name in names}
-            f, rep, n = (batch.column(i).to_pylist() for i in range(3))
-            lists = batch.column(3)
-            for i, size in enumerate(n):
-                pairs = lists[i].values
-                counts, tokens = (pairs.field(k).to_numpy(zero_copy_only=False) for k in (0, 1))
-                m = len(counts)
-                if 100 * m < percent * size:
-                    continue
-                order = np.lexsort((tokens, counts))
-                counts, tokens = counts[order], tokens[order]
-                chosen, length = level(counts, size, percent)
-                row = (f[i], rep[i], size, m, fingerprint(tokens.view(np.uint64))[1], chosen, tokens[-1], counts[-1])
-                for name, value in zip(names, (*row, tokens[:length], counts[:length]), strict=True):
-                    out[name].append(value)
+            f, counts, tokens = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            cuts = [0, *(np.flatnonzero(f[1:] != f[:-1]) + 1).tolist(), len(f)]
+            for start, end in zip(cuts, cuts[1:], strict=False):
+                if held and held[0][0] != f[start]:
+                    plan(out)
+                held.append((int(f[start]), counts[start:end], tokens[start:end]))
+            yield out
+        if held:
+            out = {name: [] for name in names}
+            plan(out)
             yield out
 
-    schema = "f long, rep long, n long, m long, kernel long, level long, region long, crowd long"
+    schema = "f long, n long, m long, kernel long, level long, region long, crowd long"
     return map_columns(rows, work, schema + ", prefix array<long>, counts array<long>")
 
 
+def _planned(sets: DataFrame, percent: int) -> DataFrame:
+    """The sets that can be linked, with their prefixes, and ``k``, the one that stands for a set's kernel."""
+    entries = sets.select("f", F.explode("tokens").alias("token"))
+    # a shingle has one row for each set at most, so even a common one is a small part of all rows
+    entries = entries.withColumn("count", F.count("f").over(Window.partitionBy("token"))).where("count > 1")
+    sizes = sets.select("f", (-F.col("n")).alias("count"), F.lit(0).cast("long").alias("token"))
+    rows = entries.select("f", "count", "token").unionByName(sizes)
+    rows = rows.repartition("f").sortWithinPartitions("f", "count", "token")
+    rows = settle(_plan(rows, percent))
+    of = rows.groupBy("kernel", "n", "m").agg(F.min("f").alias("k")).toDF("of", "size", "common", "k")
+    same = (F.col("kernel") == F.col("of")) & (F.col("n") == F.col("size")) & (F.col("m") == F.col("common"))
+    place = F.xxhash64("region", F.pmod(F.xxhash64("f"), F.ceil(F.col("crowd") / TILE))).alias("place")
+    return settle(rows.join(of, same).select("f", "n", "m", "level", "prefix", "counts", "k", place))
+
+
 # ---- confirming --------------------------------------------------------------
 
 
@@ -232,9 +277,11 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _postings(kernels: DataFrame) -> DataFrame:
-    return kernels.select(
-        "f", "n", "m", "level", "place", "comp", F.explode(F.arrays_zip("prefix", "counts")).alias("p")
-    ).select("f", "n", "m", "level", "place", "comp", F.col("p.prefix").alias("token"), F.col("p.counts").alias("count"))
+    """A row for each prefix shingle, at its place among the set's shared ones."""
+    kept = ["f", "n", "m", "level", "place", "comp"]
+    zipped = F.posexplode(F.arrays_zip("prefix", "counts")).alias("at", "p")
+    rows = kernels.select(*kept, zipped)
+    return rows.select(*kept, (F.col("at") + 1).alias("at"), F.col("p.prefix").alias("token"), F.col("p.counts").alias("count"))
 
 
 def _could_link(n: str, m: str, sides: tuple[str, str], percent: int) -> Column:
@@ -257,7 +304,7 @@ def candidates(kernels: DataFrame, percent: int, block: int = LIST) -> DataFrame
     """Pairs of different components that share as many prefix shingles as the lower of their levels."""
     rows = _postings(kernels).withColumn("blocks", F.ceil(F.col("count") / block).cast("int"))
     rows = rows.withColumn("own", F.pmod(F.xxhash64("f"), F.col("blocks")).cast("int"))
-    kept = ["token", "f", "n", "m", "level", "place", "comp"]
+    kept = ["token", "f", "n", "m", "level", "place", "comp", "at"]
     after = F.explode(F.sequence("own", F.col("blocks") - 1))
     before = F.explode(F.sequence(F.lit(0), "own"))
     left = rows.select(*kept, F.col("own").alias("i"), after.alias("j")).alias("l")
@@ -265,7 +312,14 @@ def candidates(kernels: DataFrame, percent: int, block: int = LIST) -> DataFrame
     keys = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in ("token", "i", "j")]
     once = (F.col("l.i") != F.col("l.j")) | (F.col("l.f") < F.col("r.f"))
     apart = (F.col("l.f") != F.col("r.f")) & (F.col("l.comp") != F.col("r.comp"))
-    met = left.join(right, keys[0] & keys[1] & keys[2] & once & apart & _could_link("n", "m", ("l", "r"), percent))
+    # the first shingles that two similar sets share come no later than this, whatever else they lack
+    level = F.least("l.level", "r.level")
+    in_reach = [
+        percent * (F.col("l.n") + F.col("r.n")) <= (100 + percent) * (F.col(f"{s}.m") + level - F.col(f"{s}.at"))
+        for s in ("l", "r")
+    ]
+    near = once & apart & in_reach[0] & in_reach[1] & _could_link("n", "m", ("l", "r"), percent)
+    met = left.join(right, keys[0] & keys[1] & keys[2] & near)
     turned = F.col("l.f") > F.col("r.f")
 
     def end(c: str, greater: bool) -> Column:
@@ -276,57 +330,45 @@ def candidates(kernels: DataFrame, percent: int, block: int = LIST) -> DataFrame
         end("f", True).alias("b"),
         end("place", False).alias("x"),
         end("place", True).alias("y"),
-        F.least("l.level", "r.level").alias("level"),
+        level.alias("level"),
     )
     return met.groupBy("a", "b", "x", "y", "level").count().where("count >= level").drop("level", "count")
 
 
+def _found(planned: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Edges ``a, b`` that join all linked sets among the kernels' own."""
+    kernels = planned.where("f = k")
+    central = settle(_confirm(_central(kernels.withColumn("comp", F.col("f")), percent), sets, percent))
+    joined = components(central).select(F.col("node").alias("f"), F.col("component").alias("comp"))
+    kernels = settle(kernels.join(joined, "f", "left").withColumn("comp", F.coalesce("comp", "f")))
+    return settle(_confirm(candidates(kernels, percent), sets, percent)).unionByName(central)
+
+
 def links(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Every text's ``doc_id, n_shingles, rep``, and edges ``a, b`` between ``rep``s that join all linked texts."""
     signed = settle(sign(docs, size, percent))
     whole = signed.where("n_shingles > 0 and doc_id is not null").withColumnRenamed("n_shingles", "n")
-    classes = settle(whole.groupBy("f", "g", "n").agg(F.min("doc_id").alias("rep")))
-
-    prefixes = whole.groupBy("f", "g", "n").agg(F.first("prefix").alias("prefix"))  # equal in all rows of a class
-    tokens = prefixes.select(F.explode("prefix").alias("token"), "f")
-    tokens = tokens.repartitionByRange("token", "f").sortWithinPartitions("token", "f")
-    met = map_columns(tokens, _met, "f long, hits long").groupBy("f").agg(F.sum("hits").alias("hits"))
-    least = F.floor(F.ceil(F.col("n") * percent / 100) / SPREAD) + 1
-    alive = settle(classes.join(met, "f").where(F.col("hits") >= least).select("f", "g", "n", "rep"))
-
-    sets = settle(_sets(docs, alive, size))
+    alive = _alive(whole, percent)
     release(docs.sparkSession)
-    entries = sets.select("f", "rep", "n", F.explode("tokens").alias("token"))
-    counts = settle(entries.groupBy("token").count().where("count > 1"))
-    shared = entries.join(counts, "token").groupBy("f", "rep", "n")
-    shared = shared.agg(F.collect_list(F.struct("count", "token")).alias("shared"))  # at most one text's shingles
-    planned = settle(_plan(shared.where(100 * F.size("shared") >= percent * F.col("n")), percent))
+    sets = _sets(docs, alive, size)
+    planned = _planned(sets, percent)
+    release(docs.sparkSession)
+    found = _found(planned, sets, percent)
     release(docs.sparkSession)
-
-    of = planned.groupBy("kernel", "n", "m").agg(F.min("f").alias("k")).withColumnRenamed("kernel", "of")
-    same = (F.col("kernel") == F.col("of")) & (F.col("n") == F.col("size")) & (F.col("m") == F.col("common"))
-    of = of.select("of", F.col("n").alias("size"), F.col("m").alias("common"), "k")
-    planned = settle(planned.join(of, same).drop("of", "size", "common"))
-    tiles = F.ceil(F.col("crowd") / TILE)
-    place = F.xxhash64("region", F.pmod(F.xxhash64("f"), tiles))
-    kernels = planned.where("f = k").withColumn("place", place)
-
-    central = settle(_confirm(_central(kernels.withColumn("comp", F.col("f")), percent), sets, percent))
-    joined = components(central).select(F.col("node").alias("f"), F.col("component").alias("comp"))
-    kernels = kernels.join(joined, "f", "left").withColumn("comp", F.coalesce("comp", "f"))
-    found = settle(_confirm(candidates(settle(kernels), percent), sets, percent)).unionByName(central)
 
     linked = found.select(F.explode(F.array("a", "b")).alias("k")).distinct().withColumn("linked", F.lit(True))
     members = planned.where("f != k").join(linked, "k", "left")
     members = members.where(F.col("linked").isNotNull() | similar(F.col("n"), F.col("n"), F.col("m"), percent))
     edges = found.unionByName(members.select(F.col("f").alias("a"), F.col("k").alias("b")))
-    names = planned.select("f", "rep")
+    names = sets.select("f", "rep")
     edges = edges.join(names.select(F.col("f").alias("a"), F.col("rep").alias("u")), "a")
     edges = edges.join(names.select(F.col("f").alias("b"), F.col("rep").alias("v")), "b")
+    edges = edges.select(F.col("u").alias("a"), F.col("v").alias("b"))
 
-    texts = signed.join(classes.withColumnRenamed("n", "n_shingles"), ["f", "g", "n_shingles"], "left")
-    several = classes_of_an_id(texts)
-    return texts.select("doc_id", "n_shingles", "rep"), edges.select(F.col("u").alias("a"), F.col("v").alias("b")).unionByName(several)
+    classes = whole.groupBy("f", "g", F.col("n").alias("n_shingles")).agg(F.min("doc_id").alias("rep"))
+    texts = signed.select("doc_id", "n_shingles", "f", "g").join(classes, ["f", "g", "n_shingles"], "left")
+    texts = settle(texts.select("doc_id", "n_shingles", "rep"))
+    return texts, edges.unionByName(classes_of_an_id(texts))
 
 
 def classes_of_an_id(texts: DataFrame) -> DataFrame:
