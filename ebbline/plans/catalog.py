@@ -15,7 +15,7 @@ from ebbline.functions import items
 from ebbline.functions.decay import value_at
 from ebbline.functions.events import allow_events, decode_events, encode_events
 from ebbline.functions.text import explode_words, tokens
-from ebbline.operators import decay, engagement, families, generators, running, topk, windows
+from ebbline.operators import decay, engagement, families, generators, late, running, topk, windows
 from ebbline.session import prepare, shared_dir
 from ebbline.sinks.tables import TopListTable, UpsertTable, fan_out_writer
 from ebbline.sources import lines, tables
@@ -25,6 +25,7 @@ HOUR, DAY, WEEK = 3600, 86_400, 604_800
 SHORT = [5, 10, 15]
 LONG = [HOUR, DAY, WEEK]
 AS_OF = 1_706_659_200  # 2024-01-31 00:00:00 UTC, after the last event
+HALF = AS_OF - 15 * DAY  # about the middle of the events
 USER, MEDIA = ["event_name", "user_id"], ["event_name", "media_id"]
 K = 20
 
@@ -181,6 +182,29 @@ def window_count_arrival(spark, sf_dir):
     return windows.window_counts(late, MEDIA, "1 day", time="arrival", ts_policy="first_arrival")
 
 
+LATE_DELAYS = [0, HOUR]
+
+
+def _late_rows(spark: SparkSession, sf_dir: str, delay: int) -> DataFrame:
+    """Events in the order of their arrival, stamped up to some hours before, and whether their hour had closed."""
+    events = _late_events(spark, sf_dir).select("event_id", "event_name", "arrival", "event_ts", "event_count")
+    return late.marked(events, HOUR, delay).withColumn("delay", F.lit(delay))
+
+
+@query
+def late_dropped(spark, sf_dir):
+    """The rows that a watermark leaves out, at two delays."""
+    parts = [_late_rows(spark, sf_dir, d).where("late").select("delay", "event_id", "event_ts") for d in LATE_DELAYS]
+    return parts[0].unionByName(parts[1])
+
+
+@query
+def late_counted(spark, sf_dir):
+    """Window counts of the rows in time, and how many were late, at two delays."""
+    parts = [late.counted_in_time(_late_rows(spark, sf_dir, d), ["delay", "event_name"]) for d in LATE_DELAYS]
+    return parts[0].unionByName(parts[1])
+
+
 @query
 def sliding_count(spark, sf_dir):
     return windows.sliding_counts(tables.events(spark, sf_dir), ["event_name"], HOUR, 300)
@@ -244,10 +268,13 @@ def decay_running_short(spark, sf_dir):
     return _long(decay.decay_running(_counted(spark, sf_dir, MEDIA, "1 hour"), MEDIA, [5, 600, HOUR]))
 
 
+def _late_stamped(events: DataFrame) -> DataFrame:
+    return events.withColumn("event_ts", F.col("event_ts") - F.floor(F.col("value") * 100))
+
+
 def _late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events that were stamped up to some hours before they arrived."""
-    e = tables.events(spark, sf_dir)
-    return e.withColumn("event_ts", F.col("event_ts") - F.floor(F.col("value") * 100))
+    return _late_stamped(tables.events(spark, sf_dir))
 
 
 @query
@@ -556,6 +583,56 @@ def stream_counters(spark, sf_dir):
     return _long(_stored_result(spark, counters, "counters"))
 
 
+@query
+def stream_late_rows(spark, sf_dir):
+    """Late rows on a side output, and the hourly counts of the others, added up by the store."""
+    home = shared_dir(spark, "late")
+    on_late = jobs.append_table(f"{home}/late")
+    split = late.LateSplit(f"{home}/clock", HOUR, on_late, delay=HOUR)
+    stream = _late_stamped(_event_stream(spark, sf_dir, closing=False)).select("event_id", "arrival", "event_ts")
+    jobs.run_available(stream, split.write, f"{home}/checkpoint")
+    return jobs.read_table(spark, f"{home}/late").select("event_id", "event_ts", "window_start")
+
+
+@query
+def stream_late_counts(spark, sf_dir):
+    """What the stream counted in time, per hour."""
+    home = shared_dir(spark, "in-time")
+    store = UpsertTable(f"{home}/rows", ["event_name", "window_start", "batch"], ["n"])
+
+    def in_time(rows: DataFrame, batch_id: int) -> None:
+        counts = rows.groupBy("event_name", "window_start").agg(F.sum("event_count").alias("n"))
+        store.write(counts.withColumn("batch", F.lit(batch_id)), batch_id)
+
+    split = late.LateSplit(f"{home}/clock", HOUR, jobs.append_table(f"{home}/late"), in_time)
+    stream = _late_stamped(_event_stream(spark, sf_dir, closing=False))
+    jobs.run_available(stream.drop("value", "user_id", "creator_id", "media_id"), split.write, f"{home}/checkpoint")
+    return store.read(spark).groupBy("event_name", "window_start").agg(F.sum("n").alias("n"))
+
+
+@query
+def stream_counters_handover(spark, sf_dir):
+    """Counters of a backfill of the first half, and a stream that goes on from them."""
+    backfill = _events(spark, sf_dir).where(F.col("event_ts") < HALF)
+    counted = windows.window_counts(backfill, MEDIA, "1 hour")
+    before = decay.decay_final(counted, MEDIA, LONG).withColumnsRenamed({"event_name": "feature_name", "media_id": "key"})
+    arriving = tables.as_events(tables.streamed_events(spark, sf_dir, since=HALF))
+    counters = jobs.event_counters(arriving, "media_id", LONG, "1 hour", initial=before)
+    streamed = _long(_stored_result(spark, counters, "handover"))
+    history = _long(decay.decay_running(counted, MEDIA, LONG))
+    return history.withColumnsRenamed({"event_name": "feature_name", "media_id": "key"}).unionByName(streamed)
+
+
+@query
+def stream_lifetime_handover(spark, sf_dir):
+    """Lifetime counts of a stream that goes on from a backfill's totals."""
+    backfill = _events(spark, sf_dir).where(F.col("event_ts") < HALF)
+    totals = backfill.groupBy(*USER).agg(F.sum("event_count").alias("total"))
+    arriving = jobs.watermarked(tables.as_events(tables.streamed_events(spark, sf_dir, since=HALF)))
+    counted = windows.window_counts(arriving, USER, "1 hour")
+    return _stored_result(spark, jobs.lifetime_totals(counted, USER, initial=totals), "lifetime-handover")
+
+
 @query
 def stream_counter_slices(spark, sf_dir):
     """Counters from slice sums that the stream keeps up to date."""

@@ -152,6 +152,15 @@ def _feature_counters() -> str:
     return f"WITH {EV}, f AS ({parts}), {final} SELECT {keys}, decay_interval, last_update, round(value, 6) AS value FROM c"
 
 
+MARKED = """clocked AS (
+  SELECT *, max(event_ts) OVER (ORDER BY arrived, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS clock FROM late),
+marked AS (
+  SELECT delay, event_id, event_name, event_ts, event_ts // 3600 * 3600 AS window_start,
+         coalesce(event_ts // 3600 * 3600 + 3600 <= clock - delay, false) AS is_late
+  FROM clocked, (SELECT unnest([0, 3600]) AS delay))"""
+LATE_COUNTED = """SELECT delay, event_name, window_start, count(*) FILTER (NOT is_late) AS n, count(*) FILTER (is_late) AS n_late
+FROM marked GROUP BY delay, event_name, window_start"""
+
 SPACES = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
 DROP_EMPTY = f"SELECT word, count(*) AS n FROM ({_words('documents', 'text')}) WHERE word <> '' GROUP BY word"
 LIFETIME = """SELECT {keys}, window_start, window_end, n,
@@ -220,6 +229,12 @@ SELECT word, event_id, CAST(position AS INTEGER) AS position,
 SELECT event_name, media_id, arrived // 86400 * 86400 AS window_start, arrived // 86400 * 86400 + 86400 AS window_end,
        count(*) AS n, arg_min(event_ts, event_id) AS event_ts
 FROM late GROUP BY event_name, media_id, arrived // 86400 * 86400""",
+    "late_dropped": f"WITH {EV}, {LATE}, {MARKED} SELECT delay, event_id, event_ts FROM marked WHERE is_late",
+    "late_counted": f"WITH {EV}, {LATE}, {MARKED} {LATE_COUNTED}",
+    "stream_late_rows": f"""WITH {EV}, {LATE}, {MARKED}
+SELECT event_id, event_ts, window_start FROM marked WHERE is_late AND delay = 3600""",
+    "stream_late_counts": f"""WITH {EV}, {LATE}, {MARKED}
+SELECT event_name, window_start, count(*) AS n FROM marked WHERE NOT is_late AND delay = 0 GROUP BY event_name, window_start""",
     "sliding_count": f"""WITH {EV},
 x AS (SELECT event_name, event_ts // 300 * 300 - unnest(range(0, 3600, 300)) AS window_start FROM ev)
 SELECT event_name, window_start, window_start + 3600 AS window_end, count(*) AS n FROM x GROUP BY event_name, window_start""",
@@ -304,6 +319,11 @@ SELECT * FROM ({LIFETIME.format(keys='event_name, user_id')})""",
     "stream_counters": f"""WITH {EV}, {_windows('event_name, media_id', HOUR)}
 SELECT event_name AS feature_name, media_id AS key, * EXCLUDE (event_name, media_id)
 FROM ({_running('media_id', [HOUR, DAY, WEEK])})""",
+    "stream_counters_handover": f"""WITH {EV}, {_windows('event_name, media_id', HOUR)}
+SELECT event_name AS feature_name, media_id AS key, * EXCLUDE (event_name, media_id)
+FROM ({_running('media_id', [HOUR, DAY, WEEK])})""",
+    "stream_lifetime_handover": f"""WITH {EV}, {_windows('event_name, user_id', HOUR)}
+SELECT * FROM ({LIFETIME.format(keys='event_name, user_id')}) WHERE window_start >= {AS_OF - 15 * DAY}""",
     "stream_counter_slices": f"""{MEDIA_EACH}
 SELECT event_name AS feature_name, media_id AS key, decay_interval, last_update, round(value, 6) AS value FROM c""",
     "stream_sliding": f"""WITH {EV},

@@ -1,8 +1,9 @@
 """Run a job: ``spark-submit submit.py JOB --source ... --checkpoint DIR [--output DIR]``.
 
 Jobs: ``words`` (per window), ``lifetime`` (words since the beginning),
-``counters`` (decayed counters per user) and ``candidates`` (decayed counters
-per media and the list of the best).
+``counters`` (decayed counters per user), ``candidates`` (decayed counters
+per media and the list of the best) and ``late`` (events that come after their
+window has closed, and how many there were in each batch).
 
 Sources: ``files:DIR``, ``kafka:SERVERS/TOPIC``, or ``config`` for the stream
 named in the YAML file given by ``--config``.
@@ -25,6 +26,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from ebbline.config import load_config
 from ebbline.functions import items
 from ebbline.functions.events import allow_events, decode_events
+from ebbline.operators.late import LateSplit, seconds
 from ebbline.session import prepare
 from ebbline.sinks.tables import (
     TopListTable,
@@ -48,7 +50,7 @@ TRIGGER = "5 seconds"
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     p = argparse.ArgumentParser(description="Feature counters and candidate lists on Spark")
-    p.add_argument("job", choices=["words", "lifetime", "counters", "candidates"])
+    p.add_argument("job", choices=["words", "lifetime", "counters", "candidates", "late"])
     p.add_argument("--source", required=True)
     p.add_argument("--config", help="YAML file with the source and sink sections")
     p.add_argument("--checkpoint", required=True, help="folder every executor can reach")
@@ -72,6 +74,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--list-days", type=float, default=jobs.TTL_DAYS, help="ids without events for so long leave the list")
     p.add_argument("--kafka-group", help="consumer group of a Kafka source")
     p.add_argument("--start", default="TRIM_HORIZON", choices=sorted(START), help="where a new Kafka checkpoint starts")
+    p.add_argument("--initial", help="counter table of a backfill that a new checkpoint begins with")
     p.add_argument("--once", action="store_true", help="stop at the end of the input; state does not expire")
     return p.parse_args(argv)
 
@@ -105,7 +108,10 @@ def build(spark: SparkSession, args: argparse.Namespace) -> DataStreamWriter:
 
     key = "media_id" if args.job == "candidates" else "user_id"
     events = allow_events(decode_events(lines, on_bad_record=args.on_bad_record), args.allowed)
-    counters = jobs.event_counters(events, key, args.intervals, args.window, args.delay, args.event_time, ttl)
+    if args.job == "late":
+        return _late(events, args)
+    initial = UpsertTable(args.initial, ["feature_name", "key"], ["window_end"]).read(spark) if args.initial else None
+    counters = jobs.event_counters(events, key, args.intervals, args.window, args.delay, args.event_time, ttl, initial)
     if not args.output:
         return to_console(counters, args.checkpoint)
     table = UpsertTable(f"{args.output}/counters", ["feature_name", "key"], ["window_end"])
@@ -132,6 +138,20 @@ def build(spark: SparkSession, args: argparse.Namespace) -> DataStreamWriter:
     return _upserted(counters, args, fan_out_writer(*writers))
 
 
+def _late(events: DataFrame, args: argparse.Namespace) -> DataStreamWriter:
+    """Late events below ``--output``, and the counts of every batch beside them."""
+    if not args.output:
+        raise ValueError("the job late needs --output")
+    split = LateSplit(
+        f"{args.output}/batches",
+        seconds(args.window),
+        jobs.append_table(f"{args.output}/late"),
+        delay=seconds(args.delay),
+        order=["arrival", "event_ts", "event_name", "user_id", "media_id"],
+    )
+    return _upserted(events, args, split.write)
+
+
 def _client(args: argparse.Namespace):
     """The function that opens a client, and the sink section; nothing if no client is asked for."""
     if not args.client:

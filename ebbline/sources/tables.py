@@ -22,31 +22,42 @@ STORED_EVENTS = T.StructType(
     ]
 )
 CREATORS = 20
-PORTIONS = 5
+PORTIONS, FILE_ROWS = 5, 2000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def streamed_events(spark: SparkSession, sf_dir: str, closing: bool = True) -> DataFrame:
-    """The events as they arrive: files in the order of time, one per micro-batch.
+def streamed_events(spark: SparkSession, sf_dir: str, closing: bool = True, since: int | None = None) -> DataFrame:
+    """The events as they arrive: portions in the order of time, one per micro-batch.
 
-    ``closing`` adds a last file with one view a day later, by user and of media -1, which closes all windows before.
+    Every portion has the same number of files, which bounds a micro-batch; a file has ``FILE_ROWS`` rows or more, and
+    a portion at most four files for each core.  ``closing`` adds a last file with one view a day later, by user and of
+    media -1, which closes all windows before.  ``since`` leaves out what came before that second.
     """
     stored = table(spark, sf_dir, "events").select([f.name for f in STORED_EVENTS])
+    if since is not None:
+        stored = stored.where(F.col("ts") >= F.timestamp_seconds(F.lit(since)).cast("timestamp_ntz"))
     folder = shared_dir(spark, "arriving")
     first, last = stored.agg(F.min("ts"), F.max("ts")).first()
-    spark.createDataFrame([], STORED_EVENTS).write.parquet(folder)
+    files = 1
     if first is not None:
         bounds = [first + (last - first) * i / PORTIONS for i in range(1, PORTIONS)]
         number = sum((F.col("ts") >= F.lit(b).cast("timestamp_ntz")).cast("int") for b in bounds)
+        number = F.coalesce(number, F.lit(0))
+        sizes = [r["count"] for r in stored.groupBy(number.alias("portion")).count().collect()]  # PORTIONS rows at most
+        least = min(sizes) if len(sizes) == PORTIONS else 0
+        files = max(1, min(least // FILE_ROWS, 4 * spark.sparkContext.defaultParallelism))
+        file = F.pmod(F.xxhash64("event_id", "ts", "user_id"), F.lit(files)).cast("int")
         for i in range(PORTIONS):  # a write each, since files are taken in the order of their making
-            stored.where(F.coalesce(number, F.lit(0)) == i).coalesce(1).write.mode("append").parquet(folder)
+            stored.where(number == i).repartitionById(files, file).write.mode("append").parquet(folder)
         if closing:
             end = [(None, last + timedelta(days=1), -1, "view", 0.0, '{"k": -1}')]
             spark.createDataFrame(end, STORED_EVENTS).coalesce(1).write.mode("append").parquet(folder)
-    return spark.readStream.schema(STORED_EVENTS).option("maxFilesPerTrigger", 1).parquet(folder)
+    else:
+        spark.createDataFrame([], STORED_EVENTS).write.parquet(folder)
+    return spark.readStream.schema(STORED_EVENTS).option("maxFilesPerTrigger", files).parquet(folder)
 
 
 def _text(c: Column) -> Column:

@@ -54,27 +54,50 @@ def word_totals(lines: DataFrame, tokeniser: str = "words") -> DataFrame:
     return word_counts(lines, tokeniser)
 
 
-def lifetime_totals(windows: DataFrame, keys: list[str], ttl_ms: int | None = None) -> DataFrame:
-    """Count since the beginning at every window close."""
+def lifetime_totals(
+    windows: DataFrame, keys: list[str], ttl_ms: int | None = None, initial: DataFrame | None = None
+) -> DataFrame:
+    """Count since the beginning at every window close.
+
+    ``initial`` are totals of a backfill (the keys and ``total``, one row each), which a new checkpoint begins with.
+    """
     schema = _typed(windows, keys)
     return windows.groupBy(*keys).transformWithState(
         LifetimeTotal(keys, ttl_ms),
         f"{schema}, window_start bigint, window_end bigint, n bigint, total bigint",
         "Append",
         _time_mode(ttl_ms),
+        initialState=None if initial is None else initial.select(*keys, "total").groupBy(*keys),
     )
 
 
+def counter_state(counters: DataFrame, keys: list[str], intervals: list[int]) -> DataFrame:
+    """Counters of a backfill (``counts``) as the state that a counter stream begins with."""
+    c = {d: F.col("counts")[F.lit(d).cast("bigint")] for d in intervals}
+    values = F.array(*[F.coalesce(c[d]["value"], F.lit(0.0)) for d in intervals])
+    last = F.greatest(*[F.coalesce(c[d]["last_update"], F.lit(0)) for d in (*intervals, intervals[0])])
+    return counters.select(*keys, last.alias("last_update"), values.alias("value"))
+
+
 def decayed_counters(
-    windows: DataFrame, keys: list[str], intervals: list[int], ttl_ms: int | None = None
+    windows: DataFrame,
+    keys: list[str],
+    intervals: list[int],
+    ttl_ms: int | None = None,
+    initial: DataFrame | None = None,
 ) -> DataFrame:
-    """All counters of a key at every window close, in ``counts``."""
+    """All counters of a key at every window close, in ``counts``.
+
+    ``initial`` are counters of a backfill with the same intervals (the keys and ``counts``, one row each), such as
+    :func:`ebbline.operators.decay.decay_final` gives; a new checkpoint begins with them.
+    """
     schema = _typed(windows, keys)
     states = windows.groupBy(*keys).transformWithState(
         DecayedValues(keys, intervals, ttl_ms),
         f"{schema}, window_start bigint, window_end bigint, last_update bigint, value array<double>",
         "Append",
         _time_mode(ttl_ms),
+        initialState=None if initial is None else counter_state(initial, keys, intervals).groupBy(*keys),
     )
     values = {d: F.col("value")[i] for i, d in enumerate(intervals)}
     return states.select(
@@ -90,11 +113,17 @@ def event_counters(
     delay: str = "0 seconds",
     event_time: str = "payload",
     ttl_ms: int | None = None,
+    initial: DataFrame | None = None,
 ) -> DataFrame:
-    """Events to counters: ``feature_name`` (the event name), ``key``, ``counts``."""
+    """Events to counters: ``feature_name`` (the event name), ``key``, ``counts``.
+
+    ``initial`` has the same three columns.
+    """
     keys = ["event_name", key]
     windows = window_counts(watermarked(events, delay, event_time), keys, length)
-    counters = decayed_counters(windows, keys, intervals, ttl_ms)
+    if initial is not None:
+        initial = initial.select(F.col("feature_name").alias("event_name"), F.col("key").alias(key), "counts")
+    counters = decayed_counters(windows, keys, intervals, ttl_ms, initial)
     return counters.withColumnsRenamed({"event_name": "feature_name", key: "key"})
 
 

@@ -31,6 +31,9 @@ class LifetimeTotal(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.total = handle.getValueState("total", "total bigint", self.ttl_ms)
 
+    def handleInitialState(self, key, initialState: Row, timerValues) -> None:
+        self.total.update((initialState["total"],))
+
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         stored = self.total.get()
         total = stored[0] if stored else 0
@@ -61,6 +64,9 @@ class DecayedValues(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("counters", "last_update bigint, value array<double>", self.ttl_ms)
 
+    def handleInitialState(self, key, initialState: Row, timerValues) -> None:
+        self.state.update((initialState["last_update"], list(initialState["value"])))
+
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         last, values = self.state.get() or (0, [0.0] * len(self.intervals))
         for row in sorted(rows, key=lambda r: r["window_start"]):
