@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbline.config import SourceConfig
+from ebbline.sources import kinesis
 
 # Initial positions and what Kafka calls them.
 START = {"TRIM_HORIZON": "earliest", "LATEST": "latest"}
@@ -28,25 +31,28 @@ def kafka_lines(spark: SparkSession, **kwargs) -> DataFrame:
 
 
 def kinesis_options(config: SourceConfig) -> dict[str, str]:
-    """Options of the public ``aws-kinesis`` Spark connector."""
+    """Options of :mod:`ebbline.sources.kinesis` from the source section."""
     wanted = {
-        "kinesis.streamName": config.datastreamName,
-        "kinesis.region": config.awsRegion,
-        "kinesis.endpointUrl": config.awsEndpoint,
-        "kinesis.awsAccessKeyId": config.awsAccessKeyId,
-        "kinesis.awsSecretKey": config.awsSecretAccessKey,
-        "kinesis.startingPosition": config.streamInitialPosition,
+        "stream": config.datastreamName,
+        "region": config.awsRegion,
+        "endpoint": config.awsEndpoint,
+        "accesskeyid": config.awsAccessKeyId,
+        "secretkey": config.awsSecretAccessKey,
+        "position": config.streamInitialPosition,
     }
     if config.awsAssumeRoleArn:
-        wanted["kinesis.stsRoleArn"] = config.awsAssumeRoleArn
-        wanted["kinesis.stsSessionName"] = ROLE_SESSION
+        wanted["rolearn"] = config.awsAssumeRoleArn
+        wanted["sessionname"] = ROLE_SESSION
     return {k: v for k, v in wanted.items() if v is not None}
 
 
-def kinesis_lines(spark: SparkSession, config: SourceConfig) -> DataFrame:
-    """A Kinesis stream, through a connector that must be on the class path."""
-    raw = spark.readStream.format("aws-kinesis").options(**kinesis_options(config)).load()
-    arrival = F.col("approximateArrivalTimestamp")
+def kinesis_lines(
+    spark: SparkSession, config: SourceConfig, open_client: Callable[[dict], object] = kinesis.aws_client, **options: str
+) -> DataFrame:
+    """A Kinesis stream, shard by shard; ``open_client`` gets the options."""
+    name = kinesis.register(spark, open_client)
+    raw = spark.readStream.format(name).options(**kinesis_options(config), **options).load()
+    arrival = F.col("arrival")
     if config.kinesaliteTimestampFix:
         arrival = arrival_time(F.unix_millis(arrival), in_seconds=True)
     return raw.select(F.col("data").cast("string").alias("value"), arrival.alias("arrival"))

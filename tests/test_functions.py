@@ -173,8 +173,8 @@ def test_connector_options():
         "sink: {tableName: t}"
     )
     options = lines.kinesis_options(config.source)
-    assert options["kinesis.startingPosition"] == "LATEST" and options["kinesis.stsRoleArn"] == "arn"
-    assert "kinesis.endpointUrl" not in options
+    assert options["position"] == "LATEST" and options["rolearn"] == "arn"
+    assert "endpoint" not in options
     assert lines.kafka_options("h:1", "input", group="g")["startingOffsets"] == "earliest"
 
 
