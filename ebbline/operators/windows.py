@@ -31,8 +31,9 @@ def window_counts(
     time: str = "event_time",
     ts_policy: str = "min",
     arrival_order: str = "arrival",
+    clocked: bool = False,
 ) -> DataFrame:
-    """Events per key and tumbling window.
+    """Events per key and tumbling window; ``clocked`` keeps the watermarked window as ``_w``.
 
     The sum over a window carries one event time.  Where events of a key arrive
     in order, its first arrival is also its earliest; ``min`` needs no arrival
@@ -48,7 +49,7 @@ def window_counts(
     counted = events.groupBy(F.window(time, length).alias("_w"), *keys).agg(
         F.sum("event_count").alias("n"), stamp.alias("event_ts")
     )
-    return _flat(counted, keys, ["n", "event_ts"])
+    return _flat(counted, [*keys, "_w"] if clocked else keys, ["n", "event_ts"])
 
 
 def word_window_counts(
@@ -57,11 +58,12 @@ def word_window_counts(
     time: str = "arrival",
     tokeniser: str = "words",
     value: str = "value",
+    clocked: bool = False,
 ) -> DataFrame:
-    """Words per tumbling window."""
+    """Words per tumbling window; ``clocked`` keeps the watermarked window as ``_w``."""
     words = explode_words(lines, tokeniser, value, [time])
     counted = words.groupBy(F.window(time, length).alias("_w"), "word").agg(F.count("*").alias("n"))
-    return _flat(counted, ["word"], ["n"])
+    return _flat(counted, ["word", "_w"] if clocked else ["word"], ["n"])
 
 
 def _flat(counted: DataFrame, keys: list[str], values: list[str]) -> DataFrame:

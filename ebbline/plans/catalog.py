@@ -703,6 +703,28 @@ def stream_viewed_not_purchased(spark, sf_dir):
     return _stored_result(spark, missing, "missing")
 
 
+@query
+def stream_missing_reactions_joined(spark, sf_dir):
+    """The same by a join of two streams, without Python."""
+    missing = jobs.without_reaction_joined(_event_stream(spark, sf_dir), ["user_id"], "view", "purchase", HOUR)
+    return _stored_result(spark, missing, "missing-joined")
+
+
+@query
+def stream_ttl_lifetime(spark, sf_dir):
+    """Lifetime counts where a key is forgotten after two days of event time; the run ends by itself."""
+    events = jobs.watermarked(_event_stream(spark, sf_dir))
+    counted = windows.window_counts(events, USER, clocked=True)
+    return _stored_result(spark, jobs.lifetime_totals(counted, USER, event_ttl_s=2 * DAY), "ttl-lifetime")
+
+
+@query
+def stream_ttl_counters(spark, sf_dir):
+    """Decayed counters where a key is forgotten after a day of event time."""
+    counters = jobs.event_counters(_event_stream(spark, sf_dir), "user_id", LONG, "1 hour", event_ttl_s=DAY)
+    return _long(_stored_result(spark, counters, "ttl-counters"))
+
+
 @query
 def stream_replayed_lines(spark, sf_dir):
     """JSON lines written to files, replayed as a stream, decoded, filtered and counted."""

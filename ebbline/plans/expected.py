@@ -46,12 +46,14 @@ def _final(keys: str, ds: list[int], source: str, amount: str = "n", name: str =
   GROUP BY {out}, d, m.t)"""
 
 
-def _running(key: str, ds: list[int], late: bool = False) -> str:
+def _running(key: str, ds: list[int], source: str = "w", life: str = "") -> str:
     """One row per window close: a sum over all earlier windows of the key."""
+    same = f" AND a.{life} = b.{life}" if life else ""
+    part = f", {life}" if life else ""
     return f"""SELECT a.event_name, a.{key}, a.window_start, a.window_end, d AS decay_interval,
        max(a.t) AS last_update, round(sum(b.n * exp(-CAST(a.t - b.event_ts AS DOUBLE) / d)), 6) AS value
-FROM (SELECT *, max(event_ts) OVER (PARTITION BY event_name, {key} ORDER BY window_start) AS t FROM w) a
-JOIN w b ON a.event_name = b.event_name AND a.{key} = b.{key} AND b.window_start <= a.window_start,
+FROM (SELECT *, max(event_ts) OVER (PARTITION BY event_name, {key}{part} ORDER BY window_start) AS t FROM {source}) a
+JOIN {source} b ON a.event_name = b.event_name AND a.{key} = b.{key} AND b.window_start <= a.window_start{same},
      {_intervals(ds)}
 GROUP BY a.event_name, a.{key}, a.window_start, a.window_end, d"""
 
@@ -334,6 +336,13 @@ SELECT event_name, window_start, count(*) AS n FROM x GROUP BY event_name, windo
     "stream_family_counters": _feature_counters(),
     "stream_ratio_topk": BEST_RATIOS,
     "stream_viewed_not_purchased": _missing("user_id", HOUR),
+    "stream_missing_reactions_joined": _missing("user_id", HOUR),
+    "stream_ttl_lifetime": f"""WITH {EV}, {_windows('event_name, user_id', 5)}, {_lives(2 * DAY)}
+SELECT event_name, user_id, window_start, window_end, n,
+       CAST(sum(n) OVER (PARTITION BY event_name, user_id, life ORDER BY window_start) AS BIGINT) AS total FROM l""",
+    "stream_ttl_counters": f"""WITH {EV}, {_windows('event_name, user_id', HOUR)}, {_lives(DAY)}
+SELECT event_name AS feature_name, user_id AS key, * EXCLUDE (event_name, user_id)
+FROM ({_running('user_id', [HOUR, DAY, WEEK], 'l', 'life')})""",
     "stream_replayed_lines": f"""WITH {EV} SELECT event_name, media_id, count(*) AS n FROM ev
 WHERE event_name IN ('view', 'purchase') GROUP BY event_name, media_id""",
 }

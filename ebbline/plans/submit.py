@@ -75,7 +75,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--kafka-group", help="consumer group of a Kafka source")
     p.add_argument("--start", default="TRIM_HORIZON", choices=sorted(START), help="where a new Kafka checkpoint starts")
     p.add_argument("--initial", help="counter table of a backfill that a new checkpoint begins with")
-    p.add_argument("--once", action="store_true", help="stop at the end of the input; state does not expire")
+    p.add_argument("--ttl-clock", default="processing", choices=["processing", "event"], help="what state expires by")
+    p.add_argument("--once", action="store_true", help="stop at the end of the input; only event time expires state")
     return p.parse_args(argv)
 
 
@@ -95,11 +96,13 @@ def source_lines(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 
 def build(spark: SparkSession, args: argparse.Namespace) -> DataStreamWriter:
     lines = source_lines(spark, args)
-    ttl = None if args.once else jobs.ttl_millis(args.ttl_days)
+    by_event = args.ttl_clock == "event"
+    ttl = None if args.once or by_event else jobs.ttl_millis(args.ttl_days)
+    event_ttl = int(args.ttl_days * 86_400) if by_event else None
     if args.job in ("words", "lifetime"):
-        stream = jobs.word_windows(lines, args.window, args.delay, args.tokeniser)
+        stream = jobs.word_windows(lines, args.window, args.delay, args.tokeniser, by_event and args.job == "lifetime")
         if args.job == "lifetime":
-            stream = jobs.lifetime_totals(stream, ["word"], ttl)
+            stream = jobs.lifetime_totals(stream, ["word"], ttl, event_ttl_s=event_ttl)
         if not args.output:
             return to_console(stream, args.checkpoint)
         if args.job == "words":
@@ -111,7 +114,9 @@ def build(spark: SparkSession, args: argparse.Namespace) -> DataStreamWriter:
     if args.job == "late":
         return _late(events, args)
     initial = UpsertTable(args.initial, ["feature_name", "key"], ["window_end"]).read(spark) if args.initial else None
-    counters = jobs.event_counters(events, key, args.intervals, args.window, args.delay, args.event_time, ttl, initial)
+    counters = jobs.event_counters(
+        events, key, args.intervals, args.window, args.delay, args.event_time, ttl, initial, event_ttl
+    )
     if not args.output:
         return to_console(counters, args.checkpoint)
     table = UpsertTable(f"{args.output}/counters", ["feature_name", "key"], ["window_end"])

@@ -14,9 +14,11 @@ from ebbline.operators.windows import event_clock, window_counts, word_counts, w
 from ebbline.streaming.processors import (
     CANDIDATES,
     BucketTop,
+    DecayedUntil,
     DecayedValues,
     GlobalTop,
     LifetimeTotal,
+    LifetimeUntil,
     MissingReaction,
 )
 
@@ -43,10 +45,14 @@ def watermarked(events: DataFrame, delay: str = "0 seconds", event_time: str = "
 
 
 def word_windows(
-    lines: DataFrame, length: str = "5 seconds", delay: str = "0 seconds", tokeniser: str = "words"
+    lines: DataFrame,
+    length: str = "5 seconds",
+    delay: str = "0 seconds",
+    tokeniser: str = "words",
+    clocked: bool = False,
 ) -> DataFrame:
     """Words per window, emitted when the window closes (append mode)."""
-    return word_window_counts(lines.withWatermark("arrival", delay), length, tokeniser=tokeniser)
+    return word_window_counts(lines.withWatermark("arrival", delay), length, tokeniser=tokeniser, clocked=clocked)
 
 
 def word_totals(lines: DataFrame, tokeniser: str = "words") -> DataFrame:
@@ -55,28 +61,39 @@ def word_totals(lines: DataFrame, tokeniser: str = "words") -> DataFrame:
 
 
 def lifetime_totals(
-    windows: DataFrame, keys: list[str], ttl_ms: int | None = None, initial: DataFrame | None = None
+    windows: DataFrame,
+    keys: list[str],
+    ttl_ms: int | None = None,
+    initial: DataFrame | None = None,
+    event_ttl_s: int | None = None,
 ) -> DataFrame:
     """Count since the beginning at every window close.
 
     ``initial`` are totals of a backfill (the keys and ``total``, one row each), which a new checkpoint begins with.
+    ``event_ttl_s`` forgets a key so many seconds of event time after its last window's end; ``windows`` must then be
+    clocked, and ``initial`` must have ``window_end`` too.
     """
     schema = _typed(windows, keys)
+    kept = ["total"] if event_ttl_s is None else ["total", "window_end"]
     return windows.groupBy(*keys).transformWithState(
-        LifetimeTotal(keys, ttl_ms),
+        LifetimeTotal(keys, ttl_ms) if event_ttl_s is None else LifetimeUntil(keys, event_ttl_s),
         f"{schema}, window_start bigint, window_end bigint, n bigint, total bigint",
         "Append",
-        _time_mode(ttl_ms),
-        initialState=None if initial is None else initial.select(*keys, "total").groupBy(*keys),
+        _time_mode(ttl_ms) if event_ttl_s is None else "EventTime",
+        initialState=None if initial is None else initial.select(*keys, *kept).groupBy(*keys),
     )
 
 
 def counter_state(counters: DataFrame, keys: list[str], intervals: list[int]) -> DataFrame:
-    """Counters of a backfill (``counts``) as the state that a counter stream begins with."""
+    """Counters of a backfill (``counts``) as the state that a counter stream begins with.
+
+    Its ``window_end``, if there is one, is kept.
+    """
+    ends = [c for c in ("window_end",) if c in counters.columns]
     c = {d: F.col("counts")[F.lit(d).cast("bigint")] for d in intervals}
     values = F.array(*[F.coalesce(c[d]["value"], F.lit(0.0)) for d in intervals])
     last = F.greatest(*[F.coalesce(c[d]["last_update"], F.lit(0)) for d in (*intervals, intervals[0])])
-    return counters.select(*keys, last.alias("last_update"), values.alias("value"))
+    return counters.select(*keys, *ends, last.alias("last_update"), values.alias("value"))
 
 
 def decayed_counters(
@@ -85,18 +102,20 @@ def decayed_counters(
     intervals: list[int],
     ttl_ms: int | None = None,
     initial: DataFrame | None = None,
+    event_ttl_s: int | None = None,
 ) -> DataFrame:
     """All counters of a key at every window close, in ``counts``.
 
     ``initial`` are counters of a backfill with the same intervals (the keys and ``counts``, one row each), such as
-    :func:`ebbline.operators.decay.decay_final` gives; a new checkpoint begins with them.
+    :func:`ebbline.operators.decay.decay_final` gives; a new checkpoint begins with them.  ``event_ttl_s`` as in
+    :func:`lifetime_totals`.
     """
     schema = _typed(windows, keys)
     states = windows.groupBy(*keys).transformWithState(
-        DecayedValues(keys, intervals, ttl_ms),
+        DecayedValues(keys, intervals, ttl_ms) if event_ttl_s is None else DecayedUntil(keys, intervals, event_ttl_s),
         f"{schema}, window_start bigint, window_end bigint, last_update bigint, value array<double>",
         "Append",
-        _time_mode(ttl_ms),
+        _time_mode(ttl_ms) if event_ttl_s is None else "EventTime",
         initialState=None if initial is None else counter_state(initial, keys, intervals).groupBy(*keys),
     )
     values = {d: F.col("value")[i] for i, d in enumerate(intervals)}
@@ -114,16 +133,17 @@ def event_counters(
     event_time: str = "payload",
     ttl_ms: int | None = None,
     initial: DataFrame | None = None,
+    event_ttl_s: int | None = None,
 ) -> DataFrame:
     """Events to counters: ``feature_name`` (the event name), ``key``, ``counts``.
 
-    ``initial`` has the same three columns.
+    ``initial`` has the same three columns, and ``window_end`` if keys expire in event time.
     """
     keys = ["event_name", key]
-    windows = window_counts(watermarked(events, delay, event_time), keys, length)
+    windows = window_counts(watermarked(events, delay, event_time), keys, length, clocked=event_ttl_s is not None)
     if initial is not None:
-        initial = initial.select(F.col("feature_name").alias("event_name"), F.col("key").alias(key), "counts")
-    counters = decayed_counters(windows, keys, intervals, ttl_ms, initial)
+        initial = initial.withColumnsRenamed({"feature_name": "event_name", "key": key})
+    counters = decayed_counters(windows, keys, intervals, ttl_ms, initial, event_ttl_s)
     return counters.withColumnsRenamed({"event_name": "feature_name", key: "key"})
 
 
@@ -202,6 +222,36 @@ def without_reaction(
     )
 
 
+def without_reaction_joined(
+    events: DataFrame, keys: list[str], first: str, reaction: str, within: int, delay: str = "0 seconds"
+) -> DataFrame:
+    """The same as :func:`without_reaction` by a stream-stream join, without Python.
+
+    Both sides are counts per second.  Watermarks on both and the interval between them let the join forget a second
+    once ``within`` has passed; first events that met nothing come out then.  Slices spread a busy key as above; null
+    keys join nothing, so their first events come out too.
+    """
+
+    def per_second(name: str, side: str) -> DataFrame:
+        # a condition on the clock too, never true, keeps this above the watermark: both sides go by all events' clock
+        own = (F.col("event_name") == name) | (F.col("event_time") < F.timestamp_micros(F.lit(-(2**63))))
+        counts = watermarked(events, delay).where(own).groupBy(F.window("event_time", "1 second").alias("_w"), *keys).agg(F.sum("event_count").alias("n"))
+        counts = counts.select(F.window_time("_w").alias(f"_{side}"), F.unix_seconds("_w.start").alias("second"), *keys, "n")
+        slices = reached_slices(F.col("second"), F.lit(side == "reaction"), within)
+        return counts.select("*", F.explode(slices).alias("slice"))
+
+    firsts = per_second(first, "first")
+    reactions = per_second(reaction, "reaction").select(
+        "_reaction", F.col("slice").alias("_slice"), *[F.col(k).alias(f"_r{i}") for i, k in enumerate(keys)]
+    )
+    met = F.col("slice") == F.col("_slice")
+    for i, k in enumerate(keys):
+        met &= F.col(k) == F.col(f"_r{i}")
+    in_time = F.expr(f"_reaction >= _first and _reaction <= _first + interval {int(within)} seconds")
+    joined = firsts.join(reactions, met & in_time, "left_outer")
+    return joined.where(F.col("_reaction").isNull()).select(*keys, "second", "n")
+
+
 def start(writer: DataStreamWriter, spark: SparkSession, partitions: int | None = None) -> StreamingQuery:
     """Start a query with ``partitions`` state partitions, by default one per core of the cluster.
 

@@ -89,6 +89,95 @@ class DecayedValues(StatefulProcessor):
         pass
 
 
+class Expiry:
+    """Event-time expiry: a key is forgotten ``ttl_s`` seconds after its last window's end.
+
+    The key's one timer is moved at every write, and fires when the watermark passes it.  Rows are asked too, since a
+    batch may bring the window that ends a life together with the watermark that would have ended it.
+    """
+
+    def __init__(self, ttl_s: int):
+        self.ttl_s = ttl_s
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.written = handle.getValueState("written", "window_end bigint")
+
+    def last(self) -> int | None:
+        stored = self.written.get()
+        return stored[0] if stored else None
+
+    def over(self, last: int | None, window_end: int) -> bool:
+        return last is not None and window_end - last >= self.ttl_s
+
+    def moved(self, before: int | None, now: int) -> None:
+        if before != now:
+            if before is not None:
+                self.handle.deleteTimer((before + self.ttl_s) * 1000)
+            self.handle.registerTimer((now + self.ttl_s) * 1000)
+            self.written.update((now,))
+
+
+class LifetimeUntil(LifetimeTotal):
+    """Totals whose keys expire in event time."""
+
+    def __init__(self, keys: list[str], ttl_s: int):
+        super().__init__(keys)
+        self.expiry = Expiry(ttl_s)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.expiry.init(handle)
+
+    def handleInitialState(self, key, initialState: Row, timerValues) -> None:
+        super().handleInitialState(key, initialState, timerValues)
+        self.expiry.moved(None, initialState["window_end"])
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        before = last = self.expiry.last()
+        for row in sorted(rows, key=lambda r: r["window_start"]):
+            if self.expiry.over(last, row["window_end"]):
+                self.total.clear()
+            yield from super().handleInputRows(key, iter([row]), timerValues)
+            last = row["window_end"]
+        self.expiry.moved(before, last)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        self.total.clear()
+        self.expiry.written.clear()
+        return iter(())
+
+
+class DecayedUntil(DecayedValues):
+    """Decayed counters whose keys expire in event time."""
+
+    def __init__(self, keys: list[str], intervals: list[int], ttl_s: int):
+        super().__init__(keys, intervals)
+        self.expiry = Expiry(ttl_s)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.expiry.init(handle)
+
+    def handleInitialState(self, key, initialState: Row, timerValues) -> None:
+        super().handleInitialState(key, initialState, timerValues)
+        self.expiry.moved(None, initialState["window_end"])
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        before = last = self.expiry.last()
+        for row in sorted(rows, key=lambda r: r["window_start"]):
+            if self.expiry.over(last, row["window_end"]):
+                self.state.clear()
+            yield from super().handleInputRows(key, iter([row]), timerValues)
+            last = row["window_end"]
+        self.expiry.moved(before, last)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        self.state.clear()
+        self.expiry.written.clear()
+        return iter(())
+
+
 class BoundedTop:
     """The ``size`` best candidates; of equal scores the one put longest ago leaves first."""
 
