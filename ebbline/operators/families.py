@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import astuple, dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -76,3 +78,60 @@ def feature_matrix(
         for d in intervals:
             features.append(F.coalesce(F.sum(F.when(here, F.col(f"_d{d}"))), F.lit(0.0)).alias(f"{name}_{d}s"))
     return per_user.groupBy("family", "key").agg(*features)
+
+
+KINDS = ("total", "count", "faded")
+
+
+@dataclass(frozen=True)
+class Counter:
+    """A counter of a sweep: all events of a name, those of the last ``seconds``, or all faded at that interval."""
+
+    name: str
+    event_name: str
+    kind: str = "total"
+    seconds: int = 1
+
+    def __post_init__(self):
+        if self.kind not in KINDS or self.seconds <= 0:
+            raise ValueError(f"a counter is one of {KINDS} and has positive seconds, not {self}")
+
+
+def sweep(
+    events: DataFrame, counters: list[Counter], as_of: int, families: dict[str, list[str]] = FAMILIES
+) -> DataFrame:
+    """Any number of counters for every key of the families, as rows ``family, key, counter, value``.
+
+    The counters are a table, not columns: the plan is the same for one and for thousands.  Events are first summed per
+    key and second, then meet the counters of their name, and are summed again before the shuffle.  A counter without
+    events has no row.
+    """
+    if len({c.name for c in counters}) != len(counters):
+        raise ValueError("counters need distinct names")
+    schema = "counter string, event_name string, kind string, seconds bigint"
+    listed = events.sparkSession.createDataFrame([astuple(c) for c in counters], schema)
+    known = events.where((F.col("event_ts") <= as_of) & F.col("event_name").isin(*{c.event_name for c in counters}))
+    fanned = fan_out(known.select("event_name", "event_ts", "event_count", *_columns(families)), families)
+    per_second = fanned.groupBy("family", "key", "event_name", "event_ts").agg(F.sum("event_count").alias("n"))
+    met = per_second.join(F.broadcast(listed), "event_name")  # as many rows as counters were asked for
+    age = F.lit(as_of).cast("bigint") - F.col("event_ts")
+    faded = F.col("n") * F.exp(-age / F.col("seconds"))
+    value = F.when(F.col("kind") == "faded", faded).otherwise(F.col("n").cast("double"))
+    met = met.where((F.col("kind") != "count") | (age < F.col("seconds")))
+    return met.groupBy("family", "key", "counter").agg(F.sum(value).alias("value"))
+
+
+def _columns(families: dict[str, list[str]]) -> list[str]:
+    return sorted({c for columns in families.values() for c in columns})
+
+
+def sweep_maps(sparse: DataFrame) -> DataFrame:
+    """One row per key, with a map from counter to value; as many entries as counters at most."""
+    entries = F.collect_list(F.struct("counter", "value"))
+    return sparse.groupBy("family", "key").agg(F.map_from_entries(F.array_sort(entries)).alias("values"))
+
+
+def sweep_block(sparse: DataFrame, counters: list[str]) -> DataFrame:
+    """A matrix of some of the counters, a column each; 0 where there was no event."""
+    wide = sparse.where(F.col("counter").isin(*counters)).groupBy("family", "key").pivot("counter", counters)
+    return wide.agg(F.first("value")).na.fill(0.0, counters)

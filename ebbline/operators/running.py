@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ebbline.operators.prefix import prefix
 from ebbline.session import settle
 
 DAY = 86_400
@@ -83,17 +84,14 @@ def lifetime_counts(
     return running(rows, keys, ["_slice"], ["window_start"], {name: ("sum", "n")}).drop("_slice")
 
 
-def record_totals(
-    records: DataFrame, keys: list[str], order: list[str], second: str, slice_seconds: int = 60
-) -> DataFrame:
-    """One updated total per input record (no window).
+def record_totals(records: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """One updated total per input record (no window), along ``order``.
 
-    ``order`` must start with ``second`` or refine it.  Slices are short, since
-    single records are counted here.
+    Single records are dealt in ranges of equal size, however many fall into one second.  ``records`` should hold no
+    more columns than are wanted.
     """
-    rows = sliced(records, second, slice_seconds).withColumn("_one", F.lit(1).cast("bigint"))
-    out = running(rows, keys, ["_slice"], order, {"total": ("sum", "_one")})
-    return out.drop("_slice", "_one")
+    counted = records.withColumn("_one", F.lit(1).cast("bigint"))
+    return prefix(counted, keys, order, {"total": ("sum", "_one")}).drop("_one")
 
 
 def lives(

@@ -17,7 +17,7 @@ from ebbline.functions.events import allow_events, decode_events, encode_events
 from ebbline.functions.text import explode_words, tokens
 from ebbline.operators import decay, engagement, families, generators, late, running, topk, windows
 from ebbline.session import prepare, shared_dir
-from ebbline.sinks.tables import TopListTable, UpsertTable, fan_out_writer
+from ebbline.sinks.tables import FewViewsTable, TopListTable, UpsertTable, fan_out_writer
 from ebbline.sources import lines, tables
 from ebbline.streaming import jobs
 
@@ -107,7 +107,7 @@ def word_record_totals(spark, sf_dir):
         F.unix_seconds("arrival").alias("second"),
         F.posexplode(tokens(F.col("value"))).alias("position", "word"),
     )
-    totals = running.record_totals(words, ["word"], ["second", "event_id", "position"], "second")
+    totals = running.record_totals(words, ["word"], ["second", "event_id", "position"])
     return totals.select("word", "event_id", "position", "total")
 
 
@@ -348,6 +348,20 @@ def upsert_replay(spark, sf_dir):
     return store.read(spark).select("key", "feature_name", "window_end", "total")
 
 
+@query
+def upsert_lookup(spark, sf_dir):
+    """The rows of some keys, each looked up by itself."""
+    store = UpsertTable(shared_dir(spark, "lookup"), ["key", "feature_name"], ["window_end"])
+    written = _written(spark, sf_dir)
+    for number in range(2):
+        store.write(written.where(F.col("batch") < HALF if number == 0 else F.col("batch") >= HALF), number)
+    found = [store.get(spark, key=str(user)) for user in range(0, 60, 10)]
+    rows = found[0]
+    for more in found[1:]:
+        rows = rows.unionByName(more)
+    return rows.select("key", "feature_name", "window_end", "total")
+
+
 @query
 def upsert_restart(spark, sf_dir):
     """Two runs with checkpoints of their own into one table: the later run's rows hold."""
@@ -486,6 +500,25 @@ def feature_matrix(spark, sf_dir):
     return _rounded(wide, *[f"{n}_{d}s" for n in ("view", "purchase") for d in (DAY, WEEK)])
 
 
+def _thousand_counters() -> list[families.Counter]:
+    """Four events, 125 periods, and each period counted whole and faded."""
+    return [
+        families.Counter(f"{name}_{kind}_{seconds}", name, kind, seconds)
+        for name in ("view", "click", "purchase", "signup")
+        for kind in ("count", "faded")
+        for seconds in range(HOUR * 4, HOUR * 4 * 126, HOUR * 4)
+    ]
+
+
+@query
+def feature_sweep(spark, sf_dir):
+    """A research sweep of a thousand counters per key."""
+    sparse = families.sweep(
+        tables.events(spark, sf_dir), _thousand_counters(), AS_OF, {"creator": ["creator_id"], "media": ["media_id"]}
+    )
+    return _rounded(sparse, "value")
+
+
 @query
 def ctr_ratio(spark, sf_dir):
     return _rounded(engagement.ratios(tables.events(spark, sf_dir), ["media_id"], "click", "view"), "ratio")
@@ -508,6 +541,25 @@ def unique_users(spark, sf_dir):
     return engagement.unique_users(tables.events(spark, sf_dir), ["media_id", "event_name"])
 
 
+TEN_DAYS = (HALF, HALF + 10 * DAY)
+
+
+@query
+def unique_users_merged(spark, sf_dir):
+    """Distinct users over a period of ten days, merged from stored days."""
+    days = engagement.user_bitmaps(_events(spark, sf_dir), MEDIA, F.col("user_id").cast("bigint"), "1 day")
+    home = shared_dir(spark, "user-days")
+    days.write.parquet(home)
+    return engagement.users_of_bitmaps(spark.read.parquet(home), MEDIA, *TEN_DAYS)
+
+
+@query
+def users_of_both(spark, sf_dir):
+    """Users who viewed and purchased a media within ten days, from stored days."""
+    days = engagement.user_bitmaps(_events(spark, sf_dir), MEDIA, F.col("user_id").cast("bigint"), "1 day")
+    return engagement.users_of_both(days, ["media_id"], "view", "purchase", *TEN_DAYS)
+
+
 @query
 def period_counts(spark, sf_dir):
     return engagement.period_counts(
@@ -697,6 +749,30 @@ def stream_ratio_topk(spark, sf_dir):
     return _rounded(generators.best_ratios(store.read(spark), 15, K), "ratio")
 
 
+@query
+def stream_unique_users(spark, sf_dir):
+    """Days of users that the stream keeps up to date; distinct users over ten of them."""
+    events = jobs.watermarked(_event_stream(spark, sf_dir, closing=False))
+    days = engagement.user_bitmaps(events, MEDIA, F.col("user_id").cast("bigint"), "1 day")
+    home = shared_dir(spark, "stream-user-days")
+    store = UpsertTable(f"{home}/rows", [*MEDIA, "window_start", "bucket"], ["last_ts"])
+    jobs.run_available(days, store.write, f"{home}/checkpoint", "update")
+    return engagement.users_of_bitmaps(store.read(spark), MEDIA, *TEN_DAYS)
+
+
+@query
+def stream_few_views(spark, sf_dir):
+    """Posts with few views, drawn anew after every batch of views."""
+    posts = tables.table(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("string").alias("media_id"))
+    views = _event_stream(spark, sf_dir, closing=False).where("event_name = 'view'")
+    home = shared_dir(spark, "few-views")
+    counts = UpsertTable(f"{home}/counts", ["media_id"], ["views"])
+    drawn = FewViewsTable(f"{home}/drawn", posts, counts, 10, K, reserve=2 * K)
+    totals = views.groupBy("media_id").agg(F.sum("event_count").alias("views"))
+    jobs.run_available(totals, fan_out_writer(counts.write, drawn.write), f"{home}/checkpoint", "update")
+    return drawn.read(spark)
+
+
 @query
 def stream_viewed_not_purchased(spark, sf_dir):
     missing = jobs.without_reaction(_event_stream(spark, sf_dir), ["user_id"], "view", "purchase", HOUR)

@@ -203,6 +203,30 @@ SELECT 'TopViews' AS name, CAST(row_number() OVER (ORDER BY value DESC, media_id
        round(value, 6) AS score
 FROM c WHERE event_name = 'view' ORDER BY rank LIMIT 20"""
 
+FEW_VIEWS = f"""WITH {EV},
+v AS (SELECT media_id, count(*) FILTER (event_name = 'view') AS n FROM ev GROUP BY media_id),
+p AS (SELECT DISTINCT CAST(vec_id AS VARCHAR) AS media_id FROM embeddings)
+SELECT media_id, CAST(coalesce(n, 0) AS BIGINT) AS views FROM p LEFT JOIN v USING (media_id)
+WHERE coalesce(n, 0) < 10 ORDER BY md5(media_id || '0'), media_id LIMIT 20"""
+
+TEN_DAYS = f"event_ts >= {AS_OF - 15 * DAY} AND event_ts < {AS_OF - 5 * DAY}"
+UNIQUE_USERS = f"""WITH {EV} SELECT event_name, media_id, count(DISTINCT user_id) AS users
+FROM ev WHERE {TEN_DAYS} GROUP BY event_name, media_id"""
+
+
+def _sweep() -> str:
+    parts = " UNION ALL ".join(
+        f"SELECT '{f}' AS family, {c} AS key, event_name, event_ts FROM ev" for f, c in (("creator", "creator_id"), ("media", "media_id"))
+    )
+    return f"""WITH {EV}, f AS ({parts}),
+p AS (SELECT kind, unnest(range(14400, 14400 * 126, 14400)) AS s FROM (SELECT unnest(['count', 'faded']) AS kind))
+SELECT family, key, event_name || '_' || kind || '_' || s AS counter,
+       round(sum(CASE WHEN kind = 'faded' THEN exp(-CAST({AS_OF} - event_ts AS DOUBLE) / s) ELSE 1.0 END), 6) AS value
+FROM f, p WHERE event_name IN ('view', 'click', 'purchase', 'signup') AND event_ts <= {AS_OF}
+  AND (kind = 'faded' OR {AS_OF} - event_ts < s)
+GROUP BY family, key, event_name, kind, s"""
+
+
 SQL: dict[str, str] = {
     "tokens_keep_empty": f"SELECT word, count(*) AS n FROM ({_words('documents', 'text')}) GROUP BY word",
     "tokens_drop_empty": DROP_EMPTY,
@@ -241,11 +265,7 @@ SELECT event_name, window_start, count(*) AS n FROM marked WHERE NOT is_late AND
 x AS (SELECT event_name, event_ts // 300 * 300 - unnest(range(0, 3600, 300)) AS window_start FROM ev)
 SELECT event_name, window_start, window_start + 3600 AS window_end, count(*) AS n FROM x GROUP BY event_name, window_start""",
     "lifetime_count": f"WITH {EV}, {_windows('event_name, user_id', 5)} {LIFETIME.format(keys='event_name, user_id')}",
-    "few_views_of_catalogue": f"""WITH {EV},
-v AS (SELECT media_id, count(*) FILTER (event_name = 'view') AS n FROM ev GROUP BY media_id),
-p AS (SELECT DISTINCT CAST(vec_id AS VARCHAR) AS media_id FROM embeddings)
-SELECT media_id, CAST(coalesce(n, 0) AS BIGINT) AS views FROM p LEFT JOIN v USING (media_id)
-WHERE coalesce(n, 0) < 10 ORDER BY md5(media_id || '0'), media_id LIMIT 20""",
+    "few_views_of_catalogue": FEW_VIEWS,
     "lifetime_null_keys": f"""WITH {EV},
 nulled AS (SELECT * REPLACE (nullif(CASE WHEN CAST(user_id AS BIGINT) % 7 = 0 THEN '' ELSE user_id END, '') AS user_id) FROM ev),
 {_windows('event_name, user_id', 5, 'nulled')} {LIFETIME.format(keys='event_name, user_id')}""",
@@ -307,6 +327,17 @@ SELECT media_id, part, whole, round(part / nullif(whole, 0), 6) AS ratio FROM x"
 SELECT key, round(sum(v) FILTER (event_name = 'click') / nullif(sum(v) FILTER (event_name = 'view'), 0), 6) AS ratio
 FROM f GROUP BY key""",
     "unique_users": f"WITH {EV} SELECT media_id, event_name, count(DISTINCT user_id) AS users FROM ev GROUP BY media_id, event_name",
+    "unique_users_merged": UNIQUE_USERS,
+    "stream_unique_users": UNIQUE_USERS,
+    "users_of_both": f"""WITH {EV}, x AS (
+  SELECT media_id, user_id, {_counts_of('view')} > 0 AND {_counts_of('purchase')} > 0 AS did_both
+  FROM ev WHERE event_name IN ('view', 'purchase') AND {TEN_DAYS} GROUP BY media_id, user_id)
+SELECT media_id, count(*) FILTER (did_both) AS users FROM x GROUP BY media_id""",
+    "feature_sweep": _sweep(),
+    "stream_few_views": FEW_VIEWS,
+    "upsert_lookup": f"""WITH {EV}, {_windows('event_name, user_id', HOUR)}, {WRITTEN}
+SELECT key, feature_name, window_end, total FROM r WHERE key IN ('0', '10', '20', '30', '40', '50')
+QUALIFY row_number() OVER (PARTITION BY key, feature_name ORDER BY window_end DESC) = 1""",
     "period_counts": f"""WITH {EV} SELECT event_name, media_id,
        count(*) FILTER (event_ts > {AS_OF - DAY}) AS last_day, count(*) FILTER (event_ts > {AS_OF - WEEK}) AS last_week,
        count(*) AS last_month

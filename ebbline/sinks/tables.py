@@ -32,6 +32,15 @@ def _run(spark: SparkSession) -> str:
     return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
 
 
+def write_sorted(rows: DataFrame, keys: list[str], path: str) -> None:
+    """Files sorted by key, with a Bloom filter of every key column in every row group, so that a lookup of a key reads
+    the row groups that may hold it."""
+    writer = rows.sortWithinPartitions(*keys).write.mode("overwrite")
+    for key in keys:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{key}", "true")
+    writer.parquet(path)
+
+
 class UpsertTable:
     """Whole-row replacement by key, in a shared folder.
 
@@ -65,7 +74,7 @@ class UpsertTable:
         if run is None:
             number = int(runs[-1].removeprefix("run=").split("-")[0]) + 1 if runs else 1
             run = f"run={number:06d}-{own}"
-        last_per_key(rows, self.within_batch, self.order).write.mode("overwrite").parquet(f"{home}/{run}/batch_id={batch_id}")
+        write_sorted(last_per_key(rows, self.within_batch, self.order), self.keys, f"{home}/{run}/batch_id={batch_id}")
         if sum(len(_names(spark, f"{home}/{r}", "batch_id=")) for r in {*runs, run}) > self.compact_every:
             self.compact(spark)
 
@@ -74,7 +83,7 @@ class UpsertTable:
         number = int(self._generation(spark).rsplit("-", 1)[1]) + 1
         new = f"{self.path}/generation-{number:06d}"
         # run 0 is older than any batch of the new generation, a replayed one too
-        self.read(spark).write.mode("overwrite").parquet(f"{new}-unfinished/run=000000-base/batch_id=0")
+        write_sorted(self.read(spark), self.keys, f"{new}-unfinished/run=000000-base/batch_id=0")
         fs, unfinished = _folder(spark, f"{new}-unfinished")
         fs.rename(unfinished, _folder(spark, new)[1])
         fs.delete(_folder(spark, f"{self.path}/generation-{number - 2:06d}")[1], True)
@@ -90,7 +99,7 @@ class UpsertTable:
         return self._newest(self._rows(spark))
 
     def get(self, spark: SparkSession, **key) -> DataFrame:
-        """Rows of one key; the condition reaches the file scan."""
+        """Rows of one key; of every file only the row groups are read whose Bloom filter may hold it."""
         rows = self._rows(spark)
         for column, wanted in key.items():
             rows = rows.where(F.col(column) == wanted)
@@ -99,7 +108,7 @@ class UpsertTable:
     def snapshot(self, spark: SparkSession, path: str) -> UpsertTable:
         """The present rows as a new table."""
         newer = UpsertTable(path, self.keys, self.order, self.within_batch, self.compact_every)
-        self.read(spark).write.mode("overwrite").parquet(f"{path}/generation-000000/run=000000-base/batch_id=0")
+        write_sorted(self.read(spark), self.keys, f"{path}/generation-000000/run=000000-base/batch_id=0")
         return newer
 
 
@@ -192,6 +201,91 @@ class TopListTable:
         return candidate_list(current, self.name, self.k)
 
 
+class FewViewsTable:
+    """A random draw of ``k`` posts with fewer than ``below`` views, exact after every batch of a stream of view counts.
+
+    Posts are drawn in the order of a hash.  ``reserve`` of them are kept, the first ones with few views, and posts
+    leave as they pass the threshold; views never fall, so as long as ``k`` are left, these are the draw.  Then the
+    catalogue is read once more, beyond the last post kept before, and its views are looked up in ``counts`` (written
+    before this one).  Two folders take turns, so a replayed batch starts again from the posts before it.
+
+    ``posts`` is the catalogue (``media_id``), read anew at every refill; :meth:`publish` adds posts in between.
+    """
+
+    SCHEMA = "media_id string, draw string, last string, run string, batch_id bigint, version bigint"
+
+    def __init__(
+        self, path: str, posts: DataFrame, counts: UpsertTable, below: int, k: int, reserve: int | None = None, seed: str = "0"
+    ):
+        self.path, self.posts, self.counts, self.below, self.k = path, posts, counts, below, k
+        self.reserve, self.seed = max(k, 4 * k if reserve is None else reserve), seed
+
+    def _drawn(self, posts: DataFrame) -> DataFrame:
+        return posts.select("media_id", F.md5(F.concat("media_id", F.lit(self.seed))).alias("draw")).distinct()
+
+    def _states(self, spark: SparkSession) -> list[list]:
+        """The kept posts by turn, the older turn first; each begins with a row of its own."""
+        turns = [n for n in _names(spark, self.path, "turn=")]
+        states = [spark.read.schema(self.SCHEMA).parquet(f"{self.path}/{t}").collect() for t in turns]  # reserve at most
+        about = [sorted(s, key=lambda r: (r["media_id"] is not None, r["draw"], r["media_id"])) for s in states]
+        return sorted(about, key=lambda s: s[0]["version"])
+
+    def _store(self, spark: SparkSession, kept: list[tuple], last: str | None, run: str, batch_id: int, version: int) -> None:
+        rows = [(None, None, last, run, batch_id, version), *((m, d, last, run, batch_id, version) for m, d in kept)]
+        spark.createDataFrame(rows, self.SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/turn={version % 2}")
+
+    def _refilled(self, spark: SparkSession, kept: list[tuple], last: str | None) -> tuple[list[tuple], str | None]:
+        """The kept posts and the next ones of the catalogue; ``last`` is the draw of the last post looked at, "~" beyond all."""
+        open_ = self._drawn(self.posts)
+        if last is not None:
+            open_ = open_.where(F.col("draw") > last)
+        full = self.counts.read(spark).where(F.col("views") >= self.below).select("media_id")
+        more = open_.join(full, "media_id", "left_anti").orderBy("draw", "media_id").limit(self.reserve).collect()
+        kept = kept + [(r["media_id"], r["draw"]) for r in more]
+        if len(more) < self.reserve:
+            return kept, "~"  # sorts after every hash
+        same = open_.where(F.col("draw") == more[-1]["draw"]).join(full, "media_id", "left_anti").collect()  # one, but for a collision
+        return sorted({*kept, *((r["media_id"], r["draw"]) for r in same)}, key=lambda p: (p[1], p[0])), more[-1]["draw"]
+
+    def write(self, rows: DataFrame, batch_id: int) -> None:
+        """The ``foreachBatch`` function; rows have ``media_id`` and ``views`` so far."""
+        spark, run = rows.sparkSession, _run(rows.sparkSession)
+        states = [s for s in self._states(spark) if (s[0]["run"], s[0]["batch_id"]) != (run, batch_id)]
+        kept, last, version = [], None, 0
+        if states:
+            kept = [(r["media_id"], r["draw"]) for r in states[-1][1:]]
+            last, version = states[-1][0]["last"], states[-1][0]["version"] + 1
+            ids = [m for m, _ in kept]
+            full = rows.where((F.col("views") >= self.below) & F.col("media_id").isin(ids)) if ids else rows.limit(0)
+            gone = {r["media_id"] for r in full.select("media_id").collect()}  # kept posts only
+            kept = [p for p in kept if p[0] not in gone]
+        if last != "~" and len(kept) < self.k:
+            kept, last = self._refilled(spark, kept, last)
+        self._store(spark, kept, last, run, batch_id, version)
+
+    def publish(self, posts: DataFrame) -> None:
+        """New posts: those whose draw lies among the kept ones join them, the others wait for their turn."""
+        spark = posts.sparkSession
+        newest = self._states(spark)[-1]
+        about = newest[0]
+        new = self._drawn(posts).where(F.lit(about["last"]) >= F.col("draw"))
+        full = self.counts.read(spark).where(F.col("views") >= self.below).select("media_id")
+        joined = {(r["media_id"], r["draw"]) for r in newest[1:]}
+        joined |= {(r["media_id"], r["draw"]) for r in new.join(full, "media_id", "left_anti").collect()}
+        kept = sorted(joined, key=lambda p: (p[1], p[0]))
+        self._store(spark, kept, about["last"], about["run"], about["batch_id"], about["version"] + 1)
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        """The draw as of the last batch: ``media_id``, ``views``."""
+        states = self._states(spark)
+        drawn = [(r["media_id"],) for r in states[-1][1 : self.k + 1]] if states else []
+        drawn = spark.createDataFrame(drawn, "media_id string")
+        views = self.counts.read(spark).select("media_id", "views")
+        return F.broadcast(drawn).join(views, "media_id", "left").select(
+            "media_id", F.coalesce("views", F.lit(0).cast("bigint")).alias("views")
+        )
+
+
 def write_items(items: DataFrame, open_client: Callable[[], object], batch_size: int = MAX_BATCH) -> None:
     """Put items in requests of ``batch_size``, one client per task.
 

@@ -151,7 +151,7 @@ def test_lives(spark):
 def test_record_totals(spark):
     rows = [("w", 10), ("x", 11), ("w", 11), ("w", 200), ("x", 500)]
     df = spark.createDataFrame([(w, t, i) for i, (w, t) in enumerate(rows)], "word string, second bigint, id bigint")
-    got = running.record_totals(df, ["word"], ["second", "id"], "second").orderBy("id").collect()
+    got = running.record_totals(df, ["word"], ["second", "id"]).orderBy("id").collect()
     assert [r["total"] for r in got] == [1, 1, 2, 3, 2]
 
 
