@@ -16,6 +16,13 @@ FAMILIES = {
     "user_media": ["user_id", "media_id"],
     "user_creator": ["user_id", "creator_id"],
 }
+CATEGORISED = FAMILIES | {"category": ["category"], "user_category": ["user_id", "category"]}
+
+
+def categorised(events: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """Events with the ``category`` that the catalogue (``media_id``, ``category``) gives their media, else ``""``."""
+    named = catalogue.select("media_id", "category").dropDuplicates(["media_id"])
+    return events.join(named, "media_id", "left").withColumn("category", F.coalesce("category", F.lit("")))
 
 
 def family_key(columns: list[str]) -> Column:

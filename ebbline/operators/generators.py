@@ -22,6 +22,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # query vectors, and vectors compared with them, held by one task at a time
 KNN_CHUNK = 2048
 KNN_BLOCK = 8192
+WORD = 64  # places in a word of bits
+KEPT_KEYS = ["kind", "user_id", "creator_id", "part"]
 
 
 def ratio_top_k(events: DataFrame, part: str, whole: str, min_whole: int, k: int) -> DataFrame:
@@ -61,15 +63,66 @@ def creator_affinity(events: DataFrame, name: str, k: int) -> DataFrame:
     are numbered per creator instead, and from the numbers a user has seen the
     first ``k`` unseen ones follow by counting, so only those are looked up.
     """
-    seen = settle(
+    pairs = settle(
         events.groupBy("user_id", "creator_id", "media_id").agg(
             F.sum("event_count").alias("_n"),
             F.sum(F.when(F.col("event_name") == name, F.col("event_count")).otherwise(0)).alias("_views"),
         )
     )
-    media = seen.groupBy("creator_id", "media_id").agg(F.sum("_views").alias("views"))
+    media = pairs.groupBy("creator_id", "media_id").agg(F.sum("_views").alias("views"))
+    affinity = pairs.groupBy("user_id", "creator_id").agg(F.sum("_n").alias("affinity"))
+    return unseen_by_affinity(pairs.select("user_id", "creator_id", "media_id"), media, affinity, k)
+
+
+def seen_and_views(events: DataFrame, posts: DataFrame, name: str) -> DataFrame:
+    """What the fresh form of :func:`creator_affinity` keeps, for a table or, in update mode, for a stream.
+
+    ``posts`` is the catalogue: ``media_id``, ``creator_id`` and a fixed ``place`` of each post, a whole number from 0
+    that no other post has.  Rows of kind ``seen`` have, per user and creator, the user's engagements ``n`` and the
+    places seen as the bits of words of 64; rows of kind ``views`` count a post's ``name`` events, ``part`` being its
+    place.  Words without a bit have no row.  Both kinds come from one aggregation, to be upserted by ``KEPT_KEYS``.
+    """
+    placed = events.drop("creator_id").join(posts.select("media_id", "creator_id", "place"), "media_id")
+    own = F.struct(
+        F.lit("seen").alias("kind"),
+        F.col("user_id").alias("user_id"),
+        "creator_id",
+        F.floor(F.col("place") / WORD).alias("part"),
+        F.expr(f"shiftleft(1L, cast(place % {WORD} as int))").alias("bits"),
+        F.col("event_count").alias("n"),
+    )
+    views = F.when(F.col("event_name") == name, F.col("event_count")).otherwise(0).cast("bigint")
+    post = F.struct(
+        F.lit("views").alias("kind"),
+        F.lit("").alias("user_id"),
+        "creator_id",
+        F.col("place").alias("part"),
+        F.lit(0).cast("bigint").alias("bits"),
+        views.alias("n"),
+    )
+    rows = placed.select(F.inline(F.array(own, post)))
+    return rows.groupBy(*KEPT_KEYS).agg(F.bit_or("bits").alias("bits"), F.sum("n").alias("n"))
+
+
+def fresh_creator_affinity(kept: DataFrame, posts: DataFrame, k: int) -> DataFrame:
+    """The candidates of :func:`creator_affinity` from what a stream keeps; posts without any event take part."""
+    kept = settle(kept)
+    seen = kept.where("kind = 'seen'")
+    affinity = seen.groupBy("user_id", "creator_id").agg(F.sum("n").alias("affinity"))
+    bits = F.filter(F.sequence(F.lit(0), F.lit(WORD - 1)), lambda i: F.bit_get("bits", i) == 1)
+    places = seen.select("user_id", "creator_id", "part", F.explode(bits).alias("_bit"))
+    places = places.select("user_id", "creator_id", (F.col("part") * WORD + F.col("_bit")).alias("place"))
+    posts = posts.select("media_id", "creator_id", "place")
+    seen = _spread_join(places, posts, ["creator_id", "place"], spread_by="user_id")
+    views = kept.where("kind = 'views'").select("creator_id", F.col("part").alias("place"), F.col("n").alias("views"))
+    media = posts.join(views, ["creator_id", "place"], "left")
+    media = media.select("creator_id", "media_id", F.coalesce("views", F.lit(0).cast("bigint")).alias("views"))
+    return unseen_by_affinity(seen.select("user_id", "creator_id", "media_id"), media, affinity, k)
+
+
+def unseen_by_affinity(seen: DataFrame, media: DataFrame, affinity: DataFrame, k: int) -> DataFrame:
+    """The best ``k`` unseen media per user from the distinct pairs seen, all media, and the users' affinities."""
     numbered = settle(_numbered(media))
-    affinity = seen.groupBy("user_id", "creator_id").agg(F.sum("_n").alias("affinity"))
     places = _spread_join(
         seen, numbered.select("creator_id", "media_id", "place"), ["creator_id", "media_id"], spread_by="user_id"
     )

@@ -117,6 +117,16 @@ def word_store_items(spark, sf_dir):
     return items.read_word_items(items.word_items(windows.word_counts(_text_lines(spark, sf_dir))))
 
 
+@query
+def item_expiry(spark, sf_dir):
+    """Items that name the second after which the store may drop them."""
+    counts = running.lifetime_counts(_counted(spark, sf_dir, USER, "1 day"), USER)
+    last = topk.last_per_key(counts, ["user_id"], ["window_end", "event_name"]).withColumnRenamed("user_id", "word")
+    stored = items.word_items(last, "total", ttl=F.col("window_end") + WEEK)
+    parsed = F.get_json_object("item", "$.ttl.N").cast("bigint").alias("expires")
+    return stored.select("word", parsed, F.get_json_object("item", "$.count.N").cast("bigint").alias("total"))
+
+
 # ---- event lines ------------------------------------------------------------
 
 
@@ -175,6 +185,23 @@ def window_count_media_1h(spark, sf_dir):
     return _counted(spark, sf_dir, MEDIA, "1 hour")
 
 
+@query
+def window_count_fixed_unit(spark, sf_dir):
+    """Arrival times that an emulator delivered in seconds where milliseconds are due, put right, and counted by the day."""
+    delivered = tables.events(spark, sf_dir).select(
+        "event_name",
+        "event_ts",
+        "event_count",
+        F.unix_seconds("arrival").alias("seconds"),
+        F.unix_millis("arrival").alias("millis"),
+    )
+    in_seconds, in_millis = (
+        delivered.withColumn("arrival", lines.arrival_time(F.col(c), in_seconds=c == "seconds")) for c in ("seconds", "millis")
+    )
+    both = in_seconds.unionByName(in_millis)
+    return windows.window_counts(both, ["event_name"], "1 day", time="arrival", ts_policy="max")
+
+
 @query
 def window_count_arrival(spark, sf_dir):
     """Windows cut by the broker's time stamp, carrying the first arrival's event time."""
@@ -480,6 +507,16 @@ def key_families(spark, sf_dir):
     return families.family_counts(tables.events(spark, sf_dir))
 
 
+@query
+def category_families(spark, sf_dir):
+    """Families by the media's category, alone and with the user."""
+    catalogue = tables.table(spark, sf_dir, "part").select(
+        F.col("p_partkey").cast("string").alias("media_id"), F.col("p_brand").alias("category")
+    )
+    events = families.categorised(tables.events(spark, sf_dir), catalogue)
+    return families.family_counts(events, {f: families.CATEGORISED[f] for f in ("category", "user_category")})
+
+
 @query
 def family_counters(spark, sf_dir):
     """Decayed counters of all key families from one fan-out."""
@@ -675,6 +712,31 @@ def stream_counters_handover(spark, sf_dir):
     return history.withColumnsRenamed({"event_name": "feature_name", "media_id": "key"}).unionByName(streamed)
 
 
+@query
+def stream_delayed_windows(spark, sf_dir):
+    """Out-of-order events, waited for as long as they can be late: none is lost."""
+    stamped = jobs.watermarked(_late_stamped(_event_stream(spark, sf_dir)), "3 hours")
+    return _stored_result(spark, windows.window_counts(stamped, ["event_name"], "1 hour"), "delayed")
+
+
+@query
+def stream_restarted(spark, sf_dir):
+    """Two runs from one checkpoint, the second over files that came after the first."""
+    home = shared_dir(spark, "restarted")
+    stored = tables.table(spark, sf_dir, "events")
+    schema = tables.STORED_EVENTS
+    early = F.col("ts") < F.timestamp_seconds(F.lit(HALF)).cast("timestamp_ntz")
+    for part in (early, ~early):
+        stored.select(schema.fieldNames()).where(part).write.mode("append").parquet(f"{home}/in")
+        arriving = tables.as_events(spark.readStream.schema(schema).parquet(f"{home}/in"))
+        counted = windows.window_counts(jobs.watermarked(arriving), USER, "1 hour")
+        totals = jobs.lifetime_totals(counted, USER)
+        jobs.run_available(totals, jobs.append_table(f"{home}/rows"), f"{home}/checkpoint")
+    # windows that are still open wait in the state
+    last = stored.agg(F.unix_seconds(F.max("ts").cast("timestamp"))).first()[0]
+    return jobs.read_table(spark, f"{home}/rows").where(F.col("window_end") <= (last or 0))
+
+
 @query
 def stream_lifetime_handover(spark, sf_dir):
     """Lifetime counts of a stream that goes on from a backfill's totals."""
@@ -716,6 +778,30 @@ def stream_candidates(spark, sf_dir):
     return _rounded(topk.ranked(store.read(spark)), "score")
 
 
+@query
+def stream_improvements(spark, sf_dir):
+    """A list to which only risen scores are passed on; lifetime views never fall, so it is exact."""
+    views = _event_stream(spark, sf_dir).where("event_name = 'view'")
+    counted = windows.window_counts(jobs.watermarked(views), MEDIA, "1 day")
+    totals = jobs.lifetime_totals(counted, MEDIA)
+    # media of equal views differ by a fraction
+    score = F.col("total") + (F.col("media_id").cast("bigint") + 1) / 1e6
+    counter = F.struct(
+        F.lit(DAY).cast("bigint").alias("decay_interval"), F.col("window_end").alias("last_update"), score.alias("value")
+    )
+    counters = totals.select(
+        F.col("event_name").alias("feature_name"),
+        F.col("media_id").alias("key"),
+        "window_start",
+        F.create_map(F.lit(DAY).cast("bigint"), counter).alias("counts"),
+    )
+    lists = jobs.top_lists(counters, items.TOP_VIEWS, "view", DAY, K, buckets=4, mode="improvements")
+    home = shared_dir(spark, "improvements")
+    store = UpsertTable(f"{home}/rows", ["name"], ["updated"])
+    jobs.run_available(lists, store.write, f"{home}/checkpoint")
+    return _rounded(topk.ranked(store.read(spark)), "score")
+
+
 @query
 def stream_counters_and_list(spark, sf_dir):
     """One counter stream with two sinks: the counter table, and the list kept from it."""
@@ -773,6 +859,20 @@ def stream_few_views(spark, sf_dir):
     return drawn.read(spark)
 
 
+@query
+def stream_creator_affinity(spark, sf_dir):
+    """Unseen posts of liked creators, kept fresh by a stream of engagement; posts nobody has seen take part."""
+    place = F.col("vec_id").cast("bigint")
+    posts = tables.table(spark, sf_dir, "embeddings").select(
+        place.cast("string").alias("media_id"), (place % tables.CREATORS).cast("string").alias("creator_id"), place.alias("place")
+    )
+    home = shared_dir(spark, "affinity")
+    store = UpsertTable(f"{home}/rows", generators.KEPT_KEYS, ["n"])
+    kept = generators.seen_and_views(_event_stream(spark, sf_dir, closing=False), posts, "view")
+    jobs.run_available(kept, store.write, f"{home}/checkpoint", "update")
+    return generators.fresh_creator_affinity(store.read(spark), posts, 5)
+
+
 @query
 def stream_viewed_not_purchased(spark, sf_dir):
     missing = jobs.without_reaction(_event_stream(spark, sf_dir), ["user_id"], "view", "purchase", HOUR)

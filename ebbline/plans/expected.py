@@ -170,8 +170,9 @@ LIFETIME = """SELECT {keys}, window_start, window_end, n,
 EV1 = "e AS (SELECT *, 1 AS n FROM ev)"
 MEDIA_EACH = f"WITH {EV}, {EV1}, {_final('event_name, media_id', [HOUR, DAY, WEEK], 'e')}"
 
-CREATOR_AFFINITY = f"""WITH {EV},
-posts AS (SELECT creator_id, media_id, {_counts_of('view')} AS views FROM ev GROUP BY creator_id, media_id),
+def _creator_affinity(posts: str) -> str:
+    return f"""WITH {EV},
+{posts},
 likes AS (SELECT user_id, creator_id, count(*) AS affinity FROM ev GROUP BY user_id, creator_id),
 t AS (
   SELECT l.user_id, p.media_id, l.creator_id, l.affinity, p.views, row_number() OVER (
@@ -181,6 +182,13 @@ t AS (
   WHERE NOT EXISTS (SELECT 1 FROM ev s WHERE s.user_id = l.user_id AND s.media_id = p.media_id))
 SELECT user_id, CAST(rank AS INTEGER) AS rank, media_id, creator_id, affinity, views FROM t WHERE rank <= 5"""
 
+
+SEEN_POSTS = f"posts AS (SELECT creator_id, media_id, {_counts_of('view')} AS views FROM ev GROUP BY creator_id, media_id)"
+ALL_POSTS = f"""viewed AS (SELECT media_id, {_counts_of('view')} AS views FROM ev GROUP BY media_id),
+posts AS (
+  SELECT CAST(vec_id % 20 AS VARCHAR) AS creator_id, CAST(vec_id AS VARCHAR) AS media_id, coalesce(views, 0) AS views
+  FROM embeddings LEFT JOIN viewed ON viewed.media_id = CAST(vec_id AS VARCHAR))"""
+
 KNN = f"""WITH {EV},
 u AS (
   SELECT user_id, i, sum(x) / count(*) AS x
@@ -312,7 +320,7 @@ SELECT media_id, round(v, 6) AS score, last_update FROM f ORDER BY v DESC, media
     "ratio_topk_min_views": BEST_RATIOS,
     "min_views_candidates": f"""WITH {EV}, x AS (SELECT media_id, {_counts_of('view')} AS views FROM ev GROUP BY media_id)
 SELECT media_id, views FROM x WHERE views < 100 ORDER BY md5(media_id || '0'), media_id LIMIT 20""",
-    "creator_affinity": CREATOR_AFFINITY,
+    "creator_affinity": _creator_affinity(SEEN_POSTS),
     "knn_candidates": KNN,
     "key_families": _families(),
     "family_counters": _family_counters(),
@@ -334,7 +342,27 @@ FROM f GROUP BY key""",
   FROM ev WHERE event_name IN ('view', 'purchase') AND {TEN_DAYS} GROUP BY media_id, user_id)
 SELECT media_id, count(*) FILTER (did_both) AS users FROM x GROUP BY media_id""",
     "feature_sweep": _sweep(),
+    "item_expiry": f"""WITH {EV}, {_windows('event_name, user_id', DAY)},
+t AS ({LIFETIME.format(keys='event_name, user_id')})
+SELECT user_id AS word, window_end + {WEEK} AS expires, total FROM t
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY window_end DESC, event_name DESC) = 1""",
+    "window_count_fixed_unit": f"""WITH {EV}
+SELECT event_name, event_ts // 86400 * 86400 AS window_start, event_ts // 86400 * 86400 + 86400 AS window_end,
+       2 * count(*) AS n, max(event_ts) AS event_ts FROM ev GROUP BY event_name, event_ts // 86400""",
+    "category_families": f"""WITH {EV},
+c AS (SELECT ev.*, coalesce(p_brand, '') AS category FROM ev LEFT JOIN part ON CAST(p_partkey AS VARCHAR) = media_id)
+SELECT 'category' AS family, category AS key, event_name, count(*) AS n, max(event_ts) AS last_ts FROM c GROUP BY category, event_name
+UNION ALL
+SELECT 'user_category', user_id || '|' || category, event_name, count(*), max(event_ts) FROM c GROUP BY user_id, category, event_name""",
+    "stream_delayed_windows": f"""WITH {EV}, {LATE}, {_windows('event_name', HOUR, 'late')} SELECT * FROM w""",
+    "stream_restarted": f"""WITH {EV}, {_windows('event_name, user_id', HOUR)}
+SELECT * FROM ({LIFETIME.format(keys='event_name, user_id')}) WHERE window_end <= (SELECT max(event_ts) FROM ev)""",
+    "stream_improvements": f"""WITH {EV},
+x AS (SELECT media_id, count(*) + (CAST(media_id AS BIGINT) + 1) / 1e6 AS score FROM ev WHERE event_name = 'view' GROUP BY media_id)
+SELECT 'TopViews' AS name, CAST(row_number() OVER (ORDER BY score DESC) AS INTEGER) AS rank, media_id, round(score, 6) AS score
+FROM x ORDER BY rank LIMIT 20""",
     "stream_few_views": FEW_VIEWS,
+    "stream_creator_affinity": _creator_affinity(ALL_POSTS),
     "upsert_lookup": f"""WITH {EV}, {_windows('event_name, user_id', HOUR)}, {WRITTEN}
 SELECT key, feature_name, window_end, total FROM r WHERE key IN ('0', '10', '20', '30', '40', '50')
 QUALIFY row_number() OVER (PARTITION BY key, feature_name ORDER BY window_end DESC) = 1""",

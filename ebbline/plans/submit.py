@@ -71,6 +71,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--feature", default=FEATURE, help="event that the list ranks by")
     p.add_argument("--score-interval", type=int, default=SCORE_INTERVAL)
     p.add_argument("--list-size", type=int, default=LIST_SIZE)
+    p.add_argument("--list-mode", default="table", choices=["table", *jobs.MODES], help="keep the list by the counter table, or in state")
     p.add_argument("--list-days", type=float, default=jobs.TTL_DAYS, help="ids without events for so long leave the list")
     p.add_argument("--kafka-group", help="consumer group of a Kafka source")
     p.add_argument("--start", default="TRIM_HORIZON", choices=sorted(START), help="where a new Kafka checkpoint starts")
@@ -119,6 +120,10 @@ def build(spark: SparkSession, args: argparse.Namespace) -> DataStreamWriter:
     )
     if not args.output:
         return to_console(counters, args.checkpoint)
+    if args.job == "candidates" and args.list_mode != "table":
+        listed = args.feature, args.score_interval, args.list_size
+        lists = jobs.top_lists(counters, items.TOP_VIEWS, *listed, mode=args.list_mode, ttl_ms=ttl)
+        return _upserted(lists, args, UpsertTable(f"{args.output}/lists", ["name"], ["updated"]).write)
     table = UpsertTable(f"{args.output}/counters", ["feature_name", "key"], ["window_end"])
     writers = [table.write]
     open_client, sink = _client(args)

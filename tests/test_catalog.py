@@ -8,7 +8,7 @@ from ebbline.plans.catalog import QUERIES
 from ebbline.plans.expected import SQL
 
 SF = "/root/testdata/sf0.001"
-TABLES = ["events", "documents", "conversations", "embeddings"]
+TABLES = ["events", "documents", "conversations", "embeddings", "part"]
 
 
 @pytest.fixture(scope="module")
