@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbline.functions.decay import add, counter, fade
-from ebbline.operators.running import DAY, keyed, running, sliced, time_slice
-from ebbline.session import settle
+from ebbline.operators.prefix import prefix
+from ebbline.operators.running import DAY, keyed, sliced, time_slice
 
 # exp(300) leaves a double room for 1e178 events, exp(-300) is far below its precision
 SPAN = 300
@@ -132,8 +132,7 @@ def decay_running(
     if in_order:
         rows = sliced(windows, order, size, "_arrived").withColumn("_clock", F.col(ts))
     else:
-        rows = sliced(settle(windows), order, size, "_arrived")
-        rows = running(rows, keys, ["_arrived"], [order], {"_clock": ("max", ts)})
+        rows = sliced(prefix(windows, keys, [order], {"_clock": ("max", ts)}), order, size, "_arrived")
     rows = sliced(rows.withColumn("_clock", F.greatest("_clock", F.lit(0).cast("bigint"))), "_clock", size)
     slices = ["_slice", "_arrived"]
     keys, rows = ["_key"], keyed(rows, keys)

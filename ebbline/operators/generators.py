@@ -207,7 +207,7 @@ def _spread_join(many: DataFrame, one: DataFrame, on: list[str], spread_by: str,
 def user_vectors(events: DataFrame, vectors: DataFrame, name: str, dim: int) -> DataFrame:
     """A user's vector: the mean of the vectors of the media in their ``name`` events.
 
-    ``vectors`` has ``media_id`` and ``embedding``.  A media seen by very many
+    ``vectors`` has ``media_id`` and ``embedding``, all ``dim`` wide, else the job stops.  A media seen by very many
     users makes a skewed partition, which adaptive execution splits.
     """
     counted = (
@@ -215,7 +215,9 @@ def user_vectors(events: DataFrame, vectors: DataFrame, name: str, dim: int) ->
         .groupBy("user_id", "media_id")
         .agg(F.sum("event_count").alias("_n"))
     )
-    joined = counted.join(vectors, "media_id")
+    wrong = F.raise_error(F.concat(F.lit(f"a vector is not {dim} wide: "), F.col("media_id")))
+    checked = F.when(F.size("embedding") == dim, F.col("embedding")).otherwise(wrong)
+    joined = counted.join(vectors.withColumn("embedding", checked), "media_id")
     weight = F.sum("_n")
     sums = [F.sum(F.col("_n") * F.col("embedding")[i].cast("double")) for i in range(dim)]
     return joined.groupBy("user_id").agg(F.array(*[s / weight for s in sums]).alias("embedding"))

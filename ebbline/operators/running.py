@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbline.operators.prefix import prefix
-from ebbline.session import settle
 
 DAY = 86_400
 _KINDS = {"sum": (F.sum, lambda a, b: a + b), "max": (F.max, F.greatest)}
@@ -101,8 +100,7 @@ def lives(
 
     Use ``life`` as one more key in the running and decay operators.
     """
-    rows = sliced(settle(windows), written, slice_seconds)
-    seen = running(rows, keys, ["_slice"], [written], {"_last": ("max", written)}, before=True)
-    born = seen.withColumn("_new", F.coalesce((F.col(written) - F.col("_last") >= ttl).cast("bigint"), F.lit(0)))
+    seen = prefix(windows, keys, [written], {"_last": ("max", written)}, before=True)
+    born = sliced(seen, written, slice_seconds).withColumn("_new", F.coalesce((F.col(written) - F.col("_last") >= ttl).cast("bigint"), F.lit(0)))
     out = running(born.drop("_last"), keys, ["_slice"], [written], {"life": ("sum", "_new")})
     return out.drop("_slice", "_new")

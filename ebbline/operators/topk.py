@@ -70,3 +70,9 @@ def top_k_per(rows: DataFrame, by: list[str], k: int, order: list, rank: str = "
     """
     w = Window.partitionBy(*by).orderBy(*order)
     return rows.withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= k)
+
+
+def merged(tops: DataFrame, name: str, k: int) -> DataFrame:
+    """The list of all from the tops of buckets of ids: at most ``k`` rows of each bucket meet."""
+    rows = tops.select(F.explode("candidates").alias("_c")).select("_c.media_id", "_c.score", "_c.last_update")
+    return candidate_list(rows, name, k)

@@ -769,7 +769,19 @@ def stream_sliding(spark, sf_dir):
 
 @query
 def stream_candidates(spark, sf_dir):
-    """Events to counters to bucket tops to the global list, one query; the list as last written."""
+    """Events to window totals to counters and tops by bucket, one query; the list from the tops as last written."""
+    views = _event_stream(spark, sf_dir).where("event_name = 'view'")
+    counted = windows.window_counts(jobs.watermarked(views), MEDIA, "1 hour")
+    tops = jobs.counted_tops(counted, "media_id", "view", DAY, K, buckets=8, reserve=K)
+    home = shared_dir(spark, "candidates")
+    store = UpsertTable(f"{home}/rows", ["bucket"], ["bucket"])
+    jobs.run_available(tops, store.write, f"{home}/checkpoint")
+    return _rounded(topk.ranked(topk.merged(store.read(spark), items.TOP_VIEWS, K)), "score")
+
+
+@query
+def stream_candidates_of_counters(spark, sf_dir):
+    """The same list from a stream of counters, in three states."""
     counters = jobs.event_counters(_event_stream(spark, sf_dir), "media_id", LONG, "1 hour")
     lists = jobs.top_lists(counters, items.TOP_VIEWS, "view", DAY, K, buckets=8, reserve=K)
     home = shared_dir(spark, "candidates")

@@ -391,6 +391,7 @@ SELECT event_name AS feature_name, media_id AS key, decay_interval, last_update,
 x AS (SELECT event_name, event_ts // 1200 * 1200 - unnest(range(0, 3600, 1200)) AS window_start FROM ev)
 SELECT event_name, window_start, count(*) AS n FROM x GROUP BY event_name, window_start""",
     "stream_candidates": STREAM_LIST,
+    "stream_candidates_of_counters": STREAM_LIST,
     "stream_counters_and_list": STREAM_LIST,
     "stream_family_counters": _feature_counters(),
     "stream_ratio_topk": BEST_RATIOS,

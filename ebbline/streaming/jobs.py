@@ -14,6 +14,7 @@ from ebbline.operators.windows import event_clock, window_counts, word_counts, w
 from ebbline.streaming.processors import (
     CANDIDATES,
     BucketTop,
+    CountedTop,
     DecayedUntil,
     DecayedValues,
     GlobalTop,
@@ -204,6 +205,30 @@ def top_lists(
     )
 
 
+def counted_tops(
+    windows: DataFrame,
+    key: str,
+    feature: str,
+    interval: int,
+    k: int,
+    buckets: int = 64,
+    reserve: int | None = None,
+    ttl_ms: int | None = None,
+) -> DataFrame:
+    """Window totals to the ``k`` best counters of each bucket of ids, with a single state in Python.
+
+    A bucket's task keeps the counters of its ids beside its top and puts the top out when it changed.  Upserted by
+    ``bucket``, the rows are the whole list in parts: :func:`ebbline.operators.topk.merged` gives the list of all.
+    """
+    placed = windows.where(F.col("event_name") == feature).select(
+        F.pmod(F.hash(key), F.lit(buckets)).alias("bucket"), F.col(key).alias("media_id"), "window_start", "event_ts", "n"
+    )
+    bucket_top = CountedTop(k, 4 * k if reserve is None else reserve, interval, ttl_ms)
+    return placed.groupBy("bucket").transformWithState(
+        bucket_top, f"bucket int, candidates {CANDIDATES}", "Append", _time_mode(ttl_ms)
+    )
+
+
 def without_reaction(
     events: DataFrame, keys: list[str], first: str, reaction: str, within: int, delay: str = "0 seconds"
 ) -> DataFrame:

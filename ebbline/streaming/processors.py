@@ -286,6 +286,29 @@ class BucketTop(StatefulProcessor):
         pass
 
 
+class CountedTop(BucketTop):
+    """Counters and filter in one: rows are window totals, faded and added to the id's counter before it is ranked."""
+
+    def __init__(self, size: int, reserve: int, interval: int, ttl_ms: int | None = None):
+        super().__init__(size, reserve, "latest", ttl_ms)
+        self.interval = interval
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        return super().handleInputRows(key, self._counted(rows), timerValues)
+
+    def _counted(self, rows: Iterator[Row]) -> Iterator[dict]:
+        values: dict[str, tuple[float, int]] = {}
+        for row in sorted(rows, key=lambda r: r["window_start"]):
+            media_id, at = row["media_id"], row["event_ts"]
+            if media_id not in values:
+                values[media_id] = self.all.getValue((media_id,)) or (0.0, 0)
+            value, last = values[media_id]
+            now = max(last, at)
+            value = value * exp(-(now - last) / self.interval) + row["n"] * exp(-(now - at) / self.interval)
+            values[media_id] = value, now
+            yield {"media_id": media_id, "score": value, "last_update": now, "window_start": row["window_start"]}
+
+
 class GlobalTop(StatefulProcessor):
     """One list from all buckets; emits it whenever a bucket reported."""
 

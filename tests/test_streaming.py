@@ -147,6 +147,24 @@ def test_latest_list_equals_batch(spark, write_lines, tmp_path):
     assert [s for _, s in got] == pytest.approx([r["score"] for r in batch], rel=1e-9)
 
 
+@pytest.mark.parametrize("reserve", [5, 100])
+def test_tops_of_buckets_equal_batch(spark, write_lines, tmp_path, reserve):
+    """Counters and tops in one state, with falling scores; and the list merged from the stored tops."""
+    lines = _traffic(400, 5, keys=25)
+    folder = write_lines(lines[:150], lines[150:300], lines[300:], [_line(2000, media="end")])
+    counted = windows.window_counts(jobs.watermarked(_events(spark, folder)), ["event_name", "media_id"])
+    store = UpsertTable(str(tmp_path / "rows"), ["bucket"], ["bucket"])
+    tops = jobs.counted_tops(counted, "media_id", "view", 60, 5, buckets=3, reserve=reserve)
+    jobs.run_available(tops, store.write, str(tmp_path / "cp"))
+    got = topk.ranked(topk.merged(store.read(spark), "best", 5)).orderBy("rank").collect()
+    static = decode_events(stored_lines(spark, folder)).where(F.col("event_ts") < T0 + 2000)
+    static = windows.window_counts(static.withColumn("event_time", windows.event_clock()), ["event_name", "media_id"])
+    final = decay.decay_final(static.withColumnsRenamed({"event_name": "feature_name", "media_id": "key"}), ["feature_name", "key"], [60])
+    batch = topk.top_k(topk.scores(final, "view", 60), 5).collect()
+    assert [r.media_id for r in got] == [r.media_id for r in batch]
+    assert [r.score for r in got] == pytest.approx([r.score for r in batch], rel=1e-9)
+
+
 def test_latest_list_is_exact_without_reserve(spark, write_lines, tmp_path):
     """Six ids, the first four fall: the fifth leads, though the list had forgotten it."""
     first = [_line(0, media=f"m{i}") for i in range(6) for _ in range(10 - i)]
