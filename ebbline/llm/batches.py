@@ -72,6 +72,14 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def free_name(columns: list[str], name: str) -> str:
+    """``name``, with underscores until no column has it (names differ in more than case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def written(rows: DataFrame, path: str) -> DataFrame:
     """``rows``, written to ``path`` in the shared folder; half the size of a checkpoint, but nobody removes it."""
     rows.write.parquet(path)

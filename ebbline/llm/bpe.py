@@ -13,6 +13,7 @@ Nulls encode as empty texts.  Repeated rows are encoded each for itself, other c
 from __future__ import annotations
 
 import base64
+import contextlib
 import gc
 import hashlib
 import itertools
@@ -306,14 +307,24 @@ def _encoder(path: str, pattern: str) -> PieceEncoder:
     return kept_by_process(("bpe", path, pattern), lambda: PieceEncoder(read_ranks(path), pattern))
 
 
+@contextlib.contextmanager
+def uncollected():
+    """Without cyclic collection: the tables hold no cycles, and walking them is slow.  Back on for the worker's next task."""
+    gc.disable()
+    try:
+        yield
+    finally:
+        gc.enable()
+
+
 def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(key, ids)`` for every row: the tokens of the whole text."""
 
     def work(batches):
-        gc.disable()  # the tables hold no cycles, and walking them is slow
-        encoder = _encoder(path, pattern)
-        for batch in batches:
-            yield {key: batch.column(0), "ids": [encoder.encode(t or "") for t in batch.column(1).to_pylist()]}
+        with uncollected():
+            encoder = _encoder(path, pattern)
+            for batch in batches:
+                yield {key: batch.column(0), "ids": [encoder.encode(t or "") for t in batch.column(1).to_pylist()]}
 
     return map_columns(docs.select(key, text), work, f"{key} long, ids array<int>")
 
@@ -334,21 +345,21 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """Digests of the tokens and of the text decoded from them, in one pass; nothing large leaves the worker."""
 
     def work(batches):
-        gc.disable()  # the tables hold no cycles, and walking them is slow
-        encoder = _encoder(path, pattern)
-        spelled = encoder.transducer.spelled
-        decimal = {i: str(i) for i in spelled}
-        for batch in batches:
-            out = {"doc_id": batch.column(0), "n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
-            for t in batch.column(1).to_pylist():
-                ids = encoder.encode(t or "")
-                decoded = hashlib.sha256()
-                for portion in decode_stream(ids, spelled):
-                    decoded.update(portion.encode())
-                out["n_tokens"].append(len(ids))
-                out["ids_sha256"].append(hashlib.sha256(",".join(map(decimal.__getitem__, ids)).encode()).hexdigest())
-                out["decoded_sha256"].append(decoded.hexdigest())
-            yield out
+        with uncollected():
+            encoder = _encoder(path, pattern)
+            spelled = encoder.transducer.spelled
+            decimal = {i: str(i) for i in spelled}
+            for batch in batches:
+                out = {"doc_id": batch.column(0), "n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
+                for t in batch.column(1).to_pylist():
+                    ids = encoder.encode(t or "")
+                    decoded = hashlib.sha256()
+                    for portion in decode_stream(ids, spelled):
+                        decoded.update(portion.encode())
+                    out["n_tokens"].append(len(ids))
+                    out["ids_sha256"].append(hashlib.sha256(",".join(map(decimal.__getitem__, ids)).encode()).hexdigest())
+                    out["decoded_sha256"].append(decoded.hexdigest())
+                yield out
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return map_columns(docs.select("doc_id", "text"), work, schema)

@@ -185,7 +185,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = TRAINING_DOCS) -> tu
             read = [read_text(t)[2] for t in batch.column(0).to_pylist()]
             yield {"lines": [[x for line in f for x in map(float, line)] for f in read], "quality": batch.column(1)}
 
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "quality")
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    rows = rows.groupBy("doc_id").agg(F.min(F.struct("text", "quality")).alias("r")).select("r.*")  # one row of an id
     read = [r for r in map_columns(rows, work, "lines array<double>, quality int").toLocalIterator() if r.lines]
     if not read:
         return None

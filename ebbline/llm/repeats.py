@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbline.llm.batches import discard, map_columns, release, written
+from ebbline.llm.batches import discard, free_name, map_columns, release, written
 from ebbline.session import settle, shared_dir
 
 LENGTH = 100  # bytes of a string that counts
@@ -206,9 +206,10 @@ def spans(at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _known(docs: DataFrame, length: int) -> DataFrame:
-    """``docs`` with ``_ats``, the runs of windows of each that occur earlier."""
-    lists = repeated(docs, length).groupBy("doc_id").agg(F.collect_list("at").alias("_ats"))
-    return docs.drop("_ats").join(lists, "doc_id", "left")
+    """``docs`` and, as one more column at the end, the runs of windows of each that occur earlier."""
+    name = free_name(docs.columns, "_ats")
+    lists = repeated(docs, length).groupBy("doc_id").agg(F.collect_list("at").alias(name))
+    return docs.join(lists, "doc_id", "left").select(*docs.columns, name)
 
 
 def _cut(text: str | None, ats: list | None, length: int) -> tuple[bytes, list[bytes], int, int]:
@@ -234,7 +235,7 @@ def digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             yield out
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    return map_columns(_known(docs.select("doc_id", "text"), length).select("doc_id", "text", "_ats"), work, schema)
+    return map_columns(_known(docs.select("doc_id", "text"), length), work, schema)
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -242,7 +243,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     A character that a cut goes through is left out with them.
     """
-    known = _known(docs, length).select(*docs.columns, "_ats")
+    known = _known(docs, length)
     names_, at = docs.columns, docs.columns.index("text")
 
     def run(batches):

@@ -6,8 +6,9 @@ within the shard by another seeded hash.  The second pass shuffles each bucket (
 and writes it.  A record's slot follows from the sizes of the buckets before its own, once all are written; a lost
 executor can only have its files written anew before that.
 
-A null id goes to one shard like any other id.  A null text has no bytes.  Equal rows are kept, each with a slot of
-its own; they share a bucket.  Other columns are carried along, unless called as one of ``OWN``.
+The same records get the same shards and slots however they are partitioned (unless a column is a map, which has no
+order).  A null id goes to one shard like any other id.  A null text has no bytes.  Equal rows are kept, each with a
+slot of its own; they share a bucket, which is as large as they are many.  Other columns are carried along, unless called as one of ``OWN``.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ebbline.llm.batches import free_name
 from ebbline.session import shared_dir
 
 BUCKET_BYTES = 16 << 20
@@ -51,7 +53,10 @@ def write_shards(
     scatter = F.pmod(F.xxhash64(F.lit(~seed), F.col(key), F.col(text)), F.lit(buckets)).cast("int")
     scattered = docs.withColumn("shard", shard_of(F.col(key), shards, seed)).withColumn("bucket", scatter)
     scattered = scattered.repartition(int(shards * buckets), "shard", "bucket")  # about a bucket for each task
-    records = F.collect_list(F.struct(*docs.columns)).alias("_records")
+    records = F.collect_list(F.struct(*docs.columns))
+    if not any("map<" in f.dataType.simpleString() or "variant" in f.dataType.simpleString() for f in docs.schema):
+        records = F.array_sort(records)  # so that a shuffle depends on the records alone, not on their order
+    records = records.alias("_records")
     shuffled = scattered.groupBy("shard", "bucket").agg(records)
     placed = shuffled.select("shard", "bucket", F.posexplode(F.shuffle("_records", F.lit(seed))).alias("place", "_record"))
     placed.select("_record.*", "shard", "bucket", "place").write.parquet(path)
@@ -62,9 +67,10 @@ def slotted(rows: DataFrame) -> DataFrame:
     """``slot`` for written records with ``shard, bucket, place``: from 0 without gaps in each shard."""
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sizes = rows.groupBy("shard", "bucket").count()
-    shifts = sizes.select("shard", "bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_shift"))
+    shift = free_name(rows.columns, "_shift")
+    shifts = sizes.select("shard", "bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias(shift))
     out = rows.join(shifts, ["shard", "bucket"])
-    return out.withColumn("slot", F.col("place") + F.col("_shift")).drop("bucket", "place", "_shift")
+    return out.withColumn("slot", F.col("place") + F.col(shift)).drop("bucket", "place", shift)
 
 
 def read_shards(spark: SparkSession, path: str) -> DataFrame:

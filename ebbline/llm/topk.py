@@ -5,7 +5,7 @@ Within a block every dimension has its list, sorted; a query goes down all lists
 makes the better one), scores what it meets in full, and stops when even a vector at the current place in every list
 would fall short of the k-th score.  The blocks' best are ranked together.
 
-Components become ``floor(scale * x)``; scores must fit a long.  Vectors that are null or hold a null or non-finite
+Components become ``floor(scale * x)``; if one, or a score, may not fit a long, the job stops.  Vectors that are null or hold a null or non-finite
 component take no part, nor do rows without id.  Shorter vectors count as filled up with zeros.  Ties go to the
 smaller id.  A query does not find rows of its own id.
 """
@@ -25,7 +25,10 @@ def scaled(rows: DataFrame, key: str, vector: str, scale: int) -> DataFrame:
     """``(id, v)`` of the rows that take part."""
     odd = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     rows = rows.where(F.col(key).isNotNull() & F.col(vector).isNotNull() & ~odd)
-    whole = F.transform(vector, lambda x: F.floor(scale * x.cast("double")).cast("long"))
+    wide = F.raise_error(F.lit("a component does not fit a long at this scale"))
+    whole = F.transform(
+        vector, lambda x: F.when(F.abs(scale * x.cast("double")) < 2.0**63, F.floor(scale * x.cast("double")).cast("long")).otherwise(wide)
+    )
     return rows.select(F.col(key).alias("id"), whole.alias("v"))
 
 
@@ -95,7 +98,10 @@ def top_k(
     def search(group: pa.Table) -> pa.Table:
         asks, ids = (np.array(group[n].to_pylist()) for n in ("asks", "id"))
         x = table(group["v"].to_pylist(), width)
-        if (np.abs(x).max(initial=0).astype(float) ** 2) * max(width, 1) < 2**52:
+        most = float(np.abs(x.astype(float)).max(initial=0)) ** 2 * max(width, 1)
+        if most >= 2**63:
+            raise ValueError("a score may not fit a long: components are too large for this scale")
+        if most < 2**52:
             x = x.astype(float)  # sums stay exact, and products are faster
         asks = asks.astype(bool)
         found = [[], [], []]

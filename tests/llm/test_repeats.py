@@ -89,3 +89,10 @@ def test_sampling_depends_on_the_window_only():
     for i in range(0, 3900, 97):
         assert repeats.places(data[i : i + 100].copy(), 100)[0] + i == whole[i]
     assert len(set(whole)) < len(whole) / 25
+
+
+def test_clashing_names(documents):
+    text = "".join(hashlib.sha256(bytes([i])).hexdigest() for i in range(3))
+    df = documents([(1, text), (2, text)]).withColumnsRenamed({"lang": "_ats", "source": "_ATS_"})
+    got = {r.doc_id: (r.text, r._ats) for r in repeats.without_repeats(df).collect()}
+    assert got[1] == (text, "en") and got[2][0] == ""

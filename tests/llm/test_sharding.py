@@ -70,3 +70,19 @@ def test_odd_rows(spark, documents, tmp_path):
     _gapless(got.collect())
     empty = sharding.write_shards(documents([]), 3, str(tmp_path / "none"))
     assert sharding.read_shards(spark, empty).count() == 0
+
+
+def test_slots_do_not_depend_on_partitions(spark, documents):
+    rows = [(i, f"text {i % 700}") for i in range(1000)] + [(5, "text 5")] * 3
+    found = []
+    for n in (1, 5, 13):
+        path = sharding.write_shards(documents(rows).repartition(n).select("doc_id", "text"), 3, bucket_bytes=2000)
+        found.append(sorted(map(tuple, sharding.read_shards(spark, path).select("doc_id", "text", "shard", "slot").collect())))
+    assert found[0] == found[1] == found[2]
+    assert sorted(r[3] for r in found[0] if r[2] == 0) == list(range(sum(r[2] == 0 for r in found[0])))
+
+
+def test_clashing_names(spark, documents):
+    df = documents([(i, str(i)) for i in range(50)]).withColumnsRenamed({"lang": "_shift", "source": "_records"})
+    back = sharding.read_shards(spark, sharding.write_shards(df, 2))
+    assert back.count() == 50 and {"_shift", "_records"} <= set(back.columns)

@@ -63,3 +63,10 @@ def test_stops_early():
     all_scores = x @ np.array([3, 1, 0, 2])
     assert scores.tolist() == sorted(all_scores.tolist(), reverse=True)[:10] and scored < 400
     assert len(rows) == 10
+
+
+@pytest.mark.parametrize("x", [1e16, -1e300, 4e9])
+def test_components_beyond_a_long_stop_the_job(spark, x):
+    df = spark.createDataFrame([(0, [x]), (1, [x])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="fit a long"):
+        topk.top_k(df, F.col("vec_id") == 0).collect()
