@@ -15,7 +15,7 @@ from ebbline.functions import items
 from ebbline.functions.decay import value_at
 from ebbline.functions.events import allow_events, decode_events, encode_events
 from ebbline.functions.text import explode_words, tokens
-from ebbline.operators import decay, engagement, families, generators, late, running, topk, windows
+from ebbline.operators import decay, engagement, families, generators, late, neighbours, running, topk, windows
 from ebbline.session import prepare, shared_dir
 from ebbline.sinks.tables import FewViewsTable, TopListTable, UpsertTable, fan_out_writer
 from ebbline.sources import lines, tables
@@ -499,6 +499,18 @@ def knn_candidates(spark, sf_dir):
     return _rounded(generators.nearest(queries, vectors, 5), "score")
 
 
+@query
+def knn_indexed(spark, sf_dir):
+    """The same from an index of cells, which is written once."""
+    vectors = tables.table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").cast("string").alias("media_id"), "embedding"
+    )
+    path = shared_dir(spark, "neighbours")
+    neighbours.write_index(vectors, path)
+    queries = generators.user_vectors(tables.events(spark, sf_dir), vectors, "view", dim=64)
+    return _rounded(neighbours.nearest_indexed(spark, queries, path, 5), "score").drop("scored")
+
+
 # ---- features over families and periods -------------------------------------
 
 

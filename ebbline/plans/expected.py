@@ -322,6 +322,7 @@ SELECT media_id, round(v, 6) AS score, last_update FROM f ORDER BY v DESC, media
 SELECT media_id, views FROM x WHERE views < 100 ORDER BY md5(media_id || '0'), media_id LIMIT 20""",
     "creator_affinity": _creator_affinity(SEEN_POSTS),
     "knn_candidates": KNN,
+    "knn_indexed": KNN,
     "key_families": _families(),
     "family_counters": _family_counters(),
     "feature_matrix": _matrix(),
