@@ -52,12 +52,14 @@ def write_shards(
     buckets = max(1, -(-total // (bucket_bytes * shards)))
     scatter = F.pmod(F.xxhash64(F.lit(~seed), F.col(key), F.col(text)), F.lit(buckets)).cast("int")
     scattered = docs.withColumn("shard", shard_of(F.col(key), shards, seed)).withColumn("bucket", scatter)
-    scattered = scattered.repartition(int(shards * buckets), "shard", "bucket")  # about a bucket for each task
+    task = free_name(scattered.columns, "_task")
+    scattered = scattered.withColumn(task, F.col("shard") * F.lit(int(buckets)) + F.col("bucket"))
+    scattered = scattered.repartitionById(int(shards * buckets), F.col(task))  # a bucket for each task
     records = F.collect_list(F.struct(*docs.columns))
     if not any("map<" in f.dataType.simpleString() or "variant" in f.dataType.simpleString() for f in docs.schema):
         records = F.array_sort(records)  # so that a shuffle depends on the records alone, not on their order
     records = records.alias("_records")
-    shuffled = scattered.groupBy("shard", "bucket").agg(records)
+    shuffled = scattered.groupBy(task).agg(records, F.first("shard").alias("shard"), F.first("bucket").alias("bucket"))
     placed = shuffled.select("shard", "bucket", F.posexplode(F.shuffle("_records", F.lit(seed))).alias("place", "_record"))
     placed.select("_record.*", "shard", "bucket", "place").write.parquet(path)
     return path
