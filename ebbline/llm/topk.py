@@ -5,7 +5,7 @@ Within a block every dimension has its list, sorted; a query goes down all lists
 makes the better one), scores what it meets in full, and stops when even a vector at the current place in every list
 would fall short of the k-th score.  The blocks' best are ranked together.
 
-Components become ``floor(scale * x)``; if one, or a score, may not fit a long, the job stops.  Vectors that are null or hold a null or non-finite
+Components become ``floor(scale * x)``; if one, or a score, does not fit a long, the job stops.  Vectors that are null or hold a null or non-finite
 component take no part, nor do rows without id.  Shorter vectors count as filled up with zeros.  Ties go to the
 smaller id.  A query does not find rows of its own id.
 """
@@ -99,8 +99,6 @@ def top_k(
         asks, ids = (np.array(group[n].to_pylist()) for n in ("asks", "id"))
         x = table(group["v"].to_pylist(), width)
         most = float(np.abs(x.astype(float)).max(initial=0)) ** 2 * max(width, 1)
-        if most >= 2**63:
-            raise ValueError("a score may not fit a long: components are too large for this scale")
         if most < 2**52:
             x = x.astype(float)  # sums stay exact, and products are faster
         asks = asks.astype(bool)
@@ -108,6 +106,8 @@ def top_k(
         if not asks.all():
             lists = Lists(ids[~asks], x[~asks])
             for own, q in zip(ids[asks], x[asks], strict=True):
+                if most >= 2**63 and (np.abs(x[~asks].astype(float) @ q.astype(float))[ids[~asks] != own] >= 2**63).any():
+                    raise ValueError("a score does not fit a long at this scale")
                 places, scores, _ = lists.best(own, q, k)
                 found[0] += [own] * len(places)
                 found[1] += lists.ids[places].tolist()
