@@ -6,7 +6,9 @@ cell is at least ``angle(query, centre) - radius`` away from a query, and at lea
 centre.  A query looks into its nearest cells first; the k-th angle found rules out cells and vectors, and the rest is
 scored.  So results are those of comparing everything; how much is compared depends on how the vectors cluster.
 
-The index is written once.  A cell of many vectors is cut into blocks, so a common vector fills no task.
+The index is written once.  Small cells share a block with cells nearby and a cell of many vectors is cut into blocks,
+so a block has about ``BLOCK`` vectors at most.  Queries meet blocks in chunks: a task holds one block and one chunk, and a
+query is sent once to a block, however many of its cells it looks into.
 """
 
 from __future__ import annotations
@@ -27,6 +29,8 @@ from ebbline.session import settle
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK = 8192  # vectors of a block, about
+CHUNK = 8192  # queries that meet a block at once, about
+PRODUCT = 1 << 21  # cosines held at once
 MOST_CELLS = 4096  # centres are broadcast: at most so many
 SLACK = 1e-7  # angles are computed; a bound must be passed by more than this
 
@@ -56,96 +60,172 @@ def _angles(cosines: np.ndarray) -> np.ndarray:
     return np.arccos(np.clip(cosines, -1.0, 1.0))
 
 
+def _slices(n: int, width: int) -> Iterator[slice]:
+    """Slices of ``n`` rows, so that a slice by ``width`` columns has ``PRODUCT`` numbers at most."""
+    step = max(1, PRODUCT // max(1, width))
+    return (slice(i, min(i + step, n)) for i in range(0, n, step))
+
+
+def _blocks(sizes: np.ndarray, centres: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first block of each cell, and over how many a cell is spread; cells that share one follow on an axis."""
+    wide = centres - centres.mean(axis=0) if len(centres) else centres
+    along = wide @ np.linalg.eigh(wide.T @ wide)[1][:, -1] if len(centres) else np.zeros(0)
+    first, parts, number, room = np.zeros(len(sizes), int), -(-sizes // block), 0, 0
+    for i in np.argsort(along, kind="stable"):
+        if sizes[i] > block:
+            first[i], number = number, number + parts[i]
+            room = 0
+            continue
+        if sizes[i] > room:
+            number, room = number + 1, block
+        first[i], room = number - 1, room - sizes[i]
+    return first, parts
+
+
 def write_index(vectors: DataFrame, path: str, cells: int | None = None, block: int = BLOCK) -> None:
     """The index of ``vectors`` (``media_id``, ``embedding``, all of one width) in a folder every executor can reach.
 
     ``cells`` is the square root of their number unless given, and ``MOST_CELLS`` at most.  A vector without length
     belongs to a cell like others; its cosine with anything is 0.
     """
+    spark = vectors.sparkSession
     vectors = vectors.select("media_id", "embedding").where("media_id is not null and embedding is not null")
     size = vectors.count()
     wanted = max(1, min(cells or int(size**0.5), MOST_CELLS))
     drawn = vectors.orderBy(F.xxhash64("media_id"), "media_id").limit(wanted).collect()  # MOST_CELLS at most
     centres = np.unique(_unit(np.array([r["embedding"] for r in drawn], np.float64).reshape(len(drawn), -1 if drawn else 1)), axis=0)
-    held = vectors.sparkSession.sparkContext.broadcast(centres)
+    held = spark.sparkContext.broadcast(centres)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                m = _matrix(batch.column(1))
-                cosines = _unit(m) @ held.value.T
+            m = _matrix(batch.column(1))
+            for some in _slices(len(m), len(held.value)):
+                cosines = _unit(m[some]) @ held.value.T
                 best = cosines.argmax(axis=1)
                 angle = _angles(cosines[np.arange(len(best)), best])
-                columns = [batch.column(0), _lists(m), pa.array(best, pa.int32()), pa.array(angle)]
+                ids = batch.column(0).slice(some.start, len(best))
+                columns = [ids, _lists(m[some]), pa.array(best, pa.int32()), pa.array(angle)]
                 yield pa.RecordBatch.from_arrays(columns, ["media_id", "embedding", "cell", "angle"])
 
-    placed = vectors.mapInArrow(assign, INDEXED) if size else vectors.sparkSession.createDataFrame([], INDEXED)
+    placed = vectors.mapInArrow(assign, INDEXED) if size else spark.createDataFrame([], INDEXED)
     placed.write.mode("overwrite").parquet(f"{path}/placed")
-    placed = vectors.sparkSession.read.parquet(f"{path}/placed")
-    facts = placed.groupBy("cell").agg(F.max("angle").alias("radius"), F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    places = {i: [float(x) for x in c] for i, c in enumerate(centres)}
-    centre = vectors.sparkSession.createDataFrame(list(places.items()), "cell int, centre array<double>")
-    centre.join(facts, "cell").coalesce(1).write.mode("overwrite").parquet(f"{path}/cells")  # a row for each cell
-    blocks = placed.join(F.broadcast(facts.select("cell", "blocks")), "cell")
-    blocks = blocks.withColumn("block", F.pmod(F.xxhash64("media_id"), F.col("blocks")).cast("int")).drop("blocks")
-    blocks.repartition("cell", "block").sortWithinPartitions("cell", "block").write.mode("overwrite").parquet(f"{path}/vectors")
-
-
-def nearest_indexed(spark: SparkSession, queries: DataFrame, path: str, k: int, first: int = 4) -> DataFrame:
+    placed = spark.read.parquet(f"{path}/placed")
+    facts = placed.groupBy("cell").agg(F.max("angle").alias("radius"), F.count("*").alias("size"))
+    facts = sorted(facts.collect(), key=lambda r: r["cell"])  # MOST_CELLS rows at most
+    own = centres[[r["cell"] for r in facts]]
+    first, parts = _blocks(np.array([r["size"] for r in facts], int), own, block)
+    rows = [
+        (r["cell"], [float(x) for x in c], r["radius"], int(b), int(n))
+        for r, c, b, n in zip(facts, own, first, parts, strict=True)
+    ]
+    cell = spark.createDataFrame(rows, "cell int, centre array<double>, radius double, first int, blocks int")
+    cell.coalesce(1).write.mode("overwrite").parquet(f"{path}/cells")  # a row for each cell
+    blocks = placed.join(F.broadcast(cell.select("cell", "first", "blocks")), "cell")
+    part = F.pmod(F.xxhash64("media_id"), F.col("blocks"))
+    blocks = blocks.withColumn("block", (F.col("first") + part).cast("int")).drop("first", "blocks")
+    blocks.repartition("block").sortWithinPartitions("block").write.mode("overwrite").parquet(f"{path}/vectors")
+
+
+def nearest_indexed(
+    spark: SparkSession, queries: DataFrame, path: str, k: int, first: int = 4, chunk: int = CHUNK
+) -> DataFrame:
     """The ``k`` vectors of highest cosine to each query (``user_id``, ``embedding``), and how many were ``scored``.
 
     ``first`` cells are looked into before the others are ruled out.  Ties go by id.
     """
     cells = spark.read.parquet(f"{path}/cells").orderBy("cell").toArrow()  # MOST_CELLS rows at most
     vectors = spark.read.parquet(f"{path}/vectors")
-    numbers = (cells[n].to_numpy() for n in ("cell", "radius", "blocks"))
+    numbers = (cells[n].to_numpy() for n in ("cell", "radius", "first", "blocks"))
     held = spark.sparkContext.broadcast((*numbers, _unit(_matrix(cells["centre"]))))
-    queries = settle(queries.select("user_id", "embedding"))
+
+    def plan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The cells, by their places, that each query looks into first."""
+        number, radius, _, _, centres = held.value
+        for batch in batches:
+            m = _matrix(batch.column(1))
+            for some in _slices(len(m) if len(number) else 0, len(number)):
+                lower = _angles(_unit(m[some]) @ centres.T) - radius[None, :]
+                firsts = np.argsort(lower, axis=1, kind="stable")[:, :first].astype(np.int32)
+                columns = [batch.column(0).slice(some.start, len(lower)), _lists(m[some]), _lists(firsts)]
+                yield pa.RecordBatch.from_arrays(columns, ["user_id", "embedding", "firsts"])
+
+    planned = queries.select("user_id", "embedding").mapInArrow(plan, "user_id string, embedding array<double>, firsts array<int>")
+    queries = settle(planned)
+    chunks = max(1, -(-queries.count() // chunk))
 
     def visits(asked: DataFrame, later: bool) -> DataFrame:
-        """A row for each block that a query looks into: the first cells, or those that the k-th angle leaves."""
+        """A row for each block that a query looks into, with its cells there: the first, or those the k-th angle leaves."""
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            number, radius, blocks, centres = held.value
+            number, radius, start, parts, centres = held.value
+            most = int((start + parts).max()) if len(number) else 1
             for batch in batches:
-                if not batch.num_rows or not len(number):
-                    continue
                 m, kth = _matrix(batch.column(1)), batch.column(2).to_numpy(zero_copy_only=False)
-                angles = _angles(_unit(m) @ centres.T)
-                lower = angles - radius[None, :]
-                rank = np.argsort(np.argsort(lower, axis=1, kind="stable"), axis=1, kind="stable")
-                chosen = (rank >= first) & (lower <= kth[:, None] + SLACK) if later else rank < first
-                q, c = np.nonzero(chosen)
-                at = np.repeat(np.arange(len(q)), blocks[c])
-                block = np.concatenate([np.zeros(0, int), *(np.arange(n) for n in blocks[c])])
-                q, c = q[at], c[at]
-                columns = [batch.column(0).take(pa.array(q)), _lists(m[q]), pa.array(kth[q]), pa.array(angles[q, c])]
-                columns += [pa.array(number[c], pa.int32()), pa.array(block, pa.int32())]
-                yield pa.RecordBatch.from_arrays(columns, ["user_id", "embedding", "kth", "to_centre", "cell", "block"])
-
-        schema = "user_id string, embedding array<double>, kth double, to_centre double, cell int, block int"
-        return asked.select("user_id", "embedding", "kth").mapInArrow(run, schema)
+                firsts = _matrix(batch.column(3)).astype(int)
+                # a slice's rows, each with a vector, stay few too
+                for some in _slices(len(m), max(len(number), most * m.shape[1])):
+                    chosen = np.zeros((some.stop - some.start, len(number)), bool)
+                    np.put_along_axis(chosen, firsts[some], True, axis=1)
+                    if later:
+                        lower = _angles(_unit(m[some]) @ centres.T) - radius[None, :]
+                        chosen = ~chosen & (lower <= kth[some, None] + SLACK)
+                    q, c = np.nonzero(chosen)
+                    at = np.repeat(np.arange(len(q)), parts[c])
+                    block = start[c][at] + np.arange(len(at)) - np.repeat(np.cumsum(parts[c]) - parts[c], parts[c])
+                    q, c = q[at], c[at]
+                    order = np.lexsort((c, block, q))
+                    q, c, block = q[order], c[order], block[order]
+                    begins = np.flatnonzero(np.append(True, (q[1:] != q[:-1]) | (block[1:] != block[:-1]))[: len(q)])
+                    offsets = pa.array(np.append(begins, len(q)), pa.int32())
+                    q, block = q[begins] + some.start, block[begins]
+                    columns = [batch.column(0).take(pa.array(q)), _lists(m[q]), pa.array(kth[q])]
+                    columns += [pa.ListArray.from_arrays(offsets, pa.array(c, pa.int32())), pa.array(block, pa.int32())]
+                    yield pa.RecordBatch.from_arrays(columns, ["user_id", "embedding", "kth", "cells", "block"])
+
+        schema = "user_id string, embedding array<double>, kth double, cells array<int>, block int"
+        return asked.select("user_id", "embedding", "kth", "firsts").mapInArrow(run, schema)
 
     def look(asked: pa.Table, block: pa.Table) -> pa.Table:
         out = {"user_id": [], "media_id": [], "score": [], "scored": []}
         if asked.num_rows and block.num_rows:
+            number, _, _, _, centres = held.value
             block = block.sort_by("media_id")
             ids, own = block["media_id"].to_pylist(), block["angle"].to_numpy()
-            x, q = _unit(_matrix(block["embedding"])), _unit(_matrix(asked["embedding"]))
-            users, kths, to_centres = (asked[n].to_pylist() for n in ("user_id", "kth", "to_centre"))
-            for i, user in enumerate(users):
-                near = np.flatnonzero(np.abs(own - to_centres[i]) <= kths[i] + SLACK)
-                cosine = np.round(x[near] @ q[i], 12)  # copies of a vector must tie exactly
-                best = np.lexsort((near, -cosine))[:k]
-                out["user_id"] += [user] * (len(best) + 1)
-                out["media_id"] += [*(ids[n] for n in near[best]), None]  # the last row only counts
-                out["score"] += [*cosine[best].tolist(), None]
-                out["scored"] += [0] * len(best) + [len(near)]
+            x = _unit(_matrix(block["embedding"]))
+            here, of = np.unique(np.searchsorted(number, block["cell"].to_numpy()), return_inverse=True)
+            lists = asked["cells"].combine_chunks()
+            sizes = lists.value_lengths().to_numpy()
+            ends, cell = np.cumsum(sizes), lists.flatten().to_numpy()
+            order = np.argsort(cell[ends - sizes], kind="stable")  # queries of the same cells follow each other
+            q, users, kths = _unit(_matrix(asked["embedding"])), asked["user_id"].to_pylist(), asked["kth"].to_numpy()
+            for some in _slices(len(order), len(ids)):
+                rows = order[some]
+                wanted = np.zeros((len(rows), len(number)), bool)
+                for i, n in enumerate(rows):
+                    wanted[i, cell[ends[n] - sizes[n] : ends[n]]] = True
+                to_centre = _angles(q[rows] @ centres[here].T)
+                near = wanted[:, here][:, of] & (np.abs(own - to_centre[:, of]) <= kths[rows, None] + SLACK)
+                columns = np.flatnonzero(near.any(axis=0))
+                near = near[:, columns]
+                cosine = np.round(q[rows] @ x[columns].T, 12)  # copies of a vector must tie exactly
+                for i, n in enumerate(rows):
+                    among = np.flatnonzero(near[i])
+                    found = cosine[i, among]
+                    if len(among) > k:  # all that tie with the k-th
+                        among = among[found >= -np.partition(-found, k - 1)[k - 1]]
+                        found = cosine[i, among]
+                    best = np.lexsort((among, -found))[:k]
+                    out["user_id"] += [users[n]] * (len(best) + 1)
+                    out["media_id"] += [*(ids[j] for j in columns[among[best]]), None]  # the last row only counts
+                    out["score"] += [*found[best].tolist(), None]
+                    out["scored"] += [0] * len(best) + [int(near[i].sum())]
         kinds = {"user_id": pa.string(), "media_id": pa.string(), "score": pa.float64(), "scored": pa.int64()}
         return pa.table({n: pa.array(v, kinds[n]) for n, v in out.items()})
 
     def found(asked: DataFrame) -> DataFrame:
-        meeting = asked.groupBy("cell", "block").cogroup(vectors.groupBy("cell", "block"))
+        asked = asked.withColumn("chunk", F.pmod(F.xxhash64("user_id"), F.lit(chunks)).cast("int"))
+        copies = vectors.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
+        meeting = asked.groupBy("chunk", "block").cogroup(copies.groupBy("chunk", "block"))
         return meeting.applyInArrow(look, FOUND)
 
     early = settle(found(visits(queries.withColumn("kth", F.lit(float(np.pi))), later=False)))

@@ -55,3 +55,29 @@ def test_nothing_to_find(spark, tmp_path):
     neighbours.write_index(vectors, str(tmp_path / "one"))
     assert neighbours.nearest_indexed(spark, queries.limit(0), str(tmp_path / "one"), 3).count() == 0
     assert neighbours.nearest_indexed(spark, queries, str(tmp_path / "one"), 3).count() == 1
+
+
+def test_what_one_task_holds_is_bounded(spark, tmp_path, monkeypatch):
+    """However many queries there are, a query goes once to a block of many cells, and a task sees a chunk of queries."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 8))  # without clusters: nearly every cell is looked into
+    vectors = _frame(spark, [f"m{i:03d}" for i in range(400)], x, "media_id")
+    queries = _frame(spark, [f"u{i:03d}" for i in range(300)], rng.normal(size=(300, 8)), "user_id")
+    path = str(tmp_path / "index")
+    neighbours.write_index(vectors, path, cells=100, block=100)
+    cells, written = spark.read.parquet(f"{path}/cells"), spark.read.parquet(f"{path}/vectors")
+    sizes = [r["count"] for r in written.groupBy("block").count().collect()]
+    assert cells.count() > 50 and len(sizes) <= 9 and max(sizes) <= 100 and sum(sizes) == 400
+    monkeypatch.setattr(neighbours, "PRODUCT", 1000)
+    got = neighbours.nearest_indexed(spark, queries, path, 7, chunk=40)
+    assert _rows(got) == _rows(generators.nearest(queries, vectors, 7))
+    widths = []
+    cogroup = type(queries.groupBy("user_id")).cogroup
+
+    def measured(self, other):
+        widths.append(self._df.groupBy("chunk", "block").count().agg(F.max("count")).first()[0])
+        return cogroup(self, other)
+
+    monkeypatch.setattr(type(queries.groupBy("user_id")), "cogroup", measured)
+    neighbours.nearest_indexed(spark, queries, path, 7, chunk=40).count()
+    assert len(widths) == 2 and max(widths) <= 80  # chunks go by hash, so not all are equal
