@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -13,18 +13,20 @@ from ebbline.operators.engagement import reached_slices
 from ebbline.operators.windows import event_clock, window_counts, word_counts, word_window_counts
 from ebbline.streaming.processors import (
     CANDIDATES,
+    BucketOfKeys,
     BucketTop,
     CountedTop,
-    DecayedUntil,
+    DecayedCounters,
     DecayedValues,
     GlobalTop,
     LifetimeTotal,
-    LifetimeUntil,
+    LifetimeTotals,
     MissingReaction,
 )
 
 TTL_DAYS = 7
 MODES = ("latest", "improvements")
+BUCKETS = 512  # of keys; their number is fixed for the life of a checkpoint
 
 
 def ttl_millis(days: float | None = TTL_DAYS) -> int | None:
@@ -40,6 +42,36 @@ def _typed(rows: DataFrame, columns: list[str]) -> str:
     return ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in columns)
 
 
+def _types(rows: DataFrame, columns: list[str]) -> list[str]:
+    return [rows.schema[c].dataType.simpleString() for c in columns]
+
+
+def _bucket(columns: list[str], buckets: int) -> Column:
+    return F.pmod(F.hash(*columns), F.lit(buckets)).alias("_bucket")
+
+
+def _in_buckets(
+    windows: DataFrame,
+    keys: list[str],
+    processor: BucketOfKeys,
+    schema: str,
+    initial: DataFrame | None,
+    kept: list[str],
+    buckets: int,
+) -> DataFrame:
+    """``windows`` through a state of buckets of keys; ``initial`` has the keys and what is ``kept`` of them."""
+    clock = [c for c in windows.columns if c == "_w"]
+    placed = windows.select(_bucket(keys, buckets), *clock, *processor.columns)
+    if initial is not None:
+        ends = F.col("window_end").cast("bigint") if processor.ttl_s is not None else F.lit(None).cast("bigint")
+        typed = [F.col(k).cast(t).alias(k) for k, t in zip(keys, processor.types)]
+        entries = initial.select(*typed, ends.alias("_at"), *kept)
+        entries = entries.groupBy(_bucket(keys, buckets)).agg(F.collect_list(F.struct(*keys, "_at", *kept)).alias("entries"))
+        initial = entries.groupBy("_bucket")
+    mode = "None" if processor.ttl_s is None else "EventTime"
+    return placed.groupBy("_bucket").transformWithState(processor, schema, "Append", mode, initialState=initial)
+
+
 def watermarked(events: DataFrame, delay: str = "0 seconds", event_time: str = "payload") -> DataFrame:
     """Add ``event_time`` and its watermark.  No delay: a row is late once its window has closed."""
     return events.withColumn("event_time", event_clock(event_time)).withWatermark("event_time", delay)
@@ -67,21 +99,27 @@ def lifetime_totals(
     ttl_ms: int | None = None,
     initial: DataFrame | None = None,
     event_ttl_s: int | None = None,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """Count since the beginning at every window close.
 
+    The state is kept in ``buckets`` of keys, which a batch reads and writes whole; only state that expires in
+    processing time (``ttl_ms``) has a group for each key.
+
     ``initial`` are totals of a backfill (the keys and ``total``, one row each), which a new checkpoint begins with.
     ``event_ttl_s`` forgets a key so many seconds of event time after its last window's end; ``windows`` must then be
     clocked, and ``initial`` must have ``window_end`` too.
     """
-    schema = _typed(windows, keys)
-    kept = ["total"] if event_ttl_s is None else ["total", "window_end"]
+    schema = f"{_typed(windows, keys)}, window_start bigint, window_end bigint, n bigint, total bigint"
+    if ttl_ms is None or event_ttl_s is not None:
+        totals = LifetimeTotals(keys, _types(windows, keys), event_ttl_s)
+        return _in_buckets(windows, keys, totals, schema, initial, ["total"], buckets)
     return windows.groupBy(*keys).transformWithState(
-        LifetimeTotal(keys, ttl_ms) if event_ttl_s is None else LifetimeUntil(keys, event_ttl_s),
-        f"{schema}, window_start bigint, window_end bigint, n bigint, total bigint",
+        LifetimeTotal(keys, ttl_ms),
+        schema,
         "Append",
-        _time_mode(ttl_ms) if event_ttl_s is None else "EventTime",
-        initialState=None if initial is None else initial.select(*keys, *kept).groupBy(*keys),
+        _time_mode(ttl_ms),
+        initialState=None if initial is None else initial.select(*keys, "total").groupBy(*keys),
     )
 
 
@@ -104,21 +142,28 @@ def decayed_counters(
     ttl_ms: int | None = None,
     initial: DataFrame | None = None,
     event_ttl_s: int | None = None,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """All counters of a key at every window close, in ``counts``.
 
     ``initial`` are counters of a backfill with the same intervals (the keys and ``counts``, one row each), such as
-    :func:`ebbline.operators.decay.decay_final` gives; a new checkpoint begins with them.  ``event_ttl_s`` as in
-    :func:`lifetime_totals`.
+    :func:`ebbline.operators.decay.decay_final` gives; a new checkpoint begins with them.  ``event_ttl_s`` and
+    ``buckets`` as in :func:`lifetime_totals`.
     """
-    schema = _typed(windows, keys)
-    states = windows.groupBy(*keys).transformWithState(
-        DecayedValues(keys, intervals, ttl_ms) if event_ttl_s is None else DecayedUntil(keys, intervals, event_ttl_s),
-        f"{schema}, window_start bigint, window_end bigint, last_update bigint, value array<double>",
-        "Append",
-        _time_mode(ttl_ms) if event_ttl_s is None else "EventTime",
-        initialState=None if initial is None else counter_state(initial, keys, intervals).groupBy(*keys),
-    )
+    schema = f"{_typed(windows, keys)}, window_start bigint, window_end bigint, last_update bigint, value array<double>"
+    if initial is not None:
+        initial = counter_state(initial, keys, intervals)
+    if ttl_ms is None or event_ttl_s is not None:
+        counters = DecayedCounters(keys, _types(windows, keys), intervals, event_ttl_s)
+        states = _in_buckets(windows, keys, counters, schema, initial, ["last_update", "value"], buckets)
+    else:
+        states = windows.groupBy(*keys).transformWithState(
+            DecayedValues(keys, intervals, ttl_ms),
+            schema,
+            "Append",
+            _time_mode(ttl_ms),
+            initialState=None if initial is None else initial.groupBy(*keys),
+        )
     values = {d: F.col("value")[i] for i, d in enumerate(intervals)}
     return states.select(
         *keys, "window_start", "window_end", counter_map(intervals, F.col("last_update"), values).alias("counts")
@@ -230,7 +275,13 @@ def counted_tops(
 
 
 def without_reaction(
-    events: DataFrame, keys: list[str], first: str, reaction: str, within: int, delay: str = "0 seconds"
+    events: DataFrame,
+    keys: list[str],
+    first: str,
+    reaction: str,
+    within: int,
+    delay: str = "0 seconds",
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """Twin of the batch operator; rows come once the watermark has passed the deadline."""
     per_second = (
@@ -239,11 +290,13 @@ def without_reaction(
         .agg(F.sum("event_count").alias("n"))
         .select("_w", F.unix_seconds("_w.start").alias("second"), *keys, "event_name", "n")
     )
-    # a slice of a busy key is a group of its own, so a backfill spreads
+    # a slice of a busy key may lie in a bucket of its own, so a backfill spreads
     slices = reached_slices(F.col("second"), F.col("event_name") == reaction, within)
     placed = per_second.select("*", F.explode(slices).alias("slice"))
-    return placed.groupBy(*keys, "slice").transformWithState(
-        MissingReaction(keys, reaction, within), f"{_typed(placed, keys)}, second bigint, n bigint", "Append", "EventTime"
+    placed = placed.select("_w", _bucket([*keys, "slice"], buckets), "second", *keys, "event_name", "n")
+    missing = MissingReaction(keys, _types(placed, keys), reaction, within)
+    return placed.groupBy("_bucket").transformWithState(
+        missing, f"{_typed(placed, keys)}, second bigint, n bigint", "Append", "EventTime"
     )
 
 

@@ -90,9 +90,9 @@ class DecayedValues(StatefulProcessor):
 
 
 class Expiry:
-    """Event-time expiry: a key is forgotten ``ttl_s`` seconds after its last window's end.
+    """Event-time expiry: what was written is forgotten ``ttl_s`` seconds after its last window's end.
 
-    The key's one timer is moved at every write, and fires when the watermark passes it.  Rows are asked too, since a
+    The one timer is moved at every write, and fires when the watermark passes it.  Rows are asked too, since a
     batch may bring the window that ends a life together with the watermark that would have ended it.
     """
 
@@ -118,64 +118,117 @@ class Expiry:
             self.written.update((now,))
 
 
-class LifetimeUntil(LifetimeTotal):
-    """Totals whose keys expire in event time."""
+def _plain(entries: Iterable) -> list[tuple]:
+    """Nested rows come as rows from the state and as dictionaries from the input."""
+    return [tuple(e.values() if isinstance(e, dict) else e) for e in entries]
 
-    def __init__(self, keys: list[str], ttl_s: int):
-        super().__init__(keys)
-        self.expiry = Expiry(ttl_s)
+
+class BucketOfKeys(StatefulProcessor):
+    """What is kept of every key of a bucket of keys, read and written at once.
+
+    State in Python costs some calls for each group and batch, however little a group has, so a group is a bucket.
+    An entry of the state is the key's columns, its last window's end, and what :meth:`fold` makes of its windows.
+    With ``ttl_s`` a key is forgotten that many seconds of event time after its last window's end: the bucket has one
+    timer, for the key that ends first.
+    """
+
+    kept = ""  # the types of what is kept
+
+    def __init__(self, keys: list[str], types: list[str], amounts: list[str], ttl_s: int | None = None):
+        self.keys, self.types, self.ttl_s = keys, types, ttl_s
+        self.columns = [*keys, "window_start", "window_end", *amounts]
+        self.expiry = None if ttl_s is None else Expiry(ttl_s)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
-        self.expiry.init(handle)
+        fields = [f"k{i}:{t}" for i, t in enumerate(self.types)]
+        self.state = handle.getValueState("keys", f"entries array<struct<{','.join([*fields, 'at:bigint', self.kept])}>>")
+        if self.expiry:
+            self.expiry.init(handle)
+
+    def _load(self) -> dict[tuple, tuple]:
+        stored, n = self.state.get(), len(self.keys)
+        return {e[:n]: e[n:] for e in _plain(stored[0])} if stored else {}
+
+    def _save(self, held: dict[tuple, tuple], before: int | None, timerValues) -> None:
+        if self.expiry:
+            now = timerValues.getCurrentWatermarkInMs() // 1000
+            held = {k: e for k, e in held.items() if e[0] + self.ttl_s > now}
+            if held:
+                self.expiry.moved(before, min(e[0] for e in held.values()))
+            elif before is not None:
+                self.expiry.handle.deleteTimer((before + self.ttl_s) * 1000)
+                self.expiry.written.clear()
+        if held:
+            self.state.update(([(*k, *e) for k, e in held.items()],))
+        else:
+            self.state.clear()
 
     def handleInitialState(self, key, initialState: Row, timerValues) -> None:
-        super().handleInitialState(key, initialState, timerValues)
-        self.expiry.moved(None, initialState["window_end"])
+        """One row for each bucket, with the entries of all its keys."""
+        n = len(self.keys)
+        held = {e[:n]: e[n:] for e in _plain(initialState["entries"])}
+        self.state.update(([(*k, *e) for k, e in held.items()],))
+        if self.expiry and held:
+            self.expiry.moved(None, min(e[0] for e in held.values()))
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        before = last = self.expiry.last()
-        for row in sorted(rows, key=lambda r: r["window_start"]):
-            if self.expiry.over(last, row["window_end"]):
-                self.total.clear()
-            yield from super().handleInputRows(key, iter([row]), timerValues)
-            last = row["window_end"]
-        self.expiry.moved(before, last)
+        held, n = self._load(), len(self.keys)
+        before = self.expiry.last() if self.expiry else None
+        ordered: list[tuple] = []
+        for row in rows:
+            if not ordered:
+                at = [row.__fields__.index(c) for c in self.columns]
+            ordered.append(tuple(row[i] for i in at))
+        ordered.sort(key=lambda r: r[n])
+        for row in ordered:
+            own, end = row[:n], row[n + 1]
+            entry = held.get(own)
+            if entry and self.expiry and self.expiry.over(entry[0], end):
+                entry = None
+            kept, shown = self.fold(entry[1:] if entry else None, *row[n + 2 :])
+            held[own] = (end, *kept)
+            yield self.out(*row[: n + 2], *shown)
+        self._save(held, before, timerValues)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        self.total.clear()
+        held = self._load()
         self.expiry.written.clear()
+        self._save(held, None, timerValues)
         return iter(())
 
+    def close(self) -> None:
+        pass
 
-class DecayedUntil(DecayedValues):
-    """Decayed counters whose keys expire in event time."""
 
-    def __init__(self, keys: list[str], intervals: list[int], ttl_s: int):
-        super().__init__(keys, intervals)
-        self.expiry = Expiry(ttl_s)
+class LifetimeTotals(BucketOfKeys):
+    """Adds each closed window to its key's total and emits the new total."""
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
-        self.expiry.init(handle)
+    kept = "total:bigint"
 
-    def handleInitialState(self, key, initialState: Row, timerValues) -> None:
-        super().handleInitialState(key, initialState, timerValues)
-        self.expiry.moved(None, initialState["window_end"])
+    def __init__(self, keys: list[str], types: list[str], ttl_s: int | None = None):
+        super().__init__(keys, types, ["n"], ttl_s)
+        self.out = Row(*keys, "window_start", "window_end", "n", "total")
 
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        before = last = self.expiry.last()
-        for row in sorted(rows, key=lambda r: r["window_start"]):
-            if self.expiry.over(last, row["window_end"]):
-                self.state.clear()
-            yield from super().handleInputRows(key, iter([row]), timerValues)
-            last = row["window_end"]
-        self.expiry.moved(before, last)
+    def fold(self, kept: tuple | None, n: int) -> tuple[tuple, tuple]:
+        total = (kept[0] if kept else 0) + n
+        return (total,), (n, total)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        self.state.clear()
-        self.expiry.written.clear()
-        return iter(())
+
+class DecayedCounters(BucketOfKeys):
+    """Fades and adds each closed window to its key's counters and emits them all, as :class:`DecayedValues`."""
+
+    kept = "last_update:bigint,value:array<double>"
+
+    def __init__(self, keys: list[str], types: list[str], intervals: list[int], ttl_s: int | None = None):
+        super().__init__(keys, types, ["event_ts", "n"], ttl_s)
+        self.intervals = intervals
+        self.out = Row(*keys, "window_start", "window_end", "last_update", "value")
+
+    def fold(self, kept: tuple | None, at: int, n: int) -> tuple[tuple, tuple]:
+        last, values = kept or (0, [0.0] * len(self.intervals))
+        now = max(last, at)
+        values = [v * exp(-(now - last) / d) + n * exp(-(now - at) / d) for v, d in zip(values, self.intervals)]
+        return (now, values), (now, values)
 
 
 class BoundedTop:
@@ -342,55 +395,76 @@ class GlobalTop(StatefulProcessor):
 class MissingReaction(StatefulProcessor):
     """Emits first events that no reaction followed in time.
 
-    Rows are counts per second, grouped by key and time slice.  A second's first
-    events wait until the watermark has passed their deadline, reactions are kept
-    as long as a first event could still need them: a group holds at most a
-    slice's seconds of each, whatever the key's traffic.
+    Rows are counts per second, grouped by buckets of key and time slice.  First events whose deadline the watermark
+    has passed are told at once; the others wait for it, and reactions are kept as long as a first event could still
+    need them: a key's slice holds at most a slice's seconds of each, whatever the key's traffic.
     """
 
-    def __init__(self, keys: list[str], reaction: str, within: int):
-        self.keys, self.reaction, self.within = keys, reaction, within
+    def __init__(self, keys: list[str], types: list[str], reaction: str, within: int):
+        self.keys, self.types, self.reaction, self.within = keys, types, reaction, within
+        self.columns = [*keys, "second", "event_name", "n"]
+        self.out = Row(*keys, "second", "n")
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
+        fields = ",".join([*(f"k{i}:{t}" for i, t in enumerate(self.types)), "second:bigint"])
         self.state = handle.getValueState(
-            "open", "second array<bigint>, n array<bigint>, reaction array<bigint>"
+            "open", f"waiting array<struct<{fields},n:bigint>>, reactions array<struct<{fields}>>, due bigint"
         )
 
-    def _load(self) -> tuple[dict[int, int], list[int]]:
-        seconds, counts, reactions = self.state.get() or ([], [], [])
-        return dict(zip(seconds, counts)), list(reactions)
-
-    def _save(self, waiting: dict[int, int], reactions: list[int]) -> None:
-        if not waiting and not reactions:
+    def _told(self, rows: Iterable[Row], now: int, fired: bool) -> Iterator[Row]:
+        """Add ``rows``, emit what is decided at ``now`` and keep the rest."""
+        first, answers, due = self.state.get() or ([], [], None)
+        waiting: dict[tuple, dict[int, int]] = {}
+        reactions: dict[tuple, set[int]] = {}
+        for *own, second, amount in _plain(first):
+            waiting.setdefault(tuple(own), {})[second] = amount
+        for *own, second in _plain(answers):
+            reactions.setdefault(tuple(own), set()).add(second)
+        at = None
+        for row in rows:
+            at = at or [row.__fields__.index(c) for c in self.columns]
+            *own, second, name, amount = (row[i] for i in at)
+            if name == self.reaction:
+                reactions.setdefault(tuple(own), set()).add(second)
+            else:
+                seconds = waiting.setdefault(tuple(own), {})
+                seconds[second] = seconds.get(second, 0) + amount
+        first, answers = [], []
+        for own in {**waiting, **reactions}:
+            seconds, after = waiting.get(own, {}), sorted(reactions.get(own, ()))
+            for second in sorted(seconds):
+                if second + self.within >= now:
+                    first.append((*own, second, seconds[second]))
+                    continue
+                i = bisect_left(after, second)
+                if i == len(after) or after[i] > second + self.within:
+                    yield self.out(*own, second, seconds[second])
+            oldest = min((s for s in seconds if s + self.within >= now), default=now)
+            answers += [(*own, s) for s in after[bisect_left(after, min(oldest, now)) :]]
+        self._save(first, answers, None if fired else due)
+
+    def _save(self, first: list[tuple], answers: list[tuple], timer: int | None) -> None:
+        due = None
+        if first or answers:
+            # a reaction at the deadline itself still counts; without first events, wake up to forget
+            n = len(self.keys)
+            due = min(r[n] for r in first) + self.within + 1 if first else max(r[n] for r in answers) + 1
+        if timer is not None and timer != due:
+            self.handle.deleteTimer(timer * 1000)
+        if due is None:
             self.state.clear()
             return
-        self.state.update((list(waiting), list(waiting.values()), reactions))
-        # a reaction at the deadline itself still counts; without first events, wake up to forget
-        due = min(waiting) + self.within + 1 if waiting else max(reactions) + 1
-        self.handle.registerTimer(due * 1000)
+        if timer != due:
+            self.handle.registerTimer(due * 1000)
+        self.state.update((first, answers, due))
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        waiting, reactions = self._load()
-        for row in rows:
-            second = row["second"]
-            if row["event_name"] == self.reaction:
-                reactions.append(second)
-            else:
-                waiting[second] = waiting.get(second, 0) + row["n"]
-        self._save(waiting, sorted(set(reactions)))
-        return iter(())
+        return self._told(rows, timerValues.getCurrentWatermarkInMs() // 1000, False)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        waiting, reactions = self._load()
         now = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs()) // 1000
-        for second in sorted(s for s in waiting if s + self.within < now):
-            n = waiting.pop(second)
-            at = bisect_left(reactions, second)
-            if at == len(reactions) or reactions[at] > second + self.within:
-                yield Row(**dict(zip(self.keys, key)), second=second, n=n)
-        oldest = min(waiting, default=now)
-        self._save(waiting, reactions[bisect_left(reactions, min(oldest, now)) :])
+        return self._told((), now, True)
 
     def close(self) -> None:
         pass

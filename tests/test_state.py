@@ -150,3 +150,18 @@ def test_joined_missing_reactions_have_no_python(spark, write_lines, tmp_path):
     # once the clock is far ahead, the join's state holds the last seconds only
     join = [o for p in progress[-1:] for o in p["stateOperators"] if "Join" in o["operatorName"]]
     assert join and join[0]["numRowsTotal"] <= 2
+
+
+def test_state_is_kept_by_buckets(spark, write_lines, tmp_path):
+    """Many keys are few groups: a batch costs calls for each bucket, not for each key."""
+    lines = [_line(t, user=f"u{t}") for t in range(60)]
+    folder = write_lines(lines, [_line(5000, user="last")])
+    counted = _counted(spark, folder, clocked=True)
+    rows, progress = _run(spark, jobs.lifetime_totals(counted, KEYS, event_ttl_s=9000, buckets=2), tmp_path)
+    assert sorted(r.user_id for r in rows) == sorted(f"u{t}" for t in range(60)) and {r.total for r in rows} == {1}
+    assert 0 < max(p["stateOperators"][0]["numRowsTotal"] for p in progress if p["stateOperators"]) <= 4
+    events = _events(spark, folder, 1)
+    home = str(tmp_path / "missing")
+    missing = jobs.without_reaction(events, ["user_id"], "view", "like", 10_000, buckets=3)
+    progress = jobs.run_available(missing, jobs.append_table(f"{home}/rows"), f"{home}/checkpoint")
+    assert 0 < max(p["stateOperators"][0]["numRowsTotal"] for p in progress if p["stateOperators"]) <= 3
