@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
-from dataclasses import astuple, dataclass
+import sys
+from collections.abc import Iterator
+from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ebbline.functions.decay import fade
 
+# executors get this module with the query and need not have the package installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 FAMILIES = {
     "user": ["user_id"],
     "media": ["media_id"],
@@ -104,28 +112,88 @@ class Counter:
             raise ValueError(f"a counter is one of {KINDS} and has positive seconds, not {self}")
 
 
+SWEEP_WAYS = 4  # parts of a key's seconds, so that a busy key is not one task's
+SWEEP_NUMBERS = 1 << 20  # values of rows by counters held at once
+
+
+def _sweep_batches(batches: Iterator[pa.RecordBatch], counters: list[Counter]) -> Iterator[pa.RecordBatch]:
+    """Rows of a key and event name follow each other; a row with all its counters' values is put out for each.
+
+    Beside the values are the seconds that each counter met, and those whose amount is not null.
+    """
+    of: dict[str, list[int]] = {}
+    for i, c in enumerate(counters):
+        of.setdefault(c.event_name, []).append(i)
+    periods = {}
+    for name, places in of.items():
+        kinds = np.array([counters[i].kind for i in places])
+        seconds = np.array([counters[i].seconds for i in places], np.float64)
+        periods[name] = kinds == "faded", np.where(kinds == "count", seconds, np.inf), seconds
+    last, sums = None, None
+
+    def row() -> pa.RecordBatch:
+        met = np.flatnonzero(sums[1])
+        values = [None if not sums[2][i] else float(sums[0][i]) for i in met]
+        places = [of[last[2]][i] for i in met]
+        lists = [pa.array([places], pa.list_(pa.int32())), pa.array([values], pa.list_(pa.float64()))]
+        keys = [pa.array([last[0]], pa.string()), pa.array([last[1]], key_type)]
+        return pa.RecordBatch.from_arrays([*keys, *lists], ["family", "key", "places", "values"])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key_type = batch.column(1).type
+        codes = np.stack([c.dictionary_encode(null_encoding="encode").indices.to_numpy() for c in batch.columns[:3]])
+        begins = np.append(True, (codes[:, 1:] != codes[:, :-1]).any(axis=0))
+        starts = np.flatnonzero(begins)
+        for start, end in zip(starts, np.append(starts[1:], batch.num_rows), strict=True):
+            own = tuple(batch.column(i)[start].as_py() for i in range(3))
+            if own != last:
+                if last is not None:
+                    yield row()
+                last, sums = own, np.zeros((3, len(of[own[2]])))
+            faded, within, seconds = periods[own[2]]
+            age = batch.column(3).slice(start, end - start).to_numpy(zero_copy_only=False).astype(np.float64)
+            amount = batch.column(4).slice(start, end - start).to_numpy(zero_copy_only=False).astype(np.float64)
+            known = ~batch.column(4).slice(start, end - start).is_null().to_numpy(zero_copy_only=False)
+            step = max(1, SWEEP_NUMBERS // len(seconds))
+            for i in range(0, len(age), step):
+                a, n, there = age[i : i + step, None], np.where(known, amount, 0)[i : i + step], known[i : i + step]
+                met = a < within
+                weight = met.astype(np.float64)
+                weight[:, faded] = np.exp(-a / seconds[faded])
+                sums += np.stack([n @ weight, met.sum(axis=0), there.astype(np.float64) @ met])
+    if last is not None:
+        yield row()
+
+
 def sweep(
     events: DataFrame, counters: list[Counter], as_of: int, families: dict[str, list[str]] = FAMILIES
 ) -> DataFrame:
     """Any number of counters for every key of the families, as rows ``family, key, counter, value``.
 
-    The counters are a table, not columns: the plan is the same for one and for thousands.  Events are first summed per
-    key and second, then meet the counters of their name, and are summed again before the shuffle.  A counter without
-    events has no row.
+    The counters are a list, not columns: the plan is the same for one and for thousands.  Events are first summed per
+    key and second; a key's seconds, sorted, meet all counters of their name at once as a matrix, and only a key's sums
+    leave the task.  A counter without events has no row.
     """
     if len({c.name for c in counters}) != len(counters):
         raise ValueError("counters need distinct names")
-    schema = "counter string, event_name string, kind string, seconds bigint"
-    listed = events.sparkSession.createDataFrame([astuple(c) for c in counters], schema)
     known = events.where((F.col("event_ts") <= as_of) & F.col("event_name").isin(*{c.event_name for c in counters}))
     fanned = fan_out(known.select("event_name", "event_ts", "event_count", *_columns(families)), families)
-    per_second = fanned.groupBy("family", "key", "event_name", "event_ts").agg(F.sum("event_count").alias("n"))
-    met = per_second.join(F.broadcast(listed), "event_name")  # as many rows as counters were asked for
-    age = F.lit(as_of).cast("bigint") - F.col("event_ts")
-    faded = F.col("n") * F.exp(-age / F.col("seconds"))
-    value = F.when(F.col("kind") == "faded", faded).otherwise(F.col("n").cast("double"))
-    met = met.where((F.col("kind") != "count") | (age < F.col("seconds")))
-    return met.groupBy("family", "key", "counter").agg(F.sum(value).alias("value"))
+    line = ["family", "key", "event_name"]
+    per_second = fanned.groupBy(*line, "event_ts").agg(F.sum("event_count").alias("n"))
+    age = (F.lit(as_of).cast("bigint") - F.col("event_ts")).alias("age")
+    rows = per_second.select(*line, age, F.col("n").cast("double").alias("n"), F.pmod(F.hash("event_ts"), F.lit(SWEEP_WAYS)).alias("way"))
+    rows = rows.repartition(*line, "way").sortWithinPartitions(*line, "way").drop("way")
+    key = rows.schema["key"].dataType.simpleString()
+    parts = rows.mapInArrow(
+        lambda batches: _sweep_batches(batches, counters), f"family string, key {key}, places array<int>, values array<double>"
+    )
+    met = parts.select("family", "key", F.inline(F.arrays_zip("places", "values")))
+    met = met.groupBy("family", "key", "places").agg(F.sum("values").alias("value"))
+    schema = "places int, counter string"
+    listed = events.sparkSession.createDataFrame([(i, c.name) for i, c in enumerate(counters)], schema)
+    return met.join(F.broadcast(listed), "places").select("family", "key", "counter", "value")
 
 
 def _columns(families: dict[str, list[str]]) -> list[str]:

@@ -168,3 +168,19 @@ def test_a_lookup_reads_the_files_that_may_hold_the_key(spark, tmp_path):
         assert _rows_scanned(store.get(spark, key=hashlib.md5(str(i).encode()).hexdigest())) <= total / 8  # of 32 files, few
     assert store.get(spark, key="absent").count() == 0
     assert _rows_scanned(store.get(spark, key="absent")) <= total / 8
+
+
+def test_a_sweep_forms_no_rows_of_events_by_counters(events):
+    """A key's seconds meet the counters as a matrix, in pieces, and a null amount is not zero."""
+    _, df = events
+    counters = [families.Counter(f"c{i}", "view", kind, 1000 * (i + 1)) for i, kind in enumerate(["faded", "count", "total"] * 9)]
+    swept = families.sweep(df, counters, 10 * DAY, {"media": ["media_id"], "user": ["user_id"]})
+    assert "MapInArrow" in swept._jdf.queryExecution().executedPlan().toString()
+    nulls = df.limit(1).selectExpr("'view' event_name", "'a' media_id", "inline(array(struct(5L, cast(null as bigint)), struct(7L, 2L)))")
+    nulls = nulls.withColumnsRenamed({"col1": "event_ts", "col2": "event_count"})
+    only = [families.Counter("last", "view", "count", 4), families.Counter("all", "view"), families.Counter("none", "view", "count", 1)]
+    got = {r.counter: r.value for r in families.sweep(nulls, only, 8, {"media": ["media_id"]}).collect()}
+    assert got == {"last": 2.0, "all": 2.0}
+    first = [families.Counter("first", "view", "count", 9)]
+    got = families.sweep(nulls.where("event_ts = 5"), first, 8, {"media": ["media_id"]}).collect()
+    assert [(r.counter, r.value) for r in got] == [("first", None)]
