@@ -7,8 +7,9 @@ letters) with a column of log probabilities per language; a lookup is a binary s
 A text goes to the language with the lowest cross-entropy per character.  Where there are too many trigrams to hold,
 the orders stay tables, whole, and each chunk of texts is joined with the log probabilities of its own trigrams.
 
-Two things are calibrated on a bounded sample of training documents: the sharpness of the score, and per language
-how much worse than usual, for its length, a text may be predicted before it is rejected.
+Two things are calibrated on all training documents, one row of an id: the sharpness of the score, and per language how
+much worse than usual, for its length, a text may be predicted before it is rejected.  The numbers for it stay a table; its
+order statistics are exact, found in ever finer counts.
 
 A text that is null or has no letter is ``und`` with score 0, and rejected; so is every text where nothing could be
 learned.  Rows without language or id teach nothing.  Of ``docs`` only ``doc_id, text, lang`` are read.
@@ -16,6 +17,7 @@ learned.  Rows without language or id teach nothing.  Of ``docs`` only ``doc_id,
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,11 +31,13 @@ from ebbline.llm.batches import free_name, keep_rows, kept_by_process, map_colum
 from ebbline.session import settle
 
 MAX_GRAMS = 4_000_000  # rows of models held in memory; larger ones stay tables, with the same results
-CALIBRATION_DOCS = 4000  # training documents with the lowest hashes
+BINS = 4096  # counts by which an order statistic is narrowed down
+FEW = 4096  # values among which it is looked up
+GRID = (1.0, 2.0, 5.0, 10.0, 20.0, 50.0)  # of the sharpness
 CHUNK = 1_000_000  # characters worked on at once
 BITS = 21  # of a code point
-SLACK = 1.5  # times the excess that the share USUAL of the sample stays within
-USUAL = 0.98  # rounded down, so that the worst text of a small sample never counts
+SLACK = 1.5  # times the excess that the share USUAL of the texts stays within
+USUAL = 0.98  # rounded down, so that the worst of a few texts never counts
 
 LEAST = 1.75  # times the usual cross-entropy; texts below are never rejected
 
@@ -341,8 +345,11 @@ def build_tables(table: DataFrame) -> TableModels:
     )
 
 
-def train(docs: DataFrame, max_grams: int = MAX_GRAMS, sample: int = CALIBRATION_DOCS) -> Models | None:
-    """Models of every language in ``docs``; None if there is nothing to learn from."""
+def train(docs: DataFrame, max_grams: int = MAX_GRAMS, sample: int | None = None) -> Models | None:
+    """Models of every language in ``docs``; None if there is nothing to learn from.
+
+    Calibrated on all of them, unless ``sample`` names so many ids, those with the lowest hashes.
+    """
     table = settle(count_grams(docs))
     if table.count() > max_grams:
         models = build_tables(table)
@@ -352,11 +359,11 @@ def train(docs: DataFrame, max_grams: int = MAX_GRAMS, sample: int = CALIBRATION
             return None
         keys = rows["gram"].to_numpy().astype(np.uint64)
         models = build(np.array(rows["lang"].to_pylist(), object), keys, rows["n"].to_numpy())
-    chosen = docs.where("text is not null and lang is not null").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    ids = chosen.select("doc_id").distinct()
-    own = docs.where("text is not null and lang is not null").join(F.broadcast(ids), "doc_id").select("doc_id", "text", "lang")
-    own = own.groupBy("doc_id").agg(F.min(F.struct("text", "lang")).alias("r")).select("doc_id", "r.*")  # one row of an id
-    return calibrate(models, _entropies(own, models, "lang"))
+    own = docs.where("doc_id is not null and text is not null and lang is not null").select("doc_id", "text", "lang")
+    if sample is not None:
+        ids = own.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).select("doc_id").distinct()
+        own = own.join(F.broadcast(ids), "doc_id")
+    return calibrate(models, _entropies(own, models))
 
 
 def _judged(docs: DataFrame, models: Models | None, make, schema: str) -> DataFrame:
@@ -373,35 +380,94 @@ def _judged(docs: DataFrame, models: Models | None, make, schema: str) -> DataFr
     return models.by_chunk(docs, work, struct)
 
 
-def _entropies(docs: DataFrame, models: Models, extra: str) -> list:
+def _entropies(docs: DataFrame, models: Models) -> DataFrame:
+    """Of one row for each id, that of the least text: ``truth``, the place of its language; its own cross-entropy ``h``;
+    its length's root ``n``; and the ``losses`` by sharpness."""
+
     def make(models):
         def work(batches):
             for batch in batches:
-                h, n = models.cross_entropy([t or "" for t in batch.column(1).to_pylist()])
-                yield {"doc_id": batch.column(0), "h": list(h), "n": n, extra: batch.column(2)}
+                texts = [t or "" for t in batch.column(1).to_pylist()]
+                h, n = models.cross_entropy(texts) if texts else (np.zeros((0, len(models.langs))), np.zeros(0))
+                places = {x: i for i, x in enumerate(models.langs)}
+                truth = np.array([places.get(x, -1) for x in batch.column(2).to_pylist()], int)
+                at = np.arange(len(h)), truth
+                losses = np.stack([-np.log(softmax(-k * h)[at] + 1e-12) for k in GRID], axis=1) if len(h) else h
+                known = (truth >= 0) & (n > 0)
+                out = {"doc_id": batch.column(0), "lang": batch.column(2), "start": [t[:64] for t in texts]}
+                out |= {"rest": [zlib.crc32(t.encode("utf-8", "surrogatepass")) for t in texts]}
+                yield out | {"truth": np.where(known, truth, -1), "h": h[at], "n": np.sqrt(n), "losses": list(losses)}
 
         return work
 
-    return _judged(docs, models, make, f"doc_id long, h array<double>, n double, {extra} string").collect()
+    schema = "doc_id long, lang string, start string, rest long, truth int, h double, n double, losses array<double>"
+    rows = _judged(docs.select("doc_id", "text", "lang"), models, make, schema)
+    least = F.min_by(F.struct("truth", "h", "n", "losses"), F.struct("start", "rest", "lang"))
+    return settle(rows.groupBy("doc_id").agg(least.alias("r")).select("r.*").where("truth >= 0"))
 
 
-def calibrate(models: Models, rows: list) -> Models:
-    rows = sorted((r for r in rows if r["n"] and r["lang"] in models.langs), key=lambda r: (r["doc_id"], r["h"]))
+def order_statistics(rows: DataFrame, wanted: dict[int, list[int]]) -> dict[tuple[int, int], float]:
+    """The ``i``-th smallest ``value`` (from 0) of each ``truth``, for the ``i`` that ``wanted`` names.
+
+    All are narrowed down together by counts in ``BINS`` bins of the range that holds them, until few values are left.
+    """
+    found: dict[tuple[int, int], float] = {}
+    sides = {(t, i): (None, None, 0) for t, places in wanted.items() for i in places}  # range and the values below it
+    while sides:
+        spark = rows.sparkSession
+        asked = [(t, i, low, high) for (t, i), (low, high, _) in sides.items()]
+        ranges = F.broadcast(spark.createDataFrame(asked, "truth int, i long, low double, high double"))
+        met = rows.join(ranges, "truth").where("(low is null or value >= low) and (high is null or value <= high)")
+        facts = met.groupBy("truth", "i").agg(F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
+        facts = {(r["truth"], r["i"]): r for r in facts.collect()}
+        few = {x for x, r in facts.items() if r["n"] <= FEW or r["low"] == r["high"]}
+        for x in [x for x in few if facts[x]["low"] == facts[x]["high"]]:
+            found[x] = facts[x]["low"]
+            few.discard(x)
+        if few:
+            names = F.broadcast(spark.createDataFrame(sorted(few), "truth int, i long"))
+            held: dict[tuple[int, int], list[float]] = {}
+            for r in met.join(names, ["truth", "i"]).select("truth", "i", "value").toLocalIterator():  # FEW of each
+                held.setdefault((r["truth"], r["i"]), []).append(r["value"])
+            found |= {x: sorted(v)[x[1] - sides[x][2]] for x, v in held.items()}
+        sides = {x: v for x, v in sides.items() if x not in found}
+        if not sides:
+            break
+        asked = [(*x, facts[x]["low"], facts[x]["high"]) for x in sides]
+        ranges = F.broadcast(spark.createDataFrame(asked, "truth int, i long, low double, high double"))
+        bin_ = F.least(F.floor((F.col("value") - F.col("low")) / (F.col("high") - F.col("low")) * BINS), F.lit(BINS - 1)).alias("bin")
+        met = rows.join(ranges, "truth").where("value >= low and value <= high")
+        counts = met.groupBy("truth", "i", bin_).agg(F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
+        bins: dict[tuple[int, int], list] = {}
+        for r in counts.collect():  # BINS for each that is wanted
+            bins.setdefault((r["truth"], r["i"]), []).append(r)
+        for x, own in bins.items():
+            below = sides[x][2]
+            for r in sorted(own, key=lambda r: r["bin"]):
+                if below + r["n"] > x[1]:
+                    sides[x] = r["low"], r["high"], below
+                    break
+                below += r["n"]
+    return found
+
+
+def calibrate(models: Models, rows: DataFrame) -> Models:
     models.usual, models.spread = np.full(len(models.langs), np.inf), np.zeros(len(models.langs))
-    if not rows:
+    losses = [F.avg(F.col("losses")[i]).alias(f"l{i}") for i in range(len(GRID))]
+    total = rows.agg(F.count("*").alias("n"), *losses).first()
+    if not total["n"]:
         return models
-    h, n = np.array([r["h"] for r in rows]), np.array([r["n"] for r in rows])
-    truth = np.array([models.langs.index(r["lang"]) for r in rows])
-    grid = [1.0, 2.0, 5.0, 10.0, 20.0, 50.0]
-    losses = [-np.log(softmax(-k * h)[np.arange(len(h)), truth] + 1e-12).mean() for k in grid]
-    models.sharpness = grid[int(np.argmin(losses))]
-    for k in range(len(models.langs)):
-        own = h[truth == k, k]
-        if len(own):
-            models.usual[k] = np.median(own)
-            excess = np.sort((own - models.usual[k]) * np.sqrt(n[truth == k]))
-            highest = excess[max(min(int(USUAL * (len(own) - 1)), len(own) - 2), 0)]
-            models.spread[k] = SLACK * max(highest, 1.0)
+    models.sharpness = GRID[int(np.argmin([total[f"l{i}"] for i in range(len(GRID))]))]
+    sizes = {r["truth"]: r["count"] for r in rows.groupBy("truth").count().collect()}
+    middle = {t: sorted({(m - 1) // 2, m // 2}) for t, m in sizes.items()}
+    medians = order_statistics(rows.select("truth", F.col("h").alias("value")), middle)
+    for t, places in middle.items():
+        models.usual[t] = np.mean([medians[t, i] for i in places])
+    usual = F.element_at(F.array(*[F.lit(float(u)) for u in models.usual]), F.col("truth") + 1)
+    excess = rows.select("truth", ((F.col("h") - usual) * F.col("n")).alias("value"))
+    last = {t: [max(min(int(USUAL * (m - 1)), m - 2), 0)] for t, m in sizes.items()}
+    for (t, _), highest in order_statistics(excess, last).items():
+        models.spread[t] = SLACK * max(highest, 1.0)
     return models
 
 

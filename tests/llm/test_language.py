@@ -186,3 +186,21 @@ def test_query(spark, sample):
         right += [got[r.doc_id].lang_pred == r.lang] * held
     assert sum(right) >= 0.97 * len(right)
     assert sum(r.rejected for r in got.values()) <= 2
+
+
+def test_calibrated_on_every_document(spark, documents, monkeypatch):
+    """Thresholds are those of all training documents, and exact, however few values are looked at together."""
+    rng = np.random.default_rng(4)
+    words = TEXTS["aa"].lower().split()
+    rows = [(i, " ".join(rng.choice(words, rng.integers(3, 12)))) for i in range(4300)]
+    models = language.train(documents(rows, "aa"))
+    h, n = models.cross_entropy([t for _, t in rows])
+    assert models.usual[0] == pytest.approx(np.median(h[:, 0]), rel=1e-9)
+    excess = np.sort((h[:, 0] - np.median(h[:, 0])) * np.sqrt(n))
+    assert models.spread[0] == pytest.approx(language.SLACK * max(excess[int(language.USUAL * 4299)], 1.0), rel=1e-9)
+    monkeypatch.setattr(language, "FEW", 3)
+    monkeypatch.setattr(language, "BINS", 5)
+    values = [(t, float(x)) for t in (0, 2) for x in rng.integers(0, 40, 60) / 7]
+    table = spark.createDataFrame(values, "truth int, value double")
+    got = language.order_statistics(table, {0: [0, 29, 30, 59], 2: [7]})
+    assert got == {(t, i): sorted(v for o, v in values if o == t)[i] for t, i in [(0, 0), (0, 29), (0, 30), (0, 59), (2, 7)]}
