@@ -61,7 +61,8 @@ def creator_affinity(events: DataFrame, name: str, k: int) -> DataFrame:
 
     Joining users to all media of their creators would emit every pair.  Media
     are numbered per creator instead, and from the numbers a user has seen the
-    first ``k`` unseen ones follow by counting, so only those are looked up.
+    first ``k`` unseen ones follow by counting, so only those are looked up, and only
+    for creators that those of higher affinity do not leave without a chance.
     """
     pairs = settle(
         events.groupBy("user_id", "creator_id", "media_id").agg(
@@ -123,6 +124,8 @@ def fresh_creator_affinity(kept: DataFrame, posts: DataFrame, k: int) -> DataFra
 def unseen_by_affinity(seen: DataFrame, media: DataFrame, affinity: DataFrame, k: int) -> DataFrame:
     """The best ``k`` unseen media per user from the distinct pairs seen, all media, and the users' affinities."""
     numbered = settle(_numbered(media))
+    affinity = settle(_worth_a_look(seen, numbered, affinity, k))
+    seen = seen.join(affinity.select("user_id", "creator_id"), ["user_id", "creator_id"], "left_semi")
     places = _spread_join(
         seen, numbered.select("creator_id", "media_id", "place"), ["creator_id", "media_id"], spread_by="user_id"
     )
@@ -168,6 +171,22 @@ def unseen_by_affinity(seen: DataFrame, media: DataFrame, affinity: DataFrame, k
     return best.select("user_id", "rank", "media_id", "creator_id", "affinity", "views")
 
 
+def _worth_a_look(seen: DataFrame, numbered: DataFrame, affinity: DataFrame, k: int) -> DataFrame:
+    """Without the creators that cannot come into a user's best ``k``: those of higher affinity have enough unseen media.
+
+    What a creator surely has left is all media less the seen ones, each as often as one is listed.
+    """
+    listed = numbered.groupBy("creator_id", "media_id").agg(F.count("*").alias("_times"))
+    sizes = listed.groupBy("creator_id").agg(F.sum("_times").alias("_size"), F.max("_times").alias("_times"))
+    known = seen.groupBy("user_id", "creator_id").agg(F.count("*").alias("_seen"))
+    left = F.col("_size") - F.col("_times") * F.coalesce("_seen", F.lit(0))
+    offered = _spread_join(affinity.join(known, ["user_id", "creator_id"], "left"), sizes, ["creator_id"], spread_by="user_id")
+    offered = offered.select("user_id", "creator_id", "affinity", F.greatest(F.lit(0), F.least(F.lit(k), left)).alias("_left"))
+    above = Window.partitionBy("user_id").orderBy((-F.col("affinity")).alias("_less")).rangeBetween(Window.unboundedPreceding, -1)
+    ahead = offered.withColumn("_ahead", F.coalesce(F.sum("_left").over(above), F.lit(0)))
+    return ahead.where(F.col("_ahead") < k).select("user_id", "creator_id", "affinity")
+
+
 def _hash_slice() -> Column:
     return F.substring(F.md5("media_id"), 1, 3)
 

@@ -279,3 +279,12 @@ def test_few_views_is_repeatable(spark):
     assert a == generators.few_views(e.repartition(5), "view", 3, 10).collect()
     assert len(a) == 10 and all(r["views"] < 3 for r in a)
     assert a != generators.few_views(e, "view", 3, 10, seed="1").collect()
+
+
+def test_creators_without_a_chance_are_not_looked_up(spark):
+    """A user's best come from the first creators that have enough left; equal affinity keeps all."""
+    numbered = spark.createDataFrame([(c, f"{c}{i}", i) for c in "abcd" for i in range(4)], "creator_id string, media_id string, place int")
+    seen = spark.createDataFrame([("u", "a", f"a{i}") for i in range(3)] + [("u", "b", "b0")], "user_id string, creator_id string, media_id string")
+    affinity = spark.createDataFrame([("u", "a", 9), ("u", "b", 5), ("u", "c", 3), ("u", "d", 3)], "user_id string, creator_id string, affinity long")
+    left = {k: sorted(r.creator_id for r in generators._worth_a_look(seen, numbered, affinity, k).collect()) for k in (1, 2, 4, 5)}
+    assert left == {1: ["a"], 2: ["a", "b"], 4: ["a", "b"], 5: ["a", "b", "c", "d"]}
