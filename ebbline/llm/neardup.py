@@ -8,8 +8,9 @@
 3. A region of at most ``BLOCK`` sets is compared whole.  A larger one is sorted by a tree's full label and cut into
    blocks, so that a dense region is compared among neighbours with long common prefixes, a sparse one at shorter
    ones.  This is done in the order of several trees.
-4. What a large region still has outside its largest component is compared, block by block, with the whole region.
-   So no pair within a region goes unseen unless links join it already.
+4. Large regions that are still more than one component go through the n-gram join (``ngram_join``), which compares
+   what shares enough of its rarest shingles: all that can be similar, and little of what only has a template in
+   common.  So no pair within a region goes unseen unless links join it already.
 
 Sets move only where there are candidates; blocks are bounded, whatever the size of a group of copies.  Words are
 split at ASCII white space after folding A-Z.  A text with fewer words than a shingle is one shingle; without words
@@ -21,12 +22,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ebbline.llm.batches import map_columns
 from ebbline.llm.graph import components
+from ebbline.llm.ngram_join import joining
+from ebbline.llm.shingling import GOLD, mix, shingles
 from ebbline.session import settle
 
 SHINGLE = 5  # words
@@ -35,31 +37,6 @@ TREES, DEPTH = 32, 5
 ORDERS, ORDER_DEPTH = 4, 8  # trees whose order large regions are compared in, and the depth of those orders
 BLOCK = 256
 
-_GOLD = np.uint64(0x9E3779B97F4A7C15)
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return x ^ (x >> np.uint64(29))
-
-
-def _hash_words(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
-
-
-def shingles(text: str | None, size: int) -> np.ndarray:
-    """Hashes of the distinct shingles, sorted."""
-    words = (text or "").encode().lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    size = min(size, len(words))
-    hashes, n = _hash_words(words), len(words) - size + 1
-    out = np.full(n, size, np.uint64)
-    for i in range(size):
-        out = _mix(out * _GOLD + hashes[i : i + n])
-    return np.unique(out)
-
-
 def _functions() -> tuple[np.ndarray, np.ndarray]:
     """Multipliers and shifts of the hash functions: each tree's, then more for the orders."""
     rng = np.random.default_rng(20240131)
@@ -90,8 +67,8 @@ def sign(docs: DataFrame, size: int) -> DataFrame:
                 hashes = shingles(text, size)
                 out["n_shingles"].append(len(hashes))
                 with np.errstate(over="ignore"):
-                    out["f"].append(int(np.add.reduce(_mix(hashes), dtype=np.uint64).astype(np.int64)))
-                    out["g"].append(int(np.bitwise_xor.reduce(_mix(hashes * _GOLD), initial=0).astype(np.int64)))
+                    out["f"].append(int(np.add.reduce(mix(hashes), dtype=np.uint64).astype(np.int64)))
+                    out["g"].append(int(np.bitwise_xor.reduce(mix(hashes * GOLD), initial=0).astype(np.int64)))
                 if not len(hashes):
                     out["buckets"].append([])
                     out["orders"].append([])
@@ -99,7 +76,7 @@ def sign(docs: DataFrame, size: int) -> DataFrame:
                 values = signature(hashes, functions)
                 keys = np.arange(TREES, dtype=np.uint64)
                 for depth in range(DEPTH):
-                    keys = _mix(keys * _GOLD + values[depth : TREES * DEPTH : DEPTH])
+                    keys = mix(keys * GOLD + values[depth : TREES * DEPTH : DEPTH])
                 out["buckets"].append(keys.astype(np.int64).tolist())
                 label = values[TREES * DEPTH :].astype(np.uint8).tobytes()
                 out["orders"].append([label[k * ORDER_DEPTH : (k + 1) * ORDER_DEPTH] for k in range(ORDERS)])
@@ -186,48 +163,16 @@ def _compare_blocks(rows: DataFrame, percent: int, block: int) -> DataFrame:
     return map_columns(rows, work, "a long, b long")
 
 
-def _compare_rest(rows: DataFrame, percent: int, block: int) -> DataFrame:
-    """Every set outside its region's largest component against the whole region, block by block.
+def _compare_rest(rows: DataFrame, percent: int) -> DataFrame:
+    """Edges that join all linked sets of the regions that are more than one component yet.
 
-    ``rows``: ``region, rep, comp, hashes``.
+    ``rows``: ``region, rep, comp, f, hashes``.
     """
-    sizes = rows.groupBy("region", "comp").count()
-    largest = sizes.groupBy("region").agg(
-        F.max(F.struct("count", "comp")).alias("most"), F.ceil(F.sum("count") / block).cast("int").alias("parts")
-    )
-    open_ = sizes.join(largest, "region").where("comp != most.comp").groupBy("region", "most.comp", "parts")
-    open_ = open_.agg(F.ceil(F.sum("count") / block).cast("int").alias("chunks")).withColumnRenamed("comp", "giant")
-    every = rows.join(open_, "region")
-
-    def own(n: str) -> Column:
-        return F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
-
-    def each(n: str) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-
-    members = every.select("*", own("parts").alias("part"), each("chunks").alias("chunk"), F.lit(False).alias("asks"))
-    asking = every.where("comp != giant")
-    asking = asking.select("*", each("parts").alias("part"), own("chunks").alias("chunk"), F.lit(True).alias("asks"))
-    columns = ["region", "part", "chunk", "asks", "rep", "comp", "hashes"]
-
-    def compare(group: pa.Table) -> pa.Table:
-        asks = np.array(group["asks"].to_pylist(), bool)
-        ids, comps = (np.array(group[n].to_pylist(), np.int64) for n in ("rep", "comp"))
-        sets = [np.array(h, np.int64).view(np.uint64) for h in group["hashes"].to_pylist()]
-        a, b = np.flatnonzero(asks), np.flatnonzero(~asks)
-        found: list[tuple[int, int]] = []
-        if len(a) and len(b):
-            near = linked([sets[i] for i in a], percent, [sets[i] for i in b])
-            near &= comps[a][:, None] != comps[b][None, :]
-            for i, row in zip(a, near, strict=True):
-                to = b[np.flatnonzero(row)]
-                _, one_each = np.unique(comps[to], return_index=True)  # one link to each other component will do
-                found += [(int(ids[i]), int(ids[to[k]])) for k in one_each]
-        ends = list(zip(*found, strict=True)) or [[], []]
-        return pa.table({n: pa.array(x, pa.int64()) for n, x in zip("ab", ends, strict=True)})
-
-    pairs = members.select(columns).unionByName(asking.select(columns))
-    return pairs.groupBy("region", "part", "chunk").applyInArrow(compare, "a long, b long")
+    apart = rows.groupBy("region").agg(F.min("comp").alias("least"), F.max("comp").alias("most"))
+    apart = apart.where("least != most").select("region")
+    n = F.size("hashes").cast("long").alias("n")
+    left = rows.join(apart, "region").select("f", "rep", n, F.col("hashes").alias("tokens"), "comp")
+    return joining(settle(left), percent)
 
 
 # ---- the operator ------------------------------------------------------------
@@ -271,7 +216,8 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     small = small.repartition("region").sortWithinPartitions("region")
     links = settle(_compare_blocks(small, percent, block + 1))
 
-    large = wanted.where("large")
+    # a name for each set, as a rep may have several; it lasts, as the rows are written
+    large = wanted.where("large").withColumn("f", F.monotonically_increasing_id())
     if not large.isEmpty():
         # every order at once: a set meets its neighbours in each
         orders = large.select("region", "rep", "hashes", F.posexplode("orders").alias("order", "label"))
@@ -280,9 +226,9 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
         stretches = orders.select(F.struct("order", "region").alias("region"), "rep", F.col("rep").alias("comp"), "hashes")
         found = settle(_compare_blocks(stretches, percent, block))
         joined = components(found).select(F.col("node").alias("rep"), F.col("component").alias("comp"))
-        joined = large.select("region", "rep", "hashes").join(joined, "rep", "left")
-        joined = joined.select("region", "rep", F.coalesce("comp", "rep").alias("comp"), "hashes")
-        rest = settle(_compare_rest(joined, percent, block))
+        joined = large.select("region", "rep", "f", "hashes").join(joined, "rep", "left")
+        joined = joined.select("region", "rep", F.coalesce("comp", "rep").alias("comp"), "f", "hashes")
+        rest = settle(_compare_rest(joined, percent))
         links = links.unionByName(found).unionByName(rest)
 
     comps = components(links).select(F.col("node").alias("rep"), "component")

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from ebbline.llm.batches import map_columns, release
 from ebbline.llm.graph import components
-from ebbline.llm.neardup import shingles
+from ebbline.llm.shingling import shingles
 from ebbline.session import settle
 
 SHINGLE = 5  # words
@@ -42,6 +42,7 @@ CANDIDATE = 64  # confirming a candidate costs as much as reading one posting fo
 LIST = 2048  # rows of a block of a posting list
 TILE = 256  # sets of a side of a tile, about
 BROADCAST = 1_000_000  # rows of two longs that may be broadcast
+PARITY = ["p0", "p1", "p2", "p3"]  # 256 bits of a set, see ``parity``
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -169,6 +170,12 @@ def level(counts: np.ndarray, n: int, percent: int) -> tuple[int, int]:
     return int(levels[best]), int(levels[best]) + spare
 
 
+def parity(tokens: np.ndarray) -> np.ndarray:
+    """Whether an odd number of shingles ends in each byte: two sets differ in as many shingles as bits, or more."""
+    odd = np.bincount((tokens & 255).astype(np.int64), minlength=256) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64)
+
+
 def _plan(rows: DataFrame, percent: int) -> DataFrame:
     """``rows``: ``f, count, token`` in order, a set's first row having its size as a negative count.
 
@@ -176,7 +183,7 @@ def _plan(rows: DataFrame, percent: int) -> DataFrame:
     """
 
     def work(batches):
-        names = ["f", "n", "m", "kernel", "level", "region", "crowd", "prefix", "counts"]
+        names = ["f", "n", "m", "kernel", "level", "region", "crowd", *PARITY, "prefix", "counts"]
         held: list[tuple] = []
 
         def plan(out):
@@ -190,7 +197,7 @@ def _plan(rows: DataFrame, percent: int) -> DataFrame:
             if 100 * len(counts) < percent * n:
                 return
             chosen, length = level(counts, n, percent)
-            row = (f, n, len(counts), fingerprint(tokens.view(np.uint64))[1], chosen, tokens[-1], counts[-1])
+            row = (f, n, len(counts), fingerprint(tokens.view(np.uint64))[1], chosen, tokens[-1], counts[-1], *parity(tokens))
             for name, value in zip(names, (*row, tokens[:length], counts[:length]), strict=True):
                 out[name].append(value)
 
@@ -209,11 +216,15 @@ def _plan(rows: DataFrame, percent: int) -> DataFrame:
             yield out
 
     schema = "f long, n long, m long, kernel long, level long, region long, crowd long"
-    return map_columns(rows, work, schema + ", prefix array<long>, counts array<long>")
+    schema = ", ".join([schema, *(f"{p} long" for p in PARITY), "prefix array<long>", "counts array<long>"])
+    return map_columns(rows, work, schema)
 
 
 def _planned(sets: DataFrame, percent: int) -> DataFrame:
-    """The sets that can be linked, with their prefixes, and ``k``, the one that stands for a set's kernel."""
+    """The sets that can be linked, with their prefixes, and ``k``, the one that stands for a set's kernel.
+
+    Sets of different ``comp``, where given, are different kernels.
+    """
     entries = sets.select("f", F.explode("tokens").alias("token"))
     # a shingle has one row for each set at most, so even a common one is a small part of all rows
     entries = entries.withColumn("count", F.count("f").over(Window.partitionBy("token"))).where("count > 1")
@@ -221,10 +232,15 @@ def _planned(sets: DataFrame, percent: int) -> DataFrame:
     rows = entries.select("f", "count", "token").unionByName(sizes)
     rows = rows.repartition("f").sortWithinPartitions("f", "count", "token")
     rows = settle(_plan(rows, percent))
-    of = rows.groupBy("kernel", "n", "m").agg(F.min("f").alias("k")).toDF("of", "size", "common", "k")
+    own = [c for c in sets.columns if c == "comp"]
+    if own:
+        rows = rows.join(sets.select("f", "comp"), "f")
+    of = rows.groupBy("kernel", "n", "m", *own).agg(F.min("f").alias("k")).toDF("of", "size", "common", *(["joined"] if own else []), "k")
     same = (F.col("kernel") == F.col("of")) & (F.col("n") == F.col("size")) & (F.col("m") == F.col("common"))
+    same = same & (F.col("comp") == F.col("joined")) if own else same
     place = F.xxhash64("region", F.pmod(F.xxhash64("f"), F.ceil(F.col("crowd") / TILE))).alias("place")
-    return settle(rows.join(of, same).select("f", "n", "m", "level", "prefix", "counts", "k", place))
+    own += PARITY if own else []
+    return settle(rows.join(of, same).select("f", "n", "m", "level", "prefix", "counts", "k", place, *own))
 
 
 # ---- confirming --------------------------------------------------------------
@@ -278,7 +294,7 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _postings(kernels: DataFrame) -> DataFrame:
     """A row for each prefix shingle, at its place among the set's shared ones."""
-    kept = ["f", "n", "m", "level", "place", "comp"]
+    kept = ["f", "n", "m", "level", "place", "comp", *(c for c in PARITY if c in kernels.columns)]
     zipped = F.posexplode(F.arrays_zip("prefix", "counts")).alias("at", "p")
     rows = kernels.select(*kept, zipped)
     return rows.select(*kept, (F.col("at") + 1).alias("at"), F.col("p.prefix").alias("token"), F.col("p.counts").alias("count"))
@@ -292,10 +308,10 @@ def _could_link(n: str, m: str, sides: tuple[str, str], percent: int) -> Column:
 def _central(kernels: DataFrame, percent: int) -> DataFrame:
     """Every set with the most central one of each of its posting lists: the one with the fewest shingles of its own."""
     rows = _postings(kernels)
-    hub = F.min(F.struct((F.col("n") - F.col("m")).alias("own"), "f", "n", "m", "place")).alias("hub")
+    hub = F.min(F.struct((F.col("n") - F.col("m")).alias("own"), "f", "n", "m", "place", "comp")).alias("hub")
     hubs = rows.groupBy("token").agg(hub).select("token", "hub.*").alias("h")
     met = rows.alias("r").join(hubs, F.col("r.token") == F.col("h.token"))
-    met = met.where((F.col("r.f") != F.col("h.f")) & _could_link("n", "m", ("r", "h"), percent))
+    met = met.where((F.col("r.comp") != F.col("h.comp")) & _could_link("n", "m", ("r", "h"), percent))
     ends = [F.col(c).alias(n) for c, n in (("r.f", "a"), ("h.f", "b"), ("r.place", "x"), ("h.place", "y"))]
     return met.select(ends).distinct()
 
@@ -304,7 +320,8 @@ def candidates(kernels: DataFrame, percent: int, block: int = LIST) -> DataFrame
     """Pairs of different components that share as many prefix shingles as the lower of their levels."""
     rows = _postings(kernels).withColumn("blocks", F.ceil(F.col("count") / block).cast("int"))
     rows = rows.withColumn("own", F.pmod(F.xxhash64("f"), F.col("blocks")).cast("int"))
-    kept = ["token", "f", "n", "m", "level", "place", "comp", "at"]
+    given = [c for c in PARITY if c in kernels.columns]
+    kept = ["token", "f", "n", "m", "level", "place", "comp", "at", *given]
     after = F.explode(F.sequence("own", F.col("blocks") - 1))
     before = F.explode(F.sequence(F.lit(0), "own"))
     left = rows.select(*kept, F.col("own").alias("i"), after.alias("j")).alias("l")
@@ -319,6 +336,10 @@ def candidates(kernels: DataFrame, percent: int, block: int = LIST) -> DataFrame
         for s in ("l", "r")
     ]
     near = once & apart & in_reach[0] & in_reach[1] & _could_link("n", "m", ("l", "r"), percent)
+    if given:  # groups of copies, of which many are just too different, have long lists at every shingle
+        apart_in = sum((F.bit_count(F.col(f"l.{c}").bitwiseXOR(F.col(f"r.{c}"))) for c in given), F.lit(0))
+        apart_in += F.col("l.n") - F.col("l.m") + F.col("r.n") - F.col("r.m")
+        near = near & ((100 + percent) * apart_in <= (100 - percent) * (F.col("l.n") + F.col("r.n")))
     met = left.join(right, keys[0] & keys[1] & keys[2] & near)
     turned = F.col("l.f") > F.col("r.f")
 
@@ -338,32 +359,47 @@ def candidates(kernels: DataFrame, percent: int, block: int = LIST) -> DataFrame
 def _found(planned: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Edges ``a, b`` that join all linked sets among the kernels' own."""
     kernels = planned.where("f = k")
-    central = settle(_confirm(_central(kernels.withColumn("comp", F.col("f")), percent), sets, percent))
-    joined = components(central).select(F.col("node").alias("f"), F.col("component").alias("comp"))
-    kernels = settle(kernels.join(joined, "f", "left").withColumn("comp", F.coalesce("comp", "f")))
+    given = "comp" in kernels.columns
+    kernels = kernels if given else kernels.withColumn("comp", F.col("f"))
+    central = settle(_confirm(_central(kernels, percent), sets, percent))
+    ends = central
+    if given:  # what is in one component counts as one set
+        of = kernels.select("f", "comp")
+        ends = ends.join(of.toDF("a", "u"), "a").join(of.toDF("b", "v"), "b").select(F.col("u").alias("a"), F.col("v").alias("b"))
+    joined = components(ends).select(F.col("node").alias("comp"), F.col("component").alias("joined"))
+    kernels = kernels.join(joined, "comp", "left").withColumn("comp", F.coalesce("joined", "comp")).drop("joined")
+    kernels = settle(kernels)
     return settle(_confirm(candidates(kernels, percent), sets, percent)).unionByName(central)
 
 
+def joining(sets: DataFrame, percent: int) -> DataFrame:
+    """Edges ``a, b`` between the ``rep``s of ``sets`` (``f, rep, n, tokens``) that join all that are linked.
+
+    Sets of one ``comp``, where ``sets`` has this column, are joined already; the edges join these components.
+    """
+    planned = _planned(sets, percent)
+    release(sets.sparkSession)
+    edges = found = _found(planned, sets, percent)
+    release(sets.sparkSession)
+
+    if "comp" not in sets.columns:  # else the members of a kernel are joined
+        linked = found.select(F.explode(F.array("a", "b")).alias("k")).distinct().withColumn("linked", F.lit(True))
+        members = planned.where("f != k").join(linked, "k", "left")
+        members = members.where(F.col("linked").isNotNull() | similar(F.col("n"), F.col("n"), F.col("m"), percent))
+        edges = found.unionByName(members.select(F.col("f").alias("a"), F.col("k").alias("b")))
+    names = sets.select("f", "rep")
+    edges = edges.join(names.select(F.col("f").alias("a"), F.col("rep").alias("u")), "a")
+    edges = edges.join(names.select(F.col("f").alias("b"), F.col("rep").alias("v")), "b")
+    return edges.select(F.col("u").alias("a"), F.col("v").alias("b"))
+
+
 def links(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Every text's ``doc_id, n_shingles, rep``, and edges ``a, b`` between ``rep``s that join all linked texts."""
     signed = settle(sign(docs, size, percent))
     whole = signed.where("n_shingles > 0 and doc_id is not null").withColumnRenamed("n_shingles", "n")
     alive = _alive(whole, percent)
     release(docs.sparkSession)
-    sets = _sets(docs, alive, size)
-    planned = _planned(sets, percent)
-    release(docs.sparkSession)
-    found = _found(planned, sets, percent)
-    release(docs.sparkSession)
-
-    linked = found.select(F.explode(F.array("a", "b")).alias("k")).distinct().withColumn("linked", F.lit(True))
-    members = planned.where("f != k").join(linked, "k", "left")
-    members = members.where(F.col("linked").isNotNull() | similar(F.col("n"), F.col("n"), F.col("m"), percent))
-    edges = found.unionByName(members.select(F.col("f").alias("a"), F.col("k").alias("b")))
-    names = sets.select("f", "rep")
-    edges = edges.join(names.select(F.col("f").alias("a"), F.col("rep").alias("u")), "a")
-    edges = edges.join(names.select(F.col("f").alias("b"), F.col("rep").alias("v")), "b")
-    edges = edges.select(F.col("u").alias("a"), F.col("v").alias("b"))
+    edges = joining(_sets(docs, alive, size), percent)
 
     classes = whole.groupBy("f", "g", F.col("n").alias("n_shingles")).agg(F.min("doc_id").alias("rep"))
     texts = signed.select("doc_id", "n_shingles", "f", "g").join(classes, ["f", "g", "n_shingles"], "left")

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ebbline.llm import graph, neardup
+from ebbline.llm import graph, neardup, ngram_join
 from ebbline.llm.queries import QUERIES
 
 from .conftest import SF
@@ -113,6 +113,18 @@ def test_pairs_across_a_cut(documents, seed):
     assert _got(neardup.near_duplicates(documents(rows), 1, 80, block=n)) == brute_force(rows, 1)
 
 
+def test_pages_of_a_template(documents, monkeypatch):
+    """Pages with 55 of 100 words in common chain into one region; pairs that only share those are not compared."""
+    rng, asked, confirm = random.Random(17), [], ngram_join._confirm
+    monkeypatch.setattr(ngram_join, "_confirm", lambda pairs, *rest: asked.append(pairs.count()) or confirm(pairs, *rest))
+    shared = _words(rng, 55)
+    rows = [(i, " ".join(shared + _words(rng, 45))) for i in range(300)]
+    rows += [(1000 + i, t + " again") for i, t in rows[:20]] + [(2000 + i, t.rsplit(" ", 5)[0]) for i, t in rows[10:40]]
+    rng.shuffle(rows)
+    assert _got(neardup.near_duplicates(documents(rows), 2, 80, block=16)) == brute_force(rows, 2)
+    assert asked and sum(asked) < len(rows)
+
+
 def test_links_on_full_sets():
     rng = np.random.default_rng(3)
     sets = [np.unique(rng.integers(0, 60, rng.integers(20, 50))).astype(np.uint64) for _ in range(30)]

@@ -152,3 +152,29 @@ def test_a_run_cut_by_batches():
     one = met(([1, 2, 2, 3, 4, 5, 5, 9], [10, 11, 12, 13, 14, 15, 16, 17]))
     assert one == {10: 1, 11: 1, 12: 1, 15: 1, 16: 1, 17: 1}  # the ends of a partition count
     assert met(([1, 2], [10, 11]), ([2], [12]), ([3, 4], [13, 14]), ([5, 5], [15, 16]), ([9], [17])) == one
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_components_given(spark, seed):
+    """Sets that share all but shingles of their own, some joined before: the edges join what is linked."""
+    rng = random.Random(seed)
+    cores = [rng.sample(range(k * 1000, k * 1000 + 300), 80) for k in range(4)]
+    sets = {f: set(rng.choice(cores)) | {-100 * f - i for i in range(1, rng.choice([2, 9, 11, 13, 24]))} for f in range(70)}
+    comps = {f: rng.choice([f, f, f, f // 9 * 9, 7]) for f in sets}
+    rows = [(f, 5000 + f, len(x), sorted(x), comps[f]) for f, x in sets.items()]
+    df = spark.createDataFrame(rows, "f long, rep long, n long, tokens array<long>, comp long")
+    edges = [(a - 5000, b - 5000) for a, b in map(tuple, ngram_join.joining(df, 80).collect())]
+    near = [(a, b) for a, x in sets.items() for b, y in sets.items() if a < b and 100 * len(x & y) >= 80 * len(x | y)]
+    assert set(edges) <= set(near) | {(b, a) for a, b in near}
+
+    def joined(pairs):
+        least = dict(comps)
+        while True:
+            before = dict(least)
+            for a, b in pairs:
+                low = min(least[a], least[b])
+                least = {f: low if c in (least[a], least[b]) else c for f, c in least.items()}
+            if before == least:
+                return least
+
+    assert joined(edges) == joined(near)
